@@ -1,0 +1,28 @@
+"""Size checks in front of broadcasts.
+
+A side is broadcast only when its row count is known to be small: either
+the caller knows it (a driver-side list) or it is materialised to the
+checkpoint folder and counted. Beyond the limit the plan stays a shuffle
+join, where AQE's skew handling splits hot keys.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import checkpoint_root
+
+BROADCAST_MAX_ROWS = 200_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", *,
+               known_rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``big`` with ``small``, broadcasting ``small`` only after a size check."""
+    if known_rows is None:
+        checkpoint_root(small.sparkSession)
+        small = small.checkpoint(eager=True)   # reliable copy; the count below reads it
+        known_rows = small.count()
+    if known_rows <= max_rows:
+        small = F.broadcast(small)
+    return big.join(small, on, how)

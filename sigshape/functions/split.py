@@ -11,11 +11,25 @@ from pyspark.sql import functions as F
 from ._util import as_col
 
 
+# Characters that are regex syntax on their own (the JVM's list for its
+# single-character split fast path).
+_REGEX_META = ".$|()[{^?*+\\"
+
+
 def quote_literal(sep: str) -> str:
     r"""Regex that matches ``sep`` literally (same trick as ``Pattern.quote``)."""
     return r"\Q" + sep.replace(r"\E", r"\E\\E\Q") + r"\E"
 
 
+def split_pattern(sep: str) -> str:
+    """Regex for a literal separator. A single character is written as
+    itself or backslash-escaped, the forms the JVM splits without compiling
+    a pattern per row; longer separators are quoted."""
+    if len(sep) == 1 and ord(sep) < 0x10000:
+        return "\\" + sep if sep in _REGEX_META else sep
+    return quote_literal(sep)
+
+
 def decode_escapes(text: str) -> str:
     r"""Decode Java-style escapes in a separator given as configuration text.
 
@@ -63,7 +77,7 @@ def split_csv(value, sep: str = ",") -> Column:
 
     ``"a,b," -> [a, b, ""]``, ``"," -> ["", ""]``, ``"" -> [""]``; no quoting.
     """
-    return F.split(as_col(value), quote_literal(sep), -1)
+    return F.split(as_col(value), split_pattern(sep), -1)
 
 
 def split_literal(value, sep: str) -> Column:
@@ -74,7 +88,7 @@ def split_literal(value, sep: str) -> Column:
     whitespace character. An empty input gives zero tokens; null stays null.
     """
     c = as_col(value)
-    pattern = r"\s" if sep == "" else quote_literal(sep)
+    pattern = r"\s" if sep == "" else split_pattern(sep)
     return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, pattern, -1))
 
 
@@ -85,6 +99,11 @@ def split_list_cell(cell, sep: str = "|") -> Column:
     ``"a||" -> [a]``, ``"|a" -> ["", a]``, ``"a||b" -> [a, "", b]``.
     """
     c = as_col(cell)
+    if len(sep) == 1:
+        body = F.rtrim(c, F.lit(sep))               # drop trailing separators
+        only_seps = (c != "") & (body == "")
+        return F.when(only_seps, F.array().cast("array<string>")).otherwise(
+            F.split(body, split_pattern(sep), -1))
     q = quote_literal(sep)
     only_seps = c.rlike("^(?:" + q + ")+$")
     return F.when(only_seps, F.array().cast("array<string>")).otherwise(

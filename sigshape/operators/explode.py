@@ -5,15 +5,21 @@ element *i* of the driver list pairs with element *i* of each companion.
 The driver decides the count; longer companions are cut, a shorter one is
 an error (``fail``) or sends the line to quarantine.
 
-Plan shape: split cells once in a projection, then one ``inline`` of a
-``transform``-built array of structs. The size check sits inside the
-generator's input (``if(sizes ok, array, raise_error)``), so it cannot be
-pruned away and no filter re-evaluates the splits. No shuffle anywhere.
+Plan shape (one whole-stage-codegen stage, no shuffle): split the line and
+each used list cell once in a projection, ``posexplode`` the driver list,
+then pick companions with ``get(companion, pos)`` in a projection. The width
+and size checks sit inside the generator's input
+(``CASE WHEN bad THEN raise_error ELSE driver END``): they cannot be pruned
+away under ``count()``, and since the input is not a bare column Catalyst
+adds no inferred filter that would re-run the splits. The fan-out explodes
+``concat(current_regions, left_regions)`` once and picks the topic by
+position, so both topics come from a single pass in the reference's order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,33 +27,26 @@ from pyspark.sql import functions as F
 from ..conf import (LIST_SEP, REGION_IN_COLUMNS, REGION_OUT_COLUMNS, WIDE_FIELD_SEP,
                     WIDE_LAYOUT, WIDE_MIN_WIDTH, RegionSplitConf)
 from ..functions._util import as_col
-from ..functions.split import split_list_cell
+from ..functions.split import split_csv, split_list_cell
 from ..functions.text import join_fields
-from ..functions.split import split_csv
 from .parse import ON_MALFORMED, clean_records, width_error, width_ok
 
+POS, ELEM = "__pos", "__elem"
 
-def _sizes_ok(driver: Column, companions: Sequence[Column]) -> Column:
-    conds = [F.size(c) >= F.size(driver) for c in companions]
-    if not conds:
-        return F.lit(True)
-    out = conds[0]
-    for c in conds[1:]:
+
+def _all(conds: Sequence[Column]) -> Column:
+    out = F.lit(True)
+    for c in conds:
         out = out & c
     return F.coalesce(out, F.lit(False))
 
 
-def _zip(driver: Column, companions: Mapping[str, Column],
-         make: Callable[[Column, Column, dict[str, Column]], Column]) -> Column:
-    """``transform(driver, (x, i) -> make(x, i, {name: companion[i]}))``."""
-    def body(x, i):
-        return make(x, i, {n: F.get(c, i) for n, c in companions.items()})
-    return F.transform(driver, body)
+def _sizes_ok(driver: Column, companions: Sequence[Column]) -> Column:
+    return _all([F.size(c) >= F.size(driver) for c in companions])
 
 
-def _guard(arr: Column, ok: Column, what: str) -> Column:
-    msg = F.lit(f"companion list shorter than driver list ({what})")
-    return F.when(ok, arr).otherwise(F.raise_error(msg))
+def _short_error(what: str) -> Column:
+    return F.raise_error(F.lit(f"companion list shorter than driver list ({what})"))
 
 
 def parallel_explode(df: DataFrame, driver, companions: Mapping[str, object],
@@ -62,21 +61,20 @@ def parallel_explode(df: DataFrame, driver, companions: Mapping[str, object],
     if on_short not in ON_MALFORMED:
         raise ValueError(f"on_short must be one of {ON_MALFORMED}")
     names = list(companions)
+    comp_cols = [f"__c{k}" for k in range(len(names))]
     staged = df.select(*keep, as_col(driver).alias("__drv"),
-                       *[as_col(c).alias(f"__c{k}") for k, c in enumerate(companions.values())])
+                       *[as_col(c).alias(n) for c, n in zip(companions.values(), comp_cols)])
     drv = F.col("__drv")
-    comps = {n: F.col(f"__c{k}") for k, n in enumerate(names)}
-    ok = _sizes_ok(drv, list(comps.values()))
-
-    def make(x, i, got):
-        return F.struct(i.alias(pos), x.alias(elem), *[got[n].alias(n) for n in names])
-
-    arr = _zip(drv, comps, make)
+    ok = _sizes_ok(drv, [F.col(c) for c in comp_cols])
+    gen_input = (F.when(ok, drv).otherwise(_short_error(",".join(names))) if on_short == "fail"
+                 else F.when(ok, drv))
+    g = staged.select(*keep, *comp_cols, F.posexplode(gen_input).alias(pos, elem))
+    rows = g.select(*keep, pos, elem,
+                    *[F.get(F.col(c), F.col(pos)).alias(n) for c, n in zip(comp_cols, names)])
     if on_short == "fail":
-        return staged.select(*keep, F.inline(_guard(arr, ok, ",".join(names))))
-    good = staged.where(ok).select(*keep, F.inline(arr))
+        return rows
     bad = staged.where(~ok).select(*keep, F.size(drv).alias("n_driver"))
-    return good, bad
+    return rows, bad
 
 
 # ---------------------------------------------------------------- region split
@@ -85,139 +83,149 @@ def _f(name: str) -> Column:
     return F.col("fields")[WIDE_LAYOUT[name]]
 
 
-_IN_LISTS = ("region_code", "curr_region_intime", "curr_region_in_out")
-_OUT_LISTS = ("out_region", "out_region_in_dt", "out_region_out_dt", "out_region_stay")
-
-
-def _staged(records: DataFrame, keep: Sequence[str], lists: Sequence[str]) -> DataFrame:
-    """Clean, split the line once, split each used list cell once.
+@dataclass(frozen=True)
+class _Side:
+    """One list family of the wide line: driver cell, companion cells and
+    how an output row is assembled from an element."""
+    driver: str
+    companions: Mapping[str, str]                    # output name -> list cell name
+    values: Callable[[Column, Callable[[str], Column]], list[Column]]
 
-    ``get`` keeps a short row from failing here; the width check in the
-    generator input decides what happens to it.
-    """
-    df = clean_records(records).select(*keep, split_csv(F.col("value"), WIDE_FIELD_SEP).alias("fields"))
-    cells = [split_list_cell(F.get(F.col("fields"), WIDE_LAYOUT[n]), LIST_SEP).alias(f"__{n}")
-             for n in lists]
-    return df.select(*keep, "fields", *cells)
+    @property
+    def lists(self) -> tuple[str, ...]:
+        return (self.driver, *self.companions.values())
 
 
-def _in_values(x: Column, got: dict[str, Column]) -> list[Column]:
+def _in_values(x: Column, at: Callable[[str], Column]) -> list[Column]:
     # Output order of a current-region row (fixed by the reference layout).
     return [_f("imsi"), x, _f("timestamp"), _f("city_code"), _f("county_code"),
             _f("usr_prov_code"), _f("usr_city_code"), _f("usr_county_code"), _f("sex"),
-            _f("age_level"), _f("arpu_level"), got["in_time"], got["flag"]]
+            _f("age_level"), _f("arpu_level"), at("in_time"), at("flag")]
 
 
-def _out_values(x: Column, got: dict[str, Column]) -> list[Column]:
+def _out_values(x: Column, at: Callable[[str], Column]) -> list[Column]:
     # Output order of a left-region row (fixed by the reference layout).
-    return [_f("imsi"), x, _f("timestamp"), got["in_time"], got["out_time"], got["stay"],
+    return [_f("imsi"), x, _f("timestamp"), at("in_time"), at("out_time"), at("stay"),
             _f("out_city_code"), _f("out_county_code")]
 
 
-def _in_side():
-    drv = F.col("__region_code")
-    comps = {"in_time": F.col("__curr_region_intime"), "flag": F.col("__curr_region_in_out")}
-    return drv, comps
+CURRENT = _Side("region_code", {"in_time": "curr_region_intime", "flag": "curr_region_in_out"},
+                _in_values)
+LEFT = _Side("out_region", {"in_time": "out_region_in_dt", "out_time": "out_region_out_dt",
+                            "stay": "out_region_stay"}, _out_values)
+
+
+def _staged(records: DataFrame, keep: Sequence[str], lists: Sequence[str]) -> DataFrame:
+    """Clean, split the line once, split each used list cell once.
 
+    ``get`` keeps a short row from failing here; the width check in the
+    generator input decides what happens to it.
+    """
+    df = clean_records(records).select(*keep, split_csv(F.col("value"), WIDE_FIELD_SEP).alias("fields"))
+    cells = [split_list_cell(F.get(F.col("fields"), WIDE_LAYOUT[n]), LIST_SEP).alias(f"__{n}")
+             for n in dict.fromkeys(lists)]
+    return df.select(*keep, "fields", *cells)
 
-def _out_side():
-    drv = F.col("__out_region")
-    comps = {"in_time": F.col("__out_region_in_dt"), "out_time": F.col("__out_region_out_dt"),
-             "stay": F.col("__out_region_stay")}
-    return drv, comps
 
+def _explode_sides(records: DataFrame, sides: Sequence[_Side], keep: Sequence[str],
+                   on_malformed: str, what: str):
+    """Stage, check and posexplode ``concat(driver of each side)``.
 
-def _explode_checked(staged: DataFrame, arr: Column, sides_ok: Column, keep, on_malformed, what):
-    """Explode ``arr``; rows that are too narrow or have short companion
-    lists fail the task (``fail``) or go to a quarantine frame."""
+    Returns ``(exploded, bad)``; ``bad`` is None under ``fail``. The exploded
+    frame keeps ``fields`` and the list arrays for the output projection.
+    """
     if on_malformed not in ON_MALFORMED:
         raise ValueError(f"on_malformed must be one of {ON_MALFORMED}")
+    staged = _staged(records, keep, [n for s in sides for n in s.lists])
     wide = width_ok("fields", WIDE_MIN_WIDTH)
+    lists_ok = _all([_sizes_ok(F.col(f"__{s.driver}"), [F.col(f"__{c}") for c in s.companions.values()])
+                     for s in sides])
+    drivers = [F.col(f"__{s.driver}") for s in sides]
+    arr = drivers[0] if len(drivers) == 1 else F.concat(*drivers)
     if on_malformed == "fail":
-        short = F.raise_error(F.lit(f"companion list shorter than driver list ({what})"))
-        checked = F.when(~wide, width_error("fields", WIDE_MIN_WIDTH)).when(~sides_ok, short).otherwise(arr)
-        return staged.select(*keep, F.inline(checked))
-    ok = wide & sides_ok
-    good = staged.where(ok).select(*keep, F.inline(arr))
-    bad = staged.where(~ok).select(
-        *keep, F.coalesce(F.size("fields"), F.lit(0)).alias("n_fields"),
-        F.when(~wide, "too few fields").otherwise("short companion list").alias("reason"))
-    return good, bad
+        gen_input = (F.when(~wide, width_error("fields", WIDE_MIN_WIDTH))
+                     .when(~lists_ok, _short_error(what)).otherwise(arr))
+        bad = None
+    else:
+        gen_input = F.when(wide & lists_ok, arr)
+        bad = staged.where(~(wide & lists_ok)).select(
+            *keep, F.coalesce(F.size("fields"), F.lit(0)).alias("n_fields"),
+            F.when(~wide, "too few fields").otherwise("short companion list").alias("reason"))
+    exploded = staged.select("*", F.posexplode(gen_input).alias(POS, ELEM))
+    return exploded, bad
+
 
+def _side_values(side: _Side, index: Column) -> list[Column]:
+    return side.values(F.col(ELEM), lambda name: F.get(F.col(f"__{side.companions[name]}"), index))
 
-def _rows(records, keep, lists, side, values, columns, on_malformed, what):
-    staged = _staged(records, keep, lists)
-    drv, comps = side()
 
-    def make(x, i, got):
-        return F.struct(*[v.alias(n) for n, v in zip(columns, values(x, got))])
-    return _explode_checked(staged, _zip(drv, comps, make), _sizes_ok(drv, list(comps.values())),
-                            keep, on_malformed, what)
+def _result(out: DataFrame, bad):
+    return out if bad is None else (out, bad)
+
+
+def _rows(records, side: _Side, columns, keep, on_malformed, what):
+    g, bad = _explode_sides(records, [side], keep, on_malformed, what)
+    vals = _side_values(side, F.col(POS))
+    return _result(g.select(*keep, *[v.alias(n) for n, v in zip(columns, vals)]), bad)
 
 
 def region_in_rows(records: DataFrame, keep: Sequence[str] = (), on_malformed: str = "fail"):
     """Current-region rows: one per element of ``region_code`` (13 columns)."""
-    return _rows(records, keep, _IN_LISTS, _in_side, _in_values, REGION_IN_COLUMNS,
-                 on_malformed, "current region")
+    return _rows(records, CURRENT, REGION_IN_COLUMNS, keep, on_malformed, "current region")
 
 
 def region_out_rows(records: DataFrame, keep: Sequence[str] = (), on_malformed: str = "fail"):
     """Left-region rows: one per element of ``out_region`` (8 columns)."""
-    return _rows(records, keep, _OUT_LISTS, _out_side, _out_values, REGION_OUT_COLUMNS,
-                 on_malformed, "left region")
-
-
-def _message(topic: str, values: list[Column]) -> Column:
-    return F.struct(F.lit(topic).alias("topic"), _f("imsi").alias("key"),
-                    join_fields(values, WIDE_FIELD_SEP).alias("value"))
-
-
-def _in_messages(conf: RegionSplitConf) -> tuple[Column, Column]:
-    drv, comps = _in_side()
-    arr = _zip(drv, comps, lambda x, i, got: _message(conf.topic_in, _in_values(x, got)))
-    return arr, _sizes_ok(drv, list(comps.values()))
-
-
-def _out_messages(conf: RegionSplitConf) -> tuple[Column, Column]:
-    drv, comps = _out_side()
-    arr = _zip(drv, comps, lambda x, i, got: _message(conf.topic_out, _out_values(x, got)))
-    return arr, _sizes_ok(drv, list(comps.values()))
+    return _rows(records, LEFT, REGION_OUT_COLUMNS, keep, on_malformed, "left region")
+
+
+def _messages(records, sides_topics: Sequence[tuple[_Side, str]], keep, on_malformed, what):
+    sides = [s for s, _ in sides_topics]
+    g, bad = _explode_sides(records, sides, keep, on_malformed, what)
+    pos = F.col(POS)
+    # Which side an exploded position belongs to, and its index in that side.
+    starts, start = [], F.lit(0)
+    for s in sides:
+        starts.append(start)
+        start = start + F.size(F.col(f"__{s.driver}"))
+    topic, value = None, None
+    for k in reversed(range(len(sides))):
+        s, t = sides_topics[k]
+        v = join_fields(_side_values(s, pos - starts[k]), WIDE_FIELD_SEP)
+        if topic is None:
+            topic, value = F.lit(t), v
+        else:
+            mine = pos < starts[k + 1]
+            topic, value = F.when(mine, F.lit(t)).otherwise(topic), F.when(mine, v).otherwise(value)
+    out = g.select(*keep, topic.alias("topic"), _f("imsi").alias("key"), value.alias("value"))
+    return _result(out, bad)
 
 
 def region_in_messages(records: DataFrame, conf: RegionSplitConf = RegionSplitConf(),
                        keep: Sequence[str] = ()):
     """Current-region rows as ``(topic, key=imsi, value=csv)`` messages."""
-    arr, ok = _in_messages(conf)
-    return _explode_checked(_staged(records, keep, _IN_LISTS), arr, ok, keep,
-                            conf.on_malformed, "current region")
+    return _messages(records, [(CURRENT, conf.topic_in)], keep, conf.on_malformed, "current region")
 
 
 def region_out_messages(records: DataFrame, conf: RegionSplitConf = RegionSplitConf(),
                         keep: Sequence[str] = ()):
     """Left-region rows as ``(topic, key=imsi, value=csv)`` messages."""
-    arr, ok = _out_messages(conf)
-    return _explode_checked(_staged(records, keep, _OUT_LISTS), arr, ok, keep,
-                            conf.on_malformed, "left region")
+    return _messages(records, [(LEFT, conf.topic_out)], keep, conf.on_malformed, "left region")
 
 
 def region_fanout(records: DataFrame, conf: RegionSplitConf = RegionSplitConf(),
                   keep: Sequence[str] = ()):
     """Both topics in one pass: per line, all current-region messages, then
-    all left-region ones, from a single explode of one concatenated array.
-    One scan, no cache, no union, no shuffle.
-    """
-    a_in, ok_in = _in_messages(conf)
-    a_out, ok_out = _out_messages(conf)
-    return _explode_checked(_staged(records, keep, _IN_LISTS + _OUT_LISTS), F.concat(a_in, a_out),
-                            ok_in & ok_out, keep, conf.on_malformed, "region lists")
+    all left-region ones, from a single explode. One scan, no cache, no
+    union, no shuffle."""
+    return _messages(records, [(CURRENT, conf.topic_in), (LEFT, conf.topic_out)], keep,
+                     conf.on_malformed, "region lists")
 
 
 def region_fanout_two_pass(records: DataFrame, conf: RegionSplitConf = RegionSplitConf()):
-    """Benchmark variant: split once into a cached frame, explode each topic
+    """Benchmark variant: persist the parsed lines, explode each topic
     separately, union. Returns ``(messages, cached)``; unpersist when done."""
-    staged = _staged(records, (), _IN_LISTS + _OUT_LISTS).persist()
-    a_in, ok_in = _in_messages(conf)
-    a_out, ok_out = _out_messages(conf)
-    a = _explode_checked(staged, a_in, ok_in, (), "fail", "current region")
-    b = _explode_checked(staged, a_out, ok_out, (), "fail", "left region")
-    return a.unionByName(b), staged
+    cached = records.select("value").persist()
+    a = region_in_messages(cached, conf)
+    b = region_out_messages(cached, conf)
+    return a.unionByName(b), cached

@@ -58,19 +58,30 @@ def order_lists(spark: SparkSession, sf_dir: str, max_list: int = MAX_LIST) -> D
                     _s("l_suppkey").alias("out_region"),
                     F.date_format("l_shipdate", "yyyyMMdd").alias("ship_day"),
                     _s("l_linenumber").alias("line_no"))
-    li = li.select(F.col("l_orderkey"), elem.alias("e"))
-    hot = (li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    return bounded_lists(li.select(F.col("l_orderkey"), elem.alias("e")), "l_orderkey", "e", max_list)
+
+
+def bounded_lists(df: DataFrame, key: str, elem: str, max_list: int = MAX_LIST) -> DataFrame:
+    """``(key, chunk, elems)``: sorted ``elem`` lists per key, at most about
+    ``max_list`` long.
+
+    Keys above the cap are found with a partial aggregate (one row per key
+    per task reaches the shuffle) and their elements spread over
+    ``ceil(n / max_list)`` chunks by a hash of the element; the grouping
+    then shuffles on (key, chunk), so a hot key is cut into many tasks'
+    worth of groups instead of one.
+    """
+    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
            .where(F.col("n") > max_list)
-           .select("l_orderkey", F.ceil(F.col("n") / F.lit(max_list)).alias("n_chunks")))
+           .select(key, F.ceil(F.col("n") / F.lit(max_list)).alias("n_chunks")))
     n_hot = hot.count()
     if n_hot == 0:
-        li = li.withColumn("chunk", F.lit(0))
+        df = df.withColumn("chunk", F.lit(0))
     else:
-        li = (join_small(li, hot, "l_orderkey", "left", known_rows=n_hot)
-              .withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("e"), F.col("n_chunks")), F.lit(0)))
+        df = (join_small(df, hot, key, "left", known_rows=n_hot)
+              .withColumn("chunk", F.coalesce(F.pmod(F.xxhash64(elem), F.col("n_chunks")), F.lit(0)))
               .drop("n_chunks"))
-    return (li.groupBy("l_orderkey", "chunk")
-            .agg(F.sort_array(F.collect_list("e")).alias("elems")))
+    return df.groupBy(key, "chunk").agg(F.sort_array(F.collect_list(elem)).alias("elems"))
 
 
 def _cell(elems: Column, name: str) -> Column:

@@ -125,3 +125,30 @@ def test_fanout_count_equals_list_sizes(spark):
     n_out = region_out_rows(recs).count()
     assert region_fanout(recs).count() == n_in + n_out
     assert region_fanout(recs.repartition(3)).count() == n_in + n_out
+
+
+def test_hot_orders_split_into_more_lines_give_same_rows(spark):
+    """Orders above the list cap are spread over several lines; the exploded
+    rows are exactly those of one line per order."""
+    from sigshape.sources.testtables import wide_signal_records
+    from conftest import SF_SMALL
+    whole = wide_signal_records(spark, SF_SMALL)
+    capped = wide_signal_records(spark, SF_SMALL, max_list=2)
+    assert capped.count() > whole.count()
+    a = sorted(map(tuple, region_fanout(whole).collect()))
+    b = sorted(map(tuple, region_fanout(capped).collect()))
+    assert a == b
+
+
+def test_one_hot_key_is_cut_into_bounded_groups(spark):
+    from pyspark.sql import functions as F
+    from sigshape.sources.testtables import bounded_lists
+    df = spark.range(20_000).select(F.lit(7).alias("k"), F.col("id").alias("e"))
+    df = df.unionByName(spark.range(5).select(F.lit(8).alias("k"), F.col("id").alias("e")))
+    out = bounded_lists(df, "k", "e", max_list=1_000)
+    sizes = {}
+    for r in out.select("k", F.size("elems").alias("n")).collect():
+        sizes.setdefault(r.k, []).append(r.n)
+    assert sizes[8] == [5]
+    assert sum(sizes[7]) == 20_000 and len(sizes[7]) == 20
+    assert max(sizes[7]) < 1_300

@@ -67,3 +67,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def job_path(spark: SparkSession, name: str) -> str:
+    """A stable sub-path of the checkpoint root (same on every restart), for
+    a long-running job's stream checkpoint."""
+    root = checkpoint_root(spark)
+    return f"{root.rstrip('/')}/{name}"

@@ -32,16 +32,35 @@ from ..sources.records import stream_records
 METRICS_SCHEMA = "batch_id bigint, rows_in bigint, rows_out bigint, seconds double"
 
 
+def parquet_batch_sink(out_path: str) -> Callable[[DataFrame, int], None]:
+    """Write one batch under ``epoch=<id>`` with overwrite: a batch replayed
+    after a failure replaces its own output instead of duplicating it."""
+    def write(df: DataFrame, epoch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
+    return write
+
+
+def kafka_batch_sink(options: dict, topic: str) -> Callable[[DataFrame, int], None]:
+    """Send ``(topic, key, value)`` messages of one batch to Kafka
+    (at-least-once: a replayed batch is sent again)."""
+    def write(df: DataFrame, epoch_id: int) -> None:
+        (df.select(F.lit(topic).alias("topic"), "key", "value")
+           .write.format("kafka").options(**options).save())
+    return write
+
+
 @dataclass
 class DedupBatchWriter:
-    """``foreachBatch`` body: dedup one micro-batch and write it idempotently.
+    """``foreachBatch`` body: dedup one micro-batch and hand it to a sink.
 
     Records without a ``batch_id`` (a live topic) get the micro-batch id; a
-    landed table keeps the batch it was recorded in.
+    landed table keeps the batch it was recorded in. Input and output row
+    counts and the elapsed seconds of each batch are kept in ``metrics``.
     """
-    out_path: str
+    out_path: str | None = None
     conf: DedupConf = DedupConf()
     method: str = "max_by"
+    sink: Callable[[DataFrame, int], None] | None = None
     metrics: list = field(default_factory=list)
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
@@ -50,7 +69,8 @@ class DedupBatchWriter:
         obs_in, obs_out = Observation(f"dedup_in_{epoch_id}"), Observation(f"dedup_out_{epoch_id}")
         batch = batch.observe(obs_in, F.count(F.lit(1)).alias("n"))
         result = dedup(batch, self.conf, self.method).observe(obs_out, F.count(F.lit(1)).alias("n"))
-        result.write.mode("overwrite").parquet(f"{self.out_path}/epoch={epoch_id}")
+        sink = self.sink or parquet_batch_sink(self.out_path)
+        sink(result, epoch_id)
         self.metrics.append((int(epoch_id), int(obs_in.get["n"]), int(obs_out.get["n"]),
                              round(time.time() - began, 3)))
 
@@ -73,9 +93,9 @@ def records_writer(stream: DataFrame, out_path: str) -> DataStreamWriter:
     return stream.writeStream.outputMode("append").format("parquet").option("path", out_path)
 
 
-def dedup_writer(stream: DataFrame, out_path: str, conf: DedupConf = DedupConf(),
-                 method: str = "max_by") -> tuple[DataStreamWriter, DedupBatchWriter]:
-    body = DedupBatchWriter(out_path, conf, method)
+def dedup_writer(stream: DataFrame, out_path: str | None, conf: DedupConf = DedupConf(),
+                 method: str = "max_by", sink=None) -> tuple[DataStreamWriter, DedupBatchWriter]:
+    body = DedupBatchWriter(out_path, conf, method, sink)
     return stream.writeStream.foreachBatch(body), body
 
 

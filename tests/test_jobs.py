@@ -1,0 +1,61 @@
+import uuid
+
+from sigshape.conf import DedupConf, RegionSplitConf, TapConf
+from sigshape.operators.dedup import dedup_latest
+from sigshape.operators.explode import region_fanout
+from sigshape.operators.tap import tap_records
+from sigshape.plans.jobs import KafkaEnds, _parser, dedup_job, region_split_job, tap_job
+from sigshape.sources.testtables import event_records, wide_signal_records
+from conftest import SF_SMALL
+
+
+def _run(q):
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+
+
+def test_region_split_job_on_files(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    recs = wide_signal_records(spark, SF_SMALL)
+    recs.write.parquet(src)
+    _run(region_split_job(spark, RegionSplitConf(batch_interval_s=1), in_path=src, out_path=out,
+                          name=f"t-split-{uuid.uuid4().hex}"))
+    got = sorted(map(tuple, spark.read.parquet(out).select("topic", "key", "value").collect()))
+    assert got == sorted(map(tuple, region_fanout(recs).collect()))
+
+
+def test_dedup_job_on_files(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    recs = event_records(spark, SF_SMALL)
+    recs.write.parquet(src)
+    _run(dedup_job(spark, DedupConf(batch_interval_s=1), in_path=src, out_path=out,
+                   name=f"t-dedup-{uuid.uuid4().hex}"))
+    got = sorted(map(tuple, spark.read.parquet(out).select("batch_id", "key", "value").collect()))
+    assert got == sorted(map(tuple, dedup_latest(recs).collect()))
+
+
+def test_tap_job_on_files(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    recs = event_records(spark, SF_SMALL)
+    recs.write.parquet(src)
+    _run(tap_job(spark, TapConf(batch_interval_s=1), in_path=src, sink="parquet", out_path=out,
+                 name=f"t-tap-{uuid.uuid4().hex}"))
+    assert spark.read.parquet(out).count() == tap_records(recs).count()
+
+
+def test_kafka_ends_options():
+    e = KafkaEnds("a:1", "x,y,x", secured=True, starting="earliest", group_id="g", out_brokers="b:2")
+    src = e.source_options()
+    assert src["subscribe"] == "x,y" and src["failOnDataLoss"] == "false"
+    assert src["kafka.security.protocol"] == "SASL_PLAINTEXT"
+    sink = e.sink_options()
+    assert sink["kafka.bootstrap.servers"] == "b:2" and sink["kafka.sasl.kerberos.service.name"] == "kafka"
+    assert KafkaEnds("a:1", "x").sink_options()["kafka.security.protocol"] == "PLAINTEXT"
+
+
+def test_cli_arguments():
+    a = _parser().parse_args(["dedup", "--brokers", "h:1", "--topics", "t", "--key-index", "0,2",
+                              "--any", "--separator", "\\t"])
+    assert a.job == "dedup" and a.key_index == "0,2" and a.any and a.separator == "\\t"

@@ -28,6 +28,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..conf import DedupConf, RegionSplitConf, TapConf
+from ..operators.dedup import DEFAULT_METHOD
 from ..session import job_path
 from ..sources.records import kafka_options, stream_records
 from ..streaming.runners import (dedup_writer, kafka_batch_sink, region_split_writer, start,
@@ -77,7 +78,7 @@ def region_split_job(spark: SparkSession, conf: RegionSplitConf = RegionSplitCon
 
 def dedup_job(spark: SparkSession, conf: DedupConf = DedupConf(), ends: KafkaEnds | None = None,
               in_path: str | None = None, out_path: str | None = None,
-              method: str = "max_by", name: str = "dedup") -> StreamingQuery:
+              method: str = DEFAULT_METHOD, name: str = "dedup") -> StreamingQuery:
     stream = _source(spark, ends, in_path)
     sink = kafka_batch_sink(ends.sink_options(), conf.topic_out) if ends is not None else None
     writer, _ = dedup_writer(stream, out_path, conf, method, sink)

@@ -179,7 +179,7 @@ ORACLE: dict[str, str] = {
     "region_fanout": REGION_FANOUT,
     "parallel_explode": PARALLEL_EXPLODE,
     "dedup_latest": DEDUP_LATEST,
-    "dedup_latest_rownum": DEDUP_LATEST,
+    "dedup_latest_max_by": DEDUP_LATEST,
     "dedup_any": DEDUP_ANY,
     "dedup_messages": f"SELECT '{DEDUP_CONF.topic_out}' AS topic, key, value FROM ({DEDUP_LATEST}) d",
     "composite_key": f'SELECT {E_OFF} AS "offset", {E_KEY} AS key FROM events',

@@ -87,11 +87,11 @@ def q_parallel_explode(spark, d):
 
 
 def q_dedup_latest(spark, d):
-    return dedup_latest(_events(spark, d), DEDUP_CONF, "max_by")
+    return dedup_latest(_events(spark, d), DEDUP_CONF, "row_number")
 
 
-def q_dedup_latest_rownum(spark, d):
-    return dedup_latest(_events(spark, d), DEDUP_CONF, "row_number")
+def q_dedup_latest_max_by(spark, d):
+    return dedup_latest(_events(spark, d), DEDUP_CONF, "max_by")
 
 
 def q_dedup_any(spark, d):
@@ -233,7 +233,7 @@ QUERIES: dict[str, Query] = {
     "region_fanout": q_region_fanout,
     "parallel_explode": q_parallel_explode,
     "dedup_latest": q_dedup_latest,
-    "dedup_latest_rownum": q_dedup_latest_rownum,
+    "dedup_latest_max_by": q_dedup_latest_max_by,
     "dedup_any": q_dedup_any,
     "dedup_messages": q_dedup_messages,
     "composite_key": q_composite_key,

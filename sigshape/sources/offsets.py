@@ -37,38 +37,36 @@ def offset_bounds(records: DataFrame) -> DataFrame:
     )
 
 
-def start_position(bounds: DataFrame, committed: DataFrame, reset: str = "latest") -> DataFrame:
-    """Start per partition: the stored position, else the reset policy.
-
-    ``reset="none"`` fails when a partition has no stored position. A stored
-    position for a partition without bounds fails as well.
-    Output: ``topic, partition, cur, source`` (source = committed / earliest / latest).
-    """
+def _starts(bounds: DataFrame, committed: DataFrame, reset: str) -> DataFrame:
+    """bounds FULL OUTER JOIN stored positions, with the start each partition
+    would use before clamping; keeps ``earliest``/``latest`` for the clamp."""
     if reset not in RESET_POLICIES:
         raise ValueError(f"reset must be one of {RESET_POLICIES}")
-    j = bounds.join(committed.select(*KEYS, "cur"), KEYS, "full_outer")
-    no_bounds = F.raise_error(F.concat(F.lit("no offsets known for stored position "),
-                                       F.col("topic"), F.lit("-"), F.col("partition").cast("string")))
+    j = bounds.join(committed.select(*KEYS, F.col("cur").alias("stored")), KEYS, "full_outer")
+    where = F.concat(F.col("topic"), F.lit("-"), F.col("partition").cast("string"))
+    no_bounds = F.raise_error(F.concat(F.lit("no offsets known for stored position "), where))
     if reset == "none":
-        fallback = F.raise_error(F.concat(F.lit("no stored position and reset policy none for "),
-                                          F.col("topic"), F.lit("-"), F.col("partition").cast("string")))
+        fallback = F.raise_error(F.concat(F.lit("no stored position and reset policy none for "), where))
     else:
         fallback = F.col(reset)
-    start = (F.when(F.col("earliest").isNull(), no_bounds.cast("bigint"))
-             .when(F.col("cur").isNotNull(), F.col("cur"))
-             .otherwise(fallback.cast("bigint")))
-    source = F.when(F.col("cur").isNotNull(), F.lit("committed")).otherwise(F.lit(reset))
-    return j.select(*KEYS, start.alias("cur"), source.alias("source"))
+    cur = (F.when(F.col("earliest").isNull(), no_bounds.cast("bigint"))
+           .when(F.col("stored").isNotNull(), F.col("stored"))
+           .otherwise(fallback.cast("bigint")))
+    source = F.when(F.col("stored").isNotNull(), F.lit("committed")).otherwise(F.lit(reset))
+    return j.select(*KEYS, cur.alias("cur"), source.alias("source"), "earliest", "latest")
 
 
-def offset_resolve(bounds: DataFrame, positions: DataFrame) -> DataFrame:
-    """Clamp each position into its partition's [earliest, latest].
+def start_position(bounds: DataFrame, committed: DataFrame, reset: str = "latest") -> DataFrame:
+    """Start per partition: the stored position, else the reset policy.
 
-    Output: ``topic, partition, cur, earliest, latest, start, status`` with
-    status ``below`` / ``ok`` / ``above``. A position whose partition has no
-    bounds raises.
+    ``reset="none"`` fails when a partition has no stored position. A stored
+    position for a partition without bounds fails as well.
+    Output: ``topic, partition, cur, source`` (source = committed / earliest / latest).
     """
-    j = positions.select(*KEYS, "cur").join(bounds, KEYS, "left")
+    return _starts(bounds, committed, reset).select(*KEYS, "cur", "source")
+
+
+def _clamp(j: DataFrame) -> DataFrame:
     missing = F.raise_error(F.concat(F.lit("no offsets known for "), F.col("topic"), F.lit("-"),
                                      F.col("partition").cast("string")))
     cur, lo, hi = F.col("cur"), F.col("earliest"), F.col("latest")
@@ -78,18 +76,27 @@ def offset_resolve(bounds: DataFrame, positions: DataFrame) -> DataFrame:
     return j.select(*KEYS, "cur", "earliest", "latest", start.alias("start"), status.alias("status"))
 
 
+def offset_resolve(bounds: DataFrame, positions: DataFrame) -> DataFrame:
+    """Clamp each position into its partition's [earliest, latest].
+
+    Output: ``topic, partition, cur, earliest, latest, start, status`` with
+    status ``below`` / ``ok`` / ``above``. A position whose partition has no
+    bounds raises.
+    """
+    return _clamp(positions.select(*KEYS, "cur").join(bounds, KEYS, "left"))
+
+
 def replay_from_offsets(records: DataFrame, committed: DataFrame, reset: str = "none",
                         committed_rows: int | None = None) -> DataFrame:
     """Records at or after each partition's resolved start position.
 
-    The resolved table has one row per topic partition; it is broadcast
-    after a size check, so the record side is never shuffled when it fits.
-    ``committed_rows`` (if the caller knows it) bounds that table when
-    ``reset="none"``, skipping the count.
+    One aggregate gives the bounds; stored positions (or the reset policy)
+    give the start, clamped into the bounds. The resolved table has one row
+    per topic partition; it is broadcast after a size check, so the record
+    side is never shuffled when it fits. ``committed_rows`` (if the caller
+    knows it) bounds that table when ``reset="none"``, skipping the count.
     """
-    bounds = offset_bounds(records)
-    starts = start_position(bounds, committed, reset)
-    resolved = offset_resolve(bounds, starts).select(*KEYS, "start")
+    resolved = _clamp(_starts(offset_bounds(records), committed, reset)).select(*KEYS, "start")
     known = committed_rows if reset == "none" else None
     return (join_small(records, resolved, KEYS, known_rows=known)
             .where(F.col("offset") >= F.col("start"))

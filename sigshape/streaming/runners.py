@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..conf import DedupConf, RegionSplitConf
-from ..operators.dedup import dedup
+from ..operators.dedup import DEFAULT_METHOD, dedup
 from ..operators.explode import region_fanout
 from ..operators.tap import tap_records
 from ..session import scratch_path
@@ -59,7 +59,7 @@ class DedupBatchWriter:
     """
     out_path: str | None = None
     conf: DedupConf = DedupConf()
-    method: str = "max_by"
+    method: str = DEFAULT_METHOD
     sink: Callable[[DataFrame, int], None] | None = None
     metrics: list = field(default_factory=list)
 
@@ -94,7 +94,7 @@ def records_writer(stream: DataFrame, out_path: str) -> DataStreamWriter:
 
 
 def dedup_writer(stream: DataFrame, out_path: str | None, conf: DedupConf = DedupConf(),
-                 method: str = "max_by", sink=None) -> tuple[DataStreamWriter, DedupBatchWriter]:
+                 method: str = DEFAULT_METHOD, sink=None) -> tuple[DataStreamWriter, DedupBatchWriter]:
     body = DedupBatchWriter(out_path, conf, method, sink)
     return stream.writeStream.foreachBatch(body), body
 
@@ -147,7 +147,7 @@ def replay_landed(spark: SparkSession, records: DataFrame, name: str,
 
 
 def replay_dedup(spark: SparkSession, records: DataFrame, conf: DedupConf = DedupConf(),
-                 method: str = "max_by", name: str = "stream-dedup"):
+                 method: str = DEFAULT_METHOD, name: str = "stream-dedup"):
     """Replay + per-batch dedup. Returns ``(result, metrics)`` DataFrames."""
     bodies = []
 

@@ -45,13 +45,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to a shared file system. Only
-    when it is unset (local tests) a fresh local folder is created and
-    registered, so lineage cuts and stream checkpoints still have a home.
+    On a cluster this must already be set to a shared file system (an unset
+    value raises there). Only in local mode, when it is unset (tests), a
+    fresh local folder is created and registered.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder "
+                               "(a machine-local temp folder does not survive executor loss)")
         root = tempfile.mkdtemp(prefix="sigshape-ckpt-")
         sc.setCheckpointDir(root)
     elif sc.getCheckpointDir() is None:

@@ -104,7 +104,9 @@ def split_list_cell(cell, sep: str = "|") -> Column:
         only_seps = (c != "") & (body == "")
         return F.when(only_seps, F.array().cast("array<string>")).otherwise(
             F.split(body, split_pattern(sep), -1))
-    q = quote_literal(sep)
-    only_seps = c.rlike("^(?:" + q + ")+$")
-    return F.when(only_seps, F.array().cast("array<string>")).otherwise(
-        F.split(F.regexp_replace(c, "(?:" + q + ")+$", ""), q, -1))
+    # Longer separators can overlap themselves ("|||" on "||"), so split left
+    # to right first, then drop trailing empty elements (rare path; lambdas).
+    parts = F.split(c, quote_literal(sep), -1)
+    keep = F.coalesce(F.array_max(F.transform(
+        parts, lambda x, i: F.when(x != "", i + 1).otherwise(F.lit(0)))), F.lit(0))
+    return F.when(c == "", F.array(F.lit(""))).otherwise(F.slice(parts, 1, keep))

@@ -65,17 +65,18 @@ def require_width(df: DataFrame, min_width: int, fields: str = "fields",
                   on_malformed: str = "fail") -> DataFrame | tuple[DataFrame, DataFrame]:
     """Guard against rows with fewer than ``min_width`` fields.
 
-    ``fail``: a filter whose condition raises on a short row. Being a filter,
-    it survives column pruning (a projected check or an unused ``f[33]``
-    would be optimised away under ``count()``).
-    ``quarantine``: returns ``(good, bad)``; ``bad`` carries ``n_fields``.
+    ``fail``: every row goes through a one-element ``inline`` whose input
+    raises on a short row. A generator cannot be pruned (``count()`` still
+    evaluates it), and unlike a filter it is not pushed below the split, so
+    the line is split once. ``quarantine``: returns ``(good, bad)``; ``bad``
+    carries ``n_fields``.
     """
     if on_malformed not in ON_MALFORMED:
         raise ValueError(f"on_malformed must be one of {ON_MALFORMED}")
     ok = width_ok(fields, min_width)
     if on_malformed == "fail":
-        err = width_error(fields, min_width, _describe(df))
-        return df.where(F.when(ok, F.lit(True)).otherwise(err.cast("boolean")))
+        row = F.array(F.struct(*[F.col(c) for c in df.columns]))
+        return df.select(F.inline(guarded(ok, row, width_error(fields, min_width, _describe(df)))))
     good = df.where(ok)
     bad = df.where(~ok).withColumn("n_fields", F.coalesce(F.size(fields), F.lit(0)))
     return good, bad

@@ -152,3 +152,14 @@ def test_one_hot_key_is_cut_into_bounded_groups(spark):
     assert sizes[8] == [5]
     assert sum(sizes[7]) == 20_000 and len(sizes[7]) == 20
     assert max(sizes[7]) < 1_300
+
+
+def test_project_signal_guard_survives_count(spark):
+    from sigshape.operators.parse import project_signal
+    df = records(spark, [(1, wide()), (2, wide(width=33))])
+    with pytest.raises(Exception, match="fewer than 34 fields"):
+        project_signal(df).count()
+    good = project_signal(records(spark, [(1, wide())]))
+    assert good.count() == 1 and good.first().region_code == "r1|r2"
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1            # the line is split once

@@ -84,8 +84,14 @@ def region_split_writer(stream: DataFrame, out_path: str, conf: RegionSplitConf
 
 
 def tap_writer(stream: DataFrame, out_path: str, sink: str = "parquet") -> DataStreamWriter:
-    """Tap lines to a sink (``console`` for eyes, files for checks)."""
-    w = tap_records(stream).writeStream.outputMode("append").format(sink)
+    """Tap lines to a sink: ``console`` for eyes, ``text`` for plain log-like
+    files (line only), ``parquet`` for checks (with partition and offset)."""
+    lines = tap_records(stream)
+    if sink == "text":
+        lines = lines.select("line")
+    w = lines.writeStream.outputMode("append").format(sink)
+    if sink == "console":
+        w = w.option("truncate", "false")
     return w if sink in ("console", "memory") else w.option("path", out_path)
 
 

@@ -97,3 +97,32 @@ def test_dedup_invariants_on_events(spark):
     assert all(r.value in values for r in rows)
     b = dedup_latest(recs.repartition(5), CONF, "row_number")
     assert sorted(map(tuple, rows)) == sorted(map(tuple, b.collect()))
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+ROW = st.tuples(st.integers(0, 2), st.sampled_from(["a", "b", "a_b"]), st.sampled_from(["c", "b_c", "d"]),
+                st.text("0123456789", min_size=0, max_size=3), st.integers(0, 2))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(ROW, min_size=1, max_size=40))
+def test_dedup_matches_python_model(spark, rows):
+    conf = DedupConf(key_index=(0, 1), time_index=2, separator="|")
+    data, best_latest, best_any = [], {}, {}
+    for off, (batch, k1, k2, t, part) in enumerate(rows):
+        line = f"{k1}|{k2}|{t}|{off}"
+        data.append((off, line, batch, part))
+        key = (batch, f"{k1}_{k2}")
+        rank = (t, part, off)
+        if key not in best_latest or rank > best_latest[key][0]:
+            best_latest[key] = (rank, line)
+        if key not in best_any or (part, off) < best_any[key][0]:
+            best_any[key] = ((part, off), line)
+    df = records(spark, data)
+    want = sorted((b, k, v[1]) for (b, k), v in best_latest.items())
+    for method in ("row_number", "max_by"):
+        assert sorted(map(tuple, dedup_latest(df, conf, method).collect())) == want
+    want_any = sorted((b, k, v[1]) for (b, k), v in best_any.items())
+    assert sorted(map(tuple, dedup_any(df, conf).collect())) == want_any

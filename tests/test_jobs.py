@@ -59,3 +59,14 @@ def test_cli_arguments():
     a = _parser().parse_args(["dedup", "--brokers", "h:1", "--topics", "t", "--key-index", "0,2",
                               "--any", "--separator", "\\t"])
     assert a.job == "dedup" and a.key_index == "0,2" and a.any and a.separator == "\\t"
+
+
+def test_tap_job_text_sink(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    recs = event_records(spark, SF_SMALL)
+    recs.write.parquet(src)
+    _run(tap_job(spark, TapConf(batch_interval_s=1), in_path=src, sink="text", out_path=out,
+                 name=f"t-tap-text-{uuid.uuid4().hex}"))
+    lines = spark.read.text(out)
+    assert lines.count() == recs.count()
+    assert lines.where(lines.value.startswith("key:")).count() == recs.count()

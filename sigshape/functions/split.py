@@ -33,9 +33,11 @@ def split_pattern(sep: str) -> str:
 def decode_escapes(text: str) -> str:
     r"""Decode Java-style escapes in a separator given as configuration text.
 
-    Handles ``\t \n \r \b \f \' \" \\``, ``\uXXXX`` and octal ``\0``-``\377``;
-    an unknown escape keeps its character, a lone trailing backslash stays.
-    Runs once on the driver, never per row.
+    Same rules as the commons-lang 2 unescaper the reference uses:
+    ``\t \n \r \b \f \' \" \\`` and ``\uXXXX`` (one ``u``, four hex digits);
+    any other escaped character stands for itself (``\1`` -> ``1``, no
+    octal); a lone trailing backslash is kept. A malformed ``\u`` escape
+    raises. Runs once on the driver, never per row.
     """
     simple = {"t": "\t", "n": "\n", "r": "\r", "b": "\b", "f": "\f",
               "'": "'", '"': '"', "\\": "\\"}
@@ -47,27 +49,14 @@ def decode_escapes(text: str) -> str:
             i += 1
             continue
         nxt = text[i + 1]
-        if nxt in simple:
-            out.append(simple[nxt])
-            i += 2
-        elif nxt == "u":
-            j = i + 1
-            while j < n and text[j] == "u":
-                j += 1
-            digits = text[j:j + 4]
+        if nxt == "u":
+            digits = text[i + 2:i + 6]
             if len(digits) != 4 or any(c not in "0123456789abcdefABCDEF" for c in digits):
                 raise ValueError(f"bad unicode escape in separator {text!r}")
             out.append(chr(int(digits, 16)))
-            i = j + 4
-        elif nxt in "01234567":
-            j = i + 1
-            limit = 3 if nxt in "0123" else 2
-            while j < n and j - (i + 1) < limit and text[j] in "01234567":
-                j += 1
-            out.append(chr(int(text[i + 1:j], 8)))
-            i = j
+            i += 6
         else:
-            out.append(nxt)
+            out.append(simple.get(nxt, nxt))
             i += 2
     return "".join(out)
 

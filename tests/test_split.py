@@ -54,12 +54,19 @@ def test_literal_separator_containing_quote_end(spark):
 
 
 @pytest.mark.parametrize("text,want", [
-    ("\\u0001", "\u0001"), ("\\\\", "\\"), ("|", "|"), ("\\101", "A"), ("\\n\\r", "\n\r"), ("a\\", "a\\"),
+    ("\\u0001", "\u0001"), ("\\\\", "\\"), ("|", "|"), ("\\101", "101"), ("\\n\\r", "\n\r"), ("a\\", "a\\"),
+    ("\\x", "x"), ("\\u0041b", "Ab"),
 ])
 def test_decode_escapes(text, want):
     assert decode_escapes(text) == want
 
 
+@pytest.mark.parametrize("text", ["\\u00", "\\uu0041", "\\uZZZZ"])
+def test_decode_escapes_rejects_bad_unicode(text):
+    with pytest.raises(ValueError):
+        decode_escapes(text)
+
+
 @pytest.mark.parametrize("text,want", [
     ("a,b,a", ["a", "b"]), ("a,b,", ["a", "b"]), (",a", ["", "a"]), ("", [""]), (",", []),
     ("a, b", ["a", " b"]),

@@ -77,7 +77,7 @@ def split_literal(value, sep: str) -> Column:
     whitespace character. An empty input gives zero tokens; null stays null.
     """
     c = as_col(value)
-    pattern = r"\s" if sep == "" else split_pattern(sep)
+    pattern = r"\p{javaWhitespace}" if sep == "" else split_pattern(sep)
     return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, pattern, -1))
 
 

@@ -73,3 +73,9 @@ def test_decode_escapes_rejects_bad_unicode(text):
 ])
 def test_topic_set_like_string_split(text, want):
     assert topic_set(text) == want
+
+
+def test_empty_separator_uses_java_whitespace(spark):
+    # unit separator and em space are whitespace to the JVM; no-break space is not
+    got = _apply(spark, lambda c: split_literal(c, ""), ["a\u001fb", "a\u2003b", "a\u00a0b"])
+    assert got == [["a", "b"], ["a", "b"], ["a\u00a0b"]]

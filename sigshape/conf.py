@@ -57,8 +57,11 @@ class DedupConf:
     topic_out: str = "lte_distinct"
     batch_interval_s: int = 60
     drop_blank: bool = False            # True drops null/empty lines instead of failing
+    on_malformed: str = "fail"          # or "quarantine": short lines are set aside
 
     def __post_init__(self):
+        if self.on_malformed not in ("fail", "quarantine"):
+            raise ValueError("on_malformed must be 'fail' or 'quarantine'")
         if not self.key_index:
             raise ValueError("key_index must name at least one field")
         if any(int(i) < 0 for i in self.key_index):

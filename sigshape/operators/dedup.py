@@ -27,28 +27,46 @@ METHODS = ("max_by", "row_number")
 DEFAULT_METHOD = "row_number"
 
 
+def _split_lines(records: DataFrame, conf: DedupConf, keep=()) -> DataFrame:
+    df = clean_values(records) if conf.drop_blank else records
+    sep = decode_escapes(conf.separator)
+    return df.select(*keep, "batch_id", "partition", "offset", "value",
+                     split_literal(F.col("value"), sep).alias("fields"))
+
+
 def keyed_lines(records: DataFrame, conf: DedupConf = DedupConf(), keep=()) -> DataFrame:
     """Split each line with the configured literal separator and attach
     ``key`` (fields joined by ``_``) and ``time`` (the time field as text).
 
     Null, empty or short lines fail the batch unless ``conf.drop_blank``
-    drops null/empty ones first. The width check lives in the key, which
-    the aggregate must evaluate, so it is not pruned and the split runs once.
+    drops null/empty ones first, or ``conf.on_malformed="quarantine"`` leaves
+    them out (see :func:`malformed_lines`). The width check lives in the key,
+    which the aggregate must evaluate, so it is not pruned and the split
+    runs once.
     """
-    df = clean_values(records) if conf.drop_blank else records
-    sep = decode_escapes(conf.separator)
-    df = df.select(*keep, "batch_id", "partition", "offset", "value",
-                   split_literal(F.col("value"), sep).alias("fields"))
+    df = _split_lines(records, conf, keep)
     fields = F.col("fields")
-    key = guarded(width_ok(fields, conf.min_width),
-                  composite_key(fields, conf.key_index),
-                  width_error(fields, conf.min_width))
+    ok = width_ok(fields, conf.min_width)
+    key = composite_key(fields, conf.key_index)
+    if conf.on_malformed == "quarantine":
+        df = df.where(ok)
+    else:
+        key = guarded(ok, key, width_error(fields, conf.min_width))
     cols = [*keep, "batch_id", "partition", "offset", "value", key.alias("key")]
     if conf.distinct_by_time:
         cols.append(F.get(fields, int(conf.time_index)).alias("time"))
     return df.select(*cols)
 
 
+def malformed_lines(records: DataFrame, conf: DedupConf = DedupConf()) -> DataFrame:
+    """Lines too short for the configured key and time fields (null and
+    empty lines included unless ``drop_blank``), with their field count."""
+    df = _split_lines(records, conf)
+    return (df.where(~width_ok(F.col("fields"), conf.min_width))
+            .select("batch_id", "partition", "offset", "value",
+                    F.coalesce(F.size("fields"), F.lit(0)).alias("n_fields")))
+
+
 def dedup_latest(records: DataFrame, conf: DedupConf = DedupConf(), method: str = DEFAULT_METHOD) -> DataFrame:
     """Newest line per (batch_id, key): greatest time *as text*.
 

@@ -65,23 +65,34 @@ def _source(spark: SparkSession, ends: KafkaEnds | None, path: str | None):
     return stream_records(spark, "parquet", path)
 
 
+def _quarantine_path(spark, name, on_malformed, given):
+    if on_malformed != "quarantine":
+        return None
+    return given or job_path(spark, f"{name}-quarantine")
+
+
 def region_split_job(spark: SparkSession, conf: RegionSplitConf = RegionSplitConf(),
                      ends: KafkaEnds | None = None, in_path: str | None = None,
-                     out_path: str | None = None, name: str = "region-split") -> StreamingQuery:
+                     out_path: str | None = None, name: str = "region-split",
+                     quarantine_path: str | None = None) -> StreamingQuery:
     stream = _source(spark, ends, in_path)
+    qpath = _quarantine_path(spark, name, conf.on_malformed, quarantine_path)
     if ends is not None:
-        writer = region_split_writer(stream, None, conf, sink="kafka", sink_options=ends.sink_options())
+        writer = region_split_writer(stream, None, conf, sink="kafka", sink_options=ends.sink_options(),
+                                     quarantine_path=qpath)
     else:
-        writer = region_split_writer(stream, out_path, conf)
+        writer = region_split_writer(stream, out_path, conf, quarantine_path=qpath)
     return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s)
 
 
 def dedup_job(spark: SparkSession, conf: DedupConf = DedupConf(), ends: KafkaEnds | None = None,
               in_path: str | None = None, out_path: str | None = None,
-              method: str = DEFAULT_METHOD, name: str = "dedup") -> StreamingQuery:
+              method: str = DEFAULT_METHOD, name: str = "dedup",
+              quarantine_path: str | None = None) -> StreamingQuery:
     stream = _source(spark, ends, in_path)
     sink = kafka_batch_sink(ends.sink_options(), conf.topic_out) if ends is not None else None
-    writer, _ = dedup_writer(stream, out_path, conf, method, sink)
+    qpath = _quarantine_path(spark, name, conf.on_malformed, quarantine_path)
+    writer, _ = dedup_writer(stream, out_path, conf, method, sink, qpath)
     return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s)
 
 
@@ -108,6 +119,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--time-index", type=int, default=3)
     p.add_argument("--separator", default="|")
     p.add_argument("--any", action="store_true", help="dedup: keep any row, not the newest")
+    p.add_argument("--quarantine", action="store_true",
+                   help="set malformed lines aside instead of failing the batch")
     return p
 
 
@@ -117,13 +130,15 @@ def main(argv=None) -> None:
     ends = KafkaEnds(a.brokers, a.topics, a.secured, a.starting, a.starting_offsets_json, a.group_id)
     if a.job == "region-split":
         conf = RegionSplitConf(topic_in=a.topic_in, topic_out=a.topic_out or "region_out",
-                               batch_interval_s=a.interval or 60)
+                               batch_interval_s=a.interval or 60,
+                               on_malformed="quarantine" if a.quarantine else "fail")
         q = region_split_job(spark, conf, ends)
     elif a.job == "dedup":
         conf = DedupConf(key_index=tuple(int(i) for i in a.key_index.split(",")),
                          time_index=a.time_index, separator=a.separator,
                          distinct_by_time=not a.any, topic_out=a.topic_out or "lte_distinct",
-                         batch_interval_s=a.interval or 60)
+                         batch_interval_s=a.interval or 60,
+                         on_malformed="quarantine" if a.quarantine else "fail")
         q = dedup_job(spark, conf, ends)
     else:
         q = tap_job(spark, TapConf(batch_interval_s=a.interval or 30), ends)

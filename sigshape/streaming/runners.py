@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..conf import DedupConf, RegionSplitConf
-from ..operators.dedup import DEFAULT_METHOD, dedup
+from ..operators.dedup import DEFAULT_METHOD, dedup, malformed_lines
 from ..operators.explode import region_fanout
 from ..operators.tap import tap_records
 from ..session import scratch_path
@@ -56,28 +56,75 @@ class DedupBatchWriter:
     Records without a ``batch_id`` (a live topic) get the micro-batch id; a
     landed table keeps the batch it was recorded in. Input and output row
     counts and the elapsed seconds of each batch are kept in ``metrics``.
+    With ``conf.on_malformed="quarantine"`` short lines go to ``quarantine``
+    instead of failing the batch (a failing batch would be retried forever);
+    the batch is then persisted because it is read twice.
     """
     out_path: str | None = None
     conf: DedupConf = DedupConf()
     method: str = DEFAULT_METHOD
     sink: Callable[[DataFrame, int], None] | None = None
+    quarantine: Callable[[DataFrame, int], None] | None = None
     metrics: list = field(default_factory=list)
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         began = time.time()
         batch = batch.withColumn("batch_id", F.coalesce(F.col("batch_id"), F.lit(epoch_id).cast("bigint")))
-        obs_in, obs_out = Observation(f"dedup_in_{epoch_id}"), Observation(f"dedup_out_{epoch_id}")
-        batch = batch.observe(obs_in, F.count(F.lit(1)).alias("n"))
-        result = dedup(batch, self.conf, self.method).observe(obs_out, F.count(F.lit(1)).alias("n"))
-        sink = self.sink or parquet_batch_sink(self.out_path)
-        sink(result, epoch_id)
+        two_reads = self.conf.on_malformed == "quarantine" and self.quarantine is not None
+        if two_reads:
+            batch = batch.persist()
+        try:
+            obs_in, obs_out = Observation(f"dedup_in_{epoch_id}"), Observation(f"dedup_out_{epoch_id}")
+            counted = batch.observe(obs_in, F.count(F.lit(1)).alias("n"))
+            result = dedup(counted, self.conf, self.method).observe(obs_out, F.count(F.lit(1)).alias("n"))
+            (self.sink or parquet_batch_sink(self.out_path))(result, epoch_id)
+            if two_reads:
+                self.quarantine(malformed_lines(batch, self.conf), epoch_id)
+        finally:
+            if two_reads:
+                batch.unpersist()
         self.metrics.append((int(epoch_id), int(obs_in.get["n"]), int(obs_out.get["n"]),
                              round(time.time() - began, 3)))
 
 
-def region_split_writer(stream: DataFrame, out_path: str, conf: RegionSplitConf = RegionSplitConf(),
-                        sink: str = "parquet", sink_options: dict | None = None) -> DataStreamWriter:
-    """Fan-out messages of a record stream to a sink (Kafka or files)."""
+@dataclass
+class RegionSplitBatchWriter:
+    """``foreachBatch`` body for the row split in quarantine mode: messages
+    to ``sink``, malformed lines (too narrow, short companion list) to
+    ``quarantine``, from one persisted micro-batch."""
+    sink: Callable[[DataFrame, int], None]
+    quarantine: Callable[[DataFrame, int], None]
+    conf: RegionSplitConf = RegionSplitConf(on_malformed="quarantine")
+
+    def __call__(self, batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.withColumnRenamed("topic", "source_topic").persist()
+        try:
+            good, bad = region_fanout(batch, self.conf, keep=("source_topic", "partition", "offset"))
+            self.sink(good.select("topic", "key", "value"), epoch_id)
+            self.quarantine(bad, epoch_id)
+        finally:
+            batch.unpersist()
+
+
+def region_split_writer(stream: DataFrame, out_path: str | None, conf: RegionSplitConf = RegionSplitConf(),
+                        sink: str = "parquet", sink_options: dict | None = None,
+                        quarantine_path: str | None = None) -> DataStreamWriter:
+    """Fan-out messages of a record stream to a sink (Kafka or files).
+
+    ``fail`` mode is a plain streaming select (append). ``quarantine`` mode
+    runs per batch: messages to the sink, malformed lines to
+    ``quarantine_path/epoch=<id>``.
+    """
+    if conf.on_malformed == "quarantine":
+        if quarantine_path is None:
+            raise ValueError("quarantine mode needs a quarantine_path")
+        if sink == "kafka":
+            def write(df, epoch_id):
+                df.write.format("kafka").options(**(sink_options or {})).save()
+        else:
+            write = parquet_batch_sink(out_path)
+        body = RegionSplitBatchWriter(write, parquet_batch_sink(quarantine_path), conf)
+        return stream.writeStream.foreachBatch(body)
     w = region_fanout(stream, conf).writeStream.outputMode("append").format(sink)
     w = w.options(**(sink_options or {}))
     return w if sink == "kafka" else w.option("path", out_path)
@@ -100,8 +147,12 @@ def records_writer(stream: DataFrame, out_path: str) -> DataStreamWriter:
 
 
 def dedup_writer(stream: DataFrame, out_path: str | None, conf: DedupConf = DedupConf(),
-                 method: str = DEFAULT_METHOD, sink=None) -> tuple[DataStreamWriter, DedupBatchWriter]:
-    body = DedupBatchWriter(out_path, conf, method, sink)
+                 method: str = DEFAULT_METHOD, sink=None,
+                 quarantine_path: str | None = None) -> tuple[DataStreamWriter, DedupBatchWriter]:
+    quarantine = parquet_batch_sink(quarantine_path) if quarantine_path else None
+    if conf.on_malformed == "quarantine" and quarantine is None:
+        raise ValueError("quarantine mode needs a quarantine_path")
+    body = DedupBatchWriter(out_path, conf, method, sink, quarantine)
     return stream.writeStream.foreachBatch(body), body
 
 

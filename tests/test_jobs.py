@@ -70,3 +70,32 @@ def test_tap_job_text_sink(spark, tmp_path):
     lines = spark.read.text(out)
     assert lines.count() == recs.count()
     assert lines.where(lines.value.startswith("key:")).count() == recs.count()
+
+
+def test_quarantine_jobs_set_bad_lines_aside(spark, tmp_path):
+    from pyspark.sql import functions as F
+    # events with every 17th line truncated: dedup quarantines them
+    src, out, bad = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "bad")
+    recs = event_records(spark, SF_SMALL, truncate_every=17)
+    recs.write.parquet(src)
+    conf = DedupConf(batch_interval_s=1, on_malformed="quarantine")
+    _run(dedup_job(spark, conf, in_path=src, out_path=out, quarantine_path=bad,
+                   name=f"t-dq-{uuid.uuid4().hex}"))
+    n_bad = recs.where(F.col("offset") % 17 == 100 % 17).count()
+    assert spark.read.parquet(bad).count() == n_bad > 0
+    good = recs.where(F.col("offset") % 17 != 100 % 17)
+    got = sorted(map(tuple, spark.read.parquet(out).select("batch_id", "key", "value").collect()))
+    assert got == sorted(map(tuple, dedup_latest(good).collect()))
+
+    # wide lines with one too-narrow line: the split job quarantines it
+    src2, out2, bad2 = str(tmp_path / "in2"), str(tmp_path / "out2"), str(tmp_path / "bad2")
+    wide = wide_signal_records(spark, SF_SMALL)
+    narrow = wide.limit(1).withColumn("value", F.lit("a,b,c")).withColumn("offset", F.lit(-1).cast("bigint"))
+    wide.unionByName(narrow).write.parquet(src2)
+    _run(region_split_job(spark, RegionSplitConf(batch_interval_s=1, on_malformed="quarantine"),
+                          in_path=src2, out_path=out2, quarantine_path=bad2,
+                          name=f"t-rq-{uuid.uuid4().hex}"))
+    q = spark.read.parquet(bad2).collect()
+    assert [(r.offset, r.reason) for r in q] == [(-1, "too few fields")]
+    got = sorted(map(tuple, spark.read.parquet(out2).select("topic", "key", "value").collect()))
+    assert got == sorted(map(tuple, region_fanout(wide).collect()))

@@ -1,5 +1,5 @@
-from .runners import (DedupBatchWriter, Replay, dedup_writer, records_writer, region_split_writer,
+from .runners import (DedupBatchWriter, Replay, RegionSplitBatchWriter, progress_metrics, dedup_writer, records_writer, region_split_writer,
                       replay_dedup, replay_landed, start, tap_writer)
 
-__all__ = ["DedupBatchWriter", "Replay", "dedup_writer", "records_writer", "region_split_writer",
+__all__ = ["DedupBatchWriter", "Replay", "RegionSplitBatchWriter", "progress_metrics", "dedup_writer", "records_writer", "region_split_writer",
            "replay_dedup", "replay_landed", "start", "tap_writer"]

@@ -168,6 +168,18 @@ def start(writer: DataStreamWriter, checkpoint: str, interval_s: int | None = No
     return w.start()
 
 
+def progress_metrics(spark: SparkSession, progress: list[dict]) -> DataFrame:
+    """Per-batch table from ``StreamingQuery.recentProgress`` entries:
+    ``batch_id, rows_in, rows_out, seconds`` (rows_out is -1 when the sink
+    does not report it). One row per micro-batch, so it stays small."""
+    rows = []
+    for p in progress:
+        sink_rows = (p.get("sink") or {}).get("numOutputRows", -1)
+        secs = (p.get("durationMs") or {}).get("triggerExecution", 0) / 1000.0
+        rows.append((int(p["batchId"]), int(p.get("numInputRows", 0)), int(sink_rows), round(secs, 3)))
+    return spark.createDataFrame(rows, METRICS_SCHEMA)
+
+
 @dataclass
 class Replay:
     out_path: str

@@ -38,3 +38,13 @@ def test_stream_fanout_equals_table_fanout(spark):
     got = sorted(map(tuple, spark.read.parquet(r.out_path).select("topic", "key", "value").collect()))
     assert got == table
     assert len(r.batch_ids) > 1
+
+
+def test_progress_metrics_for_stateless_streams(spark):
+    from sigshape.streaming.runners import progress_metrics, tap_writer
+    recs = event_records(spark, SF_SMALL)
+    r = replay_landed(spark, recs, "t-progress", tap_writer)
+    m = progress_metrics(spark, r.progress).collect()
+    assert len(m) == len(r.batch_ids)
+    assert sum(x.rows_in for x in m) == recs.count()
+    assert all(x.seconds >= 0 for x in m)

@@ -1,5 +1,7 @@
-from .runners import (DedupBatchWriter, Replay, RegionSplitBatchWriter, progress_metrics, dedup_writer, records_writer, region_split_writer,
-                      replay_dedup, replay_landed, start, tap_writer)
+from .runners import (DedupBatchWriter, RegionSplitBatchWriter, Replay, dedup_writer,
+                      progress_metrics, records_writer, region_split_writer, replay_dedup,
+                      replay_landed, start, tap_writer)
 
-__all__ = ["DedupBatchWriter", "Replay", "RegionSplitBatchWriter", "progress_metrics", "dedup_writer", "records_writer", "region_split_writer",
-           "replay_dedup", "replay_landed", "start", "tap_writer"]
+__all__ = ["DedupBatchWriter", "RegionSplitBatchWriter", "Replay", "dedup_writer",
+           "progress_metrics", "records_writer", "region_split_writer", "replay_dedup",
+           "replay_landed", "start", "tap_writer"]

@@ -88,16 +88,36 @@ def offset_resolve(bounds: DataFrame, positions: DataFrame) -> DataFrame:
 
 def replay_from_offsets(records: DataFrame, committed: DataFrame, reset: str = "none",
                         committed_rows: int | None = None) -> DataFrame:
-    """Records at or after each partition's resolved start position.
-
-    One aggregate gives the bounds; stored positions (or the reset policy)
-    give the start, clamped into the bounds. The resolved table has one row
-    per topic partition; it is broadcast after a size check, so the record
-    side is never shuffled when it fits. ``committed_rows`` (if the caller
-    knows it) bounds that table when ``reset="none"``, skipping the count.
+    """Records at or after each partition's start position, in one pass.
+
+    Clamping a stored position into [earliest, latest] never changes which
+    records lie at or after it (below the earliest: all of them; beyond the
+    latest: none), so no bounds aggregate is needed: the records are joined
+    with the stored positions (broadcast after a size check; ``committed_rows``
+    skips the count when the caller knows it) and checked row by row.
+    Partitions without a stored position follow ``reset``: ``earliest``
+    replays them whole, ``latest`` skips them, ``none`` fails on their first
+    record. With ``latest`` a coarse ``offset >= min(stored)`` bound is added,
+    which the parquet scan can use to skip row groups.
+    ``offset_resolve`` reports the clamped starts and their status.
     """
-    resolved = _clamp(_starts(offset_bounds(records), committed, reset)).select(*KEYS, "start")
-    known = committed_rows if reset == "none" else None
-    return (join_small(records, resolved, KEYS, known_rows=known)
-            .where(F.col("offset") >= F.col("start"))
-            .drop("start"))
+    if reset not in RESET_POLICIES:
+        raise ValueError(f"reset must be one of {RESET_POLICIES}")
+    pos = committed.select(*KEYS, F.col("cur").alias("__start"))
+    if reset == "latest":
+        low = pos.agg(F.min("__start").alias("m")).first()["m"]
+        if low is None:
+            return records.where(F.lit(False))
+        recs = records.where(F.col("offset") >= F.lit(int(low)))
+        joined = join_small(recs, pos, KEYS, "inner", known_rows=committed_rows)
+        keep = F.col("offset") >= F.col("__start")
+    else:
+        joined = join_small(records, pos, KEYS, "left", known_rows=committed_rows)
+        start = F.col("__start")
+        if reset == "earliest":
+            keep = start.isNull() | (F.col("offset") >= start)
+        else:
+            where = F.concat(F.col("topic"), F.lit("-"), F.col("partition").cast("string"))
+            missing = F.raise_error(F.concat(F.lit("no stored position and reset policy none for "), where))
+            keep = F.when(start.isNull(), missing.cast("boolean")).otherwise(F.col("offset") >= start)
+    return joined.where(keep).drop("__start")

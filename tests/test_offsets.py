@@ -48,3 +48,24 @@ def test_replay_from_resolved_positions(spark):
     committed = positions_frame(spark, [("t", 0, 0)])
     got = sorted(r.offset for r in replay_from_offsets(_recs(spark), committed, "earliest").collect())
     assert got == [10, 11, 12, 13, 14, 20, 21]
+
+
+def test_replay_equals_clamped_resolution(spark):
+    """One-pass replay == filter on the clamped start from offset_resolve."""
+    from pyspark.sql import functions as F
+    recs = _recs(spark)
+    pos = positions_frame(spark, [("t", 0, 3), ("t", 1, 99)])
+    res = offset_resolve(offset_bounds(recs), pos).select("topic", "partition", "start")
+    want = sorted(r.offset for r in recs.join(res, ["topic", "partition"])
+                  .where(F.col("offset") >= F.col("start")).collect())
+    got = sorted(r.offset for r in replay_from_offsets(recs, pos, "none", 2).collect())
+    assert got == want == [10, 11, 12, 13, 14]
+
+
+def test_replay_reset_policies(spark):
+    recs = _recs(spark)
+    only_p0 = positions_frame(spark, [("t", 0, 13)])
+    assert sorted(r.offset for r in replay_from_offsets(recs, only_p0, "latest").collect()) == [13, 14]
+    assert sorted(r.offset for r in replay_from_offsets(recs, only_p0, "earliest").collect()) == [13, 14, 20, 21]
+    with pytest.raises(Exception, match="reset policy none"):
+        replay_from_offsets(recs, only_p0, "none").collect()

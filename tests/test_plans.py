@@ -72,3 +72,12 @@ def test_filters_reach_the_scan(landed):
     assert re.search(r"PushedFilters: \[[^\]]*In\(topic", p)
     p = plan(clean_records(events()))
     assert "IsNotNull(value)" in p and "Not(EqualTo(value,))" in p
+
+
+def test_replay_is_one_scan_and_latest_bound_reaches_the_scan(spark, landed):
+    _, events = landed
+    pos = positions_frame(spark, STORED_POSITIONS)
+    p = plan(replay_from_offsets(events(), pos, "none", committed_rows=len(STORED_POSITIONS)))
+    assert p.count("FileScan parquet") == 1 and "HashAggregate" not in p
+    p = plan(replay_from_offsets(events(), pos, "latest", committed_rows=len(STORED_POSITIONS)))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(offset,5\)", p)

@@ -45,11 +45,21 @@ class KafkaEnds:
     starting_offsets_json: str | None = None
     group_id: str | None = None
     out_brokers: str | None = None                # defaults to ``brokers``
+    # Off by default: the reference's batch is whatever arrived in the
+    # interval. A cap bounds a catch-up batch after an outage, but for the
+    # dedup job it also changes which lines share a batch.
+    max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None             # split fat topic partitions over more tasks
 
     def source_options(self) -> dict:
+        extra = {"failOnDataLoss": "false"}
+        if self.max_offsets_per_trigger:
+            extra["maxOffsetsPerTrigger"] = str(int(self.max_offsets_per_trigger))
+        if self.min_partitions:
+            extra["minPartitions"] = str(int(self.min_partitions))
         return kafka_options(self.brokers, self.topics, secured=self.secured, starting=self.starting,
                              starting_offsets_json=self.starting_offsets_json,
-                             group_id=self.group_id, extra={"failOnDataLoss": "false"})
+                             group_id=self.group_id, extra=extra)
 
     def sink_options(self) -> dict:
         opts = {"kafka.bootstrap.servers": self.out_brokers or self.brokers,
@@ -119,6 +129,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--time-index", type=int, default=3)
     p.add_argument("--separator", default="|")
     p.add_argument("--any", action="store_true", help="dedup: keep any row, not the newest")
+    p.add_argument("--max-offsets-per-trigger", type=int)
+    p.add_argument("--min-partitions", type=int)
     p.add_argument("--quarantine", action="store_true",
                    help="set malformed lines aside instead of failing the batch")
     return p
@@ -127,7 +139,9 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv=None) -> None:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"sigshape-{a.job}").getOrCreate()
-    ends = KafkaEnds(a.brokers, a.topics, a.secured, a.starting, a.starting_offsets_json, a.group_id)
+    ends = KafkaEnds(a.brokers, a.topics, a.secured, a.starting, a.starting_offsets_json, a.group_id,
+                     max_offsets_per_trigger=a.max_offsets_per_trigger,
+                     min_partitions=a.min_partitions)
     if a.job == "region-split":
         conf = RegionSplitConf(topic_in=a.topic_in, topic_out=a.topic_out or "region_out",
                                batch_interval_s=a.interval or 60,

@@ -53,6 +53,9 @@ def test_kafka_ends_options():
     sink = e.sink_options()
     assert sink["kafka.bootstrap.servers"] == "b:2" and sink["kafka.sasl.kerberos.service.name"] == "kafka"
     assert KafkaEnds("a:1", "x").sink_options()["kafka.security.protocol"] == "PLAINTEXT"
+    assert "maxOffsetsPerTrigger" not in src
+    capped = KafkaEnds("a:1", "x", max_offsets_per_trigger=10**6, min_partitions=64).source_options()
+    assert capped["maxOffsetsPerTrigger"] == "1000000" and capped["minPartitions"] == "64"
 
 
 def test_cli_arguments():

@@ -15,6 +15,7 @@ time, which is how tests and the query registry exercise the streams here.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -66,6 +67,7 @@ class DedupBatchWriter:
     sink: Callable[[DataFrame, int], None] | None = None
     quarantine: Callable[[DataFrame, int], None] | None = None
     metrics: list = field(default_factory=list)
+    tag: str = field(default_factory=lambda: uuid.uuid4().hex[:8])   # unique observation names
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         began = time.time()
@@ -74,7 +76,8 @@ class DedupBatchWriter:
         if two_reads:
             batch = batch.persist()
         try:
-            obs_in, obs_out = Observation(f"dedup_in_{epoch_id}"), Observation(f"dedup_out_{epoch_id}")
+            obs_in = Observation(f"dedup_in_{self.tag}_{epoch_id}")
+            obs_out = Observation(f"dedup_out_{self.tag}_{epoch_id}")
             counted = batch.observe(obs_in, F.count(F.lit(1)).alias("n"))
             result = dedup(counted, self.conf, self.method).observe(obs_out, F.count(F.lit(1)).alias("n"))
             (self.sink or parquet_batch_sink(self.out_path))(result, epoch_id)

@@ -61,3 +61,20 @@ def test_read_records_from_landed_table(spark, tmp_path):
 def test_kafka_format_missing_is_reported(spark):
     with pytest.raises(Exception):
         read_records(spark, "kafka", options=kafka_options("b:1", "t"))
+
+
+def test_kafka_rows_become_records(spark):
+    """Rows shaped like the Kafka source (binary key/value, LTZ timestamp)."""
+    import datetime
+    from sigshape.sources.records import RECORD_COLUMNS, _from_kafka
+    kafka_schema = ("key binary, value binary, topic string, partition int, offset bigint, "
+                    "timestamp timestamp, timestampType int")
+    ts = datetime.datetime(2024, 1, 1, 0, 0, 7)
+    df = spark.createDataFrame([(b"k1", b"a,b", "t", 3, 42, ts, 0), (None, None, "t", 3, 43, ts, 0)],
+                               kafka_schema)
+    out = _from_kafka(df)
+    assert tuple(out.columns) == RECORD_COLUMNS
+    rows = out.orderBy("offset").collect()
+    assert (rows[0].key, rows[0].value, rows[0].batch_id) == ("k1", "a,b", None)
+    assert rows[1].key is None and rows[1].value is None
+    assert dict(out.dtypes)["timestamp"] == "timestamp_ntz"

@@ -28,7 +28,7 @@ from ..operators.dedup import DEFAULT_METHOD, dedup, malformed_lines
 from ..operators.explode import region_fanout
 from ..operators.tap import tap_records
 from ..session import scratch_path
-from ..sources.records import stream_records
+from ..sources.records import RECORD_SCHEMA, stream_records
 
 METRICS_SCHEMA = "batch_id bigint, rows_in bigint, rows_out bigint, seconds double"
 
@@ -194,21 +194,24 @@ def replay_landed(spark: SparkSession, records: DataFrame, name: str,
                   make_writer: Callable[[DataFrame, str], DataStreamWriter]) -> Replay:
     """Replay a record table as a stream, one landed batch per micro-batch.
 
-    The table is written once to the checkpoint folder (cutting its
-    lineage); then each ``batch_id`` is appended to the stream's source
-    folder and the query runs with ``availableNow``, so every micro-batch
+    The table is written once to the checkpoint folder, partitioned by
+    ``batch_id`` (cutting its lineage); then each ``batch_id`` is appended to
+    the stream's source folder and the query runs with ``availableNow``, so every micro-batch
     holds exactly one batch, written in parallel by as many tasks as it
     needs. The loop is over batch ids only, like a trigger firing per interval.
     """
     root = scratch_path(spark, name)
     landed, source = f"{root}/landed", f"{root}/source"
     checkpoint, out = f"{root}/checkpoint", f"{root}/out"
-    records.write.parquet(landed)
+    # Partitioned by batch, so each batch below is read by partition pruning
+    # instead of a scan of the whole table per batch.
+    records.write.partitionBy("batch_id").parquet(landed)
     table = spark.read.parquet(landed)
     batch_ids = [r[0] for r in table.select("batch_id").distinct().orderBy("batch_id").collect()]
+    as_records = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA.fields]
     progress = []
     for b in batch_ids:
-        table.where(F.col("batch_id") == b).write.mode("append").parquet(source)
+        table.where(F.col("batch_id") == b).select(*as_records).write.mode("append").parquet(source)
         q = start(make_writer(stream_records(spark, "parquet", source), out), checkpoint,
                   available_now=True)
         q.awaitTermination()

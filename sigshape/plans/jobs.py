@@ -31,6 +31,7 @@ from ..conf import DedupConf, RegionSplitConf, TapConf
 from ..operators.dedup import DEFAULT_METHOD
 from ..session import job_path
 from ..sources.records import kafka_options, stream_records
+from ..sources.sinks import producer_options
 from ..streaming.runners import (dedup_writer, kafka_batch_sink, region_split_writer, start,
                                  tap_writer)
 
@@ -50,6 +51,8 @@ class KafkaEnds:
     # dedup job it also changes which lines share a batch.
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None             # split fat topic partitions over more tasks
+    producer_batch_bytes: int | None = None       # producer batching (the bulk send)
+    producer_linger_ms: int | None = None
 
     def source_options(self) -> dict:
         extra = {"failOnDataLoss": "false"}
@@ -66,6 +69,7 @@ class KafkaEnds:
                 "kafka.security.protocol": "SASL_PLAINTEXT" if self.secured else "PLAINTEXT"}
         if self.secured:
             opts["kafka.sasl.kerberos.service.name"] = "kafka"
+        opts.update(producer_options(self.producer_batch_bytes, self.producer_linger_ms))
         return opts
 
 

@@ -130,7 +130,7 @@ def region_split_writer(stream: DataFrame, out_path: str | None, conf: RegionSpl
         return stream.writeStream.foreachBatch(body)
     w = region_fanout(stream, conf).writeStream.outputMode("append").format(sink)
     w = w.options(**(sink_options or {}))
-    return w if sink == "kafka" else w.option("path", out_path)
+    return w if sink == "kafka" else w.partitionBy("topic").option("path", out_path)
 
 
 def tap_writer(stream: DataFrame, out_path: str, sink: str = "parquet") -> DataStreamWriter:

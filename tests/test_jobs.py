@@ -102,3 +102,17 @@ def test_quarantine_jobs_set_bad_lines_aside(spark, tmp_path):
     assert [(r.offset, r.reason) for r in q] == [(-1, "too few fields")]
     got = sorted(map(tuple, spark.read.parquet(out2).select("topic", "key", "value").collect()))
     assert got == sorted(map(tuple, region_fanout(wide).collect()))
+
+
+def test_write_messages_partitions_files_by_topic(spark, tmp_path):
+    from sigshape.sources.sinks import producer_options, write_messages
+    msgs = region_fanout(wide_signal_records(spark, SF_SMALL))
+    out = str(tmp_path / "msgs")
+    write_messages(msgs, "parquet", out)
+    import os
+    assert {d for d in os.listdir(out) if d.startswith("topic=")} == {"topic=region_in", "topic=region_out"}
+    back = spark.read.parquet(out).where("topic = 'region_out'")
+    assert back.count() == msgs.where("topic = 'region_out'").count()
+    assert producer_options(65536, 5) == {"kafka.batch.size": "65536", "kafka.linger.ms": "5"}
+    e = KafkaEnds("a:1", "x", producer_batch_bytes=1024, producer_linger_ms=0).sink_options()
+    assert e["kafka.batch.size"] == "1024" and e["kafka.linger.ms"] == "0"

@@ -78,3 +78,24 @@ def test_kafka_rows_become_records(spark):
     assert (rows[0].key, rows[0].value, rows[0].batch_id) == ("k1", "a,b", None)
     assert rows[1].key is None and rows[1].value is None
     assert dict(out.dtypes)["timestamp"] == "timestamp_ntz"
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from sigshape.sources.testtables import event_records
+    from conftest import SF_SMALL
+    df = spark.createDataFrame([(1704067207179,)], "ms bigint")
+
+    def snapshot():
+        text = df.select(epoch_ms_to_text("ms").alias("t")).first().t
+        ms = spark.createDataFrame([(text,)], "t string").select(text_to_epoch_ms("t").alias("x")).first().x
+        batches = sorted(r.batch_id for r in event_records(spark, SF_SMALL).select("batch_id").distinct().collect())
+        lines = sorted(r.value for r in event_records(spark, SF_SMALL).select("value").collect())
+        return text, ms, batches, lines
+
+    before = snapshot()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        assert snapshot() == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -12,7 +12,8 @@ there. On a record table the same questions are aggregates and joins:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,3 +122,29 @@ def replay_from_offsets(records: DataFrame, committed: DataFrame, reset: str = "
             missing = F.raise_error(F.concat(F.lit("no stored position and reset policy none for "), where))
             keep = F.when(start.isNull(), missing.cast("boolean")).otherwise(F.col("offset") >= start)
     return joined.where(keep).drop("__start")
+
+
+# Kafka's JSON sentinels for a start position.
+EARLIEST, LATEST = -2, -1
+
+
+def starting_offsets_json(positions: Iterable[tuple[str, int, int]]) -> str:
+    """``startingOffsets`` JSON for a Kafka source from ``(topic, partition,
+    offset)``; offset -2 means earliest, -1 latest. A restart then reads
+    exactly from the resolved positions (with ``failOnDataLoss=false`` for
+    ones that were aged out meanwhile)."""
+    out: dict[str, dict[str, int]] = {}
+    for topic, partition, offset in positions:
+        out.setdefault(str(topic), {})[str(int(partition))] = int(offset)
+    return json.dumps(out, sort_keys=True)
+
+
+def resolved_positions(resolved: DataFrame, max_rows: int = 100_000) -> list[tuple[str, int, int]]:
+    """Resolved starts ``(topic, partition, start)`` as a driver-side list, for
+    :func:`starting_offsets_json`. One row per topic partition; the count is
+    checked before anything is collected."""
+    n = resolved.count()
+    if n > max_rows:
+        raise ValueError(f"{n} topic partitions exceed the limit of {max_rows} for a start-position map")
+    return [(r["topic"], int(r["partition"]), int(r["start"]))
+            for r in resolved.select("topic", "partition", "start").collect()]

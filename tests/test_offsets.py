@@ -69,3 +69,15 @@ def test_replay_reset_policies(spark):
     assert sorted(r.offset for r in replay_from_offsets(recs, only_p0, "earliest").collect()) == [13, 14, 20, 21]
     with pytest.raises(Exception, match="reset policy none"):
         replay_from_offsets(recs, only_p0, "none").collect()
+
+
+def test_starting_offsets_json_from_resolved(spark):
+    import json
+    from sigshape.sources.offsets import EARLIEST, resolved_positions, starting_offsets_json
+    pos = positions_frame(spark, [("t", 0, 3), ("t", 1, 21)])
+    resolved = offset_resolve(offset_bounds(_recs(spark)), pos)
+    got = json.loads(starting_offsets_json(resolved_positions(resolved)))
+    assert got == {"t": {"0": 10, "1": 21}}
+    assert json.loads(starting_offsets_json([("a", 0, EARLIEST)])) == {"a": {"0": -2}}
+    with pytest.raises(ValueError):
+        resolved_positions(resolved, max_rows=1)

@@ -88,7 +88,7 @@ def _quarantine_path(spark, name, on_malformed, given):
 def region_split_job(spark: SparkSession, conf: RegionSplitConf = RegionSplitConf(),
                      ends: KafkaEnds | None = None, in_path: str | None = None,
                      out_path: str | None = None, name: str = "region-split",
-                     quarantine_path: str | None = None) -> StreamingQuery:
+                     quarantine_path: str | None = None, available_now: bool = False) -> StreamingQuery:
     stream = _source(spark, ends, in_path)
     qpath = _quarantine_path(spark, name, conf.on_malformed, quarantine_path)
     if ends is not None:
@@ -96,32 +96,40 @@ def region_split_job(spark: SparkSession, conf: RegionSplitConf = RegionSplitCon
                                      quarantine_path=qpath)
     else:
         writer = region_split_writer(stream, out_path, conf, quarantine_path=qpath)
-    return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s)
+    return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s,
+                 available_now=available_now)
 
 
 def dedup_job(spark: SparkSession, conf: DedupConf = DedupConf(), ends: KafkaEnds | None = None,
               in_path: str | None = None, out_path: str | None = None,
               method: str = DEFAULT_METHOD, name: str = "dedup",
-              quarantine_path: str | None = None) -> StreamingQuery:
+              quarantine_path: str | None = None, available_now: bool = False) -> StreamingQuery:
     stream = _source(spark, ends, in_path)
     sink = kafka_batch_sink(ends.sink_options(), conf.topic_out) if ends is not None else None
     qpath = _quarantine_path(spark, name, conf.on_malformed, quarantine_path)
     writer, _ = dedup_writer(stream, out_path, conf, method, sink, qpath)
-    return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s)
+    return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s,
+                 available_now=available_now)
 
 
 def tap_job(spark: SparkSession, conf: TapConf = TapConf(), ends: KafkaEnds | None = None,
             in_path: str | None = None, sink: str = "console", out_path: str | None = None,
-            name: str = "tap") -> StreamingQuery:
+            name: str = "tap", available_now: bool = False) -> StreamingQuery:
     writer = tap_writer(_source(spark, ends, in_path), out_path, sink)
-    return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s)
+    return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s,
+                 available_now=available_now)
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sigshape.plans.jobs")
     p.add_argument("job", choices=["region-split", "dedup", "tap"])
-    p.add_argument("--brokers", required=True)
-    p.add_argument("--topics", required=True, help="comma list of input topics")
+    p.add_argument("--brokers", help="Kafka brokers (else --in-path reads landed record files)")
+    p.add_argument("--topics", help="comma list of input topics")
+    p.add_argument("--in-path", help="folder of landed record files (instead of Kafka)")
+    p.add_argument("--out-path", help="output folder when not writing to Kafka")
+    p.add_argument("--name", help="job name (its checkpoint folder under spark.checkpoint.dir)")
+    p.add_argument("--available-now", action="store_true",
+                   help="process what is there, then stop (instead of a processing-time trigger)")
     p.add_argument("--secured", action="store_true")
     p.add_argument("--starting", default="latest", choices=["earliest", "latest", "none"])
     p.add_argument("--starting-offsets-json")
@@ -140,26 +148,33 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
-def main(argv=None) -> None:
+def main(argv=None, spark: SparkSession | None = None) -> None:
     a = _parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"sigshape-{a.job}").getOrCreate()
-    ends = KafkaEnds(a.brokers, a.topics, a.secured, a.starting, a.starting_offsets_json, a.group_id,
-                     max_offsets_per_trigger=a.max_offsets_per_trigger,
-                     min_partitions=a.min_partitions)
+    if a.brokers is None and a.in_path is None:
+        raise SystemExit("give --brokers/--topics (Kafka) or --in-path (landed record files)")
+    spark = spark or SparkSession.builder.appName(f"sigshape-{a.job}").getOrCreate()
+    ends = None
+    if a.brokers is not None:
+        ends = KafkaEnds(a.brokers, a.topics or "", a.secured, a.starting, a.starting_offsets_json,
+                         a.group_id, max_offsets_per_trigger=a.max_offsets_per_trigger,
+                         min_partitions=a.min_partitions)
+    common = dict(ends=ends, in_path=a.in_path, out_path=a.out_path, available_now=a.available_now)
+    if a.name:
+        common["name"] = a.name
+    on_malformed = "quarantine" if a.quarantine else "fail"
     if a.job == "region-split":
         conf = RegionSplitConf(topic_in=a.topic_in, topic_out=a.topic_out or "region_out",
-                               batch_interval_s=a.interval or 60,
-                               on_malformed="quarantine" if a.quarantine else "fail")
-        q = region_split_job(spark, conf, ends)
+                               batch_interval_s=a.interval or 60, on_malformed=on_malformed)
+        q = region_split_job(spark, conf, **common)
     elif a.job == "dedup":
         conf = DedupConf(key_index=tuple(int(i) for i in a.key_index.split(",")),
                          time_index=a.time_index, separator=a.separator,
                          distinct_by_time=not a.any, topic_out=a.topic_out or "lte_distinct",
-                         batch_interval_s=a.interval or 60,
-                         on_malformed="quarantine" if a.quarantine else "fail")
-        q = dedup_job(spark, conf, ends)
+                         batch_interval_s=a.interval or 60, on_malformed=on_malformed)
+        q = dedup_job(spark, conf, **common)
     else:
-        q = tap_job(spark, TapConf(batch_interval_s=a.interval or 30), ends)
+        q = tap_job(spark, TapConf(batch_interval_s=a.interval or 30),
+                    sink="text" if a.out_path else "console", **common)
     q.awaitTermination()
 
 

@@ -116,3 +116,19 @@ def test_write_messages_partitions_files_by_topic(spark, tmp_path):
     assert producer_options(65536, 5) == {"kafka.batch.size": "65536", "kafka.linger.ms": "5"}
     e = KafkaEnds("a:1", "x", producer_batch_bytes=1024, producer_linger_ms=0).sink_options()
     assert e["kafka.batch.size"] == "1024" and e["kafka.linger.ms"] == "0"
+
+
+def test_cli_runs_jobs_on_landed_files(spark, tmp_path):
+    from sigshape.plans.jobs import main
+    src = str(tmp_path / "in")
+    recs = event_records(spark, SF_SMALL)
+    recs.write.parquet(src)
+    out = str(tmp_path / "dedup")
+    main(["dedup", "--in-path", src, "--out-path", out, "--available-now",
+          "--name", f"t-cli-{uuid.uuid4().hex}"], spark=spark)
+    got = sorted(map(tuple, spark.read.parquet(out).select("batch_id", "key", "value").collect()))
+    assert got == sorted(map(tuple, dedup_latest(recs).collect()))
+    tap_out = str(tmp_path / "tap")
+    main(["tap", "--in-path", src, "--out-path", tap_out, "--available-now",
+          "--name", f"t-cli-tap-{uuid.uuid4().hex}"], spark=spark)
+    assert spark.read.text(tap_out).count() == recs.count()

@@ -74,14 +74,21 @@ def require_width(df: DataFrame, min_width: int, fields: str = "fields",
     if on_malformed not in ON_MALFORMED:
         raise ValueError(f"on_malformed must be one of {ON_MALFORMED}")
     ok = width_ok(fields, min_width)
+    row = F.array(F.struct(*[F.col(c) for c in df.columns]))
     if on_malformed == "fail":
-        row = F.array(F.struct(*[F.col(c) for c in df.columns]))
         return df.select(F.inline(guarded(ok, row, width_error(fields, min_width, _describe(df)))))
-    good = df.where(ok)
+    good = keep_if(df, ok)
     bad = df.where(~ok).withColumn("n_fields", F.coalesce(F.size(fields), F.lit(0)))
     return good, bad
 
 
+def keep_if(df: DataFrame, ok: Column) -> DataFrame:
+    """Rows where ``ok`` holds, via a one-element ``inline`` rather than a
+    filter: a filter on split-derived columns is pushed below the split and
+    splits every line a second time."""
+    return df.select(F.inline(F.when(ok, F.array(F.struct(*[F.col(c) for c in df.columns])))))
+
+
 def project_fields(df: DataFrame, layout: Mapping[str, int], fields: str = "fields",
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Positional -> named columns, from one ``name -> index`` mapping."""

@@ -81,3 +81,10 @@ def test_replay_is_one_scan_and_latest_bound_reaches_the_scan(spark, landed):
     assert p.count("FileScan parquet") == 1 and "HashAggregate" not in p
     p = plan(replay_from_offsets(events(), pos, "latest", committed_rows=len(STORED_POSITIONS)))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(offset,5\)", p)
+
+
+def test_quarantine_paths_split_once(landed):
+    from sigshape.operators.dedup import keyed_lines
+    _, events = landed
+    p = plan(keyed_lines(events(), DedupConf(on_malformed="quarantine")))
+    assert p.count("split(value") == 1

@@ -98,18 +98,23 @@ def replay_from_offsets(records: DataFrame, committed: DataFrame, reset: str = "
     skips the count when the caller knows it) and checked row by row.
     Partitions without a stored position follow ``reset``: ``earliest``
     replays them whole, ``latest`` skips them, ``none`` fails on their first
-    record. With ``latest`` a coarse ``offset >= min(stored)`` bound is added,
-    which the parquet scan can use to skip row groups.
+    record. With ``latest`` a coarse bound (stored topics, ``offset >=
+    min(stored)``) is added, which the scan uses for partition pruning and
+    row-group skipping.
     ``offset_resolve`` reports the clamped starts and their status.
     """
     if reset not in RESET_POLICIES:
         raise ValueError(f"reset must be one of {RESET_POLICIES}")
     pos = committed.select(*KEYS, F.col("cur").alias("__start"))
     if reset == "latest":
-        low = pos.agg(F.min("__start").alias("m")).first()["m"]
-        if low is None:
+        # Only stored partitions can contribute: their topics and smallest
+        # start become a filter the scan uses (partition pruning when the
+        # table is landed by topic, row-group skipping on offset).
+        agg = pos.agg(F.min("__start").alias("m"), F.collect_set("topic").alias("topics")).first()
+        if agg["m"] is None:
             return records.where(F.lit(False))
-        recs = records.where(F.col("offset") >= F.lit(int(low)))
+        recs = records.where(F.col("topic").isin(sorted(agg["topics"]))
+                             & (F.col("offset") >= F.lit(int(agg["m"]))))
         joined = join_small(recs, pos, KEYS, "inner", known_rows=committed_rows)
         keep = F.col("offset") >= F.col("__start")
     else:

@@ -1,10 +1,10 @@
-from .records import (RECORD_COLUMNS, RECORD_SCHEMA, clean_values, kafka_options, read_records,
+from .records import (RECORD_COLUMNS, RECORD_SCHEMA, assign_batches, clean_values, kafka_options, read_records,
                       stream_records, subscribe_topics, topic_set)
 from .offsets import (offset_bounds, offset_resolve, positions_frame, replay_from_offsets,
                       start_position)
 
 __all__ = [
-    "RECORD_COLUMNS", "RECORD_SCHEMA", "clean_values", "kafka_options", "read_records",
+    "RECORD_COLUMNS", "RECORD_SCHEMA", "assign_batches", "clean_values", "kafka_options", "read_records",
     "stream_records", "subscribe_topics", "topic_set",
     "offset_bounds", "offset_resolve", "positions_frame", "replay_from_offsets", "start_position",
 ]

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timefmt import wallclock_to_seconds
+
 RECORD_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),
@@ -112,6 +114,21 @@ def subscribe_topics(records: DataFrame, topic_names: str | Iterable[str]) -> Da
     return records.where(F.col("topic").isin(names))
 
 
+def assign_batches(records: DataFrame, interval_s: int, overwrite: bool = False) -> DataFrame:
+    """Set ``batch_id`` from arrival time: ``floor(epoch seconds / interval)``.
+
+    On a live stream the micro-batch is whatever arrived during one trigger
+    interval; for a landed table without batch ids this rebuilds the same
+    windows from the record timestamp (UTC wall clock). Existing ids are kept
+    unless ``overwrite``.
+    """
+    if interval_s <= 0:
+        raise ValueError("interval_s must be positive")
+    derived = F.floor(wallclock_to_seconds(F.col("timestamp")) / F.lit(int(interval_s))).cast("bigint")
+    batch = derived if overwrite else F.coalesce(F.col("batch_id"), derived)
+    return records.withColumn("batch_id", batch)
+
+
 def clean_values(records: DataFrame, value: str | Column = "value") -> DataFrame:
     """Drop records whose value is null or empty; whitespace-only lines stay."""
     v = F.col(value) if isinstance(value, str) else value

@@ -99,3 +99,19 @@ def test_results_do_not_depend_on_session_time_zone(spark):
         assert snapshot() == before
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_assign_batches_rebuilds_interval_windows(spark):
+    from pyspark.sql import functions as F
+    from sigshape.sources.records import assign_batches
+    from sigshape.sources.testtables import BATCH_SECONDS, event_records
+    from conftest import SF_SMALL
+    recs = event_records(spark, SF_SMALL)
+    rebuilt = assign_batches(recs.withColumn("batch_id", F.lit(None).cast("bigint")), BATCH_SECONDS)
+    a = sorted((r.offset, r.batch_id) for r in recs.select("offset", "batch_id").collect())
+    b = sorted((r.offset, r.batch_id) for r in rebuilt.select("offset", "batch_id").collect())
+    assert a == b
+    kept = assign_batches(recs.withColumn("batch_id", F.lit(7).cast("bigint")), 60)
+    assert {r.batch_id for r in kept.select("batch_id").collect()} == {7}
+    with pytest.raises(ValueError):
+        assign_batches(recs, 0)

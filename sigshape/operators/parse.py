@@ -65,6 +65,8 @@ def require_width(df: DataFrame, min_width: int, fields: str = "fields",
                   on_malformed: str = "fail") -> DataFrame | tuple[DataFrame, DataFrame]:
     """Guard against rows with fewer than ``min_width`` fields.
 
+    All columns of ``df`` are carried through the guard, so select what is
+    needed first (the scan reads what reaches this point).
     ``fail``: every row goes through a one-element ``inline`` whose input
     raises on a short row. A generator cannot be pruned (``count()`` still
     evaluates it), and unlike a filter it is not pushed below the split, so
@@ -98,10 +100,13 @@ def project_fields(df: DataFrame, layout: Mapping[str, int], fields: str = "fiel
 
 def project_signal(records: DataFrame, keep: tuple[str, ...] = ("offset",),
                    on_malformed: str = "fail"):
-    """Wide signalling line -> its named fields (list cells stay raw text)."""
-    df = with_fields(clean_records(records))
-    guarded = require_width(df, WIDE_MIN_WIDTH, on_malformed=on_malformed)
+    """Wide signalling line -> its named fields (list cells stay raw text).
+
+    Only ``keep`` and the split line go through the width guard, so the
+    scan reads just those columns."""
+    df = clean_records(records).select(*keep, split_csv(F.col("value"), WIDE_FIELD_SEP).alias("fields"))
+    checked = require_width(df, WIDE_MIN_WIDTH, on_malformed=on_malformed)
     if on_malformed == "quarantine":
-        good, bad = guarded
+        good, bad = checked
         return project_fields(good, WIDE_LAYOUT, keep=keep), bad
-    return project_fields(guarded, WIDE_LAYOUT, keep=keep)
+    return project_fields(checked, WIDE_LAYOUT, keep=keep)

@@ -99,3 +99,10 @@ def test_topic_partitioned_landing_is_pruned(spark, tmp_path):
     pos = positions_frame(spark, [("click", 0, 600), ("click", 1, 600)])
     p = plan(replay_from_offsets(recs(), pos, "latest", committed_rows=2))
     assert re.search(r"PartitionFilters: \[[^\]]*\(?topic#\d+ (IN \(click\)|= click)", p)
+
+
+def test_project_signal_reads_only_needed_columns(landed):
+    from sigshape.operators.parse import project_signal
+    wide, _ = landed
+    p = plan(project_signal(wide(), keep=("offset",)))
+    assert "ReadSchema: struct<offset:bigint,value:string>" in p

@@ -106,3 +106,13 @@ def test_project_signal_reads_only_needed_columns(landed):
     wide, _ = landed
     p = plan(project_signal(wide(), keep=("offset",)))
     assert "ReadSchema: struct<offset:bigint,value:string>" in p
+
+
+def test_other_operators_read_only_needed_columns(landed):
+    from sigshape.operators.tap import tap_records
+    from sigshape.sources.offsets import offset_bounds
+    _, events = landed
+    assert "ReadSchema: struct<topic:string,partition:int,offset:bigint>" in plan(offset_bounds(events()))
+    assert "ReadSchema: struct<partition:int,offset:bigint,key:string,value:string>" in plan(tap_records(events()))
+    p = plan(dedup_latest(events(), DedupConf()))
+    assert "ReadSchema: struct<partition:int,offset:bigint,value:string,batch_id:bigint>" in p

@@ -86,17 +86,26 @@ def dedup_latest(records: DataFrame, conf: DedupConf = DedupConf(), method: str
             .where(F.col("__rn") == 1).select("batch_id", "key", "value"))
 
 
-def dedup_any(records: DataFrame, conf: DedupConf = DedupConf()) -> DataFrame:
+def dedup_any(records: DataFrame, conf: DedupConf = DedupConf(), method: str = DEFAULT_METHOD) -> DataFrame:
     """Any one line per (batch_id, key). The pick is fixed to the lowest
-    (partition, offset) so results are repeatable."""
+    (partition, offset) so results are repeatable. ``method="max_by"``
+    selects the aggregate plan (here ``min_by``), ``"row_number"`` the window
+    plan."""
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
     k = keyed_lines(records, DedupConf(**{**conf.__dict__, "distinct_by_time": False}))
-    return k.groupBy("batch_id", "key").agg(
-        F.min_by("value", F.struct("partition", "offset")).alias("value"))
+    if method == "max_by":
+        return k.groupBy("batch_id", "key").agg(
+            F.min_by("value", F.struct("partition", "offset")).alias("value"))
+    w = Window.partitionBy("batch_id", "key").orderBy(F.col("partition").asc(), F.col("offset").asc())
+    return (k.withColumn("__rn", F.row_number().over(w))
+            .where(F.col("__rn") == 1).select("batch_id", "key", "value"))
 
 
 def dedup(records: DataFrame, conf: DedupConf = DedupConf(), method: str = DEFAULT_METHOD) -> DataFrame:
     """The dedup job's choice between newest and any, from the configuration."""
-    return dedup_latest(records, conf, method) if conf.distinct_by_time else dedup_any(records, conf)
+    return (dedup_latest(records, conf, method) if conf.distinct_by_time
+            else dedup_any(records, conf, method))
 
 
 def dedup_messages(records: DataFrame, conf: DedupConf = DedupConf(), method: str = DEFAULT_METHOD) -> DataFrame:

@@ -123,6 +123,7 @@ def tap_job(spark: SparkSession, conf: TapConf = TapConf(), ends: KafkaEnds | No
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sigshape.plans.jobs")
     p.add_argument("job", choices=["region-split", "dedup", "tap"])
+    p.add_argument("--properties", help="Java-style properties file with the job settings")
     p.add_argument("--brokers", help="Kafka brokers (else --in-path reads landed record files)")
     p.add_argument("--topics", help="comma list of input topics")
     p.add_argument("--in-path", help="folder of landed record files (instead of Kafka)")
@@ -148,33 +149,52 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _from_args(a) -> dict:
+    on_malformed = "quarantine" if a.quarantine else "fail"
+    if a.job == "region-split":
+        conf = RegionSplitConf(topic_in=a.topic_in, topic_out=a.topic_out or "region_out",
+                               batch_interval_s=a.interval or 60, on_malformed=on_malformed)
+    elif a.job == "dedup":
+        conf = DedupConf(key_index=tuple(int(i) for i in a.key_index.split(",")),
+                         time_index=a.time_index, separator=a.separator,
+                         distinct_by_time=not a.any, topic_out=a.topic_out or "lte_distinct",
+                         batch_interval_s=a.interval or 60, on_malformed=on_malformed)
+    else:
+        conf = TapConf(batch_interval_s=a.interval or 30)
+    return {"conf": conf, "brokers": a.brokers, "topics": a.topics, "starting": a.starting,
+            "group_id": a.group_id, "secured": a.secured}
+
+
 def main(argv=None, spark: SparkSession | None = None) -> None:
     a = _parser().parse_args(argv)
-    if a.brokers is None and a.in_path is None:
-        raise SystemExit("give --brokers/--topics (Kafka) or --in-path (landed record files)")
+    if a.properties:
+        from dataclasses import replace
+        from .properties import job_settings, load_properties
+        cfg = job_settings(a.job, load_properties(a.properties))
+        if a.quarantine and a.job != "tap":
+            cfg["conf"] = replace(cfg["conf"], on_malformed="quarantine")
+        cfg["brokers"] = a.brokers or cfg["brokers"]
+        cfg["topics"] = a.topics or cfg["topics"]
+    else:
+        cfg = _from_args(a)
+    if a.in_path is None and not cfg["brokers"]:
+        raise SystemExit("give --brokers/--topics (Kafka), --properties, or --in-path (landed record files)")
     spark = spark or SparkSession.builder.appName(f"sigshape-{a.job}").getOrCreate()
     ends = None
-    if a.brokers is not None:
-        ends = KafkaEnds(a.brokers, a.topics or "", a.secured, a.starting, a.starting_offsets_json,
-                         a.group_id, max_offsets_per_trigger=a.max_offsets_per_trigger,
+    if a.in_path is None:
+        ends = KafkaEnds(cfg["brokers"], cfg["topics"] or "", cfg["secured"], cfg["starting"],
+                         a.starting_offsets_json, cfg["group_id"],
+                         max_offsets_per_trigger=a.max_offsets_per_trigger,
                          min_partitions=a.min_partitions)
     common = dict(ends=ends, in_path=a.in_path, out_path=a.out_path, available_now=a.available_now)
     if a.name:
         common["name"] = a.name
-    on_malformed = "quarantine" if a.quarantine else "fail"
     if a.job == "region-split":
-        conf = RegionSplitConf(topic_in=a.topic_in, topic_out=a.topic_out or "region_out",
-                               batch_interval_s=a.interval or 60, on_malformed=on_malformed)
-        q = region_split_job(spark, conf, **common)
+        q = region_split_job(spark, cfg["conf"], **common)
     elif a.job == "dedup":
-        conf = DedupConf(key_index=tuple(int(i) for i in a.key_index.split(",")),
-                         time_index=a.time_index, separator=a.separator,
-                         distinct_by_time=not a.any, topic_out=a.topic_out or "lte_distinct",
-                         batch_interval_s=a.interval or 60, on_malformed=on_malformed)
-        q = dedup_job(spark, conf, **common)
+        q = dedup_job(spark, cfg["conf"], **common)
     else:
-        q = tap_job(spark, TapConf(batch_interval_s=a.interval or 30),
-                    sink="text" if a.out_path else "console", **common)
+        q = tap_job(spark, cfg["conf"], sink="text" if a.out_path else "console", **common)
     q.awaitTermination()
 
 

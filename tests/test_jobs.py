@@ -1,5 +1,7 @@
 import uuid
 
+import pytest
+
 from sigshape.conf import DedupConf, RegionSplitConf, TapConf
 from sigshape.operators.dedup import dedup_latest
 from sigshape.operators.explode import region_fanout
@@ -132,3 +134,52 @@ def test_cli_runs_jobs_on_landed_files(spark, tmp_path):
     main(["tap", "--in-path", src, "--out-path", tap_out, "--available-now",
           "--name", f"t-cli-tap-{uuid.uuid4().hex}"], spark=spark)
     assert spark.read.text(tap_out).count() == recs.count()
+
+
+PROPS = """#common config
+batch_interval=60
+#IMSI,IMEI,MSISDN,BTIME,LAC,CI
+input.field.key.index=0,4,5
+distinct.time.enable=true
+input.field.time.index=3
+
+#kafka config
+broker_list=h1:6667,h2:6667
+group_id=g1
+topic_name_in=signals
+topic_name_out=deduped
+auto.offset.reset=earliest
+kafka.kerberos.enable=false
+default_separator=|
+long.value=a\\
+    b
+escaped\\ key=x\\ty
+"""
+
+
+def test_properties_file_settings():
+    from sigshape.plans.properties import job_settings, parse_properties
+    p = parse_properties(PROPS)
+    assert p["long.value"] == "ab" and p["escaped key"] == "x\ty" and p["default_separator"] == "|"
+    d = job_settings("dedup", p)
+    assert d["conf"].key_index == (0, 4, 5) and d["conf"].time_index == 3
+    assert d["conf"].separator == "|" and d["conf"].topic_out == "deduped"
+    assert (d["topics"], d["brokers"], d["starting"], d["group_id"], d["secured"]) == \
+        ("signals", "h1:6667,h2:6667", "earliest", "g1", False)
+    r = job_settings("region-split", {**p, "topic_name": "wide", "topic_name_in": "cur"})
+    assert r["topics"] == "wide" and r["conf"].topic_in == "cur" and r["conf"].topic_out == "deduped"
+    with pytest.raises(ValueError):
+        job_settings("dedup", {})
+
+
+def test_cli_with_properties_file(spark, tmp_path):
+    from sigshape.plans.jobs import main
+    props = tmp_path / "job.properties"
+    props.write_text(PROPS)
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    recs = event_records(spark, SF_SMALL)
+    recs.write.parquet(src)
+    main(["dedup", "--properties", str(props), "--in-path", src, "--out-path", out, "--available-now",
+          "--name", f"t-props-{uuid.uuid4().hex}"], spark=spark)
+    got = sorted(map(tuple, spark.read.parquet(out).select("batch_id", "key", "value").collect()))
+    assert got == sorted(map(tuple, dedup_latest(recs).collect()))

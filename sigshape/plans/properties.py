@@ -12,6 +12,14 @@ from __future__ import annotations
 from ..conf import DedupConf, RegionSplitConf, TapConf
 from ..functions.split import decode_escapes
 
+# Defaults the original jobs use when a key is missing.
+DEFAULT_GROUP_ROW_SPLIT = "default_group_rowformat"
+DEFAULT_GROUP_DEDUP = "lte_distinct"
+DEFAULT_SEPARATOR = ","
+DEFAULT_BATCH_INTERVAL = "60"
+DEFAULT_TAP_INTERVAL = "30"
+DEFAULT_OFFSET_RESET = "latest"
+
 
 def parse_properties(text: str) -> dict[str, str]:
     """``key=value`` / ``key: value`` / ``key value`` lines; ``#`` and ``!``
@@ -62,16 +70,16 @@ def _bool(v: str | None, default: bool) -> bool:
 def job_settings(job: str, props: dict[str, str]) -> dict:
     """Keyword settings for one job from properties: ``conf`` plus the Kafka
     fields (``brokers``, ``topics``, ``starting``, ``group_id``, ``secured``)."""
-    interval = int(props.get("batch_interval", "60"))
+    interval = int(props.get("batch_interval", DEFAULT_BATCH_INTERVAL))
     common = {"brokers": props.get("broker_list"),
-              "starting": props.get("auto.offset.reset", "latest"),
+              "starting": props.get("auto.offset.reset", DEFAULT_OFFSET_RESET),
               "secured": _bool(props.get("kafka.kerberos.enable"), False)}
     if job == "region-split":
         conf = RegionSplitConf(topic_in=props.get("topic_name_in", "region_in"),
                                topic_out=props.get("topic_name_out", "region_out"),
                                batch_interval_s=interval)
         return {"conf": conf, "topics": props.get("topic_name"),
-                "group_id": props.get("group_id", "default_group_rowformat"), **common}
+                "group_id": props.get("group_id", DEFAULT_GROUP_ROW_SPLIT), **common}
     if job == "dedup":
         keys = props.get("input.field.key.index", "")
         if not keys.strip():
@@ -82,13 +90,13 @@ def job_settings(job: str, props: dict[str, str]) -> dict:
             raise ValueError("input.field.time.index is required when distinct.time.enable is true")
         conf = DedupConf(key_index=tuple(int(k) for k in keys.split(",")),
                          time_index=int(time_index) if time_index.strip() else -1,
-                         separator=props.get("default_separator", ","),
+                         separator=props.get("default_separator", DEFAULT_SEPARATOR),
                          distinct_by_time=by_time,
                          topic_out=props.get("topic_name_out", "lte_distinct"),
                          batch_interval_s=interval)
         return {"conf": conf, "topics": props.get("topic_name_in"),
-                "group_id": props.get("group_id", "lte_distinct"), **common}
+                "group_id": props.get("group_id", DEFAULT_GROUP_DEDUP), **common}
     if job == "tap":
-        return {"conf": TapConf(batch_interval_s=int(props.get("batch_interval", "30"))),
+        return {"conf": TapConf(batch_interval_s=int(props.get("batch_interval", DEFAULT_TAP_INTERVAL))),
                 "topics": props.get("topic_name"), "group_id": props.get("group_id"), **common}
     raise ValueError(f"unknown job {job!r}")

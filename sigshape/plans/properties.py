@@ -92,7 +92,7 @@ def job_settings(job: str, props: dict[str, str]) -> dict:
                          time_index=int(time_index) if time_index.strip() else -1,
                          separator=props.get("default_separator", DEFAULT_SEPARATOR),
                          distinct_by_time=by_time,
-                         topic_out=props.get("topic_name_out", "lte_distinct"),
+                         topic_out=props.get("topic_name_out", DedupConf().topic_out),
                          batch_interval_s=interval)
         return {"conf": conf, "topics": props.get("topic_name_in"),
                 "group_id": props.get("group_id", DEFAULT_GROUP_DEDUP), **common}

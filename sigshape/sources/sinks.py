@@ -8,6 +8,9 @@ by topic, so a reader of one topic prunes to its folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .records import RECORD_COLUMNS
 
 MESSAGE_COLUMNS = ("topic", "key", "value")
 
@@ -30,3 +33,20 @@ def write_messages(messages: DataFrame, sink: str = "parquet", path: str | None
         df.write.format("kafka").options(**(options or {})).save()
     else:
         df.write.mode(mode).partitionBy("topic").format(sink).options(**(options or {})).save(path)
+
+
+def land_records(records: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Land records as a table the offset operators and replays can read.
+
+    With ``batch_id`` (one micro-batch) the batch goes to
+    ``path/batch_id=<id>/topic=<t>/`` with overwrite, so a replayed batch
+    replaces itself; without it the records are appended partitioned by
+    ``batch_id`` and ``topic``. Read back with ``read_records(spark,
+    "parquet", path)``; a topic filter then prunes folders.
+    """
+    if batch_id is None:
+        (records.select(*RECORD_COLUMNS).write.mode("append")
+         .partitionBy("batch_id", "topic").parquet(path))
+        return
+    (records.select(*[c for c in RECORD_COLUMNS if c != "batch_id"])
+     .write.mode("overwrite").partitionBy("topic").parquet(f"{path}/batch_id={int(batch_id)}"))

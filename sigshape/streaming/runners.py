@@ -109,6 +109,13 @@ class RegionSplitBatchWriter:
             batch.unpersist()
 
 
+def landing_writer(stream: DataFrame, path: str) -> DataStreamWriter:
+    """Land a record stream: each micro-batch under ``batch_id=<epoch>``
+    (overwrite, so a replayed batch replaces itself)."""
+    from ..sources.sinks import land_records
+    return stream.writeStream.foreachBatch(lambda df, epoch: land_records(df, path, epoch))
+
+
 def region_split_writer(stream: DataFrame, out_path: str | None, conf: RegionSplitConf = RegionSplitConf(),
                         sink: str = "parquet", sink_options: dict | None = None,
                         quarantine_path: str | None = None) -> DataStreamWriter:

@@ -116,3 +116,19 @@ def test_other_operators_read_only_needed_columns(landed):
     assert "ReadSchema: struct<partition:int,offset:bigint,key:string,value:string>" in plan(tap_records(events()))
     p = plan(dedup_latest(events(), DedupConf()))
     assert "ReadSchema: struct<partition:int,offset:bigint,value:string,batch_id:bigint>" in p
+
+
+def test_join_small_broadcasts_only_below_the_limit(spark, landed):
+    from sigshape.operators.sizing import join_small
+    _, events = landed
+    small = positions_frame(spark, STORED_POSITIONS).select("topic", "partition")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our own decision counts
+    try:
+        a = join_small(events(), small, ["topic", "partition"])          # counted: 20 rows
+        b = join_small(events(), small, ["topic", "partition"], max_rows=5)
+        pa, pb = plan(a), plan(b)
+        assert "BroadcastHashJoin" in pa
+        assert "BroadcastHashJoin" not in pb and "SortMergeJoin" in pb
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -66,3 +66,16 @@ def test_literal_split_matches_whole_separator_split(spark, values, sep):
 def test_multichar_list_cell_split(spark, values, sep):
     got = _spark(spark, values, lambda c: split_list_cell(c, sep))
     assert got == [java_split_limit0(v, sep) for v in values]
+
+
+UNICODE = st.lists(st.text(st.sampled_from(list("a|,é中😀  ")), max_size=10), min_size=20, max_size=40)
+
+
+@SETTINGS
+@given(UNICODE, st.sampled_from(["|", "😀", "中|", "é"]))
+def test_unicode_text_and_separators(spark, values, sep):
+    """Multi-byte and astral-plane characters (the JVM splits UTF-16, Spark stores UTF-8)."""
+    assert _spark(spark, values, split_list_cell) == [java_split_limit0(v, "|") for v in values]
+    assert _spark(spark, values, split_csv) == [csv_model(v) for v in values]
+    got = _spark(spark, values, lambda c: split_literal(c, sep))
+    assert got == [whole_separator_model(v, sep) for v in values]

@@ -1,6 +1,8 @@
 """Column expressions that split delimited text exactly like the JVM helpers
 the reference jobs use (plain ``String.split`` and a literal whole-separator
 split), expressed with built-in Spark functions so they stay in codegen.
+
+Inventory: P3 (csv split), P4 (literal split, escapes), P5 (list-cell split).
 """
 
 from __future__ import annotations

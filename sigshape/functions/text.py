@@ -1,4 +1,7 @@
-"""Building text out of split fields: composite keys and delimited rows."""
+"""Building text out of split fields: composite keys and delimited rows.
+
+Inventory: P8 (composite key), P9 (row serialisation).
+"""
 
 from __future__ import annotations
 

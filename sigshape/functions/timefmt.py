@@ -3,6 +3,8 @@
 Values go through ``TIMESTAMP_NTZ`` (wall-clock) arithmetic, so results do
 not depend on ``spark.sql.session.timeZone``. ``tz`` names the zone the text
 is written in; the default is UTC.
+
+Inventory: F1-F4.
 """
 
 from __future__ import annotations

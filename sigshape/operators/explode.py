@@ -14,6 +14,8 @@ away under ``count()``, and since the input is not a bare column Catalyst
 adds no inferred filter that would re-run the splits. The fan-out explodes
 ``concat(current_regions, left_regions)`` once and picks the topic by
 position, so both topics come from a single pass in the reference's order.
+
+Inventory: E1, E2, E3, K2 (fan-out), P9 (message text).
 """
 
 from __future__ import annotations

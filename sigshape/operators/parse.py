@@ -1,4 +1,7 @@
-"""Record -> fields: clean, split, width guard, positional -> named projection."""
+"""Record -> fields: clean, split, width guard, positional -> named projection.
+
+Inventory: P1/P2 (value, drop null/empty), P6 (positional -> named), P7 (width guard).
+"""
 
 from __future__ import annotations
 

@@ -1,4 +1,7 @@
-"""Tap: show the key and value of every record, no filter."""
+"""Tap: show the key and value of every record, no filter.
+
+Inventory: K4.
+"""
 
 from __future__ import annotations
 

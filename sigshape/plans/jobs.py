@@ -17,6 +17,8 @@ Command line (arguments instead of a properties file)::
 
     python -m sigshape.plans.jobs region-split --brokers h:9092 --topics in \\
         --topic-in region_in --topic-out region_out
+
+Inventory: the three jobs end to end; S3/S4 via ``KafkaEnds``.
 """
 
 from __future__ import annotations

@@ -8,6 +8,8 @@ there. On a record table the same questions are aggregates and joins:
 * start    = stored position, else the reset policy (earliest / latest / none)
 * resolved = start clamped into [earliest, latest], with a status
 * replay   = records at or after the resolved start
+
+Inventory: S3 (start position), S5 (bounds), S6 (clamp, replay, restart JSON).
 """
 
 from __future__ import annotations

@@ -4,6 +4,8 @@ A record is what a Kafka consumer sees: ``topic, partition, offset,
 timestamp, key, value`` (key/value decoded as strings). Landed tables carry
 an extra ``batch_id`` naming the micro-batch the record arrived in; on a
 live stream the micro-batch id plays that role.
+
+Inventory: S1 (record source), S2 (topic subscribe), S3/S4 (start policy and secured switch in the Kafka options), T1 on tables (``assign_batches``).
 """
 
 from __future__ import annotations

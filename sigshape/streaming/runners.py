@@ -10,6 +10,8 @@
 ``start_*`` functions build live queries (Kafka or files in, any sink out).
 ``replay_landed`` drives a query over a landed record table one batch at a
 time, which is how tests and the query registry exercise the streams here.
+
+Inventory: T1 (processing-time trigger), T2 (per-batch action), T3 (persist only when read twice), T4 (batch metrics), K4 stream sinks.
 """
 
 from __future__ import annotations

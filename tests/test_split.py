@@ -69,7 +69,7 @@ def test_decode_escapes_rejects_bad_unicode(text):
 
 @pytest.mark.parametrize("text,want", [
     ("a,b,a", ["a", "b"]), ("a,b,", ["a", "b"]), (",a", ["", "a"]), ("", [""]), (",", []),
-    ("a, b", ["a", " b"]),
+    ("a, b", ["a", " b"]), ("test", ["test"]),
 ])
 def test_topic_set_like_string_split(text, want):
     assert topic_set(text) == want

@@ -46,6 +46,12 @@ class RegionSplitConf:
     batch_interval_s: int = 60
     on_malformed: str = "fail"          # or "quarantine"
 
+    def __post_init__(self):
+        if self.on_malformed not in ("fail", "quarantine"):
+            raise ValueError("on_malformed must be 'fail' or 'quarantine'")
+        if self.batch_interval_s <= 0:
+            raise ValueError("batch_interval_s must be positive")
+
 
 @dataclass(frozen=True)
 class DedupConf:
@@ -62,6 +68,8 @@ class DedupConf:
     def __post_init__(self):
         if self.on_malformed not in ("fail", "quarantine"):
             raise ValueError("on_malformed must be 'fail' or 'quarantine'")
+        if self.batch_interval_s <= 0:
+            raise ValueError("batch_interval_s must be positive")
         if not self.key_index:
             raise ValueError("key_index must name at least one field")
         if any(int(i) < 0 for i in self.key_index):

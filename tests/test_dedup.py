@@ -127,3 +127,13 @@ def test_dedup_matches_python_model(spark, rows):
     want_any = sorted((b, k, v[1]) for (b, k), v in best_any.items())
     for method in ("row_number", "max_by"):
         assert sorted(map(tuple, dedup_any(df, conf, method).collect())) == want_any
+
+
+def test_job_conf_validation():
+    from sigshape.conf import RegionSplitConf
+    with pytest.raises(ValueError):
+        RegionSplitConf(on_malformed="skip")
+    with pytest.raises(ValueError):
+        RegionSplitConf(batch_interval_s=0)
+    with pytest.raises(ValueError):
+        DedupConf(on_malformed="drop")

@@ -13,7 +13,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(cores="*", shuffle_partitions=8, app="sigshape-tests")
+    # SIGSHAPE_TEST_ANSI=false runs the suite with ANSI mode off: the library
+    # must not depend on it (its guards raise explicitly).
+    ansi = os.environ.get("SIGSHAPE_TEST_ANSI", "true")
+    s = local_session(cores="*", shuffle_partitions=8, app="sigshape-tests",
+                      extra={"spark.sql.ansi.enabled": ansi})
     if s.sparkContext.getCheckpointDir() is None:
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sigshape-test-ckpt-"))
     yield s

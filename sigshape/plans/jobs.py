@@ -24,6 +24,7 @@ Inventory: the three jobs end to end; S3/S4 via ``KafkaEnds``.
 from __future__ import annotations
 
 import argparse
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -34,8 +35,8 @@ from ..operators.dedup import DEFAULT_METHOD
 from ..session import job_path
 from ..sources.records import kafka_options, stream_records
 from ..sources.sinks import producer_options
-from ..streaming.runners import (dedup_writer, kafka_batch_sink, region_split_writer, start,
-                                 tap_writer)
+from ..streaming.runners import (BatchTimeLogger, dedup_writer, kafka_batch_sink,
+                                 region_split_writer, start, tap_writer)
 
 
 @dataclass(frozen=True)
@@ -182,6 +183,8 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     if a.in_path is None and not cfg["brokers"]:
         raise SystemExit("give --brokers/--topics (Kafka), --properties, or --in-path (landed record files)")
     spark = spark or SparkSession.builder.appName(f"sigshape-{a.job}").getOrCreate()
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
+    spark.streams.addListener(BatchTimeLogger())        # per-batch rows and elapsed seconds
     ends = None
     if a.in_path is None:
         ends = KafkaEnds(cfg["brokers"], cfg["topics"] or "", cfg["secured"], cfg["starting"],

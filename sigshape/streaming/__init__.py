@@ -1,7 +1,7 @@
-from .runners import (DedupBatchWriter, RegionSplitBatchWriter, Replay, dedup_writer,
+from .runners import (BatchTimeLogger, DedupBatchWriter, RegionSplitBatchWriter, Replay, dedup_writer,
                       progress_metrics, records_writer, region_split_writer, replay_dedup,
                       replay_landed, start, tap_writer)
 
-__all__ = ["DedupBatchWriter", "RegionSplitBatchWriter", "Replay", "dedup_writer",
+__all__ = ["BatchTimeLogger", "DedupBatchWriter", "RegionSplitBatchWriter", "Replay", "dedup_writer",
            "progress_metrics", "records_writer", "region_split_writer", "replay_dedup",
            "replay_landed", "start", "tap_writer"]

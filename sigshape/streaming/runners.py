@@ -16,6 +16,7 @@ Inventory: T1 (processing-time trigger), T2 (per-batch action), T3 (persist only
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from collections.abc import Callable
@@ -23,7 +24,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..conf import DedupConf, RegionSplitConf
 from ..operators.dedup import DEFAULT_METHOD, dedup, malformed_lines
@@ -33,6 +34,35 @@ from ..session import scratch_path
 from ..sources.records import RECORD_SCHEMA, stream_records
 
 METRICS_SCHEMA = "batch_id bigint, rows_in bigint, rows_out bigint, seconds double"
+log = logging.getLogger("sigshape.streaming")
+
+
+class BatchTimeLogger(StreamingQueryListener):
+    """Logs every micro-batch of the session's streams (query name, batch id,
+    input rows, seconds) and keeps the last ``keep`` entries in ``batches``:
+    the per-batch elapsed-time record of a long-running job, which
+    ``recentProgress`` only holds for its last updates."""
+
+    def __init__(self, keep: int = 10_000):
+        self.keep = keep
+        self.batches: list[tuple] = []
+
+    def onQueryStarted(self, event):
+        log.info("stream %s started", event.name or event.id)
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        secs = (p.durationMs or {}).get("triggerExecution", 0) / 1000.0
+        entry = (p.name or str(p.id), int(p.batchId), int(p.numInputRows), round(secs, 3))
+        self.batches.append(entry)
+        del self.batches[:-self.keep]
+        log.info("stream %s batch %d: %d rows in %.3f s", *entry)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        log.info("stream %s stopped%s", event.id, f": {event.exception}" if event.exception else "")
 
 
 def parquet_batch_sink(out_path: str) -> Callable[[DataFrame, int], None]:

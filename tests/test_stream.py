@@ -67,3 +67,20 @@ def test_landing_a_stream_gives_a_readable_record_table(spark, tmp_path):
     assert a == sorted(map(tuple, offset_bounds(recs).collect()))
     got = sorted((r.offset, r.value) for r in back.select("offset", "value").collect())
     assert got == sorted((r.offset, r.value) for r in recs.select("offset", "value").collect())
+
+
+def test_batch_time_logger_sees_every_micro_batch(spark):
+    import time as _time
+    from sigshape.streaming.runners import BatchTimeLogger, tap_writer
+    listener = BatchTimeLogger()
+    spark.streams.addListener(listener)
+    try:
+        recs = event_records(spark, SF_SMALL)
+        r = replay_landed(spark, recs, "t-listener", tap_writer)
+        deadline = _time.time() + 30                # listener events arrive asynchronously
+        while _time.time() < deadline and sum(b[2] for b in listener.batches) < recs.count():
+            _time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert sum(b[2] for b in listener.batches) == recs.count()
+    assert len([b for b in listener.batches if b[2] > 0]) == len(r.batch_ids)

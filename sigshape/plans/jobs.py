@@ -152,6 +152,9 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+_LOGGERS: dict[int, BatchTimeLogger] = {}
+
+
 def _from_args(a) -> dict:
     on_malformed = "quarantine" if a.quarantine else "fail"
     if a.job == "region-split":
@@ -184,7 +187,9 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         raise SystemExit("give --brokers/--topics (Kafka), --properties, or --in-path (landed record files)")
     spark = spark or SparkSession.builder.appName(f"sigshape-{a.job}").getOrCreate()
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
-    spark.streams.addListener(BatchTimeLogger())        # per-batch rows and elapsed seconds
+    if id(spark) not in _LOGGERS:                       # per-batch rows and elapsed seconds
+        _LOGGERS[id(spark)] = BatchTimeLogger()
+        spark.streams.addListener(_LOGGERS[id(spark)])
     ends = None
     if a.in_path is None:
         ends = KafkaEnds(cfg["brokers"], cfg["topics"] or "", cfg["secured"], cfg["starting"],

@@ -35,6 +35,7 @@ from ..sources.records import RECORD_SCHEMA, stream_records
 
 METRICS_SCHEMA = "batch_id bigint, rows_in bigint, rows_out bigint, seconds double"
 log = logging.getLogger("sigshape.streaming")
+FILE_SINKS = ("parquet", "orc", "json", "csv")
 
 
 class BatchTimeLogger(StreamingQueryListener):
@@ -169,7 +170,9 @@ def region_split_writer(stream: DataFrame, out_path: str | None, conf: RegionSpl
         return stream.writeStream.foreachBatch(body)
     w = region_fanout(stream, conf).writeStream.outputMode("append").format(sink)
     w = w.options(**(sink_options or {}))
-    return w if sink == "kafka" else w.partitionBy("topic").option("path", out_path)
+    if sink in FILE_SINKS:
+        return w.partitionBy("topic").option("path", out_path)
+    return w if sink != "memory" else w.queryName(out_path or "region_messages")
 
 
 def tap_writer(stream: DataFrame, out_path: str, sink: str = "parquet") -> DataStreamWriter:

@@ -84,3 +84,17 @@ def test_batch_time_logger_sees_every_micro_batch(spark):
         spark.streams.removeListener(listener)
     assert sum(b[2] for b in listener.batches) == recs.count()
     assert len([b for b in listener.batches if b[2] > 0]) == len(r.batch_ids)
+
+
+def test_fanout_to_memory_sink(spark, tmp_path):
+    import uuid
+    from sigshape.sources.records import stream_records
+    from sigshape.streaming.runners import region_split_writer, start
+    recs = wide_signal_records(spark, SF_SMALL)
+    recs.write.parquet(str(tmp_path / "in"))
+    name = f"fan_{uuid.uuid4().hex[:8]}"
+    q = start(region_split_writer(stream_records(spark, "parquet", str(tmp_path / "in")), name,
+                                  sink="memory"),
+              checkpoint=str(tmp_path / "ckpt"), available_now=True)
+    q.awaitTermination()
+    assert spark.table(name).count() == region_fanout(recs).count()

@@ -81,3 +81,42 @@ def test_starting_offsets_json_from_resolved(spark):
     assert json.loads(starting_offsets_json([("a", 0, EARLIEST)])) == {"a": {"0": -2}}
     with pytest.raises(ValueError):
         resolved_positions(resolved, max_rows=1)
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+PARTS = st.dictionaries(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 2)),
+                        st.lists(st.integers(0, 60), min_size=1, max_size=8, unique=True),
+                        min_size=1, max_size=4)
+
+
+@settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(PARTS, st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 2), st.integers(-5, 80)),
+                       max_size=5, unique_by=lambda x: (x[0], x[1])),
+       st.sampled_from(["earliest", "latest", "none"]))
+def test_replay_matches_model(spark, parts, stored, reset):
+    from sigshape.sources.records import RECORD_SCHEMA
+    data = [(t, p, o, None, None, f"{t}{p}:{o}", 0) for (t, p), offs in parts.items() for o in offs]
+    recs = spark.createDataFrame(data, RECORD_SCHEMA)
+    pos = positions_frame(spark, stored) if stored else spark.createDataFrame([], "topic string, partition int, cur bigint")
+    stored_map = {(t, p): c for t, p, c in stored}
+    expected, must_fail = set(), False
+    for (t, p), offs in parts.items():
+        lo, hi = min(offs), max(offs) + 1
+        if (t, p) in stored_map:
+            start = min(max(stored_map[(t, p)], lo), hi)
+        elif reset == "earliest":
+            start = lo
+        elif reset == "latest":
+            start = hi
+        else:
+            must_fail = True
+            continue
+        expected |= {(t, p, o) for o in offs if o >= start}
+    out = replay_from_offsets(recs, pos, reset, committed_rows=len(stored))
+    if must_fail:
+        with pytest.raises(Exception, match="reset policy none"):
+            out.collect()
+        return
+    assert {(r.topic, r.partition, r.offset) for r in out.collect()} == expected

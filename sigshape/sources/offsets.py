@@ -103,7 +103,9 @@ def replay_from_offsets(records: DataFrame, committed: DataFrame, reset: str = "
     record. With ``latest`` a coarse bound (stored topics, ``offset >=
     min(stored)``) is added, which the scan uses for partition pruning and
     row-group skipping.
-    ``offset_resolve`` reports the clamped starts and their status.
+    ``offset_resolve`` reports the clamped starts and their status; a stored
+    position for a partition with no landed records selects nothing here,
+    and ``offset_resolve`` flags it as an error.
     """
     if reset not in RESET_POLICIES:
         raise ValueError(f"reset must be one of {RESET_POLICIES}")

@@ -115,3 +115,22 @@ def test_assign_batches_rebuilds_interval_windows(spark):
     assert {r.batch_id for r in kept.select("batch_id").collect()} == {7}
     with pytest.raises(ValueError):
         assign_batches(recs, 0)
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(-2_208_988_800_000, 4_102_444_800_000), min_size=10, max_size=40))
+def test_time_functions_match_python_model(spark, values):
+    import datetime as dt
+    epoch = dt.datetime(1970, 1, 1)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, ms bigint")
+    got = df.select("i", epoch_ms_to_text("ms").alias("a"), epoch_ms_to_text("ms", "HH:mm:ss").alias("b"),
+                    text_to_epoch_ms(epoch_ms_to_text("ms")).alias("c")).orderBy("i").collect()
+    for v, r in zip(values, got):
+        t = epoch + dt.timedelta(milliseconds=v)
+        assert r.a == t.strftime("%Y-%m-%d %H:%M:%S")
+        assert r.b == t.strftime("%H:%M:%S")
+        assert r.c == (v // 1000) * 1000            # seconds pattern: milliseconds truncated (floored)

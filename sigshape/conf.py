@@ -1,5 +1,6 @@
-"""Job settings as frozen dataclasses (passed as arguments, never read from
-files). Defaults are the values the reference jobs ship with."""
+"""Job settings as frozen dataclasses, built from arguments (or, through
+``plans.properties``, from an existing properties file). Defaults are the
+values the reference jobs ship with."""
 
 from __future__ import annotations
 
@@ -56,6 +57,8 @@ class RegionSplitConf:
 @dataclass(frozen=True)
 class DedupConf:
     """Per-batch dedup job (shipped config: ``IMSI|IMEI|MSISDN|BTIME|LAC|CI``)."""
+    # The shipped configuration (key fields, time field,
+    # separator, output topic, interval).
     key_index: tuple[int, ...] = (0, 4, 5)
     time_index: int = 3
     separator: str = "|"                # configuration text; escapes are decoded

@@ -183,3 +183,13 @@ def test_cli_with_properties_file(spark, tmp_path):
           "--name", f"t-props-{uuid.uuid4().hex}"], spark=spark)
     got = sorted(map(tuple, spark.read.parquet(out).select("batch_id", "key", "value").collect()))
     assert got == sorted(map(tuple, dedup_latest(recs).collect()))
+
+
+def test_example_properties_files_load():
+    import os
+    from sigshape.plans.properties import job_settings, load_properties
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "examples")
+    d = job_settings("dedup", load_properties(os.path.join(root, "dedup.properties")))
+    assert d["conf"].key_index == (0, 4, 5) and d["topics"] == "signals"
+    r = job_settings("region-split", load_properties(os.path.join(root, "region-split.properties")))
+    assert r["topics"] == "signals_wide" and r["conf"].topic_in == "region_current"

@@ -40,7 +40,8 @@ from sigshape.streaming.runners import (progress_metrics, region_split_writer,
                                         replay_dedup, replay_landed)
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-CPUS = os.environ.get("BENCH_CPUS", "8")
+_cpus = os.environ.get("BENCH_CPUS", "8").strip()
+CPUS = str(os.cpu_count() or 8) if _cpus in ("", "*") else _cpus
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 HEADLINE = ("region_fanout", "dedup_latest", "replay_from_offsets")
 

@@ -30,10 +30,17 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(QUERIES) - set(ORACLE) == {"batch_metrics"}
 
 
+SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER",
+                   "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(ORACLE[name])
+    oracle_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in df.dtypes} == oracle_types   # names and types
     res = con.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
@@ -49,14 +56,3 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) == set(ORACLE)
 
-
-SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER",
-                   "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
-
-
-@pytest.mark.parametrize("name", sorted(ORACLE))
-def test_query_column_types_match_oracle(spark, con, name):
-    df = QUERIES[name](spark, SF_SMALL)
-    rel = con.sql(ORACLE[name])
-    oracle_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
-    assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in df.dtypes} == oracle_types

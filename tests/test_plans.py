@@ -132,3 +132,44 @@ def test_join_small_broadcasts_only_below_the_limit(spark, landed):
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _shuffle_records(df):
+    """shuffleRecordsWritten of every exchange in the executed (adaptive) plan."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("Exchange"):
+            metric = node.metrics().get("shuffleRecordsWritten")
+            if metric.isDefined():
+                found.append(metric.get().value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+        if "QueryStage" in name:
+            walk(node.plan())
+    walk(plan.finalPhysicalPlan())
+    return found
+
+
+@pytest.mark.parametrize("method", ["row_number", "max_by"])
+def test_hot_key_ships_one_row_per_map_task(spark, method):
+    """A key holding a third of all rows adds one shuffled row per map task."""
+    from pyspark.sql import functions as F
+    n, tasks = 30_000, 12
+    hot = F.col("id") % 3 == 0
+    df = spark.range(n).repartition(tasks).select(
+        F.lit("t").alias("topic"), (F.col("id") % 4).cast("int").alias("partition"),
+        F.col("id").alias("offset"), F.lit(None).cast("timestamp_ntz").alias("timestamp"),
+        F.lit(None).cast("string").alias("key"),
+        F.concat_ws("|", F.when(hot, F.lit("HOT")).otherwise(F.col("id").cast("string")), F.lit("x"),
+                    F.lit("m"), (F.col("id") % 97).cast("string"), F.lit("L"), F.lit("C")).alias("value"),
+        F.lit(0).cast("bigint").alias("batch_id"))
+    out = dedup_latest(df, DedupConf(), method)
+    shuffled = _shuffle_records(out)
+    cold_keys = n - n // 3
+    assert min(shuffled) == cold_keys + tasks       # the input repartition shuffles all 30,000
+    assert out.count() == cold_keys + 1

@@ -173,3 +173,10 @@ def test_hot_key_ships_one_row_per_map_task(spark, method):
     cold_keys = n - n // 3
     assert min(shuffled) == cold_keys + tasks       # the input repartition shuffles all 30,000
     assert out.count() == cold_keys + 1
+
+
+def test_replay_shuffles_nothing(spark, landed):
+    _, events = landed
+    pos = positions_frame(spark, STORED_POSITIONS)
+    out = replay_from_offsets(events(), pos, "none", committed_rows=len(STORED_POSITIONS))
+    assert _shuffle_records(out) == []                 # broadcast join only

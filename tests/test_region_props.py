@@ -64,3 +64,29 @@ def test_fanout_matches_model(spark, lines):
     if invalid:
         with pytest.raises(Exception, match="shorter than driver"):
             region_fanout(records(spark, [(0, invalid[0])]), CONF).collect()
+
+
+LISTS = st.lists(st.tuples(st.lists(TOKEN, max_size=4), st.lists(TOKEN, max_size=5),
+                           st.lists(TOKEN, max_size=5)), min_size=1, max_size=20)
+
+
+@settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(LISTS)
+def test_parallel_explode_matches_model(spark, rows):
+    from sigshape.operators.explode import parallel_explode
+    df = spark.createDataFrame([(i, d, a, b) for i, (d, a, b) in enumerate(rows)],
+                               "id int, d array<string>, a array<string>, b array<string>")
+    good, bad = parallel_explode(df, "d", {"a": "a", "b": "b"}, keep=("id",), on_short="quarantine")
+    want_good, want_bad = [], []
+    for i, (d, a, b) in enumerate(rows):
+        if len(a) < len(d) or len(b) < len(d):
+            want_bad.append(i)
+            continue
+        want_good += [(i, k, d[k], a[k], b[k]) for k in range(len(d))]
+    assert sorted(map(tuple, good.collect())) == sorted(want_good)
+    assert sorted(r.id for r in bad.collect()) == sorted(want_bad)
+    ok_rows = [(i, d, a, b) for i, (d, a, b) in enumerate(rows) if i not in set(want_bad)]
+    if ok_rows:
+        ok_df = spark.createDataFrame(ok_rows, "id int, d array<string>, a array<string>, b array<string>")
+        strict = parallel_explode(ok_df, "d", {"a": "a", "b": "b"}, keep=("id",))
+        assert sorted(map(tuple, strict.collect())) == sorted(want_good)

@@ -7,11 +7,13 @@
   Each batch is written under ``epoch=<id>`` with overwrite, so a batch
   replayed after a failure replaces its own output instead of duplicating it.
 
-``start_*`` functions build live queries (Kafka or files in, any sink out).
+The ``*_writer`` functions build stream writers (Kafka or files in, any
+sink out) and ``start`` starts one with the job's processing-time trigger.
 ``replay_landed`` drives a query over a landed record table one batch at a
 time, which is how tests and the query registry exercise the streams here.
 
-Inventory: T1 (processing-time trigger), T2 (per-batch action), T3 (persist only when read twice), T4 (batch metrics), K4 stream sinks.
+Inventory: T1 (processing-time trigger), T2 (per-batch action), T3 (persist
+only when a batch is read twice), T4 (batch metrics), K4 stream sinks.
 """
 
 from __future__ import annotations

@@ -124,7 +124,7 @@ def tap_job(spark: SparkSession, conf: TapConf = TapConf(), ends: KafkaEnds | No
 
 
 def _parser() -> argparse.ArgumentParser:
-    p = argparse.ArgumentParser(prog="sigshape.plans.jobs")
+    p = argparse.ArgumentParser(prog="python -m sigshape")
     p.add_argument("job", choices=["region-split", "dedup", "tap"])
     p.add_argument("--properties", help="Java-style properties file with the job settings")
     p.add_argument("--brokers", help="Kafka brokers (else --in-path reads landed record files)")

@@ -6,6 +6,8 @@ table and is forced with the ``noop`` sink. All cases are warmed up twice,
 then timed in $BENCH_RUNS interleaved rounds; each value is the median.
 Prints ONE JSON line.
 
+``BENCH_SCALE=k`` lands k copies of the records (offsets shifted apart) for
+steady-state numbers; the default 1 measures the given tables as they are.
 Spark's event log goes to the scratch folder; one extra tagged run per case
 gives input records and shuffle volume per query (``io`` in the output).
 
@@ -43,6 +45,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 _cpus = os.environ.get("BENCH_CPUS", "8").strip()
 CPUS = str(os.cpu_count() or 8) if _cpus in ("", "*") else _cpus
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+SCALE = int(os.environ.get("BENCH_SCALE", "1"))   # >1: land that many copies (shifted offsets)
 HEADLINE = ("region_fanout", "dedup_latest", "replay_from_offsets")
 
 
@@ -97,6 +100,14 @@ def io_metrics(log_dir: str) -> dict[str, dict[str, int]]:
     return totals
 
 
+def scaled(df, k: int):
+    """``k`` copies of a record table with offsets shifted apart (steady-state runs)."""
+    out = df
+    for i in range(1, k):
+        out = out.unionByName(df.withColumn("offset", df["offset"] + i * 1_000_000_000))
+    return out
+
+
 def main() -> None:
     scratch = tempfile.mkdtemp(prefix="sigshape-bench-")
     log_dir = f"{scratch}/eventlog"
@@ -111,13 +122,15 @@ def main() -> None:
     q: dict[str, float] = {}
     # Land records as several files, as a topic with several partitions would.
     # The first landing warms the JVM up (class loading, JIT); the second is timed.
-    n_files = int(CPUS) * 2
+    n_files = int(CPUS) * 2 * SCALE
     for attempt in ("warm", "timed"):
         t = time.perf_counter()
-        wide_signal_records(spark, SF_DIR).repartition(n_files).write.parquet(f"{scratch}/wide-{attempt}")
+        scaled(wide_signal_records(spark, SF_DIR), SCALE).repartition(n_files).write.parquet(
+            f"{scratch}/wide-{attempt}")
         q["land_wide_lines"] = round(time.perf_counter() - t, 4)
         t = time.perf_counter()
-        event_records(spark, SF_DIR).repartition(n_files).write.parquet(f"{scratch}/events-{attempt}")
+        scaled(event_records(spark, SF_DIR), SCALE).repartition(n_files).write.parquet(
+            f"{scratch}/events-{attempt}")
         q["land_event_lines"] = round(time.perf_counter() - t, 4)
 
     wide = lambda: read_records(spark, "parquet", f"{scratch}/wide-timed")      # noqa: E731
@@ -181,6 +194,7 @@ def main() -> None:
         "unit": "sec",
         "queries": q,
         "sf": _sf(SF_DIR),
+        "scale": SCALE,
         "cpus": int(CPUS),
         "rows": {"wide_lines": n_wide, "messages": n_msgs, "event_lines": n_events},
         "rows_per_sec": {

@@ -92,7 +92,9 @@ def _from_kafka(df: DataFrame) -> DataFrame:
 
 def read_records(spark: SparkSession, source: str = "parquet", path: str | None = None,
                  options: dict | None = None) -> DataFrame:
-    """Read records as a table: a Kafka topic range or a landed record table."""
+    """Read records as a table: a Kafka topic range or a landed record table
+    in any file format (parquet, orc, json, ...). Text formats must have been
+    written with microsecond timestamps (JSON's default keeps milliseconds)."""
     if source == "kafka":
         return _from_kafka(spark.read.format("kafka").options(**(options or {})).load())
     reader = spark.read.format(source).schema(RECORD_SCHEMA).options(**(options or {}))

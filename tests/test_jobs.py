@@ -193,3 +193,19 @@ def test_example_properties_files_load():
     assert d["conf"].key_index == (0, 4, 5) and d["topics"] == "signals"
     r = job_settings("region-split", load_properties(os.path.join(root, "region-split.properties")))
     assert r["topics"] == "signals_wide" and r["conf"].topic_in == "region_current"
+
+
+def test_cli_region_split_with_properties_file(spark, tmp_path):
+    from sigshape.plans.jobs import main
+    props = tmp_path / "split.properties"
+    props.write_text("batch_interval=60\ntopic_name=wide\ntopic_name_in=cur\ntopic_name_out=left\n")
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    recs = wide_signal_records(spark, SF_SMALL)
+    recs.write.parquet(src)
+    main(["region-split", "--properties", str(props), "--in-path", src, "--out-path", out,
+          "--available-now", "--name", f"t-props-split-{uuid.uuid4().hex}"], spark=spark)
+    got = spark.read.parquet(out)
+    assert {r.topic for r in got.select("topic").distinct().collect()} == {"cur", "left"}
+    want = region_fanout(recs, RegionSplitConf(topic_in="cur", topic_out="left"))
+    assert sorted(map(tuple, got.select("topic", "key", "value").collect())) == \
+        sorted(map(tuple, want.collect()))

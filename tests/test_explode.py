@@ -163,3 +163,14 @@ def test_project_signal_guard_survives_count(spark):
     assert good.count() == 1 and good.first().region_code == "r1|r2"
     plan = good._jdf.queryExecution().executedPlan().toString()
     assert plan.count("split(") == 1            # the line is split once
+
+
+def test_row_functions_quarantine_too(spark):
+    df = records(spark, [(1, wide(width=33)), (2, wide(out_regions="a|b", out_in="x")), (3, wide())])
+    good_in, bad_in = region_in_rows(df, keep=("offset",), on_malformed="quarantine")
+    assert sorted({r.offset for r in good_in.collect()}) == [2, 3]      # line 2's current lists are fine
+    assert [(r.offset, r.reason) for r in bad_in.collect()] == [(1, "too few fields")]
+    good_out, bad_out = region_out_rows(df, keep=("offset",), on_malformed="quarantine")
+    assert sorted({r.offset for r in good_out.collect()}) == [3]
+    assert sorted((r.offset, r.reason) for r in bad_out.collect()) == [
+        (1, "too few fields"), (2, "short companion list")]

@@ -98,3 +98,17 @@ def test_fanout_to_memory_sink(spark, tmp_path):
               checkpoint=str(tmp_path / "ckpt"), available_now=True)
     q.awaitTermination()
     assert spark.table(name).count() == region_fanout(recs).count()
+
+
+def test_stream_records_rate_limit_by_files(spark, tmp_path):
+    from sigshape.sources.records import stream_records
+    from sigshape.streaming.runners import records_writer, start
+    recs = event_records(spark, SF_SMALL)
+    recs.repartition(3).write.parquet(str(tmp_path / "in"))           # three files
+    q = start(records_writer(stream_records(spark, "parquet", str(tmp_path / "in"),
+                                            max_files_per_trigger=1), str(tmp_path / "out")),
+              str(tmp_path / "ckpt"), available_now=True)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3
+    assert spark.read.parquet(str(tmp_path / "out")).count() == recs.count()

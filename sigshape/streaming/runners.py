@@ -185,8 +185,10 @@ def tap_writer(stream: DataFrame, out_path: str, sink: str = "parquet") -> DataS
         lines = lines.select("line")
     w = lines.writeStream.outputMode("append").format(sink)
     if sink == "console":
-        w = w.option("truncate", "false")
-    return w if sink in ("console", "memory") else w.option("path", out_path)
+        return w.option("truncate", "false")
+    if sink == "memory":
+        return w.queryName(out_path or "tap_lines")
+    return w.option("path", out_path)
 
 
 def records_writer(stream: DataFrame, out_path: str) -> DataStreamWriter:

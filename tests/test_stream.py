@@ -112,3 +112,16 @@ def test_stream_records_rate_limit_by_files(spark, tmp_path):
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 3
     assert spark.read.parquet(str(tmp_path / "out")).count() == recs.count()
+
+
+def test_tap_to_memory_sink(spark, tmp_path):
+    import uuid
+    from sigshape.sources.records import stream_records
+    from sigshape.streaming.runners import start, tap_writer
+    recs = event_records(spark, SF_SMALL)
+    recs.write.parquet(str(tmp_path / "in"))
+    name = f"tap_{uuid.uuid4().hex[:8]}"
+    q = start(tap_writer(stream_records(spark, "parquet", str(tmp_path / "in")), name, sink="memory"),
+              str(tmp_path / "ckpt"), available_now=True)
+    q.awaitTermination()
+    assert spark.table(name).count() == recs.count()

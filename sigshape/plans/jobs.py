@@ -76,10 +76,10 @@ class KafkaEnds:
         return opts
 
 
-def _source(spark: SparkSession, ends: KafkaEnds | None, path: str | None):
+def _source(spark: SparkSession, ends: KafkaEnds | None, path: str | None, fmt: str = "parquet"):
     if ends is not None:
         return stream_records(spark, "kafka", options=ends.source_options())
-    return stream_records(spark, "parquet", path)
+    return stream_records(spark, fmt, path)
 
 
 def _quarantine_path(spark, name, on_malformed, given):
@@ -91,8 +91,9 @@ def _quarantine_path(spark, name, on_malformed, given):
 def region_split_job(spark: SparkSession, conf: RegionSplitConf = RegionSplitConf(),
                      ends: KafkaEnds | None = None, in_path: str | None = None,
                      out_path: str | None = None, name: str = "region-split",
-                     quarantine_path: str | None = None, available_now: bool = False) -> StreamingQuery:
-    stream = _source(spark, ends, in_path)
+                     quarantine_path: str | None = None, available_now: bool = False,
+                     in_format: str = "parquet") -> StreamingQuery:
+    stream = _source(spark, ends, in_path, in_format)
     qpath = _quarantine_path(spark, name, conf.on_malformed, quarantine_path)
     if ends is not None:
         writer = region_split_writer(stream, None, conf, sink="kafka", sink_options=ends.sink_options(),
@@ -106,8 +107,9 @@ def region_split_job(spark: SparkSession, conf: RegionSplitConf = RegionSplitCon
 def dedup_job(spark: SparkSession, conf: DedupConf = DedupConf(), ends: KafkaEnds | None = None,
               in_path: str | None = None, out_path: str | None = None,
               method: str = DEFAULT_METHOD, name: str = "dedup",
-              quarantine_path: str | None = None, available_now: bool = False) -> StreamingQuery:
-    stream = _source(spark, ends, in_path)
+              quarantine_path: str | None = None, available_now: bool = False,
+              in_format: str = "parquet") -> StreamingQuery:
+    stream = _source(spark, ends, in_path, in_format)
     sink = kafka_batch_sink(ends.sink_options(), conf.topic_out) if ends is not None else None
     qpath = _quarantine_path(spark, name, conf.on_malformed, quarantine_path)
     writer, _ = dedup_writer(stream, out_path, conf, method, sink, qpath)
@@ -117,8 +119,9 @@ def dedup_job(spark: SparkSession, conf: DedupConf = DedupConf(), ends: KafkaEnd
 
 def tap_job(spark: SparkSession, conf: TapConf = TapConf(), ends: KafkaEnds | None = None,
             in_path: str | None = None, sink: str = "console", out_path: str | None = None,
-            name: str = "tap", available_now: bool = False) -> StreamingQuery:
-    writer = tap_writer(_source(spark, ends, in_path), out_path, sink)
+            name: str = "tap", available_now: bool = False,
+            in_format: str = "parquet") -> StreamingQuery:
+    writer = tap_writer(_source(spark, ends, in_path, in_format), out_path, sink)
     return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s,
                  available_now=available_now)
 
@@ -130,6 +133,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--brokers", help="Kafka brokers (else --in-path reads landed record files)")
     p.add_argument("--topics", help="comma list of input topics")
     p.add_argument("--in-path", help="folder of landed record files (instead of Kafka)")
+    p.add_argument("--in-format", default="parquet", help="file format of --in-path (parquet, orc, json)")
     p.add_argument("--out-path", help="output folder when not writing to Kafka")
     p.add_argument("--name", help="job name (its checkpoint folder under spark.checkpoint.dir)")
     p.add_argument("--available-now", action="store_true",
@@ -196,7 +200,8 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
                          a.starting_offsets_json, cfg["group_id"],
                          max_offsets_per_trigger=a.max_offsets_per_trigger,
                          min_partitions=a.min_partitions)
-    common = dict(ends=ends, in_path=a.in_path, out_path=a.out_path, available_now=a.available_now)
+    common = dict(ends=ends, in_path=a.in_path, out_path=a.out_path, available_now=a.available_now,
+                  in_format=a.in_format)
     if a.name:
         common["name"] = a.name
     if a.job == "region-split":

@@ -209,3 +209,13 @@ def test_cli_region_split_with_properties_file(spark, tmp_path):
     want = region_fanout(recs, RegionSplitConf(topic_in="cur", topic_out="left"))
     assert sorted(map(tuple, got.select("topic", "key", "value").collect())) == \
         sorted(map(tuple, want.collect()))
+
+
+def test_cli_reads_orc_landed_records(spark, tmp_path):
+    from sigshape.plans.jobs import main
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    recs = event_records(spark, SF_SMALL)
+    recs.write.orc(src)
+    main(["tap", "--in-path", src, "--in-format", "orc", "--out-path", out, "--available-now",
+          "--name", f"t-orc-{uuid.uuid4().hex}"], spark=spark)
+    assert spark.read.text(out).count() == recs.count()

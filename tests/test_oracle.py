@@ -56,3 +56,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) == set(ORACLE)
 
+
+
+def test_rows_only_query_has_a_stable_schema(spark):
+    df = QUERIES["batch_metrics"](spark, SF_SMALL)
+    assert df.dtypes == [("batch_id", "bigint"), ("rows_in", "bigint"), ("rows_out", "bigint"),
+                         ("seconds", "double")]
+    rows = df.collect()
+    assert len(rows) == 4 and sum(r.rows_in for r in rows) == 1000

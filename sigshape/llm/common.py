@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,6 +47,27 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once (``addPyFile``), so that Python
+    workers can import it wherever the driver found it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="sigshape-"), "sigshape.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("sigshape", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def gapless_rank(df: DataFrame, group: str, cells: Column, salt: list[str], order: list[str],
                  rank: str = "rank") -> DataFrame:
     """``df`` with ``rank``: 0, 1, 2 ... within each ``group``, whatever its size.

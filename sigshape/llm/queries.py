@@ -6,12 +6,51 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_groups
+from .packing import pack
+from .quality import score_quality
+from .sharding import shard_rows
+from .simhash import near_duplicates
+from .toxicity import score_toxicity
+
+#: The public vocabulary file that documents are packed with.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file(TOKENIZER))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op2_quality": op2_quality,
+    "op3_simhash": op3_simhash,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_sharding": op6_sharding,
+    "op8_packing": op8_packing,
+    "op9_toxicity": op9_toxicity,
 }

@@ -12,5 +12,47 @@ g AS (
          count(*) OVER (PARTITION BY norm) AS group_size
   FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
+""",
+    "op10_decontamination": """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, array_to_string(w[s:s + 9], ' ') AS phrase, least(len(w), 10) AS k, w[s:s + 9] AS terms
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM win),
+pos AS (
+  SELECT doc_id, k, s, array_to_string(w[s:s + k - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, ks WHERE len(w) >= k)),
+m AS (SELECT p.doc_id, p.s, p.k, win.item_id FROM pos p JOIN win ON p.phrase = win.phrase AND p.k = win.k),
+hit AS (
+  SELECT doc_id, count(*) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(s, s + k)) AS x FROM m) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM m) GROUP BY doc_id),
+term AS (SELECT phrase, t, min(o) AS o FROM (SELECT phrase, unnest(terms) AS t, unnest(range(len(terms))) AS o FROM
+         (SELECT DISTINCT phrase, terms FROM win)) GROUP BY phrase, t),
+dw AS (SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS at FROM d),
+freq AS (SELECT t, count(*) AS n FROM dw GROUP BY t),
+anchor AS (
+  SELECT phrase, t FROM (
+    SELECT phrase, term.t, row_number() OVER (PARTITION BY phrase ORDER BY coalesce(n, 0), term.t) AS r
+    FROM term LEFT JOIN freq ON term.t = freq.t) WHERE r = 1),
+cand AS (
+  SELECT DISTINCT d.doc_id, a.phrase, d.w[greatest(dw.at - 15, 0) + 1:dw.at + 16] AS around
+  FROM dw JOIN anchor a ON dw.t = a.t JOIN d ON d.doc_id = dw.doc_id),
+near AS (
+  SELECT c.doc_id, count(DISTINCT win.item_id) AS n_near
+  FROM cand c JOIN win ON c.phrase = win.phrase WHERE list_has_all(c.around, win.terms) GROUP BY c.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """,
 }

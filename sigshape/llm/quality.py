@@ -225,3 +225,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     return (docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"),
                         quality_score(model, F.col(text_col)).alias("score"))
             .withColumn("predicted", (F.col("score") >= KEEP_AT).cast("int")))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that the classifier rejects; all columns stay."""
+    model = fit_quality(docs, labels, id_col, text_col)
+    return docs.where(quality_score(model, F.col(text_col)) >= KEEP_AT)

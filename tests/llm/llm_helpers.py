@@ -1,0 +1,34 @@
+"""Small document tables with every awkward case."""
+import re
+
+from pyspark.sql import types as T
+
+SF_SMALL = "/root/testdata/sf0.001"
+DOCS = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+    T.StructField("n_chars", T.LongType()),
+    # names that the operators use for their own columns
+    T.StructField("key", T.StringType()), T.StructField("hash", T.StringType()), T.StructField("fp", T.LongType()),
+    T.StructField("kept", T.StringType()), T.StructField("length", T.StringType()), T.StructField("rank", T.StringType())])
+
+
+def docs_frame(spark, rows):
+    """Documents from (doc_id, text) pairs, with extra columns of clashing names."""
+    return spark.createDataFrame([(i, t, None, "s", None, "k", "h", 1, "x", "l", "r") for i, t in rows], DOCS)
+
+
+def small_documents(spark):
+    return spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+
+
+EDGE = [(1, None), (2, ""), (3, " \t\n"), (4, "One two three"), (4, "One two three"), (5, "one  two three"),
+        (None, "a null id"), (6, "é" * 30 + " ÀB"), (7, "word " * 30_000), (8, "One two three")]
+
+
+def ascii_lower(t):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+
+
+def contract_words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(t or ""))

@@ -34,8 +34,10 @@ WINDOW = 2048
 END_ID = 1
 #: Lengths are solved for in classes of so many tokens.
 CLASS_TOKENS = 8
-#: Words whose ids a Python worker remembers.
-WORD_CACHE = 600_000
+#: A Python worker remembers the ids of up to twice as many words.
+WORD_CACHE = 700_000
+#: Texts whose new words are tokenized in one call.
+TEXTS_AT_ONCE = 256
 
 _PIECES = "doc_id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -56,27 +58,37 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> None:
-        stems = [w[:-1] if len(w) > 1 and w[-1] in ",." and w[-2].isalpha() else w for w in words]
-        fresh = list({s for s in stems} | {",", "."})
+        self.older: dict[str, bytes] = {}
+
+    def _learn(self, words: set[str]) -> None:
+        """Makes ``words`` known; half of the memory is dropped when it is full,
+        words used since the last time stay."""
+        if len(self.known) > WORD_CACHE:
+            self.older, self.known = self.known, {}
+        new = []
+        for w in words:
+            if w in self.known:
+                continue
+            if w in self.older:
+                self.known[w] = self.older[w]
+            else:
+                new.append(w)
+        stems = [w[:-1] if len(w) > 1 and w[-1] in ",." and w[-2].isalpha() else w for w in new]
+        fresh = list({s for s in stems if s not in self.known} | {",", "."})
         for s, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
             self.known[s] = np.array(e.ids, "<u4").tobytes()
-        for w, s in zip(words, stems):
+        for w, s in zip(new, stems):
             if w != s:
                 self.known[w] = self.known[s] + self.known[w[-1]]
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        for text in texts:
-            if len(self.known) > WORD_CACHE:
-                self.known.clear()
-            text = text.replace("\n", " ")
-            words = (text.lower() if text.isascii() else text).split(" ")
-            fresh = {w for w in words if w not in self.known}
-            if fresh:
-                self._encode(list(fresh))
-            yield b"".join([self.known[w] for w in words])
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            split = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts[at:at + TEXTS_AT_ONCE]]
+            self._learn(set().union(*split))
+            get = self.known.__getitem__
+            for words in split:
+                yield b"".join(map(get, words))
 
 
 _loaded: dict[str, WordTokenizer] = {}

@@ -1,14 +1,18 @@
 """Epoch milliseconds <-> text, independent of the session time zone.
 
-Values go through ``TIMESTAMP_NTZ`` (wall-clock) arithmetic, so results do
-not depend on ``spark.sql.session.timeZone``. ``tz`` names the zone the text
-is written in; the default is UTC.
+Values go through ``TIMESTAMP_NTZ`` (wall-clock) arithmetic on its calendar
+fields. Nothing is cast to a zoned timestamp on the way (``date_format`` and
+``timestamp_diff`` do that, and lose the hour that a zone's clock change
+skips), so results do not depend on ``spark.sql.session.timeZone``. ``tz``
+names the zone the text is written in; the default is UTC.
 
 Inventory: F1-F4.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,22 +34,56 @@ def ms_to_wallclock(ms, tz: str = "UTC") -> Column:
     return ntz
 
 
+def _day_ms(ntz: Column) -> Column:
+    """Milliseconds since midnight of a TIMESTAMP_NTZ."""
+    seconds = F.extract(F.lit("SECOND"), ntz)                    # with its fraction
+    return (F.hour(ntz).cast("bigint") * 3_600_000 + F.minute(ntz) * 60_000
+            + F.floor(seconds * 1000).cast("bigint"))
+
+
 def wallclock_to_ms(ntz, tz: str = "UTC") -> Column:
     """TIMESTAMP_NTZ wall-clock time in ``tz`` -> epoch ms."""
     c = as_col(ntz)
     if tz.upper() != "UTC":
         c = F.convert_timezone(F.lit(tz), F.lit("UTC"), c)
-    return F.timestamp_diff("MILLISECOND", _epoch(), c)
+    return F.unix_date(c.cast("date")).cast("bigint") * 86_400_000 + _day_ms(c)
 
 
 def wallclock_to_seconds(ntz) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) -> whole epoch seconds."""
-    return F.timestamp_diff("SECOND", _epoch(), as_col(ntz))
+    """TIMESTAMP_NTZ (UTC wall clock) -> whole epoch seconds (the past rounds down)."""
+    return F.floor(wallclock_to_ms(ntz) / F.lit(1000)).cast("bigint")
+
+
+def instant_to_wallclock(ts) -> Column:
+    """TIMESTAMP (an instant) -> TIMESTAMP_NTZ in UTC, whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(as_col(ts)), _epoch())
+
+
+# Fixed-width fields of ``cast(ntz as string)``: pattern letters -> start, width.
+_FIELDS = {"yyyy": (1, 4), "MM": (6, 2), "dd": (9, 2), "HH": (12, 2), "mm": (15, 2), "ss": (18, 2)}
+_TOKEN = re.compile(r"([A-Za-z])\1*|[^A-Za-z]+")          # a run of one letter, or what is between
+
+
+def wallclock_to_text(ntz, pattern: str = DEFAULT_PATTERN) -> Column:
+    """Format a TIMESTAMP_NTZ with a datetime pattern, without any zone.
+
+    Patterns of plain fields and separators are substrings of the ISO text
+    (years 0 to 9999); all others go through the JSON writer, which has a
+    zone-free format option.
+    """
+    c = as_col(ntz)
+    written = F.get_json_object(F.to_json(F.struct(c.alias("t")), {"timestampNTZFormat": pattern}), "$.t")
+    tokens = [m.group(0) for m in _TOKEN.finditer(pattern)]
+    if any(t[0].isalpha() and t not in _FIELDS for t in tokens) or any(x in pattern for x in "'[]{}#"):
+        return written
+    iso = c.cast("string")
+    plain = F.concat(*[F.substring(iso, *_FIELDS[t]) if t in _FIELDS else F.lit(t) for t in tokens])
+    return F.when(F.year(c).between(0, 9999), plain).otherwise(written)
 
 
 def epoch_ms_to_text(ms, pattern: str = DEFAULT_PATTERN, tz: str = "UTC") -> Column:
     """Format epoch ms with ``pattern``; sub-pattern precision is truncated."""
-    return F.date_format(ms_to_wallclock(ms, tz), pattern)
+    return wallclock_to_text(ms_to_wallclock(ms, tz), pattern)
 
 
 def text_to_epoch_ms(text, pattern: str = DEFAULT_PATTERN, tz: str = "UTC",

@@ -95,8 +95,41 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     before = snapshot()
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
-        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
-        assert snapshot() == before
+        for zone in ("Asia/Kolkata", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert snapshot() == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+# 2024-03-10 02:30 does not exist in New York, 2024-11-03 01:30 exists twice there.
+@pytest.mark.parametrize("ms,text", [(1710037800000, "2024-03-10 02:30:00"), (1730597400000, "2024-11-03 01:30:00"),
+                                     (-1, "1969-12-31 23:59:59"), (0, "1970-01-01 00:00:00")])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "America/Sao_Paulo"])
+def test_hours_that_a_zone_skips_or_repeats(spark, zone, ms, text):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame([(ms, text)], "ms bigint, t string")
+        r = df.select(epoch_ms_to_text("ms").alias("a"), epoch_ms_to_text("ms", "HH:mm:ss").alias("b"),
+                      epoch_ms_to_text("ms", "EEE d MMM yy, h:mm a").alias("c"),
+                      text_to_epoch_ms("t").alias("d")).first()
+        assert (r.a, r.b, r.d) == (text, text[11:], ms // 1000 * 1000)
+        import datetime as dt
+        t = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=ms)
+        assert r.c == t.strftime("%a ") + str(t.day) + t.strftime(" %b %y, ") + str((t.hour + 11) % 12 + 1) + t.strftime(":%M %p")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_kafka_timestamps_are_utc_wall_clock_in_any_zone(spark):
+    from sigshape.sources.records import _from_kafka
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("SELECT CAST(NULL AS BINARY) AS key, CAST('v' AS BINARY) AS value, 't' AS topic, 0 AS partition, "
+                       "CAST(1 AS BIGINT) AS offset, timestamp_millis(1710037800123) AS timestamp, 0 AS timestampType")
+        assert str(_from_kafka(df).first().timestamp) == "2024-03-10 02:30:00.123000"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 

@@ -7,13 +7,13 @@ from __future__ import annotations
 
 from .registry import (COMMITTED_SUBSET, DEDUP_CONF, SPLIT_CONF, STORED_POSITIONS, TOPIC_LIST)
 from ..sources.records import topic_set
+from ..sources.testtables import PART_BLOCK
 
 # ---------------------------------------------------------------- fragments
 
 # Sort order of list elements inside a wide line.
 ELEM_ORDER = "l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate, l.l_returnflag, l.l_linestatus"
 NO_LINES = "NOT EXISTS (SELECT 1 FROM lineitem x WHERE x.l_orderkey = o.o_orderkey)"
-HAS_LINES = "EXISTS (SELECT 1 FROM lineitem x WHERE x.l_orderkey = o.o_orderkey)"
 
 IMSI = "CAST(o.o_custkey AS VARCHAR)"
 O_TS = "strftime(o.o_orderdate, '%Y%m%d%H%M%S')"
@@ -44,6 +44,8 @@ OUT_COLS = {
     "out_city": "CAST(o.o_orderkey % 100 AS VARCHAR)",
     "out_county": "CAST(o.o_orderkey % 1000 AS VARCHAR)",
 }
+# A wide line holds the items of one order and one block of part keys.
+UNIT = f"l.l_partkey // {PART_BLOCK}"
 WIDE_FROM = "FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey"
 
 
@@ -74,13 +76,21 @@ EVENTS_KEYED = (f"SELECT {E_BATCH} AS batch_id, {E_KEY} AS key, {E_LINE} AS valu
                 f"{E_PART} AS p, {E_OFF} AS o FROM events")
 
 
-def _dedup_sql(order: str) -> str:
+TIED = ("SELECT event_type, user_id, CAST(ts AS DATE) AS day, min(event_id) AS event_id FROM events GROUP BY 1, 2, 3")
+TIED_KEYED = (f"SELECT CAST(year(ts) AS BIGINT) AS batch_id, CAST(user_id AS VARCHAR) || '_' || CAST(user_id % 7 AS VARCHAR) AS key, "
+              f"{E_LINE} AS value, {E_TIME} AS t, event_type AS topic, {E_PART} AS p, "
+              f"user_id * 1000 + dayofyear(ts) AS o FROM events WHERE event_id IN (SELECT event_id FROM ({TIED}) x)")
+
+
+def _dedup_sql(order: str, keyed: str = EVENTS_KEYED) -> str:
     return ("SELECT batch_id, key, value FROM (SELECT *, row_number() OVER "
-            f"(PARTITION BY batch_id, key ORDER BY {order}) AS rn FROM ({EVENTS_KEYED}) k) r WHERE rn = 1")
+            f"(PARTITION BY batch_id, key ORDER BY {order}) AS rn FROM ({keyed}) k) r WHERE rn = 1")
 
 
 DEDUP_LATEST = _dedup_sql("t DESC, p DESC, o DESC")
 DEDUP_ANY = _dedup_sql("p ASC, o ASC")
+TIED_LATEST = _dedup_sql("t DESC, topic DESC, p DESC, o DESC", TIED_KEYED)
+TIED_ANY = _dedup_sql("topic ASC, p ASC, o ASC", TIED_KEYED)
 
 FIELD_EXPRS = [
     "CAST(event_id AS VARCHAR)",
@@ -134,11 +144,11 @@ PROJECT_SIGNAL = (
     f"{_agg(SHIP_DAY)} AS out_region_in_dt, "
     f"{_agg('CAST(l.l_linenumber AS VARCHAR)')} AS out_region_out_dt, "
     f"{_agg('l.l_linestatus')} AS out_region_stay "
-    f"{WIDE_FROM} GROUP BY o.o_orderkey, o.o_custkey, o.o_orderdate, o.o_orderstatus, o.o_orderpriority"
+    f"{WIDE_FROM} GROUP BY o.o_orderkey, o.o_custkey, o.o_orderdate, o.o_orderstatus, o.o_orderpriority, {UNIT}"
 )
 
-RANKED_LINES = (f"SELECT l.*, row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {ELEM_ORDER}) AS rn, "
-                "count(*) OVER (PARTITION BY l.l_orderkey) AS n FROM lineitem l")
+RANKED_LINES = (f"SELECT l.*, row_number() OVER (PARTITION BY l.l_orderkey, {UNIT} ORDER BY {ELEM_ORDER}) AS rn, "
+                f"count(*) OVER (PARTITION BY l.l_orderkey, {UNIT}) AS n FROM lineitem l")
 
 PARALLEL_EXPLODE = (
     f'SELECT o.o_orderkey AS "offset", CAST(r.rn - 1 AS INTEGER) AS pos, '
@@ -154,8 +164,9 @@ SPLIT_LIST_CELL = (
     "CAST(r.rn - 1 + CASE WHEN o.o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS INTEGER) AS pos, "
     "CAST(r.l_partkey AS VARCHAR) AS elem "
     f"FROM orders o JOIN ({RANKED_LINES}) r ON r.l_orderkey = o.o_orderkey "
-    "UNION ALL SELECT o.o_orderkey, CAST(0 AS INTEGER), '' FROM orders o "
-    f"WHERE o.o_orderkey % 5 = 0 AND {HAS_LINES} "
+    "UNION ALL SELECT u.o_orderkey, CAST(0 AS INTEGER), '' "
+    f"FROM (SELECT DISTINCT o.o_orderkey, {UNIT} FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey) u "
+    "WHERE u.o_orderkey % 5 = 0 "
     "UNION ALL SELECT o.o_orderkey, CAST(0 AS INTEGER), '' FROM orders o "
     f"WHERE o.o_orderkey % 5 <> 0 AND o.o_orderkey % 3 = 0 AND {NO_LINES}"
 )
@@ -163,6 +174,12 @@ SPLIT_LIST_CELL = (
 EVENT_RECORDS = (f'SELECT event_type AS topic, {E_PART} AS "partition", {E_OFF} AS "offset", '
                  f'ts AS "timestamp", {E_RECKEY} AS key, {E_LINE} AS value, {E_BATCH} AS batch_id FROM events')
 
+def _replay_sql(join: str, whole: str) -> str:
+    return (f'SELECT e.topic, e."partition", e."offset", e.value FROM ({EVENT_RECORDS}) e '
+            f'{join} {_values(COMMITTED_SUBSET)} c ON c.topic = e.topic AND c."partition" = e."partition" '
+            f'WHERE {whole}e."offset" >= c.cur')
+
+
 TAP = (f'SELECT {E_PART} AS "partition", {E_OFF} AS "offset", '
        f"'key:' || COALESCE({E_RECKEY}, 'null') || 'value:' || {E_LINE} AS line FROM events")
 
@@ -221,5 +238,13 @@ ORACLE: dict[str, str] = {
     "stream_region_fanout": REGION_FANOUT,
     "stream_dedup_latest": DEDUP_LATEST,
     "stream_tap": TAP,
-    # batch_metrics: timings are not repeatable; rows-only check.
+    "batch_metrics": (f"SELECT batch_id, count(*) AS rows_in, count(DISTINCT key) AS rows_out "
+                      f"FROM ({EVENTS_KEYED}) k GROUP BY batch_id"),
+    "stream_dedup_any": DEDUP_ANY,
+    "sink_messages": REGION_FANOUT,
+    "replay_earliest": _replay_sql("LEFT JOIN", "c.cur IS NULL OR "),
+    "replay_latest": _replay_sql("JOIN", ""),
+    "dedup_latest_tied_topics": TIED_LATEST,
+    "dedup_latest_max_by_tied_topics": TIED_LATEST,
+    "dedup_any_tied_topics": TIED_ANY,
 }

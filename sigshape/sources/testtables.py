@@ -4,17 +4,18 @@ The operators read message records; the test data is relational. These
 encoders derive records from it with Spark, so every query's work grows
 with the tables:
 
-* wide signalling lines: one per order (``orders`` LEFT JOIN lists of its
-  ``lineitem`` values), 34 comma-separated fields, seven of them
+* wide signalling lines: one per order and part block (``orders`` LEFT JOIN
+  lists of its ``lineitem`` values), 34 comma-separated fields, seven of them
   ``|``-joined parallel lists;
 * dedup lines: one per ``events`` row, ``IMSI|IMEI|MSISDN|BTIME|LAC|CI``;
 * field lines: ``events`` columns joined with a given separator, with blank
   middle and trailing fields.
 
-Scale notes: the only shuffles are the per-order list grouping and the
-join back to ``orders``. A list is capped at ``max_list`` elements per line:
-orders above the cap (found with a cheap partial aggregate) are spread over
-several lines by a hash of the element, so no group is unbounded.
+Scale notes: the only shuffles are the list grouping and the join back to
+``orders``; ``lineitem`` is read once, and only its six raw columns cross the
+shuffle. A list's unit is (order, block of part keys), the rows' own
+columns: an order that holds a third of all lines falls into as many units as
+it has part blocks, by the same rule as every other order.
 """
 
 from __future__ import annotations
@@ -22,11 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import wallclock_to_seconds
-from ..operators.sizing import join_small
+from ..functions.timefmt import wallclock_to_seconds, wallclock_to_text
 from .records import RECORD_COLUMNS
 
-MAX_LIST = 10_000
+PART_BLOCK = 1_000               # part keys that share a line of one order
 BATCH_SECONDS = 864_000          # 10-day batches for the events-based records
 
 LINE_ELEM = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus")
@@ -42,56 +42,24 @@ def _s(c) -> Column:
 
 # ------------------------------------------------------------ wide signalling lines
 
-def order_lists(spark: SparkSession, sf_dir: str, max_list: int = MAX_LIST) -> DataFrame:
-    """Sorted lineitem structs per (order, chunk); chunk is 0 unless the
-    order has more than ``max_list`` lines.
+def order_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(l_orderkey, unit, elems)``: sorted lineitem structs per order and
+    part block (``unit`` = part key div ``PART_BLOCK``).
 
-    Element text is formatted before the grouping (a codegen projection);
-    the struct starts with the sort key, so ``sort_array`` orders by it and
-    the cells are plain field extractions of the sorted array.
+    Rows are shuffled raw, as they are (a map-side partial collect_list shrinks
+    nothing, it only adds a sort); the text is formatted after the grouping.
+    The struct is the sort key, so ``sort_array`` orders by it.
     """
-    li = table(spark, sf_dir, "lineitem")
-    elem = F.struct(*LINE_ELEM,
-                    _s("l_partkey").alias("region"),
-                    F.date_format("l_shipdate", "yyyyMMddHHmmss").alias("ship_ts"),
-                    flag_text(F.col("l_returnflag")).alias("flag"),
-                    _s("l_suppkey").alias("out_region"),
-                    F.date_format("l_shipdate", "yyyyMMdd").alias("ship_day"),
-                    _s("l_linenumber").alias("line_no"))
-    return bounded_lists(li.select(F.col("l_orderkey"), elem.alias("e")), "l_orderkey", "e", max_list)
-
-
-def bounded_lists(df: DataFrame, key: str, elem: str, max_list: int = MAX_LIST) -> DataFrame:
-    """``(key, chunk, elems)``: sorted ``elem`` lists per key, at most about
-    ``max_list`` long.
-
-    Keys above the cap are found with a partial aggregate (one row per key
-    per task reaches the shuffle) and their elements spread over
-    ``ceil(n / max_list)`` chunks by a hash of the element; the grouping
-    then shuffles on (key, chunk), so a hot key is cut into many tasks'
-    worth of groups instead of one.
-    """
-    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > max_list)
-           .select(key, F.ceil(F.col("n") / F.lit(max_list)).alias("n_chunks")))
-    n_hot = hot.count()
-    # Rows are shuffled as they are (a map-side partial collect_list shrinks
-    # nothing, it only adds a hash/sort pass: measured 27% slower at sf0.1).
-    if n_hot == 0:
-        # Grouping by the key alone leaves the result hash-partitioned by it,
-        # so a following join on the key needs no second exchange.
-        return (df.repartition(key).groupBy(key)
-                .agg(F.sort_array(F.collect_list(elem)).alias("elems"))
-                .select(key, F.lit(0).alias("chunk"), "elems"))
-    df = (join_small(df, hot, key, "left", known_rows=n_hot)
-          .withColumn("chunk", F.coalesce(F.pmod(F.xxhash64(elem), F.col("n_chunks")), F.lit(0)))
-          .drop("n_chunks"))
-    return (df.repartition(key, "chunk").groupBy(key, "chunk")
-            .agg(F.sort_array(F.collect_list(elem)).alias("elems")))
-
-
-def _cell(elems: Column, name: str) -> Column:
-    return F.coalesce(F.array_join(elems.getField(name), "|"), F.lit(""))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.floor(F.col("l_partkey") / F.lit(PART_BLOCK)).cast("bigint").alias("unit"),
+        F.struct(*LINE_ELEM).alias("e"))
+    return (li.repartition("l_orderkey", "unit").groupBy("l_orderkey", "unit")
+            .agg(F.sort_array(F.collect_list("e")).alias("elems")))
+
+
+def _cell(elems: Column, text) -> Column:
+    """One list cell: ``text`` of each element, ``|``-joined; blank without a list."""
+    return F.coalesce(F.array_join(F.transform(elems, text), "|"), F.lit(""))
 
 
 def flag_text(returnflag: Column) -> Column:
@@ -99,16 +67,17 @@ def flag_text(returnflag: Column) -> Column:
     return F.when(returnflag == "A", "0").when(returnflag == "R", "1").otherwise("9")
 
 
-def wide_line_fields(o: dict[str, Column], elems: Column, chunk: Column) -> list[Column]:
+def wide_line_fields(o: dict[str, Column], elems: Column, unit: Column) -> list[Column]:
     """The 34 fields of one wide line, by position."""
     half = F.slice(elems, 1, ((F.size(elems) + 1) / 2).cast("int"))
     blank = F.lit("")
+    region = lambda e: _s(e["l_partkey"])
     return [
         _s(o["custkey"]),                                          # 0 imsi
-        F.date_format(o["orderdate"], "yyyyMMddHHmmss"),           # 1 timestamp
+        wallclock_to_text(o["orderdate"], "yyyyMMddHHmmss"),       # 1 timestamp
         _s(o["orderkey"]), o["status"], o["priority"],             # 2-4 filler
-        blank, _s(chunk), blank, blank,                            # 5-8 filler
-        _cell(elems, "region"),                                    # 9 region_code list
+        blank, _s(unit), blank, blank,                             # 5-8 filler
+        _cell(elems, region),                                      # 9 region_code list
         o["status"],                                               # 10 city_code
         o["priority"],                                             # 11 county_code
         _s(o["custkey"] % 31),                                     # 12 usr_prov_code
@@ -120,33 +89,32 @@ def wide_line_fields(o: dict[str, Column], elems: Column, chunk: Column) -> list
         blank, F.lit("0"), blank, blank, blank, blank,             # 18-23 filler
         _s(o["orderkey"] % 100),                                   # 24 out_city_code
         _s(o["orderkey"] % 1000),                                  # 25 out_county_code
-        _cell(half, "region"),                                     # 26 first half of region list
+        _cell(half, region),                                       # 26 first half of region list
         blank,                                                     # 27 filler
-        _cell(elems, "ship_ts"),                                   # 28 in-time list
-        _cell(elems, "flag"),                                      # 29 in/out flag list
-        _cell(elems, "out_region"),                                # 30 out_region list
-        _cell(elems, "ship_day"),                                  # 31 out in-date list
-        _cell(elems, "line_no"),                                   # 32 out out-date list
-        _cell(elems, "l_linestatus"),                              # 33 stay list
+        _cell(elems, lambda e: wallclock_to_text(e["l_shipdate"], "yyyyMMddHHmmss")),   # 28 in-time list
+        _cell(elems, lambda e: flag_text(e["l_returnflag"])),      # 29 in/out flag list
+        _cell(elems, lambda e: _s(e["l_suppkey"])),                # 30 out_region list
+        _cell(elems, lambda e: wallclock_to_text(e["l_shipdate"], "yyyyMMdd")),         # 31 out in-date list
+        _cell(elems, lambda e: _s(e["l_linenumber"])),             # 32 out out-date list
+        _cell(elems, lambda e: e["l_linestatus"]),                 # 33 stay list
     ]
 
 
-def wide_signal_records(spark: SparkSession, sf_dir: str, max_list: int = MAX_LIST) -> DataFrame:
-    """Record table of wide signalling lines, one per order (and chunk).
+def wide_signal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record table of wide signalling lines, one per order and part block.
 
     topic ``signal``, partition = customer mod 8 (a key-hash style
-    assignment), offset = order key (chunks of one hot order share it),
-    batch_id = order year.
+    assignment), offset = order key (the lines of one order share it),
+    batch_id = order year. An order without lines is one line with blank cells.
     """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    lists = order_lists(spark, sf_dir, max_list)
+    lists = order_lists(spark, sf_dir)
     j = orders.join(lists, orders.o_orderkey == lists.l_orderkey, "left")
     o = {"orderkey": F.col("o_orderkey"), "custkey": F.col("o_custkey"),
          "status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority"),
          "orderdate": F.col("o_orderdate")}
-    chunk = F.coalesce(F.col("chunk"), F.lit(0))
-    value = F.concat_ws(",", *wide_line_fields(o, F.col("elems"), chunk))
+    value = F.concat_ws(",", *wide_line_fields(o, F.col("elems"), F.coalesce("unit", F.lit(0))))
     return j.select(
         F.lit("signal").alias("topic"),
         F.pmod(F.col("o_custkey"), F.lit(8)).cast("int").alias("partition"),
@@ -164,7 +132,7 @@ def event_line() -> Column:
     """``IMSI|IMEI|MSISDN|BTIME|LAC|CI`` from an events row: user, event id,
     props, day of ``ts`` (``yyyyMMdd``, so ties happen), event type, user mod 7."""
     return F.concat_ws("|", _s("user_id"), _s("event_id"), F.col("props"),
-                       F.date_format("ts", "yyyyMMdd"), F.col("event_type"),
+                       wallclock_to_text("ts", "yyyyMMdd"), F.col("event_type"),
                        _s(F.col("user_id") % 7))
 
 
@@ -205,7 +173,7 @@ def event_field_records(spark: SparkSession, sf_dir: str, sep: str) -> DataFrame
     fields = [
         _s("event_id"), _s("user_id"), F.col("event_type"),
         F.when(F.col("event_id") % 3 == 0, "").otherwise(F.col("props")),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+        wallclock_to_text("ts", "yyyy-MM-dd HH:mm:ss"),
         F.when(F.col("event_id") % 4 == 0, "").otherwise(F.col("event_type")),
     ]
     return ev.select(
@@ -217,3 +185,31 @@ def event_field_records(spark: SparkSession, sf_dir: str, sep: str) -> DataFrame
         F.concat_ws(sep, *fields).alias("value"),
         F.lit(0).cast("bigint").alias("batch_id"),
     )
+
+
+def tied_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event lines of several topics whose partition, offset and time are
+    equal: the first event of each (type, user, day), offset = user * 1000 +
+    day of year, topic = event type. Only the topic tells tied records apart."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    day = F.col("ts").cast("date")
+    first = (ev.groupBy("event_type", "user_id", day.alias("day"))
+             .agg(F.min_by(F.struct("event_id", "ts", "props"), "event_id").alias("e"))
+             .select("event_type", "user_id", "day", "e.*"))
+    return first.select(
+        F.col("event_type").alias("topic"),
+        F.pmod(F.col("user_id"), F.lit(4)).cast("int").alias("partition"),
+        (F.col("user_id") * 1000 + F.dayofyear("day")).cast("bigint").alias("offset"),
+        F.col("ts").cast("timestamp_ntz").alias("timestamp"),
+        F.lit(None).cast("string").alias("key"), event_line().alias("value"),
+        F.year("day").cast("bigint").alias("batch_id"))
+
+
+def event_columns() -> dict[str, Column]:
+    """Record fields over the ``events`` table's own columns (read in place)."""
+    return {
+        "topic": F.col("event_type"), "partition": F.pmod(F.col("user_id"), F.lit(4)),
+        "offset": F.col("event_id") + 100, "timestamp": F.col("ts"),
+        "key": F.when(F.col("event_id") % 13 != 0, _s("user_id")), "value": event_line(),
+        "batch_id": F.floor(wallclock_to_seconds(F.col("ts").cast("timestamp_ntz")) / F.lit(BATCH_SECONDS)),
+    }

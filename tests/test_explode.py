@@ -127,31 +127,37 @@ def test_fanout_count_equals_list_sizes(spark):
     assert region_fanout(recs.repartition(3)).count() == n_in + n_out
 
 
-def test_hot_orders_split_into_more_lines_give_same_rows(spark):
-    """Orders above the list cap are spread over several lines; the exploded
-    rows are exactly those of one line per order."""
-    from sigshape.sources.testtables import wide_signal_records
-    from conftest import SF_SMALL
-    whole = wide_signal_records(spark, SF_SMALL)
-    capped = wide_signal_records(spark, SF_SMALL, max_list=2)
-    assert capped.count() > whole.count()
-    a = sorted(map(tuple, region_fanout(whole).collect()))
-    b = sorted(map(tuple, region_fanout(capped).collect()))
-    assert a == b
-
-
-def test_one_hot_key_is_cut_into_bounded_groups(spark):
+def test_one_hot_order_falls_into_many_lines(spark, tmp_path):
+    """An order with very many items is cut by their part blocks, the rule of
+    every order; the rows are those of its items."""
     from pyspark.sql import functions as F
-    from sigshape.sources.testtables import bounded_lists
-    df = spark.range(20_000).select(F.lit(7).alias("k"), F.col("id").alias("e"))
-    df = df.unionByName(spark.range(5).select(F.lit(8).alias("k"), F.col("id").alias("e")))
-    out = bounded_lists(df, "k", "e", max_list=1_000)
-    sizes = {}
-    for r in out.select("k", F.size("elems").alias("n")).collect():
-        sizes.setdefault(r.k, []).append(r.n)
-    assert sizes[8] == [5]
-    assert sum(sizes[7]) == 20_000 and len(sizes[7]) == 20
-    assert max(sizes[7]) < 1_300
+    from sigshape.sources.testtables import PART_BLOCK, order_lists, wide_signal_records
+    from conftest import SF_SMALL
+    for t in ("orders", "lineitem"):
+        df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        if t == "lineitem":
+            hot = df.limit(1).crossJoin(spark.range(20_000).withColumnRenamed("id", "k"))
+            hot = hot.withColumn("l_partkey", F.col("k") * 3).drop("k")
+            df = df.unionByName(hot)
+        df.write.parquet(str(tmp_path / f"{t}.parquet"))
+    sizes = [r.n for r in order_lists(spark, str(tmp_path)).select(F.size("elems").alias("n")).collect()]
+    assert sum(sizes) == spark.read.parquet(str(tmp_path / "lineitem.parquet")).count()
+    assert max(sizes) < PART_BLOCK / 2
+    recs = wide_signal_records(spark, str(tmp_path))
+    blank = recs.where(F.element_at(F.split("value", ","), 10) == "").count()
+    assert region_in_rows(recs).count() == sum(sizes) + blank
+
+
+def test_tagged_fanout_is_good_plus_quarantined(spark):
+    from sigshape.operators.explode import region_fanout_tagged
+    df = records(spark, [(1, wide()), (2, wide(width=33)), (3, wide(out_regions="a|b", out_in="x")), (4, "x")])
+    good, bad = region_fanout(df, RegionSplitConf(on_malformed="quarantine"), keep=("offset",))
+    out = region_fanout_tagged(df, RegionSplitConf(), keep=("offset",))
+    key = lambda rows: sorted(map(tuple, rows.collect()), key=repr)
+    assert key(out.where("reason is null").select("offset", "topic", "key", "value")) == key(good)
+    assert key(out.where("reason is not null").select("offset", "n_fields", "reason")) == key(bad)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(value") == 1
 
 
 def test_project_signal_guard_survives_count(spark):

@@ -17,19 +17,22 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizing import join_small
 from .records import RESET_POLICIES
 
-POSITION_SCHEMA = "topic string, partition int, cur bigint"
 KEYS = ["topic", "partition"]
 
 
 def positions_frame(spark: SparkSession, positions: Sequence[tuple[str, int, int]]) -> DataFrame:
-    """Driver-side stored positions ``(topic, partition, cur)`` as a DataFrame."""
-    return spark.createDataFrame([(t, int(p), int(c)) for t, p, c in positions], POSITION_SCHEMA)
+    """Driver-side stored positions ``(topic, partition, cur)`` as a DataFrame
+    (from Arrow, so that the planner knows its size)."""
+    topics, partitions, curs = ([x[i] for x in positions] for i in range(3))
+    return spark.createDataFrame(pa.table({
+        "topic": pa.array(topics, pa.string()), "partition": pa.array(map(int, partitions), pa.int32()),
+        "cur": pa.array(map(int, curs), pa.int64())}))
 
 
 def offset_bounds(records: DataFrame) -> DataFrame:
@@ -40,23 +43,25 @@ def offset_bounds(records: DataFrame) -> DataFrame:
     )
 
 
-def _starts(bounds: DataFrame, committed: DataFrame, reset: str) -> DataFrame:
-    """bounds FULL OUTER JOIN stored positions, with the start each partition
-    would use before clamping; keeps ``earliest``/``latest`` for the clamp."""
-    if reset not in RESET_POLICIES:
-        raise ValueError(f"reset must be one of {RESET_POLICIES}")
-    j = bounds.join(committed.select(*KEYS, F.col("cur").alias("stored")), KEYS, "full_outer")
-    where = F.concat(F.col("topic"), F.lit("-"), F.col("partition").cast("string"))
-    no_bounds = F.raise_error(F.concat(F.lit("no offsets known for stored position "), where))
-    if reset == "none":
-        fallback = F.raise_error(F.concat(F.lit("no stored position and reset policy none for "), where))
-    else:
-        fallback = F.col(reset)
-    cur = (F.when(F.col("earliest").isNull(), no_bounds.cast("bigint"))
-           .when(F.col("stored").isNotNull(), F.col("stored"))
-           .otherwise(fallback.cast("bigint")))
-    source = F.when(F.col("stored").isNotNull(), F.lit("committed")).otherwise(F.lit(reset))
-    return j.select(*KEYS, cur.alias("cur"), source.alias("source"), "earliest", "latest")
+def _place() -> Column:
+    return F.concat(F.col("topic"), F.lit("-"), F.col("partition").cast("string"))
+
+
+def _error(message: str, kind: str) -> Column:
+    return F.raise_error(F.concat(F.lit(message), _place())).cast(kind)
+
+
+def _refuse(df: DataFrame, columns: tuple[str, ...], message: str) -> DataFrame:
+    """``df``, failing on the first row whose bigint ``columns`` are null (all
+    come from one side of an outer join).
+
+    The guard is in the columns and in a filter: counting or selecting other
+    columns cannot prune it, and a later filter on one of them cannot turn the
+    outer join below into an inner one that drops the row unseen.
+    """
+    missing = F.col(columns[0]).isNull()
+    return (df.where(F.when(missing, _error(message, "boolean")).otherwise(F.lit(True)))
+            .withColumns({c: F.when(missing, _error(message, "bigint")).otherwise(F.col(c)) for c in columns}))
 
 
 def start_position(bounds: DataFrame, committed: DataFrame, reset: str = "latest") -> DataFrame:
@@ -66,17 +71,15 @@ def start_position(bounds: DataFrame, committed: DataFrame, reset: str = "latest
     position for a partition without bounds fails as well.
     Output: ``topic, partition, cur, source`` (source = committed / earliest / latest).
     """
-    return _starts(bounds, committed, reset).select(*KEYS, "cur", "source")
-
-
-def _clamp(j: DataFrame) -> DataFrame:
-    missing = F.raise_error(F.concat(F.lit("no offsets known for "), F.col("topic"), F.lit("-"),
-                                     F.col("partition").cast("string")))
-    cur, lo, hi = F.col("cur"), F.col("earliest"), F.col("latest")
-    start = (F.when(lo.isNull(), missing.cast("bigint"))
-             .when(cur < lo, lo).when(cur > hi, hi).otherwise(cur))
-    status = F.when(cur < lo, "below").when(cur > hi, "above").otherwise("ok")
-    return j.select(*KEYS, "cur", "earliest", "latest", start.alias("start"), status.alias("status"))
+    if reset not in RESET_POLICIES:
+        raise ValueError(f"reset must be one of {RESET_POLICIES}")
+    j = bounds.join(committed.select(*KEYS, F.col("cur").alias("stored")), KEYS, "full_outer")
+    j = _refuse(j, ("earliest", "latest"), "no offsets known for stored position ")
+    if reset == "none":
+        j = _refuse(j, ("stored",), "no stored position and reset policy none for ")
+    cur = F.col("stored") if reset == "none" else F.coalesce("stored", reset)
+    source = F.when(F.col("stored").isNotNull(), F.lit("committed")).otherwise(F.lit(reset))
+    return j.select(*KEYS, cur.alias("cur"), source.alias("source"))
 
 
 def offset_resolve(bounds: DataFrame, positions: DataFrame) -> DataFrame:
@@ -84,25 +87,28 @@ def offset_resolve(bounds: DataFrame, positions: DataFrame) -> DataFrame:
 
     Output: ``topic, partition, cur, earliest, latest, start, status`` with
     status ``below`` / ``ok`` / ``above``. A position whose partition has no
-    bounds raises.
+    bounds raises, whichever columns are used.
     """
-    return _clamp(positions.select(*KEYS, "cur").join(bounds, KEYS, "left"))
+    j = _refuse(positions.select(*KEYS, "cur").join(bounds, KEYS, "left"), ("earliest", "latest"), "no offsets known for ")
+    cur, lo, hi = F.col("cur"), F.col("earliest"), F.col("latest")
+    start = F.when(cur < lo, lo).when(cur > hi, hi).otherwise(cur)
+    status = F.when(cur < lo, "below").when(cur > hi, "above").otherwise("ok")
+    return j.select(*KEYS, "cur", "earliest", "latest", start.alias("start"), status.alias("status"))
 
 
-def replay_from_offsets(records: DataFrame, committed: DataFrame, reset: str = "none",
-                        committed_rows: int | None = None) -> DataFrame:
+def replay_from_offsets(records: DataFrame, committed: DataFrame, reset: str = "none") -> DataFrame:
     """Records at or after each partition's start position, in one pass.
 
     Clamping a stored position into [earliest, latest] never changes which
     records lie at or after it (below the earliest: all of them; beyond the
     latest: none), so no bounds aggregate is needed: the records are joined
-    with the stored positions (broadcast after a size check; ``committed_rows``
-    skips the count when the caller knows it) and checked row by row.
+    with the stored positions and checked row by row. The join is left to
+    Spark: a driver-side list has a known size and is broadcast, a stored
+    table of positions is broadcast below the session's threshold, and beyond
+    it the plan is a shuffle join whose hot partitions AQE splits.
     Partitions without a stored position follow ``reset``: ``earliest``
     replays them whole, ``latest`` skips them, ``none`` fails on their first
-    record. With ``latest`` a coarse bound (stored topics, ``offset >=
-    min(stored)``) is added, which the scan uses for partition pruning and
-    row-group skipping.
+    record.
     ``offset_resolve`` reports the clamped starts and their status; a stored
     position for a partition with no landed records selects nothing here,
     and ``offset_resolve`` flags it as an error.
@@ -110,26 +116,13 @@ def replay_from_offsets(records: DataFrame, committed: DataFrame, reset: str = "
     if reset not in RESET_POLICIES:
         raise ValueError(f"reset must be one of {RESET_POLICIES}")
     pos = committed.select(*KEYS, F.col("cur").alias("__start"))
-    if reset == "latest":
-        # Only stored partitions can contribute: their topics and smallest
-        # start become a filter the scan uses (partition pruning when the
-        # table is landed by topic, row-group skipping on offset).
-        agg = pos.agg(F.min("__start").alias("m"), F.collect_set("topic").alias("topics")).first()
-        if agg["m"] is None:
-            return records.where(F.lit(False))
-        recs = records.where(F.col("topic").isin(sorted(agg["topics"]))
-                             & (F.col("offset") >= F.lit(int(agg["m"]))))
-        joined = join_small(recs, pos, KEYS, "inner", known_rows=committed_rows)
-        keep = F.col("offset") >= F.col("__start")
-    else:
-        joined = join_small(records, pos, KEYS, "left", known_rows=committed_rows)
-        start = F.col("__start")
-        if reset == "earliest":
-            keep = start.isNull() | (F.col("offset") >= start)
-        else:
-            where = F.concat(F.col("topic"), F.lit("-"), F.col("partition").cast("string"))
-            missing = F.raise_error(F.concat(F.lit("no stored position and reset policy none for "), where))
-            keep = F.when(start.isNull(), missing.cast("boolean")).otherwise(F.col("offset") >= start)
+    joined = records.join(pos, KEYS, "inner" if reset == "latest" else "left")
+    start = F.col("__start")
+    keep = F.col("offset") >= start
+    if reset == "earliest":
+        keep = start.isNull() | keep
+    elif reset == "none":                # one expression: a filter of its own could be passed by
+        keep = F.when(start.isNull(), _error("no stored position and reset policy none for ", "boolean")).otherwise(keep)
     return joined.where(keep).drop("__start")
 
 

@@ -43,7 +43,7 @@ def test_start_position_reset_policies(spark):
 
 def test_replay_from_resolved_positions(spark):
     committed = positions_frame(spark, [("t", 0, 13), ("t", 1, 10**9)])
-    got = sorted(r.offset for r in replay_from_offsets(_recs(spark), committed, "none", 2).collect())
+    got = sorted(r.offset for r in replay_from_offsets(_recs(spark), committed, "none").collect())
     assert got == [13, 14]
     committed = positions_frame(spark, [("t", 0, 0)])
     got = sorted(r.offset for r in replay_from_offsets(_recs(spark), committed, "earliest").collect())
@@ -58,7 +58,7 @@ def test_replay_equals_clamped_resolution(spark):
     res = offset_resolve(offset_bounds(recs), pos).select("topic", "partition", "start")
     want = sorted(r.offset for r in recs.join(res, ["topic", "partition"])
                   .where(F.col("offset") >= F.col("start")).collect())
-    got = sorted(r.offset for r in replay_from_offsets(recs, pos, "none", 2).collect())
+    got = sorted(r.offset for r in replay_from_offsets(recs, pos, "none").collect())
     assert got == want == [10, 11, 12, 13, 14]
 
 
@@ -71,6 +71,26 @@ def test_replay_reset_policies(spark):
         replay_from_offsets(recs, only_p0, "none").collect()
 
 
+def test_guards_survive_column_pruning(spark):
+    bounds = offset_bounds(_recs(spark))
+    unknown = positions_frame(spark, [("t", 0, 3), ("t", 9, 3)])
+    with pytest.raises(Exception, match="no offsets known for t-9"):
+        offset_resolve(bounds, unknown).select("status").collect()
+    with pytest.raises(Exception, match="no offsets known for t-9"):
+        offset_resolve(bounds, unknown).count()
+    with pytest.raises(Exception, match="no offsets known for stored position t-9"):
+        start_position(bounds, unknown, reset="latest").select("source").collect()
+    with pytest.raises(Exception, match="no offsets known for t-9"):
+        offset_resolve(bounds, unknown).where("start > 0 and latest > 0").collect()
+    partial = positions_frame(spark, [("t", 0, 3)])
+    with pytest.raises(Exception, match="reset policy none for t-1"):
+        start_position(bounds, partial, reset="none").count()
+    with pytest.raises(Exception, match="reset policy none for t-1"):
+        start_position(bounds, partial, reset="none").select("source").collect()
+    with pytest.raises(Exception, match="reset policy none for t-1"):
+        replay_from_offsets(_recs(spark), partial, "none").count()
+
+
 def test_starting_offsets_json_from_resolved(spark):
     import json
     from sigshape.sources.offsets import EARLIEST, resolved_positions, starting_offsets_json
@@ -114,7 +134,7 @@ def test_replay_matches_model(spark, parts, stored, reset):
             must_fail = True
             continue
         expected |= {(t, p, o) for o in offs if o >= start}
-    out = replay_from_offsets(recs, pos, reset, committed_rows=len(stored))
+    out = replay_from_offsets(recs, pos, reset)
     if must_fail:
         with pytest.raises(Exception, match="reset policy none"):
             out.collect()

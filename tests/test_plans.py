@@ -57,8 +57,7 @@ def test_dedup_limits_rows_before_the_shuffle(landed):
 
 def test_replay_broadcasts_the_small_side(spark, landed):
     _, events = landed
-    df = replay_from_offsets(events(), positions_frame(spark, STORED_POSITIONS), "none",
-                             committed_rows=len(STORED_POSITIONS))
+    df = replay_from_offsets(events(), positions_frame(spark, STORED_POSITIONS), "none")
     p = plan(df)
     assert "BroadcastHashJoin" in p
     # the record side reaches the join without being shuffled
@@ -74,13 +73,35 @@ def test_filters_reach_the_scan(landed):
     assert "IsNotNull(value)" in p and "Not(EqualTo(value,))" in p
 
 
-def test_replay_is_one_scan_and_latest_bound_reaches_the_scan(spark, landed):
+@pytest.mark.parametrize("reset", ["none", "earliest", "latest"])
+def test_replay_is_one_scan(spark, landed, reset):
     _, events = landed
-    pos = positions_frame(spark, STORED_POSITIONS)
-    p = plan(replay_from_offsets(events(), pos, "none", committed_rows=len(STORED_POSITIONS)))
+    p = plan(replay_from_offsets(events(), positions_frame(spark, STORED_POSITIONS), reset))
     assert p.count("FileScan parquet") == 1 and "HashAggregate" not in p
-    p = plan(replay_from_offsets(events(), pos, "latest", committed_rows=len(STORED_POSITIONS)))
-    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(offset,5\)", p)
+
+
+def test_positions_beyond_the_broadcast_threshold_are_shuffled(spark, landed):
+    _, events = landed
+    pos = positions_frame(spark, STORED_POSITIONS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        a = replay_from_offsets(events(), pos, "none")
+        assert "SortMergeJoin" in plan(a)
+        rows = sorted(map(tuple, a.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == sorted(map(tuple, replay_from_offsets(events(), pos, "none").collect()))
+
+
+def test_wide_lines_read_lineitem_once_and_shuffle_raw_columns(spark):
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    df = wide_signal_records(spark, SF_SMALL)
+    # building runs no job but the two tables' schema reads
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) <= len(jobs) + 2
+    p = plan(df)
+    assert p.count("lineitem.parquet") == 1
+    scan = [ln for ln in p.splitlines() if "lineitem.parquet" in ln][0]
+    assert scan.count("l_shipdate") >= 1 and "l_extendedprice" not in scan
 
 
 def test_quarantine_paths_split_once(landed):
@@ -96,9 +117,6 @@ def test_topic_partitioned_landing_is_pruned(spark, tmp_path):
     recs = lambda: read_records(spark, "parquet", path)
     p = plan(subscribe_topics(recs(), "click,view"))
     assert re.search(r"PartitionFilters: \[[^\]]*topic#\d+ IN \(click,view\)", p)
-    pos = positions_frame(spark, [("click", 0, 600), ("click", 1, 600)])
-    p = plan(replay_from_offsets(recs(), pos, "latest", committed_rows=2))
-    assert re.search(r"PartitionFilters: \[[^\]]*\(?topic#\d+ (IN \(click\)|= click)", p)
 
 
 def test_project_signal_reads_only_needed_columns(landed):
@@ -115,23 +133,7 @@ def test_other_operators_read_only_needed_columns(landed):
     assert "ReadSchema: struct<topic:string,partition:int,offset:bigint>" in plan(offset_bounds(events()))
     assert "ReadSchema: struct<partition:int,offset:bigint,key:string,value:string>" in plan(tap_records(events()))
     p = plan(dedup_latest(events(), DedupConf()))
-    assert "ReadSchema: struct<partition:int,offset:bigint,value:string,batch_id:bigint>" in p
-
-
-def test_join_small_broadcasts_only_below_the_limit(spark, landed):
-    from sigshape.operators.sizing import join_small
-    _, events = landed
-    small = positions_frame(spark, STORED_POSITIONS).select("topic", "partition")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our own decision counts
-    try:
-        a = join_small(events(), small, ["topic", "partition"])          # counted: 20 rows
-        b = join_small(events(), small, ["topic", "partition"], max_rows=5)
-        pa, pb = plan(a), plan(b)
-        assert "BroadcastHashJoin" in pa
-        assert "BroadcastHashJoin" not in pb and "SortMergeJoin" in pb
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReadSchema: struct<topic:string,partition:int,offset:bigint,value:string,batch_id:bigint>" in p
 
 
 def _shuffle_records(df):
@@ -178,5 +180,5 @@ def test_hot_key_ships_one_row_per_map_task(spark, method):
 def test_replay_shuffles_nothing(spark, landed):
     _, events = landed
     pos = positions_frame(spark, STORED_POSITIONS)
-    out = replay_from_offsets(events(), pos, "none", committed_rows=len(STORED_POSITIONS))
+    out = replay_from_offsets(events(), pos, "none")
     assert _shuffle_records(out) == []                 # broadcast join only

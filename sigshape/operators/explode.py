@@ -136,7 +136,7 @@ def _explode_sides(records: DataFrame, sides: Sequence[_Side], keep: Sequence[st
     Returns ``(exploded, bad)``; ``bad`` is None under ``fail``. The exploded
     frame keeps ``fields`` and the list arrays for the output projection.
     """
-    if on_malformed not in ON_MALFORMED:
+    if on_malformed not in (*ON_MALFORMED, "tag"):
         raise ValueError(f"on_malformed must be one of {ON_MALFORMED}")
     staged = _staged(records, keep, [n for s in sides for n in s.lists])
     wide = width_ok("fields", WIDE_MIN_WIDTH)
@@ -144,15 +144,19 @@ def _explode_sides(records: DataFrame, sides: Sequence[_Side], keep: Sequence[st
                      for s in sides])
     drivers = [F.col(f"__{s.driver}") for s in sides]
     arr = drivers[0] if len(drivers) == 1 else F.concat(*drivers)
+    reason = F.when(~wide, "too few fields").when(~lists_ok, "short companion list")
+    n_fields = F.coalesce(F.size("fields"), F.lit(0)).alias("n_fields")
+    if on_malformed == "tag":                        # bad lines stay, as one row with a reason
+        staged = staged.withColumns({"reason": reason, "n_fields": n_fields})
+        gen_input = F.when(F.col("reason").isNull(), arr).otherwise(F.array(F.lit(None).cast("string")))
+        return staged.select("*", F.posexplode(gen_input).alias(POS, ELEM)), None
     if on_malformed == "fail":
         gen_input = (F.when(~wide, width_error("fields", WIDE_MIN_WIDTH))
                      .when(~lists_ok, _short_error(what)).otherwise(arr))
         bad = None
     else:
         gen_input = F.when(wide & lists_ok, arr)
-        bad = staged.where(~(wide & lists_ok)).select(
-            *keep, F.coalesce(F.size("fields"), F.lit(0)).alias("n_fields"),
-            F.when(~wide, "too few fields").otherwise("short companion list").alias("reason"))
+        bad = staged.where(~(wide & lists_ok)).select(*keep, n_fields, reason.alias("reason"))
     exploded = staged.select("*", F.posexplode(gen_input).alias(POS, ELEM))
     return exploded, bad
 
@@ -199,6 +203,10 @@ def _messages(records, sides_topics: Sequence[tuple[_Side, str]], keep, on_malfo
         else:
             mine = pos < starts[k + 1]
             topic, value = F.when(mine, F.lit(t)).otherwise(topic), F.when(mine, v).otherwise(value)
+    if on_malformed == "tag":
+        good = F.col("reason").isNull()
+        return g.select(*keep, F.when(good, topic).alias("topic"), F.when(good, F.get("fields", WIDE_LAYOUT["imsi"])).alias("key"),
+                        F.when(good, value).alias("value"), "n_fields", "reason")
     out = g.select(*keep, topic.alias("topic"), _f("imsi").alias("key"), value.alias("value"))
     return _result(out, bad)
 
@@ -224,6 +232,14 @@ def region_fanout(records: DataFrame, conf: RegionSplitConf = RegionSplitConf(),
                      conf.on_malformed, "region lists")
 
 
+def region_fanout_tagged(records: DataFrame, conf: RegionSplitConf = RegionSplitConf(),
+                         keep: Sequence[str] = ()) -> DataFrame:
+    """``region_fanout`` with malformed lines in the same frame: one row each,
+    with ``reason`` and ``n_fields`` and null message columns. Good messages
+    have a null ``reason``. Every line is split once."""
+    return _messages(records, [(CURRENT, conf.topic_in), (LEFT, conf.topic_out)], keep, "tag", "region lists")
+
+
 def region_fanout_two_pass(records: DataFrame, conf: RegionSplitConf = RegionSplitConf()):
     """Benchmark variant: persist the parsed lines, explode each topic
     separately, union. Returns ``(messages, cached)``; unpersist when done."""

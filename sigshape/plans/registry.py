@@ -7,6 +7,7 @@ Column names equal those of the oracle SQL in :mod:`sigshape.plans.oracle`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,22 +15,25 @@ from pyspark.sql import functions as F
 from ..conf import WIDE_LAYOUT, DedupConf, RegionSplitConf
 from ..functions.split import decode_escapes, split_list_cell
 from ..functions.timefmt import (DEFAULT_PATTERN, TIME_PATTERN, epoch_ms_to_text, text_to_epoch_ms,
-                                 wallclock_to_ms)
+                                 wallclock_to_ms, wallclock_to_text)
 from ..operators import (clean_records, dedup_any, dedup_latest, dedup_messages, keyed_lines,
                          parallel_explode, project_signal, region_fanout, region_in_messages,
                          region_in_rows, region_out_messages, region_out_rows, require_width,
                          tap_records, with_fields)
 from ..session import scratch_path
+from ..sources.sinks import write_messages
 from ..sources.offsets import (offset_bounds, offset_resolve, positions_frame, replay_from_offsets,
                                start_position)
 from ..sources.records import read_records, subscribe_topics
-from ..sources.testtables import (event_field_records, event_records, table, wide_signal_records)
-from ..streaming.runners import (records_writer, region_split_writer, replay_dedup, replay_landed,
+from ..sources.testtables import (event_columns, event_field_records, event_records, table,
+                                  tied_records, wide_signal_records)
+from ..streaming.runners import (records_writer, region_split_writer, run_dedup, run_landed,
                                  tap_writer)
 
 # Fixed query parameters.
 SPLIT_CONF = RegionSplitConf(topic_in="region_in", topic_out="region_out")
 DEDUP_CONF = DedupConf()                       # IMSI|IMEI|MSISDN|BTIME|LAC|CI, key 0,4,5, time 3
+TIED_CONF = DedupConf(key_index=(0, 5))        # user and user mod 7: the topic is not in the key
 TOPIC_LIST = "click,view,click,,purchase,"     # duplicates, an empty and a trailing name
 LITERAL_SEP_TEXT = "\\t|"                      # configuration text: tab then pipe
 TOPICS = ("click", "error", "purchase", "signup", "view")
@@ -145,14 +149,9 @@ def q_subscribe_topics(spark, d):
     return subscribe_topics(_events(spark, d), TOPIC_LIST).select("topic", "partition", "offset", "value")
 
 
-def _landed_events(spark, d):
-    path = scratch_path(spark, "landed-events")
-    _events(spark, d).write.mode("overwrite").parquet(path)
-    return read_records(spark, "parquet", path)
-
-
 def q_read_records(spark, d):
-    return _landed_events(spark, d)
+    """The events table, read in place as records."""
+    return read_records(spark, "parquet", f"{d.rstrip('/')}/events.parquet", columns=event_columns())
 
 
 def q_start_position(spark, d):
@@ -168,13 +167,25 @@ def q_offset_resolve(spark, d):
     return offset_resolve(offset_bounds(_events(spark, d)), positions_frame(spark, STORED_POSITIONS))
 
 
-def q_replay_from_offsets(spark, d):
-    recs = _events(spark, d)
-    out = replay_from_offsets(recs, positions_frame(spark, STORED_POSITIONS), reset="none",
-                              committed_rows=len(STORED_POSITIONS))
+def _replay(spark, d, positions, reset):
+    out = replay_from_offsets(_events(spark, d), positions_frame(spark, positions), reset=reset)
     return out.select("topic", "partition", "offset", "value")
 
 
+def q_replay_from_offsets(spark, d):
+    return _replay(spark, d, STORED_POSITIONS, "none")
+
+
+def q_replay_earliest(spark, d):
+    """Partitions 2 and 3 have no stored position: replayed whole."""
+    return _replay(spark, d, COMMITTED_SUBSET, "earliest")
+
+
+def q_replay_latest(spark, d):
+    """Partitions 2 and 3 have no stored position: skipped."""
+    return _replay(spark, d, COMMITTED_SUBSET, "latest")
+
+
 def q_tap_records(spark, d):
     return tap_records(_events(spark, d))
 
@@ -190,39 +201,62 @@ def q_epoch_ms_to_text_pattern(spark, d):
 
 
 def q_text_to_epoch_ms(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", DEFAULT_PATTERN).alias("text"))
+    o = table(spark, d, "orders").select("o_orderkey", wallclock_to_text("o_orderdate", DEFAULT_PATTERN).alias("text"))
     return o.select("o_orderkey", "text", text_to_epoch_ms("text").alias("epoch_ms"))
 
 
 def q_text_to_epoch_ms_pattern(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("text"))
+    o = table(spark, d, "orders").select("o_orderkey", wallclock_to_text("o_orderdate", "yyyyMMdd").alias("text"))
     return o.select("o_orderkey", "text", text_to_epoch_ms("text", "yyyyMMdd").alias("epoch_ms"))
 
 
 def q_stream_read_records(spark, d):
-    r = replay_landed(spark, _events(spark, d), "stream-records", records_writer)
-    return spark.read.parquet(r.out_path)
+    return spark.read.parquet(run_landed(spark, _events(spark, d), "stream-records", records_writer))
 
 
 def q_stream_region_fanout(spark, d):
-    r = replay_landed(spark, _wide(spark, d), "stream-fanout",
-                      lambda s, out: region_split_writer(s, out, SPLIT_CONF))
-    return spark.read.parquet(r.out_path).select("topic", "key", "value")
+    out = run_landed(spark, _wide(spark, d), "stream-fanout",
+                     lambda s, path: region_split_writer(s, path, SPLIT_CONF))
+    return spark.read.parquet(out).select("topic", "key", "value")
 
 
 def q_stream_dedup_latest(spark, d):
-    result, _ = replay_dedup(spark, _events(spark, d), DEDUP_CONF, name="stream-dedup")
-    return result
+    return run_dedup(spark, _events(spark, d), DEDUP_CONF, name="stream-dedup")[0]
+
+
+def q_stream_dedup_any(spark, d):
+    conf = replace(DEDUP_CONF, distinct_by_time=False)
+    return run_dedup(spark, _events(spark, d), conf, name="stream-dedup-any")[0]
 
 
 def q_stream_tap(spark, d):
-    r = replay_landed(spark, _events(spark, d), "stream-tap", tap_writer)
-    return spark.read.parquet(r.out_path).select("partition", "offset", "line")
+    out = run_landed(spark, _events(spark, d), "stream-tap", tap_writer)
+    return spark.read.parquet(out).select("partition", "offset", "line")
 
 
 def q_batch_metrics(spark, d):
-    _, metrics = replay_dedup(spark, _events(spark, d), DEDUP_CONF, name="stream-metrics")
-    return metrics
+    """Records read and lines kept, per batch."""
+    return run_dedup(spark, _events(spark, d), DEDUP_CONF, name="stream-metrics")[1]
+
+
+def q_sink_messages(spark, d):
+    """Fan-out messages sent through the message sink, and read back."""
+    path = scratch_path(spark, "sink-messages")
+    write_messages(region_fanout(_wide(spark, d), SPLIT_CONF), "json", path, mode="overwrite")
+    return spark.read.schema("key string, value string, topic string").json(path).select("topic", "key", "value")
+
+
+def q_dedup_latest_tied_topics(spark, d):
+    """Key without the topic, records tied on (time, partition, offset)."""
+    return dedup_latest(tied_records(spark, d), TIED_CONF)
+
+
+def q_dedup_latest_max_by_tied_topics(spark, d):
+    return dedup_latest(tied_records(spark, d), TIED_CONF, "max_by")
+
+
+def q_dedup_any_tied_topics(spark, d):
+    return dedup_any(tied_records(spark, d), TIED_CONF)
 
 
 QUERIES: dict[str, Query] = {
@@ -259,4 +293,11 @@ QUERIES: dict[str, Query] = {
     "stream_dedup_latest": q_stream_dedup_latest,
     "stream_tap": q_stream_tap,
     "batch_metrics": q_batch_metrics,
+    "stream_dedup_any": q_stream_dedup_any,
+    "sink_messages": q_sink_messages,
+    "replay_earliest": q_replay_earliest,
+    "replay_latest": q_replay_latest,
+    "dedup_latest_tied_topics": q_dedup_latest_tied_topics,
+    "dedup_latest_max_by_tied_topics": q_dedup_latest_max_by_tied_topics,
+    "dedup_any_tied_topics": q_dedup_any_tied_topics,
 }

@@ -10,13 +10,13 @@ Inventory: S1 (record source), S2 (topic subscribe), S3/S4 (start policy and sec
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timefmt import wallclock_to_seconds
+from ..functions.timefmt import instant_to_wallclock, wallclock_to_seconds
 
 RECORD_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()),
@@ -83,7 +83,7 @@ def kafka_options(brokers: str, topics: str | Iterable[str], *, secured: bool =
 def _from_kafka(df: DataFrame) -> DataFrame:
     return df.select(
         "topic", "partition", "offset",
-        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        instant_to_wallclock("timestamp").alias("timestamp"),
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         F.lit(None).cast("bigint").alias("batch_id"),
@@ -91,12 +91,22 @@ def _from_kafka(df: DataFrame) -> DataFrame:
 
 
 def read_records(spark: SparkSession, source: str = "parquet", path: str | None = None,
-                 options: dict | None = None) -> DataFrame:
+                 options: dict | None = None, columns: Mapping[str, Column | str] | None = None) -> DataFrame:
     """Read records as a table: a Kafka topic range or a landed record table
     in any file format (parquet, orc, json, ...). Text formats must have been
-    written with microsecond timestamps (JSON's default keeps milliseconds)."""
+    written with microsecond timestamps (JSON's default keeps milliseconds).
+
+    ``columns`` reads a table of another layout in place: record field ->
+    column or SQL expression over the table's own columns; fields left out
+    are null.
+    """
     if source == "kafka":
         return _from_kafka(spark.read.format("kafka").options(**(options or {})).load())
+    if columns is not None:
+        own = spark.read.format(source).options(**(options or {})).load(path)
+        given = {k: F.expr(c) if isinstance(c, str) else c for k, c in columns.items()}
+        return own.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                            for f in RECORD_SCHEMA.fields])
     reader = spark.read.format(source).schema(RECORD_SCHEMA).options(**(options or {}))
     return reader.load(path).select(*RECORD_COLUMNS)
 

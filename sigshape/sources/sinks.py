@@ -10,10 +10,12 @@ Inventory: K1 (keyed message sink), K3 (producer batching).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .records import RECORD_COLUMNS
 
 MESSAGE_COLUMNS = ("topic", "key", "value")
+LANDING_FILES = 8             # files of one batch and topic in a landed table
 
 
 def producer_options(batch_size_bytes: int | None = None, linger_ms: int | None = None) -> dict:
@@ -41,14 +43,18 @@ def land_records(records: DataFrame, path: str, batch_id: int | None = None) ->
 
     With ``batch_id`` (one micro-batch) the batch goes to
     ``path/batch_id=<id>/topic=<t>/`` with overwrite, so a replayed batch
-    replaces itself; without it the records are appended partitioned by
-    ``batch_id`` and ``topic``. Read back with ``read_records(spark,
+    replaces itself; without it every batch and topic in ``records`` is
+    replaced (dynamic partition overwrite), others stay, so a retried landing
+    duplicates nothing. Rows are dealt by (batch, topic, salt) first, which
+    bounds the files of a batch and topic at ``LANDING_FILES``. Read back with ``read_records(spark,
     "parquet", path)``; a topic filter then prunes folders. Read from Kafka,
     each task holds one topic partition, so a micro-batch lands as one file
     per topic partition (no small-file blow-up from the topic split).
     """
     if batch_id is None:
-        (records.select(*RECORD_COLUMNS).write.mode("append")
+        salt = F.pmod(F.xxhash64("partition", "offset"), F.lit(LANDING_FILES))
+        (records.select(*RECORD_COLUMNS).repartition("batch_id", "topic", salt)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "topic").parquet(path))
         return
     (records.select(*[c for c in RECORD_COLUMNS if c != "batch_id"])

@@ -1,7 +1,7 @@
-from .runners import (BatchTimeLogger, DedupBatchWriter, RegionSplitBatchWriter, Replay,
-                      dedup_writer, landing_writer, progress_metrics, records_writer,
-                      region_split_writer, replay_dedup, replay_landed, start, tap_writer)
+from .runners import (BatchTimeLogger, DedupBatchWriter, RegionSplitBatchWriter, batch_counts,
+                      dedup_writer, landing_writer, records_writer, region_split_writer,
+                      run_dedup, run_landed, start, tap_writer)
 
-__all__ = ["BatchTimeLogger", "DedupBatchWriter", "RegionSplitBatchWriter", "Replay",
-           "dedup_writer", "landing_writer", "progress_metrics", "records_writer",
-           "region_split_writer", "replay_dedup", "replay_landed", "start", "tap_writer"]
+__all__ = ["BatchTimeLogger", "DedupBatchWriter", "RegionSplitBatchWriter", "batch_counts",
+           "dedup_writer", "landing_writer", "records_writer", "region_split_writer",
+           "run_dedup", "run_landed", "start", "tap_writer"]

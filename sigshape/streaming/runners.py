@@ -9,8 +9,8 @@
 
 The ``*_writer`` functions build stream writers (Kafka or files in, any
 sink out) and ``start`` starts one with the job's processing-time trigger.
-``replay_landed`` drives a query over a landed record table one batch at a
-time, which is how tests and the query registry exercise the streams here.
+``run_landed`` streams a landed record table through a writer once, with
+``availableNow``: one write of the source, one query.
 
 Inventory: T1 (processing-time trigger), T2 (per-batch action), T3 (persist
 only when a batch is read twice), T4 (batch metrics), K4 stream sinks.
@@ -20,35 +20,33 @@ from __future__ import annotations
 
 import logging
 import time
-import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..conf import DedupConf, RegionSplitConf
 from ..operators.dedup import DEFAULT_METHOD, dedup, malformed_lines
-from ..operators.explode import region_fanout
+from ..operators.explode import region_fanout, region_fanout_tagged
 from ..operators.tap import tap_records
 from ..session import scratch_path
 from ..sources.records import RECORD_SCHEMA, stream_records
+from ..sources.sinks import land_records, write_messages
 
-METRICS_SCHEMA = "batch_id bigint, rows_in bigint, rows_out bigint, seconds double"
+METRICS_SCHEMA = "batch_id bigint, rows_in bigint, rows_out bigint"
 log = logging.getLogger("sigshape.streaming")
 FILE_SINKS = ("parquet", "orc", "json", "csv")
 
 
 class BatchTimeLogger(StreamingQueryListener):
-    """Logs every micro-batch of the session's streams (query name, batch id,
-    input rows, seconds) and keeps the last ``keep`` entries in ``batches``:
-    the per-batch elapsed-time record of a long-running job, which
-    ``recentProgress`` only holds for its last updates."""
+    """Logs every micro-batch of the session's streams: query name, batch id,
+    input rows, seconds. ``on_batch`` also gets each entry; nothing is kept
+    here, so a job may run for any length of time."""
 
-    def __init__(self, keep: int = 10_000):
-        self.keep = keep
-        self.batches: list[tuple] = []
+    def __init__(self, on_batch: Callable[[tuple], None] | None = None):
+        self.on_batch = on_batch
 
     def onQueryStarted(self, event):
         log.info("stream %s started", event.name or event.id)
@@ -57,9 +55,9 @@ class BatchTimeLogger(StreamingQueryListener):
         p = event.progress
         secs = (p.durationMs or {}).get("triggerExecution", 0) / 1000.0
         entry = (p.name or str(p.id), int(p.batchId), int(p.numInputRows), round(secs, 3))
-        self.batches.append(entry)
-        del self.batches[:-self.keep]
         log.info("stream %s batch %d: %d rows in %.3f s", *entry)
+        if self.on_batch is not None:
+            self.on_batch(entry)
 
     def onQueryIdle(self, event):
         pass
@@ -76,6 +74,15 @@ def parquet_batch_sink(out_path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def message_batch_sink(sink: str, out_path: str | None, options: dict | None = None) -> Callable[[DataFrame, int], None]:
+    """Write one batch of messages through ``write_messages``: Kafka, or files
+    of any format under ``epoch=<id>/topic=<t>`` with overwrite."""
+    def write(df: DataFrame, epoch_id: int) -> None:
+        path = None if sink == "kafka" else f"{out_path}/epoch={epoch_id}"
+        write_messages(df, sink, path, options, mode="overwrite")
+    return write
+
+
 def kafka_batch_sink(options: dict, topic: str) -> Callable[[DataFrame, int], None]:
     """Send ``(topic, key, value)`` messages of one batch to Kafka
     (at-least-once: a replayed batch is sent again)."""
@@ -85,69 +92,76 @@ def kafka_batch_sink(options: dict, topic: str) -> Callable[[DataFrame, int], No
     return write
 
 
+def batch_counts(batch: DataFrame, result: DataFrame) -> DataFrame:
+    """``batch_id, rows_in, rows_out`` of one micro-batch: records read and
+    lines kept, per batch."""
+    rows_in = batch.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows_in"))
+    rows_out = result.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows_out"))
+    return rows_in.join(rows_out, "batch_id", "left").select(
+        "batch_id", "rows_in", F.coalesce("rows_out", F.lit(0)).cast("bigint").alias("rows_out"))
+
+
 @dataclass
 class DedupBatchWriter:
     """``foreachBatch`` body: dedup one micro-batch and hand it to a sink.
 
     Records without a ``batch_id`` (a live topic) get the micro-batch id; a
-    landed table keeps the batch it was recorded in. Input and output row
-    counts and the elapsed seconds of each batch are kept in ``metrics``.
+    landed table keeps the batch it was recorded in. ``metrics`` is a sink for
+    the batch's row counts (:func:`batch_counts`); elapsed seconds are logged.
     With ``conf.on_malformed="quarantine"`` short lines go to ``quarantine``
-    instead of failing the batch (a failing batch would be retried forever);
-    the batch is then persisted because it is read twice.
+    instead of failing the batch (a failing batch would be retried forever).
+    A batch that is read more than once is persisted.
     """
     out_path: str | None = None
     conf: DedupConf = DedupConf()
     method: str = DEFAULT_METHOD
     sink: Callable[[DataFrame, int], None] | None = None
     quarantine: Callable[[DataFrame, int], None] | None = None
-    metrics: list = field(default_factory=list)
-    tag: str = field(default_factory=lambda: uuid.uuid4().hex[:8])   # unique observation names
+    metrics: Callable[[DataFrame, int], None] | None = None
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         began = time.time()
         batch = batch.withColumn("batch_id", F.coalesce(F.col("batch_id"), F.lit(epoch_id).cast("bigint")))
-        two_reads = self.conf.on_malformed == "quarantine" and self.quarantine is not None
-        if two_reads:
+        set_aside = self.conf.on_malformed == "quarantine" and self.quarantine is not None
+        again = set_aside or self.metrics is not None
+        if again:
             batch = batch.persist()
         try:
-            obs_in = Observation(f"dedup_in_{self.tag}_{epoch_id}")
-            obs_out = Observation(f"dedup_out_{self.tag}_{epoch_id}")
-            counted = batch.observe(obs_in, F.count(F.lit(1)).alias("n"))
-            result = dedup(counted, self.conf, self.method).observe(obs_out, F.count(F.lit(1)).alias("n"))
+            result = dedup(batch, self.conf, self.method)
             (self.sink or parquet_batch_sink(self.out_path))(result, epoch_id)
-            if two_reads:
+            if set_aside:
                 self.quarantine(malformed_lines(batch, self.conf), epoch_id)
+            if self.metrics is not None:
+                self.metrics(batch_counts(batch, result), epoch_id)
         finally:
-            if two_reads:
+            if again:
                 batch.unpersist()
-        self.metrics.append((int(epoch_id), int(obs_in.get["n"]), int(obs_out.get["n"]),
-                             round(time.time() - began, 3)))
+        log.info("dedup batch %d: %.3f s", epoch_id, time.time() - began)
 
 
 @dataclass
 class RegionSplitBatchWriter:
     """``foreachBatch`` body for the row split in quarantine mode: messages
     to ``sink``, malformed lines (too narrow, short companion list) to
-    ``quarantine``, from one persisted micro-batch."""
+    ``quarantine``. Lines are split once, into one persisted frame."""
     sink: Callable[[DataFrame, int], None]
     quarantine: Callable[[DataFrame, int], None]
     conf: RegionSplitConf = RegionSplitConf(on_malformed="quarantine")
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.withColumnRenamed("topic", "source_topic").persist()
+        batch = batch.withColumnRenamed("topic", "source_topic")
+        place = ("source_topic", "partition", "offset")
+        out = region_fanout_tagged(batch, self.conf, keep=place).persist()
         try:
-            good, bad = region_fanout(batch, self.conf, keep=("source_topic", "partition", "offset"))
-            self.sink(good.select("topic", "key", "value"), epoch_id)
-            self.quarantine(bad, epoch_id)
+            self.sink(out.where("reason is null").select("topic", "key", "value"), epoch_id)
+            self.quarantine(out.where("reason is not null").select(*place, "n_fields", "reason"), epoch_id)
         finally:
-            batch.unpersist()
+            out.unpersist()
 
 
 def landing_writer(stream: DataFrame, path: str) -> DataStreamWriter:
     """Land a record stream: each micro-batch under ``batch_id=<epoch>``
     (overwrite, so a replayed batch replaces itself)."""
-    from ..sources.sinks import land_records
     return stream.writeStream.foreachBatch(lambda df, epoch: land_records(df, path, epoch))
 
 
@@ -157,18 +171,15 @@ def region_split_writer(stream: DataFrame, out_path: str | None, conf: RegionSpl
     """Fan-out messages of a record stream to a sink (Kafka or files).
 
     ``fail`` mode is a plain streaming select (append). ``quarantine`` mode
-    runs per batch: messages to the sink, malformed lines to
+    runs per batch: messages to the same sink, files under
+    ``out_path/epoch=<id>/topic=<t>``; malformed lines under
     ``quarantine_path/epoch=<id>``.
     """
     if conf.on_malformed == "quarantine":
         if quarantine_path is None:
             raise ValueError("quarantine mode needs a quarantine_path")
-        if sink == "kafka":
-            def write(df, epoch_id):
-                df.write.format("kafka").options(**(sink_options or {})).save()
-        else:
-            write = parquet_batch_sink(out_path)
-        body = RegionSplitBatchWriter(write, parquet_batch_sink(quarantine_path), conf)
+        body = RegionSplitBatchWriter(message_batch_sink(sink, out_path, sink_options),
+                                      parquet_batch_sink(quarantine_path), conf)
         return stream.writeStream.foreachBatch(body)
     w = region_fanout(stream, conf).writeStream.outputMode("append").format(sink)
     w = w.options(**(sink_options or {}))
@@ -178,14 +189,15 @@ def region_split_writer(stream: DataFrame, out_path: str | None, conf: RegionSpl
 
 
 def tap_writer(stream: DataFrame, out_path: str, sink: str = "parquet") -> DataStreamWriter:
-    """Tap lines to a sink: ``console`` for eyes, ``text`` for plain log-like
-    files (line only), ``parquet`` for checks (with partition and offset)."""
+    """Tap lines to a sink, every record of every batch: ``text`` for plain
+    log-like files (line only), ``console`` for eyes, ``parquet`` for checks
+    (with partition and offset)."""
     lines = tap_records(stream)
     if sink == "text":
         lines = lines.select("line")
     w = lines.writeStream.outputMode("append").format(sink)
     if sink == "console":
-        return w.option("truncate", "false")
+        return w.option("truncate", "false").option("numRows", str(2**31 - 1))
     if sink == "memory":
         return w.queryName(out_path or "tap_lines")
     return w.option("path", out_path)
@@ -196,12 +208,13 @@ def records_writer(stream: DataFrame, out_path: str) -> DataStreamWriter:
 
 
 def dedup_writer(stream: DataFrame, out_path: str | None, conf: DedupConf = DedupConf(),
-                 method: str = DEFAULT_METHOD, sink=None,
-                 quarantine_path: str | None = None) -> tuple[DataStreamWriter, DedupBatchWriter]:
+                 method: str = DEFAULT_METHOD, sink=None, quarantine_path: str | None = None,
+                 metrics_path: str | None = None) -> tuple[DataStreamWriter, DedupBatchWriter]:
     quarantine = parquet_batch_sink(quarantine_path) if quarantine_path else None
     if conf.on_malformed == "quarantine" and quarantine is None:
         raise ValueError("quarantine mode needs a quarantine_path")
-    body = DedupBatchWriter(out_path, conf, method, sink, quarantine)
+    metrics = parquet_batch_sink(metrics_path) if metrics_path else None
+    body = DedupBatchWriter(out_path, conf, method, sink, quarantine, metrics)
     return stream.writeStream.foreachBatch(body), body
 
 
@@ -217,67 +230,29 @@ def start(writer: DataStreamWriter, checkpoint: str, interval_s: int | None = No
     return w.start()
 
 
-def progress_metrics(spark: SparkSession, progress: list[dict]) -> DataFrame:
-    """Per-batch table from ``StreamingQuery.recentProgress`` entries:
-    ``batch_id, rows_in, rows_out, seconds`` (rows_out is -1 when the sink
-    does not report it). One row per micro-batch, so it stays small."""
-    rows = []
-    for p in progress:
-        sink_rows = (p.get("sink") or {}).get("numOutputRows", -1)
-        secs = (p.get("durationMs") or {}).get("triggerExecution", 0) / 1000.0
-        rows.append((int(p["batchId"]), int(p.get("numInputRows", 0)), int(sink_rows), round(secs, 3)))
-    return spark.createDataFrame(rows, METRICS_SCHEMA)
-
-
-@dataclass
-class Replay:
-    out_path: str
-    batch_ids: list
-    progress: list
-
-
-def replay_landed(spark: SparkSession, records: DataFrame, name: str,
-                  make_writer: Callable[[DataFrame, str], DataStreamWriter]) -> Replay:
-    """Replay a record table as a stream, one landed batch per micro-batch.
+def run_landed(spark: SparkSession, records: DataFrame, name: str,
+               make_writer: Callable[[DataFrame, str], DataStreamWriter]) -> str:
+    """Streams a record table through a writer and returns the output folder.
 
-    The table is written once to the checkpoint folder, partitioned by
-    ``batch_id`` (cutting its lineage); then each ``batch_id`` is appended to
-    the stream's source folder and the query runs with ``availableNow``, so every micro-batch
-    holds exactly one batch, written in parallel by as many tasks as it
-    needs. The loop is over batch ids only, like a trigger firing per interval.
+    The table is written once, as the stream's source, and read by one query
+    with ``availableNow``. Operators that work per batch go by the records'
+    own ``batch_id``, so batches need no trigger each.
     """
     root = scratch_path(spark, name)
-    landed, source = f"{root}/landed", f"{root}/source"
-    checkpoint, out = f"{root}/checkpoint", f"{root}/out"
-    # Partitioned by batch, so each batch below is read by partition pruning
-    # instead of a scan of the whole table per batch.
-    records.write.partitionBy("batch_id").parquet(landed)
-    table = spark.read.parquet(landed)
-    batch_ids = [r[0] for r in table.select("batch_id").distinct().orderBy("batch_id").collect()]
+    source, out = f"{root}/source", f"{root}/out"
     as_records = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA.fields]
-    progress = []
-    for b in batch_ids:
-        table.where(F.col("batch_id") == b).select(*as_records).write.mode("append").parquet(source)
-        q = start(make_writer(stream_records(spark, "parquet", source), out), checkpoint,
-                  available_now=True)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
-        progress.extend(p for p in q.recentProgress if p.get("numInputRows", 0) > 0)
-    return Replay(out, batch_ids, progress)
-
-
-def replay_dedup(spark: SparkSession, records: DataFrame, conf: DedupConf = DedupConf(),
-                 method: str = DEFAULT_METHOD, name: str = "stream-dedup"):
-    """Replay + per-batch dedup. Returns ``(result, metrics)`` DataFrames."""
-    bodies = []
-
-    def make(stream, out):
-        w, body = dedup_writer(stream, out, conf, method)
-        bodies.append(body)
-        return w
-    r = replay_landed(spark, records, name, make)
-    rows = [m for b in bodies for m in b.metrics]
-    result = spark.read.parquet(r.out_path).select("batch_id", "key", "value")
-    metrics = spark.createDataFrame(rows, METRICS_SCHEMA)
-    return result, metrics
+    records.select(*as_records).write.parquet(source)
+    q = start(make_writer(stream_records(spark, "parquet", source), out), f"{root}/checkpoint", available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return out
+
+
+def run_dedup(spark: SparkSession, records: DataFrame, conf: DedupConf = DedupConf(),
+              method: str = DEFAULT_METHOD, name: str = "stream-dedup") -> tuple[DataFrame, DataFrame]:
+    """Per-batch dedup of a landed table as a stream: ``(result, metrics)``."""
+    out = run_landed(spark, records, name, lambda stream, path: dedup_writer(
+        stream, f"{path}/rows", conf, method, metrics_path=f"{path}/metrics")[0])
+    return (spark.read.parquet(f"{out}/rows").select("batch_id", "key", "value"),
+            spark.read.schema(METRICS_SCHEMA).parquet(f"{out}/metrics").select("batch_id", "rows_in", "rows_out"))

@@ -27,7 +27,7 @@ def _digest(cols, rows):
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"batch_metrics"}
+    assert set(QUERIES) == set(ORACLE)
 
 
 SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER",
@@ -56,12 +56,3 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert set(e.queries()) >= set(QUERIES) and set(e.oracle_sql()) >= set(ORACLE)
     assert set(e.oracle_sql()) <= set(e.queries())
-
-
-
-def test_rows_only_query_has_a_stable_schema(spark):
-    df = QUERIES["batch_metrics"](spark, SF_SMALL)
-    assert df.dtypes == [("batch_id", "bigint"), ("rows_in", "bigint"), ("rows_out", "bigint"),
-                         ("seconds", "double")]
-    rows = df.collect()
-    assert len(rows) == 4 and sum(r.rows_in for r in rows) == 1000

@@ -1,18 +1,19 @@
-"""Batch == stream: the same records replayed one batch per micro-batch."""
+"""Batch == stream: the same records as a table and as a stream."""
 from sigshape.conf import DedupConf
 from sigshape.operators.dedup import dedup_latest
 from sigshape.operators.explode import region_fanout
 from sigshape.sources.testtables import event_records, wide_signal_records
-from sigshape.streaming.runners import region_split_writer, replay_dedup, replay_landed
+from sigshape.streaming.runners import region_split_writer, run_dedup, run_landed
 from conftest import SF_SMALL, records
 
 
 def test_stream_dedup_equals_table_dedup(spark):
     recs = event_records(spark, SF_SMALL)
     table = sorted(map(tuple, dedup_latest(recs).collect()))
-    stream, metrics = replay_dedup(spark, recs, name="t-dedup")
+    stream, metrics = run_dedup(spark, recs, name="t-dedup")
     assert sorted(map(tuple, stream.collect())) == table
     m = metrics.collect()
+    assert metrics.columns == ["batch_id", "rows_in", "rows_out"]
     assert len(m) == recs.select("batch_id").distinct().count()
     assert sum(r.rows_in for r in m) == recs.count()
     assert sum(r.rows_out for r in m) == len(table)
@@ -20,46 +21,63 @@ def test_stream_dedup_equals_table_dedup(spark):
 
 def test_micro_batch_id_stands_in_for_missing_batch_id(spark, tmp_path):
     """A live topic has no batch_id: the micro-batch id is the dedup window."""
-    from sigshape.streaming.runners import DedupBatchWriter
+    from sigshape.streaming.runners import DedupBatchWriter, parquet_batch_sink
     line = "a|x|m|{t}|L|C"
     recs = records(spark, [(1, line.format(t=1), None), (2, line.format(t=2), None)])
-    body = DedupBatchWriter(str(tmp_path / "out"))
+    body = DedupBatchWriter(str(tmp_path / "out"), metrics=parquet_batch_sink(str(tmp_path / "metrics")))
     body(recs, 7)
     body(recs, 7)                                   # a replayed batch overwrites itself
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert [(r.batch_id, r.value, r.epoch) for r in got] == [(7, line.format(t=2), 7)]
-    assert [m[:3] for m in body.metrics] == [(7, 2, 1), (7, 2, 1)]
+    assert [tuple(m)[:3] for m in spark.read.parquet(str(tmp_path / "metrics")).collect()] == [(7, 2, 1)]
 
 
 def test_stream_fanout_equals_table_fanout(spark):
     recs = wide_signal_records(spark, SF_SMALL)
     table = sorted(map(tuple, region_fanout(recs).collect()))
-    r = replay_landed(spark, recs, "t-fanout", lambda s, out: region_split_writer(s, out))
-    got = sorted(map(tuple, spark.read.parquet(r.out_path).select("topic", "key", "value").collect()))
-    assert got == table
-    assert len(r.batch_ids) > 1
+    out = run_landed(spark, recs, "t-fanout", lambda s, path: region_split_writer(s, path))
+    assert sorted(map(tuple, spark.read.parquet(out).select("topic", "key", "value").collect())) == table
 
 
-def test_progress_metrics_for_stateless_streams(spark):
-    from sigshape.streaming.runners import progress_metrics, tap_writer
-    recs = event_records(spark, SF_SMALL)
-    r = replay_landed(spark, recs, "t-progress", tap_writer)
-    m = progress_metrics(spark, r.progress).collect()
-    assert len(m) == len(r.batch_ids)
-    assert sum(x.rows_in for x in m) == recs.count()
-    assert all(x.seconds >= 0 for x in m)
+def test_a_processing_time_trigger_runs_several_batches(spark, tmp_path):
+    """The dedup window is the micro-batch: the same key in two batches gives two rows."""
+    import time as _time
+    from sigshape.sources.records import stream_records
+    from sigshape.streaming.runners import dedup_writer, start
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    line = "a|x|m|{t}|L|C"
+    live = lambda off, t: records(spark, [(off, line.format(t=t), None)]).coalesce(1)
+    live(1, 1).write.mode("append").parquet(src)
+    writer, _ = dedup_writer(stream_records(spark, "parquet", src), out)
+    q = start(writer, str(tmp_path / "ckpt"), interval_s=1)
+    try:
+        for off in (2, 3):
+            n = off - 1
+            deadline = _time.time() + 60
+            while _time.time() < deadline and sum(p["numInputRows"] for p in q.recentProgress) < n:
+                _time.sleep(0.2)
+            live(off, off).write.mode("append").parquet(src)
+        q.processAllAvailable()
+        assert q.exception() is None and q.isActive
+    finally:
+        q.stop()
+    got = spark.read.parquet(out).collect()
+    assert sorted(r.value for r in got) == [line.format(t=t) for t in (1, 2, 3)]
+    assert len({r.batch_id for r in got}) == 3
 
 
 def test_landing_a_stream_gives_a_readable_record_table(spark, tmp_path):
-    from pyspark.sql import functions as F
     from sigshape.sources.offsets import offset_bounds
-    from sigshape.sources.records import read_records
-    from sigshape.streaming.runners import landing_writer
+    from sigshape.sources.records import read_records, stream_records
+    from sigshape.streaming.runners import landing_writer, start
     recs = event_records(spark, SF_SMALL)
     landed = str(tmp_path / "landed")
-    # replay in three batches; the landing writer stamps each micro-batch id
-    three = recs.withColumn("batch_id", (F.col("offset") % 3).cast("bigint"))
-    replay_landed(spark, three, "t-landing", lambda stream, _out: landing_writer(stream, landed))
+    # three files, one per micro-batch; the landing writer stamps each micro-batch id
+    three = str(tmp_path / "three")
+    recs.repartition(3).write.parquet(three)
+    q = start(landing_writer(stream_records(spark, "parquet", three, max_files_per_trigger=1), landed),
+              str(tmp_path / "ckpt"), available_now=True)
+    q.awaitTermination()
     back = read_records(spark, "parquet", landed)
     assert back.count() == recs.count()
     assert sorted(r.batch_id for r in back.select("batch_id").distinct().collect()) == [0, 1, 2]
@@ -72,18 +90,29 @@ def test_landing_a_stream_gives_a_readable_record_table(spark, tmp_path):
 def test_batch_time_logger_sees_every_micro_batch(spark):
     import time as _time
     from sigshape.streaming.runners import BatchTimeLogger, tap_writer
-    listener = BatchTimeLogger()
+    seen = []
+    listener = BatchTimeLogger(seen.append)
     spark.streams.addListener(listener)
     try:
         recs = event_records(spark, SF_SMALL)
-        r = replay_landed(spark, recs, "t-listener", tap_writer)
+        run_landed(spark, recs, "t-listener", tap_writer)
         deadline = _time.time() + 30                # listener events arrive asynchronously
-        while _time.time() < deadline and sum(b[2] for b in listener.batches) < recs.count():
+        while _time.time() < deadline and sum(b[2] for b in seen) < recs.count():
             _time.sleep(0.2)
     finally:
         spark.streams.removeListener(listener)
-    assert sum(b[2] for b in listener.batches) == recs.count()
-    assert len([b for b in listener.batches if b[2] > 0]) == len(r.batch_ids)
+    assert sum(b[2] for b in seen) == recs.count()
+
+
+def test_a_retried_landing_duplicates_nothing(spark, tmp_path):
+    from sigshape.sources.records import read_records
+    from sigshape.sources.sinks import land_records
+    recs = event_records(spark, SF_SMALL)
+    path = str(tmp_path / "landed")
+    land_records(recs, path)
+    land_records(recs.where("batch_id % 2 = 0"), path)      # some batches again
+    back = read_records(spark, "parquet", path)
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, recs.collect()), key=repr)
 
 
 def test_fanout_to_memory_sink(spark, tmp_path):

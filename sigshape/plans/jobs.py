@@ -4,12 +4,14 @@
   ``topic_in`` and left-region messages to ``topic_out`` (one pass).
 * ``dedup_job``: one line per composite key inside each micro-batch ->
   ``topic_out``.
-* ``tap_job``: ``key:<key>value:<value>`` for every record -> console/files.
+* ``tap_job``: ``key:<key>value:<value>`` for every record -> text files (or
+  the console).
 
 Each job reads the record source, applies the table operators unchanged,
 and starts a query with a processing-time trigger equal to the configured
 batch interval (the interval is the dedup window). Checkpoints live under
-the session's ``spark.checkpoint.dir`` at a stable path per job, so a
+the session's ``spark.checkpoint.dir`` at a stable path per job and input
+(topics or folder), so two jobs on different inputs never share one and a
 restart resumes where the last committed batch ended (at-least-once to
 Kafka; idempotent per batch to files).
 
@@ -24,16 +26,17 @@ Inventory: the three jobs end to end; S3/S4 via ``KafkaEnds``.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..conf import DedupConf, RegionSplitConf, TapConf
 from ..operators.dedup import DEFAULT_METHOD
-from ..session import job_path
-from ..sources.records import kafka_options, stream_records
+from ..session import JOB_CONF, job_path
+from ..sources.records import kafka_options, stream_records, topic_set
 from ..sources.sinks import producer_options
 from ..streaming.runners import (BatchTimeLogger, dedup_writer, kafka_batch_sink,
                                  region_split_writer, start, tap_writer)
@@ -44,21 +47,25 @@ class KafkaEnds:
     """Where records come from and where messages go."""
     brokers: str
     topics: str                                   # comma list, as configured
-    secured: bool = False
+    # The row split and the tap always connect secured; the dedup job's
+    # properties file has a switch for it.
+    secured: bool = True
     starting: str = "latest"                      # reset policy for the first start
     starting_offsets_json: str | None = None
     group_id: str | None = None
     out_brokers: str | None = None                # defaults to ``brokers``
-    # Off by default: the reference's batch is whatever arrived in the
-    # interval. A cap bounds a catch-up batch after an outage, but for the
-    # dedup job it also changes which lines share a batch.
+    # Offsets that were aged out before they were read fail the job; False
+    # skips them (an incomplete result).
+    fail_on_data_loss: bool = True
+    # A cap bounds a catch-up batch after an outage. The dedup job refuses it:
+    # there it would change which lines share a batch, and so the answer.
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None             # split fat topic partitions over more tasks
     producer_batch_bytes: int | None = None       # producer batching (the bulk send)
     producer_linger_ms: int | None = None
 
     def source_options(self) -> dict:
-        extra = {"failOnDataLoss": "false"}
+        extra = {"failOnDataLoss": str(bool(self.fail_on_data_loss)).lower()}
         if self.max_offsets_per_trigger:
             extra["maxOffsetsPerTrigger"] = str(int(self.max_offsets_per_trigger))
         if self.min_partitions:
@@ -82,6 +89,14 @@ def _source(spark: SparkSession, ends: KafkaEnds | None, path: str | None, fmt:
     return stream_records(spark, fmt, path)
 
 
+def _name(job: str, given: str | None, ends: KafkaEnds | None, path: str | None) -> str:
+    """A job's folder name: the given one, else the job and a digest of its input."""
+    if given:
+        return given
+    what = ",".join(sorted(topic_set(ends.topics))) if ends is not None else str(path)
+    return f"{job}-{hashlib.md5(what.encode()).hexdigest()[:12]}"
+
+
 def _quarantine_path(spark, name, on_malformed, given):
     if on_malformed != "quarantine":
         return None
@@ -90,9 +105,10 @@ def _quarantine_path(spark, name, on_malformed, given):
 
 def region_split_job(spark: SparkSession, conf: RegionSplitConf = RegionSplitConf(),
                      ends: KafkaEnds | None = None, in_path: str | None = None,
-                     out_path: str | None = None, name: str = "region-split",
+                     out_path: str | None = None, name: str | None = None,
                      quarantine_path: str | None = None, available_now: bool = False,
                      in_format: str = "parquet") -> StreamingQuery:
+    name = _name("region-split", name, ends, in_path)
     stream = _source(spark, ends, in_path, in_format)
     qpath = _quarantine_path(spark, name, conf.on_malformed, quarantine_path)
     if ends is not None:
@@ -106,9 +122,12 @@ def region_split_job(spark: SparkSession, conf: RegionSplitConf = RegionSplitCon
 
 def dedup_job(spark: SparkSession, conf: DedupConf = DedupConf(), ends: KafkaEnds | None = None,
               in_path: str | None = None, out_path: str | None = None,
-              method: str = DEFAULT_METHOD, name: str = "dedup",
+              method: str = DEFAULT_METHOD, name: str | None = None,
               quarantine_path: str | None = None, available_now: bool = False,
               in_format: str = "parquet") -> StreamingQuery:
+    if ends is not None and ends.max_offsets_per_trigger:
+        raise ValueError("the dedup job takes no rate cap: its batch is whatever arrived in the interval")
+    name = _name("dedup", name, ends, in_path)
     stream = _source(spark, ends, in_path, in_format)
     sink = kafka_batch_sink(ends.sink_options(), conf.topic_out) if ends is not None else None
     qpath = _quarantine_path(spark, name, conf.on_malformed, quarantine_path)
@@ -118,9 +137,13 @@ def dedup_job(spark: SparkSession, conf: DedupConf = DedupConf(), ends: KafkaEnd
 
 
 def tap_job(spark: SparkSession, conf: TapConf = TapConf(), ends: KafkaEnds | None = None,
-            in_path: str | None = None, sink: str = "console", out_path: str | None = None,
-            name: str = "tap", available_now: bool = False,
+            in_path: str | None = None, sink: str = "text", out_path: str | None = None,
+            name: str | None = None, available_now: bool = False,
             in_format: str = "parquet") -> StreamingQuery:
+    """Every record as a line of text files (default: under the job's folder)."""
+    name = _name("tap", name, ends, in_path)
+    if out_path is None and sink not in ("console", "memory"):
+        out_path = job_path(spark, f"{name}-lines")
     writer = tap_writer(_source(spark, ends, in_path, in_format), out_path, sink)
     return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s,
                  available_now=available_now)
@@ -138,17 +161,22 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--name", help="job name (its checkpoint folder under spark.checkpoint.dir)")
     p.add_argument("--available-now", action="store_true",
                    help="process what is there, then stop (instead of a processing-time trigger)")
-    p.add_argument("--secured", action="store_true")
-    p.add_argument("--starting", default="latest", choices=["earliest", "latest", "none"])
+    p.add_argument("--secured", action=argparse.BooleanOptionalAction,
+                   help="SASL connection (default: on, except for dedup)")
+    p.add_argument("--starting", choices=["earliest", "latest", "none"])
     p.add_argument("--starting-offsets-json")
     p.add_argument("--group-id")
     p.add_argument("--interval", type=int)
-    p.add_argument("--topic-in", default="region_in")
+    p.add_argument("--topic-in")
     p.add_argument("--topic-out")
-    p.add_argument("--key-index", default="0,4,5")
-    p.add_argument("--time-index", type=int, default=3)
-    p.add_argument("--separator", default="|")
+    p.add_argument("--key-index")
+    p.add_argument("--time-index", type=int)
+    p.add_argument("--separator")
     p.add_argument("--any", action="store_true", help="dedup: keep any row, not the newest")
+    p.add_argument("--drop-blank", action="store_true", help="dedup: leave null and empty lines out")
+    p.add_argument("--allow-data-loss", action="store_true",
+                   help="skip offsets that were aged out instead of failing")
+    p.add_argument("--console", action="store_true", help="tap: print the lines")
     p.add_argument("--max-offsets-per-trigger", type=int)
     p.add_argument("--min-partitions", type=int)
     p.add_argument("--quarantine", action="store_true",
@@ -159,37 +187,44 @@ def _parser() -> argparse.ArgumentParser:
 _LOGGERS: dict[int, BatchTimeLogger] = {}
 
 
-def _from_args(a) -> dict:
-    on_malformed = "quarantine" if a.quarantine else "fail"
-    if a.job == "region-split":
-        conf = RegionSplitConf(topic_in=a.topic_in, topic_out=a.topic_out or "region_out",
-                               batch_interval_s=a.interval or 60, on_malformed=on_malformed)
-    elif a.job == "dedup":
-        conf = DedupConf(key_index=tuple(int(i) for i in a.key_index.split(",")),
-                         time_index=a.time_index, separator=a.separator,
-                         distinct_by_time=not a.any, topic_out=a.topic_out or "lte_distinct",
-                         batch_interval_s=a.interval or 60, on_malformed=on_malformed)
+def _settings(a) -> dict:
+    """Job settings: defaults, then the properties file, then every flag given."""
+    if a.properties:
+        from .properties import job_settings, load_properties
+        cfg = job_settings(a.job, load_properties(a.properties))
     else:
-        conf = TapConf(batch_interval_s=a.interval or 30)
-    return {"conf": conf, "brokers": a.brokers, "topics": a.topics, "starting": a.starting,
-            "group_id": a.group_id, "secured": a.secured}
+        conf = {"region-split": RegionSplitConf(topic_in="region_in", topic_out="region_out"),
+                "dedup": DedupConf(topic_out="lte_distinct"), "tap": TapConf()}[a.job]
+        cfg = {"conf": conf, "brokers": None, "topics": None, "starting": "latest", "group_id": None,
+               "secured": a.job != "dedup"}
+    change = {}
+    if a.interval:
+        change["batch_interval_s"] = a.interval
+    if a.job != "tap":
+        change |= {"on_malformed": "quarantine"} if a.quarantine else {}
+        change |= {"topic_out": a.topic_out} if a.topic_out else {}
+    if a.job == "region-split" and a.topic_in:
+        change["topic_in"] = a.topic_in
+    if a.job == "dedup":
+        change |= {"key_index": tuple(int(i) for i in a.key_index.split(","))} if a.key_index else {}
+        change |= {"time_index": a.time_index} if a.time_index is not None else {}
+        change |= {"separator": a.separator} if a.separator else {}
+        change |= {"distinct_by_time": False} if a.any else {}
+        change |= {"drop_blank": True} if a.drop_blank else {}
+    cfg["conf"] = replace(cfg["conf"], **change)
+    given = {"brokers": a.brokers, "topics": a.topics, "starting": a.starting, "group_id": a.group_id,
+             "secured": a.secured}
+    return cfg | {k: v for k, v in given.items() if v is not None}
 
 
 def main(argv=None, spark: SparkSession | None = None) -> None:
     a = _parser().parse_args(argv)
-    if a.properties:
-        from dataclasses import replace
-        from .properties import job_settings, load_properties
-        cfg = job_settings(a.job, load_properties(a.properties))
-        if a.quarantine and a.job != "tap":
-            cfg["conf"] = replace(cfg["conf"], on_malformed="quarantine")
-        cfg["brokers"] = a.brokers or cfg["brokers"]
-        cfg["topics"] = a.topics or cfg["topics"]
-    else:
-        cfg = _from_args(a)
+    cfg = _settings(a)
     if a.in_path is None and not cfg["brokers"]:
         raise SystemExit("give --brokers/--topics (Kafka), --properties, or --in-path (landed record files)")
     spark = spark or SparkSession.builder.appName(f"sigshape-{a.job}").getOrCreate()
+    for key, value in JOB_CONF.items():
+        spark.conf.set(key, value)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     if id(spark) not in _LOGGERS:                       # per-batch rows and elapsed seconds
         _LOGGERS[id(spark)] = BatchTimeLogger()
@@ -197,7 +232,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     ends = None
     if a.in_path is None:
         ends = KafkaEnds(cfg["brokers"], cfg["topics"] or "", cfg["secured"], cfg["starting"],
-                         a.starting_offsets_json, cfg["group_id"],
+                         a.starting_offsets_json, cfg["group_id"], fail_on_data_loss=not a.allow_data_loss,
                          max_offsets_per_trigger=a.max_offsets_per_trigger,
                          min_partitions=a.min_partitions)
     common = dict(ends=ends, in_path=a.in_path, out_path=a.out_path, available_now=a.available_now,
@@ -209,7 +244,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     elif a.job == "dedup":
         q = dedup_job(spark, cfg["conf"], **common)
     else:
-        q = tap_job(spark, cfg["conf"], sink="text" if a.out_path else "console", **common)
+        q = tap_job(spark, cfg["conf"], sink="console" if a.console else "text", **common)
     q.awaitTermination()
 
 

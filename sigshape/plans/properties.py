@@ -73,7 +73,8 @@ def job_settings(job: str, props: dict[str, str]) -> dict:
     interval = int(props.get("batch_interval", DEFAULT_BATCH_INTERVAL))
     common = {"brokers": props.get("broker_list"),
               "starting": props.get("auto.offset.reset", DEFAULT_OFFSET_RESET),
-              "secured": _bool(props.get("kafka.kerberos.enable"), False)}
+              # Only the dedup job reads the switch; the others are always secured.
+              "secured": _bool(props.get("kafka.kerberos.enable"), False) if job == "dedup" else True}
     if job == "region-split":
         conf = RegionSplitConf(topic_in=props.get("topic_name_in", "region_in"),
                                topic_out=props.get("topic_name_out", "region_out"),
@@ -93,6 +94,7 @@ def job_settings(job: str, props: dict[str, str]) -> dict:
                          separator=props.get("default_separator", DEFAULT_SEPARATOR),
                          distinct_by_time=by_time,
                          topic_out=props.get("topic_name_out", DedupConf().topic_out),
+                         drop_blank=_bool(props.get("drop.blank.enable"), False),
                          batch_interval_s=interval)
         return {"conf": conf, "topics": props.get("topic_name_in"),
                 "group_id": props.get("group_id", DEFAULT_GROUP_DEDUP), **common}

@@ -50,11 +50,13 @@ def test_tap_job_on_files(spark, tmp_path):
 def test_kafka_ends_options():
     e = KafkaEnds("a:1", "x,y,x", secured=True, starting="earliest", group_id="g", out_brokers="b:2")
     src = e.source_options()
-    assert src["subscribe"] == "x,y" and src["failOnDataLoss"] == "false"
+    assert src["subscribe"] == "x,y" and src["failOnDataLoss"] == "true"
+    assert KafkaEnds("a:1", "x", fail_on_data_loss=False).source_options()["failOnDataLoss"] == "false"
     assert src["kafka.security.protocol"] == "SASL_PLAINTEXT"
     sink = e.sink_options()
     assert sink["kafka.bootstrap.servers"] == "b:2" and sink["kafka.sasl.kerberos.service.name"] == "kafka"
-    assert KafkaEnds("a:1", "x").sink_options()["kafka.security.protocol"] == "PLAINTEXT"
+    assert KafkaEnds("a:1", "x").sink_options()["kafka.security.protocol"] == "SASL_PLAINTEXT"
+    assert KafkaEnds("a:1", "x", secured=False).sink_options()["kafka.security.protocol"] == "PLAINTEXT"
     assert "maxOffsetsPerTrigger" not in src
     capped = KafkaEnds("a:1", "x", max_offsets_per_trigger=10**6, min_partitions=64).source_options()
     assert capped["maxOffsetsPerTrigger"] == "1000000" and capped["minPartitions"] == "64"
@@ -66,6 +68,72 @@ def test_cli_arguments():
     assert a.job == "dedup" and a.key_index == "0,2" and a.any and a.separator == "\\t"
 
 
+def test_default_tap_shows_every_record(spark, tmp_path):
+    """More records in one batch than a console table shows, no sink given."""
+    from sigshape.session import job_path
+    src, name = str(tmp_path / "in"), f"t-tap-default-{uuid.uuid4().hex}"
+    recs = event_records(spark, SF_SMALL).limit(50)
+    recs.coalesce(1).write.parquet(src)
+    _run(tap_job(spark, TapConf(batch_interval_s=1), in_path=src, name=name))
+    lines = spark.read.text(job_path(spark, f"{name}-lines")).collect()
+    assert sorted(r.value for r in lines) == sorted(r.line for r in tap_records(spark.read.parquet(src)).collect())
+    assert len(lines) == 50
+
+
+def test_dedup_job_refuses_a_rate_cap(spark):
+    with pytest.raises(ValueError, match="rate cap"):
+        dedup_job(spark, ends=KafkaEnds("a:1", "x", max_offsets_per_trigger=10))
+
+
+def test_job_names_follow_their_input():
+    from sigshape.plans.jobs import _name
+    a, b = KafkaEnds("h:1", "x,y"), KafkaEnds("h:1", "y,x")
+    assert _name("dedup", None, a, None) == _name("dedup", None, b, None) != _name("dedup", None, KafkaEnds("h:1", "z"), None)
+    assert _name("dedup", None, None, "/a") != _name("dedup", None, None, "/b") and _name("dedup", "n", a, None) == "n"
+
+
+def test_flags_override_the_properties_file(tmp_path):
+    from sigshape.plans.jobs import _settings
+    props = tmp_path / "job.properties"
+    props.write_text(PROPS)
+    base = ["dedup", "--properties", str(props)]
+    plain = _settings(_parser().parse_args(base))
+    assert (plain["secured"], plain["starting"], plain["group_id"], plain["conf"].drop_blank) == (False, "earliest", "g1", False)
+    got = _settings(_parser().parse_args([*base, "--secured", "--starting", "latest", "--group-id", "g2", "--interval", "7",
+                                          "--topic-out", "o", "--separator", ";", "--key-index", "1", "--time-index", "2",
+                                          "--any", "--drop-blank", "--quarantine", "--brokers", "b:1", "--topics", "t"]))
+    conf = got["conf"]
+    assert (got["secured"], got["starting"], got["group_id"], got["brokers"], got["topics"]) == (True, "latest", "g2", "b:1", "t")
+    assert (conf.batch_interval_s, conf.topic_out, conf.separator, conf.key_index, conf.time_index) == (7, "o", ";", (1,), 2)
+    assert not conf.distinct_by_time and conf.drop_blank and conf.on_malformed == "quarantine"
+    split = _settings(_parser().parse_args(["region-split", "--properties", str(props), "--topic-in", "cur", "--no-secured"]))
+    assert split["conf"].topic_in == "cur" and split["secured"] is False
+    for job in ("region-split", "tap"):
+        assert _settings(_parser().parse_args([job, "--properties", str(props)]))["secured"] is True
+        assert _settings(_parser().parse_args([job, "--brokers", "b", "--topics", "t"]))["secured"] is True
+    assert _settings(_parser().parse_args(["dedup", "--brokers", "b", "--topics", "t"]))["secured"] is False
+
+
+@pytest.mark.parametrize("on_malformed", ["fail", "quarantine"])
+def test_split_sink_is_the_given_one(spark, tmp_path, on_malformed):
+    """sink="json" writes JSON by topic in both modes."""
+    import glob
+    from sigshape.sources.records import stream_records
+    from sigshape.streaming.runners import region_split_writer, start
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    wide = wide_signal_records(spark, SF_SMALL)
+    wide.write.parquet(src)
+    conf = RegionSplitConf(topic_in="cur", topic_out="left", on_malformed=on_malformed)
+    w = region_split_writer(stream_records(spark, "parquet", src), out, conf, sink="json",
+                            quarantine_path=str(tmp_path / "bad"))
+    start(w, str(tmp_path / "ckpt"), available_now=True).awaitTermination()
+    assert not glob.glob(f"{out}/**/*.parquet", recursive=True)
+    files = glob.glob(f"{out}/**/topic=*/*.json", recursive=True)
+    assert files
+    back = spark.read.schema("key string, value string").json(files)
+    assert back.count() == region_fanout(wide, RegionSplitConf(topic_in="cur", topic_out="left")).count()
+
+
 def test_tap_job_text_sink(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     recs = event_records(spark, SF_SMALL)

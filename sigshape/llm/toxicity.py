@@ -1,9 +1,10 @@
 """Toxicity: every significant toxic passage, by maximum-scoring segments.
 
-Tokens are words and word beginnings (3 to 7 letters). Labelled texts give
-each token a log-odds of the toxic against the other class under a Dirichlet
-prior (the pooled frequencies, ``PRIOR`` of all tokens strong); tokens whose
-z-score reaches ``MIN_Z`` form the model. A word scores by its most
+Tokens are words and word beginnings (3 to 7 letters), each counted once in a
+labelled text, so one text that repeats a word weighs no more than another.
+The counts give each token a log-odds of the toxic against the other class
+under a Dirichlet prior (the pooled frequencies, ``PRIOR`` of all tokens
+strong); tokens whose z-score reaches ``MIN_Z`` form the model. A word scores by its most
 significant token, every other word costs ``GAP``. One linear-time scan
 finds all maximal-scoring segments of a text. A segment's score S becomes
 bits above chance, ``lambda * S - ln(K * n)``, by the extreme-value law of
@@ -12,7 +13,7 @@ class); the segments above chance are summed, and a logistic fit on the
 training rows turns that sum into the score.
 
 The fit reads at most ``PER_CLASS`` labelled rows of each class (documented
-bound); the model holds tokens seen ``MIN_COUNT`` times there, so its size
+bound); the model holds tokens of ``MIN_COUNT`` texts there, so its size
 is bounded too.
 
 Defined cases: a null text is empty; an empty text has no passage; repeated
@@ -38,7 +39,7 @@ from .labelled import class_weights, fit_logistic, training_rows
 
 PER_CLASS = 4000
 PRIOR = 0.02
-MIN_Z = 2.5
+MIN_Z = 3.0
 MIN_COUNT = 4
 GAP = 0.08
 TOXIC_AT = 0.3
@@ -120,8 +121,9 @@ class ToxicModel:
 
 
 def log_odds(counts: DataFrame, totals: tuple[int, int]) -> DataFrame:
-    """token, odds, z from ``counts`` (token, other, toxic), under a Dirichlet
-    prior of the pooled frequencies."""
+    """token, odds, z from ``counts`` (token, other, toxic: texts that hold it)
+    and the ``totals`` of distinct words in the texts of both classes, under
+    a Dirichlet prior of the pooled frequencies."""
     n_c, n_t = totals
     a0 = PRIOR * (n_c + n_t)
     a = F.lit(a0) * (F.col("other") + F.col("toxic")) / F.lit(float(n_c + n_t))
@@ -173,11 +175,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = Counter(_WORD.findall(text.lower()))
-                seen[label][""] += sum(words.values())
-                for w, n in words.items():
-                    for t in tokens(w):
-                        seen[label][t] += n
+                words = set(_WORD.findall(text.lower()))
+                seen[label][""] += len(words)
+                seen[label].update({t for w in words for t in tokens(w)})
         names = list(seen[0].keys() | seen[1].keys())
         for at in range(0, len(names), 50_000):
             some = names[at:at + 50_000]

@@ -19,7 +19,9 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +44,14 @@ TEXTS_AT_ONCE = 256
 _PIECES = "doc_id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+def _bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordTokenizer:
     """Ids of a text, word by word.
 
@@ -74,9 +84,14 @@ class WordTokenizer:
             else:
                 new.append(w)
         stems = [w[:-1] if len(w) > 1 and w[-1] in ",." and w[-2].isalpha() else w for w in new]
-        fresh = list({s for s in stems if s not in self.known} | {",", "."})
-        for s, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.known[s] = np.array(e.ids, "<u4").tobytes()
+        fresh = {s for s in stems if s not in self.known} | {",", "."}
+        # A word of ASCII letters is one pre-token: the model takes it as it is.
+        plain = [s for s in fresh if s.isascii() and s.isalpha()]
+        for s in plain:
+            self.known[s] = _bytes([t.id for t in self.tokenizer.model.tokenize(s.lower())])
+        other = list(fresh.difference(plain))
+        for s, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            self.known[s] = _bytes(e.ids)
         for w, s in zip(new, stems):
             if w != s:
                 self.known[w] = self.known[s] + self.known[w[-1]]

@@ -6,7 +6,6 @@ Library functions never build their own session; they take the caller's.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,13 +62,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-path of the checkpoint root for one run."""
-    root = checkpoint_root(spark)
-    sep = "" if root.endswith("/") else "/"
-    path = f"{root}{sep}{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A new, unique sub-path of the checkpoint root for one run. Spark's
+    writers create it, on whichever file system the root is."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def job_path(spark: SparkSession, name: str) -> str:

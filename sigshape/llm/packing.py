@@ -83,7 +83,7 @@ class WordTokenizer:
                 self.known[w] = self.older[w]
             else:
                 new.append(w)
-        stems = [w[:-1] if len(w) > 1 and w[-1] in ",." and w[-2].isalpha() else w for w in new]
+        stems = [w[:-1] if len(w) > 1 and w[-1] in ",." and w[-2].lower()[-1].isalpha() else w for w in new]
         fresh = {s for s in stems if s not in self.known} | {",", "."}
         # A word of ASCII letters is one pre-token: the model takes it as it is.
         plain = [s for s in fresh if s.isascii() and s.isalpha()]
@@ -140,50 +140,54 @@ def _cut(tokenizer_path: str, window: int):
 
 # ------------------------------------------------------------------ the plan, from the histogram
 
-def nnls(a: np.ndarray, b: np.ndarray, tol: float = 1e-7) -> np.ndarray:
-    """Non-negative least squares by active sets: min ||a x - b||, x >= 0."""
-    x, active = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
-    scale = max(1.0, float(np.abs(a.T @ b).max(initial=0)))
-    for _ in range(3 * max(a.shape[0], 1)):
-        grad = a.T @ (b - a @ x)
-        grad[active] = -np.inf
-        j = int(np.argmax(grad))
-        if grad[j] <= tol * scale:
+def nnls(columns: np.ndarray, b: np.ndarray, weight: np.ndarray, tol: float = 1e-7) -> np.ndarray:
+    """Non-negative least squares by active sets: min ||W (A x - b)||, x >= 0.
+
+    Column j of A is the sum of the unit vectors ``columns[j]``; index 0 means
+    none and has weight 0. The active columns' Gram matrix grows by one row a step.
+    """
+    target = weight * b
+    x, on = np.zeros(len(columns)), []
+    part, gram = np.zeros((len(b), 0)), np.zeros((0, 0))
+    scale = max(1.0, float(np.abs(target).max(initial=0)))
+    for _ in range(4 * len(b)):
+        grad = (weight * (target - part @ x[on]))[columns].sum(axis=1)
+        grad[on] = -np.inf
+        j = int(np.argmax(grad)) if len(columns) else 0
+        if not len(columns) or grad[j] <= tol * scale:
             break
-        active[j] = True
+        new = np.zeros(len(b))
+        np.add.at(new, columns[j], weight[columns[j]])
+        side = part.T @ new
+        gram = np.block([[gram, side[:, None]], [side[None, :], np.array([[new @ new]])]])
+        part = np.hstack([part, new[:, None]])
+        on.append(j)
         while True:
-            on = np.flatnonzero(active)
-            part = a[:, on]
-            s = np.linalg.solve(part.T @ part + 1e-9 * np.eye(len(on)), part.T @ b)
+            s = np.linalg.solve(gram + 1e-9 * np.eye(len(on)), part.T @ target)
             neg = s <= 0
             if not neg.any():
-                x[:] = 0
                 x[on] = s
                 break
-            step = np.min(x[on][neg] / np.maximum(x[on][neg] - s[neg], 1e-300))
-            x[on] += step * (s - x[on])
-            active[on[x[on] <= 1e-12]] = False
-            x[~active] = 0
+            now = x[on]
+            step = np.min(now[neg] / np.maximum(now[neg] - s[neg], 1e-300))
+            now = now + step * (s - now)
+            keep = now > 1e-12
+            x[on] = np.where(keep, now, 0.0)
+            on = [c for c, k in zip(on, keep) if k]
+            part, gram = part[:, keep], gram[np.ix_(keep, keep)]
     return x
 
 
-def combinations(classes: int, present: np.ndarray) -> list[tuple[int, ...]]:
-    """One to three length classes (multiples of the class width) that fill a window."""
-    out = []
-    for a in range(classes, 0, -1):
-        if not present[a]:
-            continue
-        if a == classes:
-            out.append((a,))
-        for b in range(min(a, classes - a), 0, -1):
-            if not present[b]:
-                continue
-            c = classes - a - b
-            if c == 0:
-                out.append((a, b))
-            elif c <= b and present[c]:
-                out.append((a, b, c))
-    return out
+def combinations(classes: int, present: np.ndarray) -> np.ndarray:
+    """Up to three length classes (multiples of the class width, 0: none) that
+    fill a window, each class being present; largest first."""
+    a, b = np.meshgrid(np.arange(classes + 1), np.arange(classes + 1), indexing="ij")
+    c = classes - a - b
+    ok = (a >= b) & (b >= c) & (c >= 0)
+    out = np.stack([a[ok], b[ok], c[ok]], axis=1)
+    has = present.copy()
+    has[0] = True
+    return out[has[out].all(axis=1)]
 
 
 def _take(stock: np.ndarray, cls: int, width: int, n: int) -> list[list[int]]:
@@ -215,17 +219,15 @@ def plan(histogram: dict[int, int], window: int = WINDOW, width: int = CLASS_TOK
     by_class = np.zeros(classes + 1, np.int64)
     np.add.at(by_class, -(-np.arange(window + 1) // width), stock)
     combos = combinations(classes, by_class > 0)
-    if combos:
-        a = np.zeros((classes + 1, len(combos)))
-        for j, combo in enumerate(combos):
-            for c in combo:
-                a[c, j] += 1
-        repeats = np.floor(nnls(a, by_class.astype(float)) + 1e-6).astype(np.int64)
+    if len(combos):
+        # Long pieces weigh more: what is left over then is short and packs well.
+        weight = np.arange(classes + 1) / classes
+        repeats = np.floor(nnls(combos, by_class.astype(float), weight) + 1e-6).astype(np.int64)
         for j in np.flatnonzero(repeats):
-            need = [sum(c == d for d in combos[j]) for c in combos[j]]
-            have = [int(sum(stock[(c - 1) * width + 1:c * width + 1])) for c in combos[j]]
-            n = int(min([repeats[j], *(h // k for h, k in zip(have, need))]))
-            slots = [_take(stock, c, width, n) for c in combos[j]]
+            combo = [int(c) for c in combos[j] if c]
+            have = [int(sum(stock[(c - 1) * width + 1:c * width + 1])) for c in combo]
+            n = int(min([repeats[j], *(h // combo.count(c) for h, c in zip(have, combo))]))
+            slots = [_take(stock, c, width, n) for c in combo]
             while n:                                  # runs of equal lengths in every slot
                 k = min(s[0][1] for s in slots)
                 used: dict[int, int] = {}

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from llm_helpers import EDGE, docs_frame, small_documents
 
-from sigshape.llm.packing import WINDOW, intervals, nnls, pack, plan, tokenizer_at
+from sigshape.llm.packing import WINDOW, combinations, intervals, nnls, pack, plan, tokenizer_at
 from sigshape.llm.queries import TOKENIZER, tokenizer_file
 
 
@@ -66,10 +66,25 @@ def test_word_by_word_equals_whole_text():
 
 def test_least_squares_against_its_conditions():
     rng = np.random.default_rng(0)
-    a, b = rng.random((30, 60)), rng.random(30)
-    x = nnls(a, b)
-    grad = a.T @ (b - a @ x)
-    assert (x >= 0).all() and (grad <= 1e-5).all() and np.abs(grad[x > 1e-9]).max(initial=0) < 1e-5
+    for _ in range(5):
+        columns = combinations(24, rng.random(25) < 0.8)
+        b = rng.integers(0, 50, 25).astype(float)
+        weight = np.arange(25) / 24
+        x = nnls(columns, b, weight)
+        a = np.zeros((25, len(columns)))
+        for j, c in enumerate(columns):
+            np.add.at(a[:, j], c, weight[c])
+        b = b * weight
+        grad = a.T @ (b - a @ x)
+        assert (x >= 0).all() and (grad <= 1e-4).all() and np.abs(grad[x > 1e-9]).max(initial=0) < 1e-4
+
+
+def test_combinations_fill_a_window():
+    present = np.ones(13, bool)
+    present[5] = False
+    got = {tuple(c) for c in combinations(12, present)}
+    assert got == {(a, b, 12 - a - b) for a in range(13) for b in range(a + 1) if 0 <= 12 - a - b <= b
+                   and not {a, b, 12 - a - b} & {5}}
 
 
 def test_plan_uses_the_histogram_up_and_wastes_little():

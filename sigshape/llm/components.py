@@ -23,7 +23,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         near = edges
     least = near.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
+    # A plain table: the join below can split the rows of a node with many edges.
+    least = saved(least.select(F.col("u").alias("c"), F.least("u", "m").alias("m")), "component-least")
     joined = near.join(least, F.col("u") == F.col("c"))
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -69,9 +69,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      "exact-members")
 
     def best(m: DataFrame) -> DataFrame:
-        return m.groupBy("hash", "sub").agg(
+        """The groups as a plain table, so that the join can split the members of a hot one."""
+        return saved(m.groupBy("hash", "sub").agg(
             F.sum("n_rows").alias("group_size"),
-            F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id")).alias("first"))
+            F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id")).alias("first")), "exact-groups")
 
     folded = members([F.lit(None).cast("string").alias("sub")])
     groups = best(folded)

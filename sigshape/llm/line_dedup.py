@@ -90,6 +90,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     candidates = saved(candidates, "lines-candidates")
     first = (candidates.groupBy("same").agg(F.min(F.struct("doc_id", "key", "first")).alias("src"))
              .select(F.col("same").alias("as"), "src"))
+    first = saved(first, "lines-first")       # a plain table, so that the join can split a hot line
     later = (candidates.join(first, F.col("same") == F.col("as"))
              .where(F.struct("doc_id", "key", "first") != F.col("src"))
              .select("doc_id", "key", "first", (F.col("first") + F.col("n")).alias("end"),

@@ -170,7 +170,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(edges)
     rooted = (fps.join(labels, F.col("fp") == F.col("node"), "left")
               .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = saved(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
     of = rooted.join(least, "root").select(F.col("fp").alias("of_fp"), "component_id")
     return (prints.join(of, F.col("fp") == F.col("of_fp"))
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))

@@ -36,8 +36,9 @@ from .common import held_out, saved, ship, text_of
 WORD_SHARE = 5e-6
 PAIR_SHARE = 2e-6
 DISCOUNT = 0.5
-#: Pairs that a task holds before it sums them.
-PAIRS_AT_ONCE = 1 << 22
+#: Different words, and pairs, that a task holds before it passes their sums on.
+WORDS_AT_ONCE = 300_000
+PAIRS_AT_ONCE = 1 << 21
 #: Labelled ids up to which the label join may be broadcast (32 MB).
 BROADCAST_IDS = 4_000_000
 
@@ -123,7 +124,7 @@ def _count_words(batches):
             words = words_of(text)
             total += len(words)
             seen.update(words)
-        if len(seen) > 1_000_000:
+        if len(seen) > WORDS_AT_ONCE:
             yield from out()
             seen.clear()
     yield from out()

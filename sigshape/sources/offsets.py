@@ -143,10 +143,9 @@ def starting_offsets_json(positions: Iterable[tuple[str, int, int]]) -> str:
 
 def resolved_positions(resolved: DataFrame, max_rows: int = 100_000) -> list[tuple[str, int, int]]:
     """Resolved starts ``(topic, partition, start)`` as a driver-side list, for
-    :func:`starting_offsets_json`. One row per topic partition; the count is
-    checked before anything is collected."""
-    n = resolved.count()
-    if n > max_rows:
-        raise ValueError(f"{n} topic partitions exceed the limit of {max_rows} for a start-position map")
-    return [(r["topic"], int(r["partition"]), int(r["start"]))
-            for r in resolved.select("topic", "partition", "start").collect()]
+    :func:`starting_offsets_json`. One row per topic partition; more than
+    ``max_rows`` are refused, and never collected."""
+    rows = resolved.select("topic", "partition", "start").limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} topic partitions: too many for a start-position map")
+    return [(r["topic"], int(r["partition"]), int(r["start"])) for r in rows]

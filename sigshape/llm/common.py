@@ -47,6 +47,20 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Texts of an Arrow batch that a Python worker decodes at once.
+SLICE_ROWS = 256
+
+
+def slices(batch):
+    """An Arrow batch (or array) in slices of SLICE_ROWS; the memory that
+    Arrow no longer needs is given back after the last one."""
+    import pyarrow as pa
+
+    for at in range(0, len(batch), SLICE_ROWS):
+        yield batch.slice(at, SLICE_ROWS)
+    pa.default_memory_pool().release_unused()
+
+
 _shipped: set[str] = set()
 
 

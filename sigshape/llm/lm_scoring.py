@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, saved, ship, text_of
+from .common import held_out, saved, ship, slices, text_of
 
 WORD_SHARE = 5e-6
 PAIR_SHARE = 2e-6
@@ -207,7 +207,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def score(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             got = [scorer.score(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([n for n, _, _ in got], pa.int64()), pa.array([t for _, t, _ in got], pa.float64()),

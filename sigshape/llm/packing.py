@@ -30,16 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CELL_ROWS, gapless_rank, saved, ship, text_of
+from .common import CELL_ROWS, gapless_rank, saved, ship, slices, text_of
 
 WINDOW = 2048
 END_ID = 1
 #: Lengths are solved for in classes of so many tokens.
 CLASS_TOKENS = 8
 #: A Python worker remembers the ids of up to twice as many words.
-WORD_CACHE = 700_000
-#: Texts whose new words are tokenized in one call.
-TEXTS_AT_ONCE = 256
+WORD_CACHE = 250_000
 
 _PIECES = "doc_id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -97,13 +95,12 @@ class WordTokenizer:
                 self.known[w] = self.known[s] + self.known[w[-1]]
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            split = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts[at:at + TEXTS_AT_ONCE]]
-            self._learn(set().union(*split))
-            get = self.known.__getitem__
-            for words in split:
-                yield b"".join(map(get, words))
+        """Little-endian 32-bit ids of each text; new words are tokenized in one call."""
+        split = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") for t in texts]
+        self._learn(set().union(*split))
+        get = self.known.__getitem__
+        for words in split:
+            yield b"".join(map(get, words))
 
 
 _loaded: dict[str, WordTokenizer] = {}
@@ -121,7 +118,7 @@ def _cut(tokenizer_path: str, window: int):
         tokenizer = tokenizer_at(tokenizer_path)
         end = np.array([END_ID], "<u4").tobytes()
         step = 4 * window
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             of, start, length, crc, total = [], [], [], [], []
             for i, ids in enumerate(tokenizer.ids(batch.column(1).to_pylist())):
                 ids += end

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 from pyspark.sql.types import DoubleType
 
-from .common import held_out, ship, text_of
+from .common import held_out, ship, slices, text_of
 from .labelled import class_weights, fit_logistic, training_rows
 
 BITS = 17                     # table rows: 2 ** BITS
@@ -37,7 +37,7 @@ PER_CLASS = 1500              # labelled rows of each class that the fit reads a
 EPOCHS = 6
 TWICE = 0                     # table row of a repeated word
 GRAMS = (3, 4, 5)             # bytes
-CHUNK = 1 << 21               # bytes of text that are hashed at once
+CHUNK = 1 << 18               # bytes of text that are hashed at once
 KEEP_AT = 0.7
 
 _STEP = np.uint32(0x01000193)
@@ -195,7 +195,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     rows, counts = training_rows(docs, labels, "quality", per_class, id_col, text_col)
 
     def bags(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             got = [features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r.astype(np.int32) for r, _ in got], pa.list_(pa.int32())),
@@ -214,7 +214,8 @@ def quality_score(model: QualityModel, text: Column) -> Column:
     """The score of a text column, as one vectorised expression."""
     @arrow_udf(DoubleType())
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array(model.scores(texts.to_pylist()), pa.float64())
+        got = [model.scores(part.to_pylist()) for part in slices(texts)]
+        return pa.array(np.concatenate(got) if got else np.zeros(0), pa.float64())
 
     return score(text_of(text))
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, ship, text_of
+from .common import saved, ship, slices, text_of
 from .components import components
 
 SHINGLE = 4
@@ -72,7 +72,7 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             fps = [_signed(fingerprint(t, shingle)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 

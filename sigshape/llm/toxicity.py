@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from .common import held_out, ship, text_of
+from .common import held_out, ship, slices, text_of
 from .labelled import class_weights, fit_logistic, training_rows
 
 PER_CLASS = 4000
@@ -220,7 +220,7 @@ def toxic_passages(model: ToxicModel, text: Column) -> Column:
     """struct(score, passages) of a text column; a passage is first:end in words."""
     @arrow_udf("struct<score: double, passages: string>")
     def score(texts: pa.Array) -> pa.Array:
-        got = [model.score(t) for t in texts.to_pylist()]
+        got = [model.score(t) for part in slices(texts) for t in part.to_pylist()]
         return pa.StructArray.from_arrays(
             [pa.array([p for p, _ in got], pa.float64()),
              pa.array([",".join(f"{a}:{b}" for a, b in spans) for _, spans in got], pa.string())],

@@ -190,7 +190,8 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, counts: tupl
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 per_class: int = PER_CLASS) -> QualityModel:
     """Learns from labelled, not held-out rows: features are taken on the
-    executors, the bounded sample of them is trained on the driver."""
+    executors, one task trains on the bounded sample of them, and the driver
+    gets the finished model only (half a megabyte)."""
     ship(docs.sparkSession)
     rows, counts = training_rows(docs, labels, "quality", per_class, id_col, text_col)
 
@@ -202,12 +203,22 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                  pa.array([n.astype(np.int32) for _, n in got], pa.list_(pa.int32())),
                  batch.column(1), batch.column(2)], ["rows", "n", "label", "h"])
 
+    def fit(batches):
+        parts = list(batches)                            # the bounded sample: at most 2 x per_class rows
+        if not parts:
+            return
+        got = pa.Table.from_batches(parts).sort_by("h")
+        y = got.column("label").to_numpy()
+        lists = zip(*(got.column(c).to_numpy(zero_copy_only=False) for c in ("rows", "n")))
+        model = train([(r, n.astype(np.float32)) for r, n in lists], y, counts)
+        yield pa.RecordBatch.from_pydict({"weight": [model.weight.tobytes()], "bias": [model.bias], "slope": [model.slope]})
+
     got = (rows.select("text", "label", F.xxhash64("doc_id", "text").alias("h"))
-           .mapInArrow(bags, "rows array<int>, n array<int>, label int, h bigint").toArrow())
-    got = got.sort_by("h")
-    y = got.column("label").to_numpy()
-    lists = [list(zip(*(c.to_numpy(zero_copy_only=False) for c in (got.column("rows"), got.column("n")))))][0]
-    return train([(r, n.astype(np.float32)) for r, n in lists], y, counts)
+           .mapInArrow(bags, "rows array<int>, n array<int>, label int, h bigint")
+           .repartition(1).mapInArrow(fit, "weight binary, bias double, slope double").collect())
+    if not got:
+        return train([], np.zeros(0, np.int64), counts)
+    return QualityModel(np.frombuffer(got[0].weight, np.float32), got[0].bias, got[0].slope)
 
 
 def quality_score(model: QualityModel, text: Column) -> Column:

@@ -5,14 +5,16 @@ background model (all documents) are word bigram models over one
 vocabulary. A document's score is its loss per token under the target model
 minus that under the background model: the lower, the closer to the target.
 
-The vocabulary is every word with at least ``WORD_SHARE`` of all tokens, all
-others being one unknown word; a model keeps every bigram with at least
-``PAIR_SHARE`` of its tokens and backs off to single words for the rest by
-absolute discounting. Shares bound the sizes at every corpus size: at most
-1 / WORD_SHARE words and 1 / PAIR_SHARE bigrams a model. The models are
-matched: same vocabulary, order, discount and, by scaling the background's
-counts to the target's tokens, same size. Counts cover all documents; they
-are summed by task first, then by Spark.
+The vocabulary is every word that stands at least ``LEAST`` times, all others
+being one unknown word; a model keeps every bigram with a count of ``LEAST``
+or more and backs off to single words for the rest by absolute discounting.
+That floor is the same at every corpus size, so the models grow with the
+corpus: they are Spark tables, and the pairs of a document, counted once for
+each document, are joined to them. The models are matched: same vocabulary,
+order, discount and, by scaling the background's counts to the target's
+tokens, same size; a discount takes no more than half of a scaled count, so
+scaling loses no bigram. Counts cover all documents. In the tables, words,
+pairs and texts go by 64-bit hashes.
 
 Defined cases: a null or empty text has no tokens and score 0; without
 target documents the target equals the background (all scores 0); repeated
@@ -28,13 +30,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, saved, ship, slices, text_of
 
-WORD_SHARE = 5e-6
-PAIR_SHARE = 2e-6
+#: Occurrences from which a word, or a model's bigram, is kept.
+LEAST = 2
+#: Further floors as shares of all tokens; at 0 there are none.
+WORD_SHARE = 0.0
+PAIR_SHARE = 0.0
 DISCOUNT = 0.5
 #: Different words, and pairs, that a task holds before it passes their sums on.
 WORDS_AT_ONCE = 300_000
@@ -76,21 +82,21 @@ def bigrams(words: np.ndarray, pairs: np.ndarray, counts: np.ndarray, scale: flo
     log_word = np.log((n + 1) / (n.sum() + size))
     order = np.argsort(pairs)
     pairs, c = pairs[order], counts[order] * scale
-    keep = c > DISCOUNT
-    pairs, c = pairs[keep], c[keep]
+    left = c - np.minimum(DISCOUNT, c / 2)
     before, word = pairs // size, pairs % size
     begun = np.maximum(n, 1e-9)              # how often a word is followed: its own count
     begun[START] = max(begun[START], 1e-9)
     sums = np.bincount(before, weights=c, minlength=size)
     begun = np.maximum(begun, sums)
-    taken = np.bincount(before, weights=c - DISCOUNT, minlength=size) / begun
+    taken = np.bincount(before, weights=left, minlength=size) / begun
     back = np.clip(1 - taken, 1e-6, 1.0)
-    log_pair = np.log((c - DISCOUNT) / begun[before] + back[before] * np.exp(log_word[word]))
+    log_pair = np.log(left / begun[before] + back[before] * np.exp(log_word[word]))
     return Bigrams(pairs, log_pair, log_word, np.log(back))
 
 
 @dataclass(frozen=True)
 class Scorer:
+    """The models in memory, for small corpora; equal to ``score_documents``."""
     ids: dict[str, int]
     target: Bigrams
     background: Bigrams
@@ -108,110 +114,242 @@ class Scorer:
                 float(self.background.losses(x[:-1], x[1:]).mean()))
 
 
+class _Hashes(dict):
+    """64-bit hashes of words, signed; the first two codes are not given out."""
+
+    def __missing__(self, word: str) -> int:
+        h = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
+        h = self[word] = (h - (1 << 64) if h >> 63 else h) if h >= FIRST_WORD else h + FIRST_WORD
+        return h
+
+    def coded(self, text: str) -> np.ndarray:
+        if len(self) > WORDS_AT_ONCE:
+            self.clear()
+        words = words_of(text)
+        out = np.empty(len(words) + 1, np.int64)
+        out[0] = START
+        out[1:] = [self[w] for w in words]
+        return out
+
+
+_ODD = -7046029254386353131                  # odd, so that no two previous words meet
+
+
+def _pair_codes(x: np.ndarray) -> np.ndarray:
+    return x[:-1] * np.int64(_ODD) ^ x[1:]
+
+
 def _count_words(batches):
-    seen: Counter = Counter()
-    total = 0
+    """(word, w, rest, target) sums; the word "" counts texts with a token."""
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    hashes = _Hashes()
 
     def out():
-        names = list(seen)
+        names = list(seen[0].keys() | seen[1].keys())
         for at in range(0, len(names), 100_000):
             some = names[at:at + 100_000]
-            yield pa.RecordBatch.from_pydict({"word": pa.array(some, pa.string()),
-                                              "n": pa.array([seen[w] for w in some], pa.int64())})
+            hashes.clear()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.string()), pa.array([hashes[w] if w else START for w in some], pa.int64()),
+                 pa.array([seen[0][w] for w in some], pa.int64()), pa.array([seen[1][w] for w in some], pa.int64())],
+                ["word", "w", "rest", "target"])
 
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
+    for batch in (part for whole in batches for part in slices(whole)):
+        for text, is_target in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             words = words_of(text)
-            total += len(words)
-            seen.update(words)
-        if len(seen) > WORDS_AT_ONCE:
+            if words:
+                seen[is_target].update(words)
+                seen[is_target][""] += 1
+        if len(seen[0]) + len(seen[1]) > WORDS_AT_ONCE:
             yield from out()
-            seen.clear()
+            seen[0].clear()
+            seen[1].clear()
     yield from out()
-    yield pa.RecordBatch.from_pydict({"word": [""], "n": pa.array([total], pa.int64())})
 
 
-def vocabulary(docs: DataFrame) -> list[str]:
-    """Words with at least WORD_SHARE of all tokens, by name; ``docs`` has text."""
-    counts = saved(docs.select("text").mapInArrow(_count_words, "word string, n bigint")
-                   .groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
-    total = counts.where("word = ''").agg(F.sum("n")).first()[0] or 0
-    kept = counts.where((F.col("word") != "") & (F.col("n") >= total * WORD_SHARE)).select("word")
-    return sorted(r.word for r in kept.collect())
+def _count_pairs(batches):
+    """(c, p, w, rest, target) sums of the pairs as they stand."""
+    hashes = _Hashes()
+    held: list[list[np.ndarray]] = [[], []]
+    n = 0
 
+    def out():
+        for is_target, texts in enumerate(held):
+            if not texts:
+                continue
+            p, w = np.concatenate([x[:-1] for x in texts]), np.concatenate([x[1:] for x in texts])
+            c, at, k = np.unique(p * np.int64(_ODD) ^ w, return_index=True, return_counts=True)
+            p, w = p[at], w[at]
+            for i in range(0, len(c), 100_000):
+                part = slice(i, i + 100_000)
+                none = np.zeros_like(k[part])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, pa.int64()) for v in (c[part], p[part], w[part], none if is_target else k[part],
+                                                       k[part] if is_target else none)],
+                    ["c", "p", "w", "rest", "target"])
+
+    for batch in (part for whole in batches for part in slices(whole)):
+        for text, is_target in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            x = hashes.coded(text)
+            held[is_target].append(x)
+            n += len(x)
+            if n >= PAIRS_AT_ONCE:
+                yield from out()
+                held, n = [[], []], 0
+    yield from out()
 
-def _count_pairs(ids: dict[str, int]):
-    size = len(ids) + FIRST_WORD
 
-    def count(batches):
-        held: list[list[np.ndarray]] = [[], []]
+def _pairs_of_texts(batches):
+    """(key, c, n): the pairs of every text, each once with its count."""
+    hashes = _Hashes()
+    for batch in (part for whole in batches for part in slices(whole)):
+        keys, codes, counts, held = [], [], [], 0
 
         def out():
-            parts = [np.unique(np.concatenate(h) if h else np.zeros(0, np.int64), return_counts=True) for h in held]
-            for is_target, (codes, n) in enumerate(parts):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(codes, pa.int64()), pa.array(n if not is_target else np.zeros_like(n), pa.int64()),
-                     pa.array(n if is_target else np.zeros_like(n), pa.int64())], ["pair", "rest", "target"])
-
-        n = 0
-        for batch in batches:
-            for text, is_target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.array([START, *[ids.get(w, UNKNOWN) for w in words_of(text)]], np.int64)
-                held[int(is_target)].append(x[:-1] * size + x[1:])
-                n += len(x)
-                if n >= PAIRS_AT_ONCE:
-                    yield from out()
-                    held, n = [[], []], 0
-        yield from out()
-    return count
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(a), pa.int64()) for a in (keys, codes, counts)], ["key", "c", "n"])
+
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            c, n = np.unique(_pair_codes(hashes.coded(text)), return_counts=True)
+            keys.append(np.full(len(c), key, np.int64))
+            codes.append(c)
+            counts.append(n)
+            held += len(c)
+            if held >= 100_000:
+                yield out()
+                keys, codes, counts, held = [], [], [], 0
+        if held:
+            yield out()
 
 
-def fit_scorer(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               label_col: str = "quality") -> Scorer:
+@dataclass(frozen=True)
+class Tables:
+    """What was counted. ``words``: word, w, and the counts b (background) and
+    t (target). ``pairs``: mc, p, w and the counts b and t over the
+    vocabulary, with the words' own counts (pb, pt, wb, wt). ``unknown``: c of
+    pairs with an unknown word, and their mc."""
+    words: DataFrame
+    pairs: DataFrame
+    unknown: DataFrame
+    size: int
+    totals: tuple[int, int]
+    starts: tuple[int, int]
+    rare: tuple[int, int]
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = text_of(text_col)
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+
+
+def count_tables(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> Tables:
     ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    ids = {w: i + FIRST_WORD for i, w in enumerate(vocabulary(rows))}
-    size = len(ids) + FIRST_WORD
     good = saved(labels.select(F.col(id_col).alias("good_id"), F.col(label_col).cast("int").alias("label"))
                  .where(F.col("good_id").isNotNull() & ~held_out("good_id"))
                  .groupBy("good_id").agg(F.avg("label").alias("label")).where("label >= 0.5").select("good_id"), "lm-target")
     chosen = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
-    marked = rows.join(chosen, F.col("doc_id") == F.col("good_id"), "left").select(
-        "text", F.col("good_id").isNotNull().alias("target"))
-    counts = saved(marked.mapInArrow(_count_pairs(ids), "pair bigint, rest bigint, target bigint")
-                   .groupBy("pair").agg((F.sum("rest") + F.sum("target")).alias("background"),
-                                        F.sum("target").alias("target")), "lm-pairs")
-    totals = counts.agg(F.sum("background"), F.sum("target")).first()
-    n_background, n_target = totals[0] or 0, totals[1] or 0
-    if n_target == 0:
-        counts, n_target = counts.withColumn("target", F.col("background")), n_background
-    by_word = np.zeros((2, size))
-    for r in counts.groupBy((F.col("pair") % size).alias("w")).agg(            # one row per vocabulary word
-            F.sum("background").alias("b"), F.sum("target").alias("t")).collect():
-        by_word[:, r.w] = r.b, r.t
+    marked = _texts(docs, id_col, text_col).join(chosen, F.col("doc_id") == F.col("good_id"), "left").select(
+        "key", "text", F.col("good_id").isNotNull().alias("target"))
+
+    both = [F.sum(F.col("rest") + F.col("target")).alias("b"), F.sum("target").alias("t")]
+    every = saved(marked.mapInArrow(_count_words, "word string, w bigint, rest bigint, target bigint")
+                  .groupBy("word", "w").agg(*both), "lm-words")
+    of = {r.is_word: r for r in every.groupBy((F.col("word") != "").alias("is_word")).agg(
+        F.sum("b").alias("b"), F.sum("t").alias("t")).collect()}
+    total_b, total_t = (of[True].b, of[True].t) if True in of else (0, 0)
+    starts_b, starts_t = (of[False].b, of[False].t) if False in of else (0, 0)
+    same = total_t == 0                        # no target documents: the target is the background
+    t = lambda c: F.col("b") if same else F.col(c)
+    words = saved(every.where((F.col("word") != "") & (F.col("b") >= max(LEAST, total_b * WORD_SHARE)))
+                  .select("word", "w", "b", t("t").alias("t")), "lm-vocabulary")
+    n, known_b, known_t = words.agg(F.count(F.lit(1)), F.sum("b"), F.sum("t")).first()
+    if same:
+        total_t, starts_t = total_b, starts_b
+    rare = (total_b - (known_b or 0), total_t - (known_t or 0))
+
+    raw = saved(marked.mapInArrow(_count_pairs, "c bigint, p bigint, w bigint, rest bigint, target bigint")
+                .groupBy("c").agg(F.min("p").alias("p"), F.min("w").alias("w"), *both), "lm-pairs")
+    raw = raw.select("c", "p", "w", "b", t("t").alias("t"))
+    after = words.select(F.col("w").alias("w_"), F.col("b").alias("wb"), F.col("t").alias("wt"))
+    before = words.select(F.col("w").alias("p_"), F.col("b").alias("pb"), F.col("t").alias("pt"))
+    first = F.col("p") == START
+    coded = (raw.join(after, F.col("w") == F.col("w_"), "left").join(before, F.col("p") == F.col("p_"), "left")
+             .select("c", "b", "t", (F.col("w_").isNotNull() & (F.col("p_").isNotNull() | first)).alias("known"),
+                     F.when(first | F.col("p_").isNotNull(), F.col("p")).otherwise(UNKNOWN).alias("p"),
+                     F.coalesce("w_", F.lit(UNKNOWN)).cast("bigint").alias("w"),
+                     F.when(first, starts_b).otherwise(F.coalesce("pb", F.lit(rare[0]))).cast("bigint").alias("pb"),
+                     F.when(first, starts_t).otherwise(F.coalesce("pt", F.lit(rare[1]))).cast("bigint").alias("pt"),
+                     F.coalesce("wb", F.lit(rare[0])).cast("bigint").alias("wb"),
+                     F.coalesce("wt", F.lit(rare[1])).cast("bigint").alias("wt")))
+    coded = saved(coded.withColumn("mc", F.when(F.col("known"), F.col("c")).otherwise(F.xxhash64("p", "w"))), "lm-coded")
+    columns = ["mc", "p", "w", "b", "t", "pb", "pt", "wb", "wt"]
+    folded = (coded.where("not known").groupBy("mc", "p", "w", "pb", "pt", "wb", "wt")
+              .agg(F.sum("b").alias("b"), F.sum("t").alias("t")).select(columns))
+    return Tables(words, coded.where("known").select(columns).unionByName(saved(folded, "lm-folded")),
+                  coded.where("not known").select("c", "mc"), n + FIRST_WORD, (total_b, total_t), (starts_b, starts_t), rare)
+
+
+def fit_scorer(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               label_col: str = "quality") -> Scorer:
+    """The models in the driver's memory: only for small corpora."""
+    got = count_tables(docs, labels, id_col, text_col, label_col)
+    words = sorted(got.words.collect())
+    ids = {r.word: i + FIRST_WORD for i, r in enumerate(words)}
+    at = {UNKNOWN: UNKNOWN, START: START} | {r.w: ids[r.word] for r in words}
+    pairs = got.pairs.select("p", "w", "b", "t").collect()
     models = []
-    for k, (column, total) in enumerate((("background", n_background), ("target", n_target))):
-        kept = counts.where((F.col(column) > 0) & (F.col(column) >= total * PAIR_SHARE)).select("pair", column).toArrow()
-        starts = counts.where(F.floor(F.col("pair") / size) == START).agg(F.sum(column)).first()[0] or 0
-        words = by_word[k].copy()
-        words[START] = starts
-        models.append(bigrams(words, kept.column(0).to_numpy().astype(np.int64), kept.column(1).to_numpy().astype(float),
-                              n_target / max(total, 1)))
+    for k, total in enumerate(got.totals):
+        counts = np.array([got.rare[k], got.starts[k], *[r[2 + k] for r in words]], float)
+        kept = [r for r in pairs if r[2 + k] >= max(LEAST, total * PAIR_SHARE)]
+        models.append(bigrams(counts, np.array([at[r.p] * got.size + at[r.w] for r in kept], np.int64),
+                              np.array([r[2 + k] for r in kept], float), got.totals[1] / max(total, 1)))
     return Scorer(ids, models[1], models[0])
 
 
+def pair_losses(got: Tables) -> DataFrame:
+    """(c, b, t): the loss of every pair that stands in a document, by model."""
+    parts = {}
+    for k, m in enumerate("bt"):
+        total = got.totals[k]
+        scale = got.totals[1] / max(total, 1)
+        c = F.col(m) * F.lit(scale)
+        kept = F.col(m) >= max(LEAST, total * PAIR_SHARE)
+        parts[m] = (scale, F.when(kept, c).otherwise(0.0), F.when(kept, c - F.least(F.lit(DISCOUNT), c / 2)).otherwise(0.0),
+                    (total + got.starts[k]) * scale + got.size)
+    sums = saved(got.pairs.groupBy("p").agg(*[F.sum(parts[m][i]).alias(f"{m}{i}") for m in "bt" for i in (1, 2)])
+                 .withColumnRenamed("p", "of"), "lm-before")
+
+    def loss(m: str):
+        scale, _, left, norm = parts[m]
+        begun = F.greatest(F.col(f"p{m}") * F.lit(scale), F.lit(1e-9), F.col(f"{m}1"))
+        back = F.least(F.greatest(1 - F.col(f"{m}2") / begun, F.lit(1e-6)), F.lit(1.0))
+        return -F.log(left / begun + back * (F.col(f"w{m}") * F.lit(scale) + 1) / F.lit(norm))
+
+    losses = saved(got.pairs.join(sums, F.col("p") == F.col("of")).select("mc", loss("b").alias("b"), loss("t").alias("t"),
+                   ((F.col("p") == UNKNOWN) | (F.col("w") == UNKNOWN)).alias("rare")), "lm-losses")
+    rare = losses.where("rare").select(F.col("mc").alias("of"), "b", "t")
+    return saved(losses.where("not rare").select(F.col("mc").alias("c"), "b", "t").unionByName(
+        got.unknown.join(rare, F.col("mc") == F.col("of")).select("c", "b", "t")), "lm-pair-losses")
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_tokens, target_loss, background_loss, score."""
-    scorer = fit_scorer(docs, labels, id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    losses = pair_losses(count_tables(docs, labels, id_col, text_col, "quality")).withColumnRenamed("c", "of")
+    rows = _texts(docs, id_col, text_col)
+    pairs = rows.select("key", "text").mapInArrow(_pairs_of_texts, "key bigint, c bigint, n bigint")
+    # Equal texts are summed together: their loss per token is that of each.
+    found = pairs.join(losses, F.col("c") == F.col("of")).groupBy("key").agg(
+        F.sum("n").alias("tokens"), F.sum(F.col("n") * F.col("t")).alias("t"), F.sum(F.col("n") * F.col("b")).alias("b"))
+    found = saved(found.select(F.col("key").alias("of"), (F.col("t") / F.col("tokens")).alias("t"),
+                               (F.col("b") / F.col("tokens")).alias("b")), "lm-scores")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def score(batches):
+    def counted(batches):
         for batch in (part for whole in batches for part in slices(whole)):
-            got = [scorer.score(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([n for n, _, _ in got], pa.int64()), pa.array([t for _, t, _ in got], pa.float64()),
-                 pa.array([b for _, _, b in got], pa.float64())], ["doc_id", "n_tokens", "target_loss", "background_loss"])
+            n = [len(words_of(t)) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "key", "n_tokens"])
 
-    out = rows.mapInArrow(score, f"doc_id {kind}, n_tokens bigint, target_loss double, background_loss double")
+    out = rows.mapInArrow(counted, f"doc_id {kind}, key bigint, n_tokens bigint")
+    out = out.join(found, F.col("key") == F.col("of"), "left").select(
+        "doc_id", "n_tokens", F.coalesce("t", F.lit(0.0)).alias("target_loss"), F.coalesce("b", F.lit(0.0)).alias("background_loss"))
     return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))

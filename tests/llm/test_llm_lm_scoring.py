@@ -87,3 +87,18 @@ def test_edges(spark):
         assert all(r.score == 0 and r.n_tokens == 0 for r in out if r.doc_id in (1, 2, 3))
         assert labels or all(abs(r.score) < 1e-12 for r in out)
     assert m.score_documents(docs_frame(spark, []), spark.createDataFrame([], LABELS)).collect() == []
+
+
+def test_models_keep_what_stands_twice_in_a_large_corpus(spark):
+    filler = "alpha beta gamma delta " * 25_000
+    rare = "zeta eta theta iota"                      # three times in 2 M tokens
+    rows = [(i, filler) for i in range(20)] + [(100 + i, rare) for i in range(3)] + [(200, "kappa lambda omikron rho")]
+    docs = docs_frame(spark, rows)
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (100, 1, 0), (101, 1, 0), (102, 0, 0)], LABELS)
+    out = {r.doc_id: r for r in m.score_documents(docs, labels).collect()}
+    assert out[100].background_loss < out[200].background_loss - 1
+    scorer = m.fit_scorer(docs, labels)
+    assert set(rare.split()) <= set(scorer.ids) and "kappa" not in scorer.ids
+    for i, t in rows[19:]:
+        n, target, background = scorer.score(t)
+        assert (n, pytest.approx(target), pytest.approx(background)) == (out[i].n_tokens, out[i].target_loss, out[i].background_loss)

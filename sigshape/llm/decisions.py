@@ -9,17 +9,25 @@ from pyspark.sql.window import Window
 from .common import text_of
 
 
-def keep_rows(docs: DataFrame, kept_ids: DataFrame, id_col: str = "doc_id",
-              text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``kept_ids`` (one column, ``doc_id``),
-    each id as often as it is kept there; all columns stay.
+def text_key(text: str | Column) -> Column:
+    """What tells rows of one id (or of none) apart: a 64-bit hash of the text."""
+    return F.xxhash64(text_of(text))
 
-    Whole rows travel in one struct, so no column name can clash. Of several
-    rows with one id, the longest texts are taken first.
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              once: bool = False) -> DataFrame:
+    """Rows of ``docs`` whose id and text are in ``kept`` (``doc_id``, and
+    ``key`` as ``text_key`` gives it); all columns stay. With ``once``, one
+    row of each such pair.
+
+    Whole rows travel in one struct, so no column name can clash; so do the
+    pairs, since nulls within structs are equal.
     """
-    n = kept_ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    packed = docs.select(F.col(id_col).alias("id"), F.char_length(text_of(text_col)).alias("len"),
+    pairs = kept.select(F.struct("doc_id", "key").alias("of"))
+    packed = docs.select(F.struct(F.col(id_col).alias("doc_id"), text_key(text_col).alias("key")).alias("pair"),
                          F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-    own = Window.partitionBy("id").orderBy(F.desc("len"), F.xxhash64("row"))
-    return (packed.join(n, packed["id"].eqNullSafe(n["doc_id"]))
-            .withColumn("k", F.row_number().over(own)).where("k <= n").select("row.*"))
+    found = packed.join(pairs, F.col("pair") == F.col("of"), "left_semi")
+    if once:
+        own = Window.partitionBy("pair").orderBy(F.xxhash64("row"))
+        found = found.withColumn("k", F.row_number().over(own)).where("k = 1")
+    return found.select("row.*")

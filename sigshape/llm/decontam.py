@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, saved, text_of
+from .decisions import keep_rows, text_key
 
 WINDOW = 10
 #: Words on either side of a rarest term that a proximity match may use.
@@ -135,13 +136,11 @@ def _covered(spans: Column) -> Column:
         lambda acc: acc["n"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  reach: int = REACH) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256,
-    contaminated, and n_near (items with a proximity match)."""
+def _contamination(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
+                   window: int, reach: int) -> DataFrame:
+    """``contamination`` with ``key``, the 64-bit hash of the text."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("text"))
+    rows = rows.withColumn("key", text_key("text"))
     windows = saved(item_windows(items, item_col, item_text_col, window), "index-windows")
     if windows.isEmpty():
         index, anchors = rows.select("doc_id", "key", F.size(words_of(F.col("text"))).cast("bigint").alias("n_words")), None
@@ -150,7 +149,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         index = saved(postings(rows, anchors, reach), "index-postings")
     base = index.select("doc_id", "key", "n_words")
     if anchors is None:
-        return base.select("doc_id", "n_words", F.lit(0).cast("bigint").alias("n_hit"),
+        return base.select("doc_id", "key", "n_words", F.lit(0).cast("bigint").alias("n_hit"),
                            F.lit(0).cast("bigint").alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256"),
                            F.lit(False).alias("contaminated"), F.lit(0).cast("bigint").alias("n_near"))
     each = index.select("doc_id", "key", F.explode("postings").alias("p"))
@@ -185,14 +184,21 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     out = beside(beside(beside(base, hit), found), near)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
-    return out.select("doc_id", "n_words", zero("n_hit"), zero("n_items"),
+    return out.select("doc_id", "key", "n_words", zero("n_hit"), zero("n_items"),
                       F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
                       F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"), zero("n_near"))
 
 
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
+                  reach: int = REACH) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256,
+    contaminated, and n_near (items with a proximity match)."""
+    return _contamination(docs, items, id_col, text_col, item_col, item_text_col, window, reach).drop("key")
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without those that hold a window of an item; all columns stay."""
-    from .decisions import keep_rows
-
-    clean = contamination(docs, items, id_col, text_col).where("not contaminated").select("doc_id")
+    found = _contamination(docs, items, id_col, text_col, "item_id", "text", WINDOW, REACH)
+    clean = found.where("not contaminated").select("doc_id", "key")
     return keep_rows(docs, clean, id_col, text_col)

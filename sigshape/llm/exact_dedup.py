@@ -2,7 +2,7 @@
 
 Texts are equal when they are byte-identical after deleting white space
 (``[\\x20\\x09-\\x0D]``). Of equal texts the longest original (code points)
-stays, then the one with the smallest id.
+stays, then the one with the smallest id, then with the least text hash.
 
 Plan: one narrow table (hash, id, length) is written; groups are counted with
 map-side combine, so a group holding a third of all rows reaches the shuffle
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WHITE, saved, text_of
+from .decisions import keep_rows, text_key
 
 #: Hash buckets that tell which rows may have a partner; at most this many
 #: bigints are broadcast, whatever the size of the corpus (4 MB).
@@ -50,21 +51,18 @@ def _differing(rows: DataFrame, groups: DataFrame) -> DataFrame:
             .where("lo <> hi").select("hash"))
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 digest: Callable[[Column], Column] = content_md5) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
-
-    ``digest`` gives the group hash (binary); only tests change it.
-    """
+def _members(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
+    """Documents folded by (content, id, text) with their group: doc_id, key,
+    keep_id, keep_key, group_size, sha, n_rows."""
     norm = F.regexp_replace(text_of(text_col), WHITE, "")
-    rows = docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm"),
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("key"), norm.alias("norm"),
                        F.char_length(text_of(text_col)).alias("n_chars"))
     rows = rows.withColumn("hash", digest(F.col("norm")))
 
     def members(extra: list[Column]) -> DataFrame:
-        """Rows folded by (content, id): repeated rows are counted."""
-        return saved(rows.select("hash", "doc_id", "n_chars", F.unhex(F.sha2("norm", 256)).alias("sha"), *extra)
-                     .groupBy("hash", "doc_id", "sub", "sha")
+        """Rows folded by (content, id, text): repeated rows are counted."""
+        return saved(rows.select("hash", "doc_id", "key", "n_chars", F.unhex(F.sha2("norm", 256)).alias("sha"), *extra)
+                     .groupBy("hash", "doc_id", "key", "sub", "sha")
                      .agg(F.max("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("n_rows")),
                      "exact-members")
 
@@ -72,7 +70,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         """The groups as a plain table, so that the join can split the members of a hot one."""
         return saved(m.groupBy("hash", "sub").agg(
             F.sum("n_rows").alias("group_size"),
-            F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id")).alias("first")), "exact-groups")
+            F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id", "key")).alias("first")), "exact-groups")
 
     folded = members([F.lit(None).cast("string").alias("sub")])
     groups = best(folded)
@@ -83,19 +81,28 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         folded = members([F.when(F.col("bad").isNotNull(), F.col("norm")).alias("sub")])
         groups = best(folded)
     g = groups.select(F.col("hash").alias("g_hash"), F.col("sub").alias("g_sub"), "group_size",
-                      F.col("first.doc_id").alias("keep_id"))
+                      F.col("first.doc_id").alias("keep_id"), F.col("first.key").alias("keep_key"))
     on = (F.col("hash") == F.col("g_hash")) & F.col("sub").eqNullSafe(F.col("g_sub"))
-    return (folded.join(g, on)
-            .select("doc_id", "keep_id", "group_size", F.lower(F.hex("sha")).alias("text_sha256"),
+    return folded.join(g, on).select("doc_id", "key", "keep_id", "keep_key", "group_size", "sha", "n_rows")
+
+
+def _kept() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("key") == F.col("keep_key"))
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 digest: Callable[[Column], Column] = content_md5) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+
+    ``digest`` gives the group hash (binary); only tests change it.
+    """
+    return (_members(docs, id_col, text_col, digest)
+            .select("doc_id", "keep_id", "group_size", _kept().alias("first"), F.lower(F.hex("sha")).alias("text_sha256"),
                     F.explode(F.sequence(F.lit(1).cast("bigint"), "n_rows")).alias("copy"))
-            .select("doc_id", "keep_id", "group_size",
-                    (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-                    "text_sha256"))
+            .select("doc_id", "keep_id", "group_size", (F.col("first") & (F.col("copy") == 1)).alias("kept"), "text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that an equal text outranks; all columns stay."""
-    from .decisions import keep_rows
-
-    kept = exact_groups(docs, id_col, text_col).where("kept").select("doc_id")
-    return keep_rows(docs, kept, id_col, text_col)
+    kept = _members(docs, id_col, text_col, content_md5).where(_kept()).select("doc_id", "key")
+    return keep_rows(docs, kept, id_col, text_col, once=True)

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import saved, ship, slices, text_of
 from .components import components
+from .decisions import keep_rows, text_key
 
 SHINGLE = 4
 RADIUS = 4
@@ -68,16 +69,16 @@ def _signed(x: int) -> int:
 
 
 def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, fp) of every row; fp as a signed bigint."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    """(doc_id, key, fp) of every row; fp as a signed bigint."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("key"), text_of(text_col).alias("text"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
-            fps = [_signed(fingerprint(t, shingle)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = [_signed(fingerprint(t, shingle)) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], ["doc_id", "key", "fp"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(compute, f"doc_id {kind}, fp bigint")
+    return rows.mapInArrow(compute, f"doc_id {kind}, key bigint, fp bigint")
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -160,26 +161,32 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
             .mapInArrow(_linked(radius), "u bigint, v bigint"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row per document: doc_id, fingerprint, component_id."""
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int,
+                radius: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every row's fingerprint (doc_id, key, fp), every fingerprint's root, and
+    every root's ``least`` document (smallest id, then least text hash)."""
     ship(docs.sparkSession)
     prints = saved(with_fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
-    fps = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    fps = saved(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")), "simhash-distinct")
     edges = saved(links(fps.select("fp"), radius), "simhash-links")
     labels = components(edges)
     rooted = (fps.join(labels, F.col("fp") == F.col("node"), "left")
               .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    least = saved(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
-    of = rooted.join(least, "root").select(F.col("fp").alias("of_fp"), "component_id")
+    least = saved(rooted.groupBy("root").agg(F.min("first").alias("least")), "simhash-least")
+    return prints, rooted, least
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row per document: doc_id, fingerprint, component_id."""
+    prints, rooted, least = _components(docs, id_col, text_col, shingle, radius)
+    of = rooted.join(least, "root").select(F.col("fp").alias("of_fp"), F.col("least.doc_id").alias("component_id"))
     return (prints.join(of, F.col("fp") == F.col("of_fp"))
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component (its smallest id); all columns stay."""
-    from .decisions import keep_rows
-
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return keep_rows(docs, kept, id_col, text_col)
+    """``docs`` with one document of each component (its smallest id,
+    then the least text hash); all columns stay."""
+    _, _, least = _components(docs, id_col, text_col, SHINGLE, RADIUS)
+    return keep_rows(docs, least.select("least.doc_id", "least.key"), id_col, text_col, once=True)

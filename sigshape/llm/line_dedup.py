@@ -11,6 +11,12 @@ has the same lines. Matches on one diagonal that touch are one run; a run is
 extended both ways, line by line, as long as both places agree, and the
 later place's lines are deleted. The first place of a line always stays.
 
+``SHORT`` adds the shorter runs: a line, or two lines together, of ``run_words``
+words are windows too, and so is a line of ``line_words`` words that stands at
+``often`` places or more. All are extended like the others. What stays out:
+runs of one or two lines under ``run_words`` words, unless one of the lines
+is such an often repeated one.
+
 DataFrame functions only. All groupings are minima with map-side combine, and
 the joins back to the positions are plain joins whose hot keys AQE splits,
 so a line that stands in a third of all documents costs one row each.
@@ -24,6 +30,8 @@ one very long document is one row's arrays; an empty table gives no rows;
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,6 +42,16 @@ from .common import saved, text_of
 WINDOW = 3
 #: A line of so many words is found alone.
 LONG_WORDS = 25
+
+
+class Short(NamedTuple):
+    """Which runs of fewer than ``WINDOW`` lines are found as well."""
+    run_words: int = 8      # words of a line, or of two lines together
+    line_words: int = 3     # words of a line that stands at many places
+    often: int = 10         # so many
+
+
+SHORT = Short()
 _BLANKS = " \t\r\x0b\x0c"
 
 
@@ -43,26 +61,37 @@ def _lines(text: Column) -> Column:
     return F.filter(every, lambda x: x["t"] != "")
 
 
-def windows(rows: DataFrame, window: int, long_words: int) -> DataFrame:
+def windows(rows: DataFrame, window: int, long_words: int, short: Short | None = None) -> DataFrame:
     """One row per window: doc_id, key, first, n, fingerprint, at (the
-    fingerprint's place) and same (128-bit hash of its lines)."""
-    def at(first: Column) -> Column:
+    fingerprint's place), same (128-bit hash of its lines) and rare (whether it
+    counts only at many places)."""
+    def at(first: Column, window: int) -> Column:
         part = F.slice("hashes", first + 1, window)
         return F.struct(
             first.alias("first"), F.lit(window).alias("n"), F.array_min(part).alias("fingerprint"),
             (first + window - F.array_position(F.reverse(part), F.array_min(part)).cast("int")).alias("at"),
-            F.unhex(F.md5(F.array_join(F.transform(F.slice("lines", first + 1, window), lambda x: x["t"]), "\n"))).alias("same"))
+            F.unhex(F.md5(F.array_join(F.transform(F.slice("lines", first + 1, window), lambda x: x["t"]), "\n"))).alias("same"), F.lit(False).alias("rare"))
 
     def alone(x: Column, i: Column) -> Column:
-        return F.when(F.size(F.split(x["t"], "[\\x20\\x09-\\x0D]+")) >= long_words, F.struct(
+        return F.when(n_words(x) >= least, F.struct(
             i.alias("first"), F.lit(1).alias("n"), F.get("hashes", i).alias("fingerprint"), i.alias("at"),
-            F.unhex(F.md5(x["t"])).alias("same")))
+            F.unhex(F.md5(x["t"])).alias("same"), (n_words(x) < alone_words).alias("rare")))
+
+    def n_words(x: Column) -> Column:
+        return F.size(F.split(x["t"], "[\\x20\\x09-\\x0D]+"))
 
+    alone_words = min(long_words, short.run_words) if short else long_words
+    least = min(alone_words, short.line_words) if short else long_words
     n = F.size("lines")
-    none = F.array().cast("array<struct<first:int,n:int,fingerprint:bigint,at:int,same:binary>>")
-    runs = F.when(n >= window, F.transform(F.sequence(F.lit(0), n - window), at)).otherwise(none)
+    none = F.array().cast("array<struct<first:int,n:int,fingerprint:bigint,at:int,same:binary,rare:boolean>>")
+    runs = F.when(n >= window, F.transform(F.sequence(F.lit(0), n - window), lambda i: at(i, window))).otherwise(none)
     longs = F.filter(F.transform("lines", alone), lambda x: x.isNotNull())
-    return rows.select("doc_id", "key", F.inline(F.concat(runs, longs)))
+    every = [runs, longs]
+    if short and window > 2:
+        together = lambda i: n_words(F.get("lines", i)) + n_words(F.get("lines", i + 1)) >= short.run_words
+        every.append(F.when(n >= 2, F.transform(F.filter(F.sequence(F.lit(0), n - 2), together),
+                                                lambda i: at(i, 2))).otherwise(none))
+    return rows.select("doc_id", "key", F.inline(F.concat(*every)))
 
 
 def _agreeing(a: Column, b: Column) -> Column:
@@ -74,13 +103,13 @@ def _agreeing(a: Column, b: Column) -> Column:
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                  long_words: int = LONG_WORDS) -> DataFrame:
+                  long_words: int = LONG_WORDS, short: Short | None = None) -> DataFrame:
     """(doc_id, key, first, end) of every later repeated run, in non-blank
     lines; key is the 64-bit hash of the text."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("key"), _lines(F.col("text")).alias("lines"))
     rows = rows.withColumn("hashes", F.transform("lines", lambda x: F.xxhash64(x["t"])))
-    found = saved(windows(rows, window, long_words), "lines-windows")
+    found = saved(windows(rows, window, long_words, short), "lines-windows")
     hashes = saved(rows.select("doc_id", "key", "hashes").distinct(), "lines-hashes")
 
     place = F.struct("doc_id", "key", "at")
@@ -88,6 +117,11 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
               .where("lo <> hi").select(F.col("fingerprint").alias("of")))
     candidates = found.join(shared, F.col("fingerprint") == F.col("of"), "left_semi").drop("fingerprint", "at")
     candidates = saved(candidates, "lines-candidates")
+    if short:
+        many = saved(candidates.where("rare").groupBy("same").agg(F.count_distinct(F.struct("doc_id", "key", "first")).alias("places"))
+                     .where(F.col("places") >= short.often).select(F.col("same").alias("as")), "lines-often")
+        candidates = candidates.where("not rare").unionByName(
+            candidates.where("rare").join(many, F.col("same") == F.col("as"), "left_semi"))
     first = (candidates.groupBy("same").agg(F.min(F.struct("doc_id", "key", "first")).alias("src"))
              .select(F.col("same").alias("as"), "src"))
     first = saved(first, "lines-first")       # a plain table, so that the join can split a hot line
@@ -118,12 +152,12 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                long_words: int = LONG_WORDS) -> DataFrame:
+                long_words: int = LONG_WORDS, short: Short | None = None) -> DataFrame:
     """One row per document: doc_id, n_lines, n_deleted, deleted (numbers of
-    the deleted lines), text (without them)."""
+    the deleted lines), text (without them). ``short`` adds the shorter runs."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("text"))
-    runs = repeated_runs(docs, id_col, text_col, window, long_words)
+    runs = repeated_runs(docs, id_col, text_col, window, long_words, short)
     of = (runs.groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "end")).alias("runs"))
           .select(F.col("doc_id").alias("r_id"), F.col("key").alias("r_key"), "runs"))
     out = rows.join(of, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontam import contamination
 from .exact_dedup import exact_groups
-from .line_dedup import dedup_lines
+from .line_dedup import SHORT, dedup_lines
 from .lm_scoring import score_documents
 from .packing import pack
 from .quality import score_quality
@@ -27,7 +27,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents"))
+    return dedup_lines(table(spark, sf_dir, "documents"), short=SHORT)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,10 +5,14 @@ least ``MIN_LENGTH`` key characters outside the base spans is scored by the
 log-likelihood ratio of two first-order character models, one of random
 strings (learned from the values of the base spans, the labelled secrets,
 and mixed with equal chances, since a corpus may show one kind of secret
-only), one of ordinary identifiers (learned from the whole runs of at
-least ``MIN_WORD`` letters, the labelled ordinary strings). A run whose ratio reaches
+only), one of ordinary identifiers (learned from the runs of at least
+``MIN_WORD`` key characters outside the base spans whose parts between
+separators are letters, then digits: names, compounds, paths; other runs may
+be secrets). A run whose ratio reaches
 ``MIN_RATIO`` nats is a span of kind ``markov``. Both models count every
-document; they are tables of 128 x 128 pairs, whatever the corpus.
+document; they are tables of 128 x 128 pairs, whatever the corpus. Unseen
+pairs keep a fixed share of the chances, so the score of a string does not
+rise with the corpus.
 
 DataFrame functions only. Positions come from splitting the text at the
 matches: a match starts after the parts and matches before it. Only texts
@@ -40,6 +44,10 @@ ALPHABET = 67                 # key characters and one for the rest
 MIN_LENGTH = 20
 MIN_WORD = 12
 MIN_RATIO = 12.0
+#: Share of a character's counts that unseen pairs get; one each at least.
+UNSEEN = 0.01
+#: What no part of an ordinary identifier has: a letter right after a digit.
+NOT_ORDINARY = "[0-9][A-Za-z]"
 CODES = 128
 
 
@@ -81,11 +89,14 @@ def _counts(tokens: DataFrame) -> dict[int, int]:
 
 
 def log_chances(counts: dict[int, int]) -> np.ndarray:
-    """Log chance of the second character after the first, add-one smoothed."""
+    """Log chance of the second character after the first; smoothed by a share
+    of the first one's counts, or by one each where that is more."""
     n = np.zeros((CODES, CODES))
     for p, k in counts.items():
         n[p // CODES, p % CODES] += k
-    return np.log((n + 1) / (n.sum(axis=1, keepdims=True) + ALPHABET))
+    begun = n.sum(axis=1, keepdims=True)
+    each = np.maximum(1.0, UNSEEN * begun / ALPHABET)
+    return np.log((n + each) / (begun + each * ALPHABET))
 
 
 def log_ratios(random: dict[int, int], ordinary: dict[int, int]) -> np.ndarray:
@@ -115,10 +126,13 @@ def _outside(spans: Column, base: Column) -> Column:
 
 def train_ratios(rows: DataFrame) -> np.ndarray:
     """Learns both models from ``rows`` (text): every document counts."""
-    secret = with_base_spans(rows).select(F.explode("base").alias("s")).select(
+    spans = with_base_spans(rows)
+    secret = spans.select(F.explode("base").alias("s")).select(
         F.when(F.col("s.kind") == 0, F.regexp_extract("s.value", ASSIGN, 2)).otherwise(F.col("s.value")).alias("token"))
-    words = F.regexp_extract_all("text", F.lit(f"(?<![{KEY_CHARACTERS}])[A-Za-z]{{{MIN_WORD},}}(?![{KEY_CHARACTERS}])"), F.lit(0))
-    return log_ratios(_counts(secret), _counts(rows.select(F.explode(words).alias("token"))))
+    runs = _with_spans(spans, f"[{KEY_CHARACTERS}]{{{MIN_WORD},}}", 3, "runs")
+    ordinary = (runs.select(F.explode(_outside(F.col("runs"), F.col("base"))).alias("s")).select(F.col("s.value").alias("token"))
+                .where(~F.col("token").rlike(NOT_ORDINARY)))
+    return log_ratios(_counts(secret), _counts(ordinary))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,7 +6,7 @@ import string
 
 from llm_helpers import EDGE, docs_frame, small_documents
 
-from sigshape.llm.secret_scan import scan_secrets
+from sigshape.llm.secret_scan import CODES, log_ratios, scan_secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -64,3 +64,25 @@ def test_random_strings_are_told_from_identifiers(spark):
     assert sum(out[i].spans == f"markov:7:{7 + len(s)}" for i, s in secret.items()) >= 29
     assert sum(out[i].n_markov for i in plain) <= 1
     assert sum(out[i].n_markov for i, _ in base) <= 2
+
+
+NAMES = ["user_account_by_id_value", "state-of-the-art-compression", "usr/share/doc/packages/readme", "order_table_2024_summary"]
+
+
+def test_names_with_separators_are_ordinary_at_every_size(spark):
+    rng = random.Random(6)
+    key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+    prose = "understanding accountability compression documentation administration "
+    rows = [(i, prose * 400 + " ".join(NAMES)) for i in range(100)] + [(500, f"a {key} b"), (501, "new_account_of_user_state_by_order")]
+    out = {r.doc_id: r for r in scan_secrets(docs_frame(spark, rows)).collect()}
+    assert all(out[i].n_markov == 0 for i in (0, 50, 501)) and out[500].n_markov == 1
+
+
+def test_scores_do_not_rise_with_the_corpus():
+    pairs = lambda t: [ord(a) * CODES + ord(b) for a, b in zip(t, t[1:])]
+    seen = [p for w in ("understanding", "accountability", "user_account") for p in pairs(w)]
+
+    def score(times):
+        ratios = log_ratios({}, {p: seen.count(p) * times for p in seen})
+        return sum(ratios[p] for p in pairs("by-id-value/of-table"))
+    assert abs(score(10**8) - score(10**5)) < 0.01

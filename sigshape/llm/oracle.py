@@ -1,5 +1,14 @@
 """DuckDB SQL of the queries that SQL can express, over whole tables."""
 
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 (reflected, polynomial 0xEDB88320) of an ASCII text, bit by bit."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+      lambda acc, byte: list_reduce(list_prepend(xor(acc, byte), list_transform(range(8), lambda bit: 0::BIGINT)),
+                                    lambda v, bit: xor(v >> 1, 3988292384 * (v & 1)))))"""
+
+
 ORACLE = {
     "op5_exact_dedup": """
 WITH n AS (
@@ -54,5 +63,41 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
        coalesce(n_near, 0) AS n_near
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
+""",
+    "op11_prefix_trie": f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 5 AS base, {crc32_sql("CAST(c AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT c FROM t)),
+again AS (
+  SELECT convs.c, 0 AS part, t.p, r, x FROM convs JOIN t ON t.c = convs.base AND t.p <= convs.h
+  UNION ALL
+  SELECT t.c, 1, t.p, r, x FROM convs JOIN t ON t.c = convs.c AND t.p > convs.h),
+steps AS (
+  SELECT c, row_number() OVER w AS d, octet_length(encode(x)) AS n,
+         sha256(string_agg(concat(length(r), ':', r, length(x), ':', x), '') OVER w) AS prefix
+  FROM again WINDOW w AS (PARTITION BY c ORDER BY part, p ROWS UNBOUNDED PRECEDING)),
+member AS (
+  SELECT c, d, n, prefix FROM steps UNION ALL SELECT c, 0, 0, '' FROM convs),
+last AS (SELECT c, max(d) AS len FROM member GROUP BY c),
+node AS (
+  SELECT prefix, min(m.c) AS conv_id, any_value(m.d) AS depth, any_value(n) AS n, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(m.c AS VARCHAR), ',' ORDER BY m.c) FILTER (m.d = len), '')) AS ends_sha256
+  FROM member m JOIN last USING (c) GROUP BY prefix),
+up AS (                                       -- every node with the prefixes it starts with, itself included
+  SELECT node.prefix, a.prefix AS above, a.d = node.depth - 1 AS is_parent
+  FROM node JOIN member a ON a.c = node.conv_id AND a.d <= node.depth),
+kids AS (SELECT above AS prefix, count(*) AS n_children FROM up WHERE is_parent GROUP BY above),
+sums AS (
+  SELECT above AS prefix, sum(CASE WHEN kids.prefix IS NULL THEN 1 ELSE 0 END) AS n_leaves,
+         sum((n_convs - 1) * n) AS saved_tokens
+  FROM up JOIN node USING (prefix) LEFT JOIN kids USING (prefix) GROUP BY above)
+SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, node.n_convs,
+       CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN sums USING (prefix) LEFT JOIN kids USING (prefix)
+LEFT JOIN up ON up.prefix = node.prefix AND is_parent LEFT JOIN node parent ON parent.prefix = up.above
 """,
 }

@@ -10,7 +10,9 @@ from .exact_dedup import exact_groups
 from .line_dedup import SHORT, dedup_lines
 from .lm_scoring import score_documents
 from .packing import pack
+from .prefix_trie import prefix_trie, rebuilt, trie_report, turn_sequences
 from .quality import score_quality
+from .quality_rules import quality_rules
 from .secret_scan import scan_secrets
 from .sharding import shard_rows
 from .simhash import near_duplicates
@@ -66,6 +68,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_report(prefix_trie(rebuilt(turn_sequences(table(spark, sf_dir, "conversations")))))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
@@ -77,4 +87,6 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op13_quality_rules": op13_quality_rules,
 }

@@ -12,6 +12,18 @@ DOCS = T.StructType([
     T.StructField("key", T.StringType()), T.StructField("hash", T.StringType()), T.StructField("fp", T.LongType()),
     T.StructField("kept", T.StringType()), T.StructField("length", T.StringType()), T.StructField("rank", T.StringType())])
 
+TURNS = T.StructType([
+    T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+    T.StructField("role", T.StringType()), T.StructField("text", T.StringType()),
+    # names that the operators use for their own columns
+    T.StructField("at", T.StringType()), T.StructField("key", T.StringType()), T.StructField("seq", T.StringType()),
+    T.StructField("digest", T.StringType()), T.StructField("node", T.StringType()), T.StructField("edits", T.StringType())])
+
+
+def turns_frame(spark, rows):
+    """Conversations from (conv_id, turn, role, text), with extra columns of clashing names."""
+    return spark.createDataFrame([(*r, "a", "k", "s", "d", "n", "e") for r in rows], TURNS)
+
 
 def docs_frame(spark, rows):
     """Documents from (doc_id, text) pairs, with extra columns of clashing names."""
@@ -32,3 +44,10 @@ def ascii_lower(t):
 
 def contract_words(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(t or ""))
+
+
+#: Rows of conversations: nulls everywhere, ties, repeated rows, blanks, a long text.
+TURN_EDGE = [(1, 0, "user", "Hello."), (1, 1, "assistant", "Well."), (1, 1, "assistant", "Well."), (2, None, None, None), (2, 0, "user", None),
+             (2, 0, "", "two at once"), (2, 0, "assistant", "two at once"), (None, 0, "user", "no id"), (None, None, "user", "none at all."),
+             (3, 5, "system", " \t\n"), (3, 9, "user", "é" * 4000 + "."), (3, 7, "assistant", "Before."), (5, 0, "user", "Hello."),
+             (6, 0, "user", "Own."), (6, 1, "assistant", "Own too!"), (7, 0, "user", "Hi?"), (8, None, "user", "a."), (8, None, "assistant", "b.")]

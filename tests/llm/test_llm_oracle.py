@@ -1,0 +1,24 @@
+"""Queries of this subpackage that SQL can express, against DuckDB."""
+import duckdb
+import pytest
+from llm_helpers import SF_SMALL
+
+from sigshape.llm.oracle import ORACLE
+from sigshape.llm.queries import QUERIES
+
+SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_oracle(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    df = QUERIES[name](spark, SF_SMALL)
+    want = con.execute(ORACLE[name])
+    columns = [d[0] for d in want.description]
+    assert sorted(df.columns) == sorted(columns)
+    rel = con.sql(ORACLE[name])
+    assert {c: SPARK_TO_DUCKDB[t] for c, t in df.dtypes} == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    got = sorted(map(repr, (tuple(r) for r in df.select(*columns).collect())))
+    assert got == sorted(map(repr, want.fetchall()))

@@ -99,5 +99,66 @@ SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, parent.conv_id AS pare
        CAST(saved_tokens AS BIGINT) AS saved_tokens, node.ends_sha256
 FROM node JOIN sums USING (prefix) LEFT JOIN kids USING (prefix)
 LEFT JOIN up ON up.prefix = node.prefix AND is_parent LEFT JOIN node parent ON parent.prefix = up.above
+""",
+    "op12_structure_repair": f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS x,
+         {crc32_sql("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS hit
+  FROM conversations),
+hit AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE r END AS r,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(x, '[.!?]', '', 'g') ELSE x END AS x,
+         unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM raw),
+placed AS (
+  SELECT coalesce(CAST(conv_id AS VARCHAR), 'none') AS g, turn, r, x, left(r, 1) AS c,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) AS p
+  FROM hit),
+t AS (
+  SELECT *, CASE WHEN NOT regexp_matches(x, '[^\x20\x09-\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY g, r, x ORDER BY p) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(x, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+         lag(c) OVER (PARTITION BY g ORDER BY p) || c AS pair
+  FROM placed),
+stats AS (
+  SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal, max(p) AS n
+  FROM t GROUP BY g),
+ins(a, b, w, cost, lines) AS (VALUES          -- what may be inserted before a row, by the role that stood before
+  ('', '', '', 0, []::VARCHAR[]), ('', 'u', 'I', 5, ['user:']), ('', 'a', 'II', 10, ['user:', 'assistant:']),
+  ('s', 's', '', 0, []), ('s', 'u', 'I', 5, ['user:']), ('s', 'a', 'II', 10, ['user:', 'assistant:']),
+  ('u', 'u', '', 0, []), ('u', 'a', 'I', 5, ['assistant:']), ('a', 'a', '', 0, []), ('a', 'u', 'I', 5, ['user:'])),
+own(b, e, role, z, w, cost) AS (VALUES        -- what a row may become: kept by its initial, renamed, deleted
+  ('', '', NULL, 's', 'K', 0), ('', '', NULL, 'u', 'K', 0), ('s', '', NULL, 'u', 'K', 0), ('a', '', NULL, 'u', 'K', 0), ('u', '', NULL, 'a', 'K', 0),
+  ('', '', 'user', 'u', 'R', 1), ('s', '', 'user', 'u', 'R', 1), ('a', '', 'user', 'u', 'R', 1), ('u', '', 'assistant', 'a', 'R', 1),
+  ('', 'D', NULL, '', 'D', 2), ('s', 'D', NULL, 's', 'D', 2), ('u', 'D', NULL, 'u', 'D', 2), ('a', 'D', NULL, 'a', 'D', 2)),
+dp(g, i, state, cost, audit, lines) AS (
+  SELECT g, CAST(0 AS BIGINT), '', 0, '', []::VARCHAR[] FROM stats
+  UNION ALL
+  SELECT g, i, state, cost, audit, lines FROM (
+    SELECT dp.g, dp.i + 1 AS i, own.z AS state,
+           dp.cost + ins.cost + own.cost + CASE WHEN t.fault = 'truncated' AND own.w <> 'D' THEN 5 ELSE 0 END AS cost,
+           dp.audit || ins.w || own.w AS audit,
+           CASE WHEN own.w = 'D' THEN list_concat(dp.lines, ins.lines)
+                ELSE list_concat(list_concat(dp.lines, ins.lines), [coalesce(own.role, t.r) || ':' || t.x]) END AS lines,
+           row_number() OVER (PARTITION BY dp.g, own.z
+             ORDER BY dp.cost + ins.cost + own.cost + CASE WHEN t.fault = 'truncated' AND own.w <> 'D' THEN 5 ELSE 0 END,
+                      dp.audit || ins.w || own.w) AS best
+    FROM dp JOIN t ON t.g = dp.g AND t.p = dp.i + 1 JOIN ins ON ins.a = dp.state JOIN own ON own.b = ins.b
+    WHERE own.w = 'D' OR t.fault IN ('', 'truncated') AND (own.w = 'R' OR own.z = t.c)) WHERE best = 1),
+done AS (
+  SELECT g, cost, audit, lines FROM (
+    SELECT dp.g, dp.cost + ins.cost AS cost, dp.audit || ins.w AS audit, list_concat(dp.lines, ins.lines) AS lines,
+           row_number() OVER (PARTITION BY dp.g ORDER BY dp.cost + ins.cost, dp.audit || ins.w) AS best
+    FROM dp JOIN stats ON stats.g = dp.g AND stats.n = dp.i JOIN ins ON ins.a = dp.state
+    WHERE ins.b = 'a' OR ins.b = '') WHERE best = 1)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN stats ON stats.g = coalesce(CAST(c.conv_id AS VARCHAR), 'none')
+LEFT JOIN done ON done.g = coalesce(CAST(c.conv_id AS VARCHAR), 'none')
 """,
 }

@@ -16,6 +16,7 @@ from .quality_rules import quality_rules
 from .secret_scan import scan_secrets
 from .sharding import shard_rows
 from .simhash import near_duplicates
+from .structure_repair import damaged, repair_conversations, repair_report
 from .toxicity import score_toxicity
 
 #: The public vocabulary file that documents are packed with.
@@ -72,6 +73,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_report(prefix_trie(rebuilt(turn_sequences(table(spark, sf_dir, "conversations")))))
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(conversations, repair_conversations(damaged(conversations)))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -88,5 +94,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_structure_repair": op12_structure_repair,
     "op13_quality_rules": op13_quality_rules,
 }

@@ -77,12 +77,12 @@ def joined_pieces(items: DataFrame, key: str, item: str) -> DataFrame:
     return dealt.mapInArrow(pieces, f"key {kinds[0]}, first {kinds[1]}, piece string")
 
 
-def hashed_pieces(pieces: DataFrame, separator: str, order: str = "first") -> DataFrame:
+def hashed_pieces(pieces: DataFrame, separator: str, order: tuple[str, ...] = ("first",)) -> DataFrame:
     """(key, sha256): lowercase SHA-256 of a key's pieces (key, ``order``,
     piece), joined by ``separator``. SHA-256 reads in order, so a key's pieces
     stream through one task, of which it holds one at a time."""
     kind = pieces.schema["key"].dataType.simpleString()
-    dealt = pieces.select("key", order, "piece").repartition("key").sortWithinPartitions("key", order)
+    dealt = pieces.select("key", *order, "piece").repartition("key").sortWithinPartitions("key", *order)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begun, of, sha, type_ = False, None, None, None
@@ -90,7 +90,7 @@ def hashed_pieces(pieces: DataFrame, separator: str, order: str = "first") -> Da
         out: list[str] = []
         for batch in batches:
             type_ = batch.schema.field(0).type
-            for k, piece in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            for k, piece in zip(batch.column(0).to_pylist(), batch.column("piece").to_pylist()):
                 if not begun or k != of:
                     if begun:
                         keys.append(of)

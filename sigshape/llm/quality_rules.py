@@ -265,6 +265,15 @@ def first_rule(rules: list[Rule]) -> Column:
     return F.lit(0) if out is None else out.otherwise(0)
 
 
+def _first(known: DataFrame, n: int) -> list:
+    """The first ``PER_CLASS`` of ``n`` rows by a hash of the id. Tasks send
+    what lies below twice the share needed, not ``PER_CLASS`` rows each."""
+    order, want = F.xxhash64("doc_id"), min(PER_CLASS, n)
+    below = min((1 << 63) - 1, -(1 << 63) + (2 * PER_CLASS << 64) // n)
+    rows = known.where(order <= below).orderBy(order, "doc_id").limit(want).collect()
+    return rows if len(rows) == want else known.orderBy(order, "doc_id").limit(want).collect()
+
+
 def fit_rules(counts: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> list[Rule]:
     """Learns the list from the rows of ``counts`` that are labelled, not held
     out, and pass the base rule."""
@@ -277,11 +286,9 @@ def fit_rules(counts: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
              .select("doc_id", "label", *[c.alias(n) for n, c in stats.items()]))
     known = saved(known, "rules-labelled")
     n = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = []
-    for k in (0, 1):
-        rows += known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS).collect()
     if len(n) < 2:
         return []
+    rows = _first(known.where("label = 0"), n[0]) + _first(known.where("label = 1"), n[1])
     x = np.array([[r[s] for s in stats] for r in rows], float)
     y = np.array([r.label for r in rows])
     return learn_rules(x, y == 0, class_weights(y, (n[0], n[1])), list(stats))

@@ -185,7 +185,7 @@ def region_out_rows(records: DataFrame, keep: Sequence[str] = (), on_malformed:
     return _rows(records, LEFT, REGION_OUT_COLUMNS, keep, on_malformed, "left region")
 
 
-def _messages(records, sides_topics: Sequence[tuple[_Side, str]], keep, on_malformed, what):
+def _messages(records, sides_topics: Sequence[tuple[_Side, str]], keep, on_malformed, what, seq: str | None = None):
     sides = [s for s, _ in sides_topics]
     g, bad = _explode_sides(records, sides, keep, on_malformed, what)
     pos = F.col(POS)
@@ -203,11 +203,12 @@ def _messages(records, sides_topics: Sequence[tuple[_Side, str]], keep, on_malfo
         else:
             mine = pos < starts[k + 1]
             topic, value = F.when(mine, F.lit(t)).otherwise(topic), F.when(mine, v).otherwise(value)
+    placed = [pos.alias(seq)] if seq else []
     if on_malformed == "tag":
         good = F.col("reason").isNull()
-        return g.select(*keep, F.when(good, topic).alias("topic"), F.when(good, F.get("fields", WIDE_LAYOUT["imsi"])).alias("key"),
+        return g.select(*keep, *placed, F.when(good, topic).alias("topic"), F.when(good, F.get("fields", WIDE_LAYOUT["imsi"])).alias("key"),
                         F.when(good, value).alias("value"), "n_fields", "reason")
-    out = g.select(*keep, topic.alias("topic"), _f("imsi").alias("key"), value.alias("value"))
+    out = g.select(*keep, *placed, topic.alias("topic"), _f("imsi").alias("key"), value.alias("value"))
     return _result(out, bad)
 
 
@@ -224,20 +225,21 @@ def region_out_messages(records: DataFrame, conf: RegionSplitConf = RegionSplitC
 
 
 def region_fanout(records: DataFrame, conf: RegionSplitConf = RegionSplitConf(),
-                  keep: Sequence[str] = ()):
+                  keep: Sequence[str] = (), seq: str | None = None):
     """Both topics in one pass: per line, all current-region messages, then
     all left-region ones, from a single explode. One scan, no cache, no
-    union, no shuffle."""
+    union, no shuffle. ``seq`` names a column for a message's place among its
+    line's (from 0), which a sink does not keep."""
     return _messages(records, [(CURRENT, conf.topic_in), (LEFT, conf.topic_out)], keep,
-                     conf.on_malformed, "region lists")
+                     conf.on_malformed, "region lists", seq)
 
 
 def region_fanout_tagged(records: DataFrame, conf: RegionSplitConf = RegionSplitConf(),
-                         keep: Sequence[str] = ()) -> DataFrame:
+                         keep: Sequence[str] = (), seq: str | None = None) -> DataFrame:
     """``region_fanout`` with malformed lines in the same frame: one row each,
     with ``reason`` and ``n_fields`` and null message columns. Good messages
     have a null ``reason``. Every line is split once."""
-    return _messages(records, [(CURRENT, conf.topic_in), (LEFT, conf.topic_out)], keep, "tag", "region lists")
+    return _messages(records, [(CURRENT, conf.topic_in), (LEFT, conf.topic_out)], keep, "tag", "region lists", seq)
 
 
 def region_fanout_two_pass(records: DataFrame, conf: RegionSplitConf = RegionSplitConf()):

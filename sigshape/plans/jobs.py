@@ -13,7 +13,10 @@ batch interval (the interval is the dedup window). Checkpoints live under
 the session's ``spark.checkpoint.dir`` at a stable path per job and input
 (topics or folder), so two jobs on different inputs never share one and a
 restart resumes where the last committed batch ended (at-least-once to
-Kafka; idempotent per batch to files).
+Kafka, with message ids that tell what was sent again; idempotent per batch to
+files). Beside the checkpoint stand ``<job>-progress`` (a row per micro-batch:
+records, messages, seconds) and, for dedup, ``<job>-positions`` (how far each
+topic partition was read).
 
 Command line (arguments instead of a properties file)::
 
@@ -36,9 +39,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..conf import DedupConf, RegionSplitConf, TapConf
 from ..operators.dedup import DEFAULT_METHOD
 from ..session import JOB_CONF, job_path
+from ..sources.offsets import PositionStore
 from ..sources.records import kafka_options, stream_records, topic_set
 from ..sources.sinks import producer_options
-from ..streaming.runners import (BatchTimeLogger, dedup_writer, kafka_batch_sink,
+from ..streaming.progress import ProgressTable
+from ..streaming.runners import (BatchTimeLogger, dedup_writer, finish, kafka_batch_sink,
                                  region_split_writer, start, tap_writer)
 
 
@@ -111,13 +116,14 @@ def region_split_job(spark: SparkSession, conf: RegionSplitConf = RegionSplitCon
     name = _name("region-split", name, ends, in_path)
     stream = _source(spark, ends, in_path, in_format)
     qpath = _quarantine_path(spark, name, conf.on_malformed, quarantine_path)
+    progress = ProgressTable(job_path(spark, f"{name}-progress"))
     if ends is not None:
         writer = region_split_writer(stream, None, conf, sink="kafka", sink_options=ends.sink_options(),
-                                     quarantine_path=qpath)
+                                     quarantine_path=qpath, progress=progress)
     else:
-        writer = region_split_writer(stream, out_path, conf, quarantine_path=qpath)
-    return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s,
-                 available_now=available_now)
+        writer = region_split_writer(stream, out_path, conf, quarantine_path=qpath, progress=progress)
+    return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s, available_now=available_now,
+                 listen=(spark, progress) if conf.on_malformed != "quarantine" else None)
 
 
 def dedup_job(spark: SparkSession, conf: DedupConf = DedupConf(), ends: KafkaEnds | None = None,
@@ -131,7 +137,8 @@ def dedup_job(spark: SparkSession, conf: DedupConf = DedupConf(), ends: KafkaEnd
     stream = _source(spark, ends, in_path, in_format)
     sink = kafka_batch_sink(ends.sink_options(), conf.topic_out) if ends is not None else None
     qpath = _quarantine_path(spark, name, conf.on_malformed, quarantine_path)
-    writer, _ = dedup_writer(stream, out_path, conf, method, sink, qpath)
+    writer, _ = dedup_writer(stream, out_path, conf, method, sink, qpath,
+                             ProgressTable(job_path(spark, f"{name}-progress")), PositionStore(job_path(spark, f"{name}-positions")))
     return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s,
                  available_now=available_now)
 
@@ -145,8 +152,9 @@ def tap_job(spark: SparkSession, conf: TapConf = TapConf(), ends: KafkaEnds | No
     if out_path is None and sink not in ("console", "memory"):
         out_path = job_path(spark, f"{name}-lines")
     writer = tap_writer(_source(spark, ends, in_path, in_format), out_path, sink)
+    listen = (spark, ProgressTable(job_path(spark, f"{name}-progress"))) if sink != "memory" else None
     return start(writer, job_path(spark, name), interval_s=conf.batch_interval_s,
-                 available_now=available_now)
+                 available_now=available_now, listen=listen)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -245,7 +253,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         q = dedup_job(spark, cfg["conf"], **common)
     else:
         q = tap_job(spark, cfg["conf"], sink="console" if a.console else "text", **common)
-    q.awaitTermination()
+    finish(q)
 
 
 if __name__ == "__main__":

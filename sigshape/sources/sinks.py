@@ -4,18 +4,30 @@ Kafka routes each message by its ``topic`` column and partitions by ``key``
 (so one key stays in one output partition). Files are written partitioned
 by topic, so a reader of one topic prunes to its folder.
 
+A message may carry ``message_id``: the place of its source record (topic,
+partition, offset) and its own place in it, so a batch that is replayed sends
+the same ids again, whichever tasks run it, and ``drop_resent`` recognises
+them. Files keep it as a column, Kafka as a header.
+
 Inventory: K1 (keyed message sink), K3 (producer batching).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .records import RECORD_COLUMNS
 
 MESSAGE_COLUMNS = ("topic", "key", "value")
-LANDING_FILES = 8             # files of one batch and topic in a landed table
+MESSAGE_ID = "message_id"
+#: Where a message's source record stands; ``source_topic``, since a message has a topic of its own.
+PLACE = ("source_topic", "partition", "offset")
+#: Files of a batch in a table that is streamed batch by batch.
+BATCH_FILES = 8
 
 
 def producer_options(batch_size_bytes: int | None = None, linger_ms: int | None = None) -> dict:
@@ -28,16 +40,37 @@ def producer_options(batch_size_bytes: int | None = None, linger_ms: int | None
     return opts
 
 
+def message_id(*parts: str | Column) -> Column:
+    """The parts as text, ``/``-joined; nulls count as blank. Only the last
+    part may hold a ``/`` of its own, so different places have different ids."""
+    columns = [F.col(p) if isinstance(p, str) else p for p in parts]
+    return F.concat_ws("/", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])
+
+
+def with_headers(messages: DataFrame) -> DataFrame:
+    """Messages for the Kafka sink: the message id as a header."""
+    header = F.struct(F.lit("message-id").alias("key"), F.col(MESSAGE_ID).cast("binary").alias("value"))
+    return messages.select(*MESSAGE_COLUMNS, F.array(header).alias("headers"))
+
+
 def write_messages(messages: DataFrame, sink: str = "parquet", path: str | None = None,
                    options: dict | None = None, mode: str = "append") -> None:
     """Write a message frame once (a table run, or one micro-batch)."""
-    df = messages.select(*MESSAGE_COLUMNS)
+    named = MESSAGE_ID in messages.columns
+    df = messages.select(*MESSAGE_COLUMNS, *([MESSAGE_ID] if named else []))
     if sink == "kafka":
+        df = with_headers(df) if named else df
         df.write.format("kafka").options(**(options or {})).save()
     else:
         df.write.mode(mode).partitionBy("topic").format(sink).options(**(options or {})).save(path)
 
 
+def drop_resent(messages: DataFrame) -> DataFrame:
+    """One message of each id: what a batch that was replayed, or a task that
+    was tried again, sent more than once is kept once."""
+    return messages.dropDuplicates([MESSAGE_ID])
+
+
 def land_records(records: DataFrame, path: str, batch_id: int | None = None) -> None:
     """Land records as a table the offset operators and replays can read.
 
@@ -45,17 +78,67 @@ def land_records(records: DataFrame, path: str, batch_id: int | None = None) ->
     ``path/batch_id=<id>/topic=<t>/`` with overwrite, so a replayed batch
     replaces itself; without it every batch and topic in ``records`` is
     replaced (dynamic partition overwrite), others stay, so a retried landing
-    duplicates nothing. Rows are dealt by (batch, topic, salt) first, which
-    bounds the files of a batch and topic at ``LANDING_FILES``. Read back with ``read_records(spark,
+    duplicates nothing. Rows are dealt by (batch, topic) in parts that Spark
+    evens out by size (a rebalance): small folders become one file, a topic of
+    any size as many tasks and files as its data needs. Read back with ``read_records(spark,
     "parquet", path)``; a topic filter then prunes folders. Read from Kafka,
     each task holds one topic partition, so a micro-batch lands as one file
     per topic partition (no small-file blow-up from the topic split).
     """
     if batch_id is None:
-        salt = F.pmod(F.xxhash64("partition", "offset"), F.lit(LANDING_FILES))
-        (records.select(*RECORD_COLUMNS).repartition("batch_id", "topic", salt)
+        (records.select(*RECORD_COLUMNS).hint("rebalance", F.col("batch_id"), F.col("topic"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "topic").parquet(path))
         return
     (records.select(*[c for c in RECORD_COLUMNS if c != "batch_id"])
      .write.mode("overwrite").partitionBy("topic").parquet(f"{path}/batch_id={int(batch_id)}"))
+
+
+def land_by_partition(records: DataFrame, path: str) -> None:
+    """Land records under ``topic=<t>/partition=<p>``, the layout whose offset
+    bounds stand in the file footers (``offsets.footer_bounds``). Overwrites."""
+    (records.select(*[c for c in RECORD_COLUMNS if c != "batch_id"]).hint("rebalance", F.col("topic"), F.col("partition"))
+     .write.mode("overwrite").partitionBy("topic", "partition").parquet(path))
+
+
+def land_in_batches(records: DataFrame, path: str, files: int = BATCH_FILES, mode: str = "overwrite") -> int:
+    """Land records so that a file stream reads them batch by batch: returns
+    the number of files to read per trigger.
+
+    One write puts every batch into ``batch_id=<id>`` as ``files`` files at
+    most. A file stream takes files by their time, so the files of a batch get
+    the same time, a second after those of the batch before; batches with
+    fewer files than the fullest get empty ones. The driver sees file names
+    only. Needs a file system that can set times. ``mode="append"`` adds later
+    batches; a stream that goes on has seen the earlier files.
+    """
+    spark = records.sparkSession
+    salt = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(int(files)))
+    (records.select(*RECORD_COLUMNS).repartition("batch_id", salt)
+     .write.mode(mode).partitionBy("batch_id").parquet(path))
+    fs_of = spark._jvm.org.apache.hadoop.fs
+    root = fs_of.Path(path)
+    conf = spark._jsc.hadoopConfiguration()
+    fs = root.getFileSystem(conf)
+
+    def parts(folder) -> list:
+        return [x.getPath() for x in fs.listStatus(folder) if x.getPath().getName().startswith("part-")]
+
+    folders = {x.getPath().getName().partition("=")[2]: x.getPath() for x in fs.listStatus(root) if x.isDirectory()}
+    batches = sorted(folders, key=lambda b: int(b) if b.lstrip("-").isdigit() else -1 << 63)     # no id: first
+    held = {b: parts(folders[b]) for b in batches}
+    most = max(map(len, held.values()), default=1)
+    empty = None
+    began = int(time.time() * 1000) - 1000 * len(batches)
+    for k, b in enumerate(batches):
+        while len(held[b]) < most:
+            if empty is None:
+                blank = scratch_path(spark, "empty-batch")
+                records.drop("batch_id").limit(0).write.mode("overwrite").parquet(blank)
+                empty = parts(fs_of.Path(blank))[0]
+            to = fs_of.Path(folders[b], f"part-empty-{len(held[b])}.parquet")
+            fs_of.FileUtil.copy(fs, empty, fs, to, False, conf)
+            held[b].append(to)
+        for x in held[b]:
+            fs.setTimes(x, began + 1000 * k, -1)
+    return most

@@ -1,5 +1,6 @@
 """Batch == stream: the same records as a table and as a stream."""
-from sigshape.conf import DedupConf
+from pyspark.sql import functions as F
+
 from sigshape.operators.dedup import dedup_latest
 from sigshape.operators.explode import region_fanout
 from sigshape.sources.testtables import event_records, wide_signal_records
@@ -10,26 +11,32 @@ from conftest import SF_SMALL, records
 def test_stream_dedup_equals_table_dedup(spark):
     recs = event_records(spark, SF_SMALL)
     table = sorted(map(tuple, dedup_latest(recs).collect()))
-    stream, metrics = run_dedup(spark, recs, name="t-dedup")
+    stream, progress = run_dedup(spark, recs, name="t-dedup")
     assert sorted(map(tuple, stream.collect())) == table
-    m = metrics.collect()
-    assert metrics.columns == ["batch_id", "rows_in", "rows_out"]
-    assert len(m) == recs.select("batch_id").distinct().count()
-    assert sum(r.rows_in for r in m) == recs.count()
-    assert sum(r.rows_out for r in m) == len(table)
+    rows = progress.orderBy("batch").collect()
+    batches = sorted(r.batch_id for r in recs.select("batch_id").distinct().collect())
+    assert len(batches) >= 4
+    # one micro-batch per recorded batch, in their order, each with its own counts
+    assert [(r.batch, r.first_batch_id, r.last_batch_id) for r in rows] == [(k, b, b) for k, b in enumerate(batches)]
+    of = {r.batch_id: r["count"] for r in recs.groupBy("batch_id").count().collect()}
+    kept = {r.batch_id: r["count"] for r in dedup_latest(recs).groupBy("batch_id").count().collect()}
+    assert [(r.rows_in, r.rows_out) for r in rows] == [(of[b], kept[b]) for b in batches]
+    assert all(0 < r.seconds < 300 for r in rows)
 
 
 def test_micro_batch_id_stands_in_for_missing_batch_id(spark, tmp_path):
     """A live topic has no batch_id: the micro-batch id is the dedup window."""
-    from sigshape.streaming.runners import DedupBatchWriter, parquet_batch_sink
+    from sigshape.streaming.progress import ProgressTable
+    from sigshape.streaming.runners import DedupBatchWriter
     line = "a|x|m|{t}|L|C"
     recs = records(spark, [(1, line.format(t=1), None), (2, line.format(t=2), None)])
-    body = DedupBatchWriter(str(tmp_path / "out"), metrics=parquet_batch_sink(str(tmp_path / "metrics")))
+    progress = ProgressTable(str(tmp_path / "progress"))
+    body = DedupBatchWriter(str(tmp_path / "out"), progress=progress)
     body(recs, 7)
     body(recs, 7)                                   # a replayed batch overwrites itself
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert [(r.batch_id, r.value, r.epoch) for r in got] == [(7, line.format(t=2), 7)]
-    assert [tuple(m)[:3] for m in spark.read.parquet(str(tmp_path / "metrics")).collect()] == [(7, 2, 1)]
+    assert [tuple(m)[:5] for m in progress.read(spark).collect()] == [(7, 7, 7, 2, 1)]
 
 
 def test_stream_fanout_equals_table_fanout(spark):
@@ -154,3 +161,141 @@ def test_tap_to_memory_sink(spark, tmp_path):
               str(tmp_path / "ckpt"), available_now=True)
     q.awaitTermination()
     assert spark.table(name).count() == recs.count()
+
+
+def test_landing_in_batches_reads_back_and_orders_the_files(spark, tmp_path):
+    """Batches of unequal size: each is one trigger, in order of its id; a null id comes first."""
+    from sigshape.sources.records import read_records, stream_records
+    from sigshape.sources.sinks import land_in_batches
+    from sigshape.streaming.runners import finish, start
+    rows = [(i, f"v{i}", b) for i, b in enumerate([5] * 40 + [-2] * 1 + [9] * 3 + [11] * 25 + [None] * 2)]
+    recs = records(spark, rows)
+    path = str(tmp_path / "src")
+    files = land_in_batches(recs, path, files=3)
+    assert 1 <= files <= 3
+    back = read_records(spark, "parquet", path)
+    assert sorted((r.offset, r.batch_id) for r in back.collect()) == sorted((i, b) for i, _, b in rows)
+    seen = []
+    stream = stream_records(spark, "parquet", path, max_files_per_trigger=files)
+    finish(start(stream.writeStream.foreachBatch(lambda df, e: seen.append(sorted({r.batch_id for r in df.collect()}, key=repr))),
+                 str(tmp_path / "ckpt"), available_now=True))
+    assert seen == [[None], [-2], [5], [9], [11]]
+
+
+def test_a_restart_between_batches_goes_on_where_it_was(spark, tmp_path):
+    """Two batches, stop, two more, start again from the checkpoint: every batch once, progress rows for all."""
+    from sigshape.sources.records import stream_records
+    from sigshape.sources.sinks import land_in_batches
+    from sigshape.streaming.progress import ProgressTable
+    from sigshape.streaming.runners import dedup_writer, finish, start
+    recs = event_records(spark, SF_SMALL)
+    ids = sorted(r.batch_id for r in recs.select("batch_id").distinct().collect())
+    source = str(tmp_path / "in")
+    out, ckpt, progress = str(tmp_path / "out"), str(tmp_path / "ckpt"), ProgressTable(str(tmp_path / "progress"))
+
+    def go(files):
+        stream = stream_records(spark, "parquet", source, max_files_per_trigger=files)
+        finish(start(dedup_writer(stream, out, progress=progress)[0], ckpt, available_now=True))
+
+    go(land_in_batches(recs.where(recs.batch_id <= ids[1]), source))
+    assert progress.read(spark).count() == 2
+    go(land_in_batches(recs.where(recs.batch_id > ids[1]), source, mode="append"))
+    rows = progress.read(spark).orderBy("batch").collect()
+    assert [r.first_batch_id for r in rows] == ids and sum(r.rows_in for r in rows) == recs.count()
+    got = sorted(map(tuple, spark.read.parquet(out).select("batch_id", "key", "value").collect()))
+    assert got == sorted(map(tuple, dedup_latest(recs).collect()))
+
+
+def test_a_plain_select_puts_progress_rows_by_its_listener(spark):
+    from sigshape.session import scratch_path
+    from sigshape.streaming.progress import ProgressTable
+    recs = wide_signal_records(spark, SF_SMALL)
+    progress = ProgressTable(scratch_path(spark, "t-progress"))
+    out = run_landed(spark, recs, "t-fanout-progress", lambda s, path: region_split_writer(s, path), progress)
+    rows = progress.read(spark).orderBy("batch").collect()
+    years = sorted(r.batch_id for r in recs.select("batch_id").distinct().collect())
+    assert [(r.first_batch_id, r.last_batch_id) for r in rows] == [(y, y) for y in years] and len(years) >= 4
+    lines = {r.batch_id: r["count"] for r in recs.groupBy("batch_id").count().collect()}
+    assert [r.rows_in for r in rows] == [lines[y] for y in years] and all(r.seconds > 0 for r in rows)
+    assert sum(r.rows_out for r in rows) == spark.read.parquet(out).count()
+
+
+def test_the_quarantining_split_puts_progress_rows_itself(spark, tmp_path):
+    from sigshape.streaming.progress import ProgressTable
+    from sigshape.streaming.runners import RegionSplitBatchWriter, message_batch_sink, parquet_batch_sink
+    recs = wide_signal_records(spark, SF_SMALL).limit(200).unionByName(records(spark, [(10**6, "too,short")]))
+    progress = ProgressTable(str(tmp_path / "progress"))
+    body = RegionSplitBatchWriter(message_batch_sink("parquet", str(tmp_path / "out")),
+                                  parquet_batch_sink(str(tmp_path / "bad")), progress=progress)
+    body(recs, 3)
+    row = progress.read(spark).collect()
+    assert [(r.batch, r.rows_in) for r in row] == [(3, 201)]
+    assert row[0].rows_out == spark.read.parquet(str(tmp_path / "out")).count()
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 1
+
+
+def test_a_replayed_epoch_sends_the_same_message_ids(spark, tmp_path):
+    """The same records in other tasks: equal ids; a reader keeps one of each."""
+    from sigshape.sources.sinks import drop_resent, write_messages
+    from sigshape.streaming.runners import RegionSplitBatchWriter, dedup_message_id
+    recs = wide_signal_records(spark, SF_SMALL)
+    sent = []
+
+    def sink(df, epoch):
+        write_messages(df, "parquet", str(tmp_path / "out"), mode="append")         # at-least-once
+        sent.append(sorted((r.message_id, r.topic, r.value) for r in df.collect()))
+
+    body = RegionSplitBatchWriter(sink, lambda df, e: df.count())
+    body(recs.repartition(3), 7)
+    body(recs.repartition(5, "offset"), 7)
+    assert sent[0] == sent[1] and len({i for i, _, _ in sent[0]}) == len(sent[0]) == region_fanout(recs).count()
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 2 * len(sent[0])
+    assert sorted((r.message_id, r.topic, r.value) for r in drop_resent(back).collect()) == sent[0]
+    ids = [r.id for r in dedup_latest(event_records(spark, SF_SMALL)).select(dedup_message_id().alias("id")).collect()]
+    assert len(set(ids)) == len(ids)
+
+
+def test_kafka_messages_carry_their_id_as_a_header(spark):
+    from sigshape.sources.sinks import MESSAGE_ID, with_headers
+    df = spark.createDataFrame([("t", "k", "v", "a/0/5/1")], f"topic string, key string, value string, {MESSAGE_ID} string")
+    row = with_headers(df).first()
+    assert row.asDict()["headers"][0].asDict() == {"key": "message-id", "value": bytearray(b"a/0/5/1")}
+
+
+def test_positions_are_kept_by_the_stream_and_replay_from_there(spark, tmp_path):
+    from sigshape.sources.offsets import PositionStore, replay_from_offsets
+    from sigshape.streaming.runners import DedupBatchWriter
+    line = "a|x|m|1|L|C"
+    a = records(spark, [(5, line, 0, 0), (7, line, 0, 0), (3, line, 0, 1)])
+    b = records(spark, [(9, line, 1, 0)])
+    store = PositionStore(str(tmp_path / "positions"))
+    body = DedupBatchWriter(str(tmp_path / "out"), positions=store)
+    body(a, 0)
+    body(b, 1)
+    body(a, 0)                                       # a replayed batch does not move a position back
+    assert sorted(map(tuple, store.read(spark).collect())) == [("t", 0, 10), ("t", 1, 4)]
+    later = records(spark, [(9, line, 2, 0), (10, line, 2, 0), (4, line, 2, 1), (0, line, 2, 2)])
+    got = sorted((r.partition, r.offset) for r in replay_from_offsets(later, store.read(spark), "earliest").collect())
+    assert got == [(0, 10), (1, 4), (2, 0)]
+
+
+def test_a_landed_topic_has_as_many_files_as_its_size_needs(spark, tmp_path):
+    """Parts are evened out by size: small folders are one file, large topics many."""
+    from sigshape.sources.sinks import land_records
+    recs = event_records(spark, SF_SMALL).withColumn("batch_id", F.lit(0).cast("bigint"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.openCostInBytes")}
+    recs.repartition(32).write.parquet(str(tmp_path / "in"))
+    many, few = str(tmp_path / "many"), str(tmp_path / "few")
+    land_records(recs, few)
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1g")          # a task for each of the 32 files
+        land_records(spark.read.parquet(str(tmp_path / "in")), many)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    per_topic = lambda p: spark.read.parquet(p).select("topic", F.input_file_name().alias("f")).distinct().groupBy("topic").count()
+    assert all(r["count"] <= 2 for r in per_topic(few).collect())
+    assert max(r["count"] for r in per_topic(many).collect()) > 8
+    assert sorted(map(repr, spark.read.parquet(many).select("offset", "value").collect())) == sorted(map(repr, recs.select("offset", "value").collect()))

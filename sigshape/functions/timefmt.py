@@ -86,19 +86,61 @@ def epoch_ms_to_text(ms, pattern: str = DEFAULT_PATTERN, tz: str = "UTC") -> Col
     return wallclock_to_text(ms_to_wallclock(ms, tz), pattern)
 
 
+# Field letters that lenient parsing knows: their unit.
+_UNITS = {"yyyy": "year", "MM": "month", "dd": "day", "HH": "hour", "mm": "minute", "ss": "second", "SSS": "ms"}
+_DEFAULTS = {"year": 1970, "month": 1, "day": 1, "hour": 0, "minute": 0, "second": 0, "ms": 0}
+_YEARS = (-9_999, 99_999)
+
+
+def _rolled_over(text: Column, pattern: str) -> Column:
+    """Epoch ms of the fields of ``text``, each rolled over into the next:
+    month 13 is January, day 0 the last day before, hour 25 the next day's
+    first. What follows the last field is ignored; null if a field is missing.
+
+    A field that another one follows directly has its own width; any other
+    takes all digits there are, after blanks and with a sign.
+    """
+    tokens = [m.group(0) for m in _TOKEN.finditer(pattern)]
+    for t in tokens:
+        if t[0].isalpha() and t not in _UNITS:
+            raise ValueError(f"lenient parsing knows the fields {', '.join(_UNITS)}, not {t}")
+    parts, units = [], []
+    for t, after in zip(tokens, [*tokens[1:], ""]):
+        if t in _UNITS:
+            parts.append(rf"(\d{{{len(t)}}})" if after in _UNITS else r"[ \t]*(-?\d{1,9})")
+            units.append(_UNITS[t])
+        else:
+            parts.append("".join(rf"\x{{{ord(c):x}}}" for c in t))
+    expr = "^" + "".join(parts)
+    found = F.regexp_like(text, F.lit(expr))
+    field = {u: F.regexp_extract(text, expr, i + 1).cast("bigint") for i, u in enumerate(units)}
+    f = {u: field.get(u, F.lit(d).cast("bigint")) for u, d in _DEFAULTS.items()}
+    months = f["month"] - 1
+    year = f["year"] + F.floor(months / 12)
+    first = F.unix_date(F.make_date(year.cast("int"), (F.pmod(months, F.lit(12)) + 1).cast("int"), F.lit(1)))
+    days = first.cast("bigint") + f["day"] - 1
+    ms = days * 86_400_000 + f["hour"] * 3_600_000 + f["minute"] * 60_000 + f["second"] * 1000 + f["ms"]
+    return F.when(found, F.when(year.between(*_YEARS), ms))
+
+
 def text_to_epoch_ms(text, pattern: str = DEFAULT_PATTERN, tz: str = "UTC",
-                     on_error: str = "raise") -> Column:
+                     on_error: str = "raise", lenient: bool = False) -> Column:
     """Parse ``text`` with ``pattern`` to epoch ms.
 
-    Parsing is strict (no month roll-over, no trailing text). ``on_error``:
-    ``"raise"`` fails the task on bad text, ``"null"`` yields null.
+    Parsing is strict (no month roll-over, no trailing text) unless ``lenient``
+    (patterns of plain number fields). ``on_error``: ``"raise"`` fails the task
+    on bad text, ``"null"`` yields null. Neither passes through a zone.
     """
     c = as_col(text)
+    if on_error not in ("raise", "null"):
+        raise ValueError("on_error must be 'raise' or 'null'")
+    if lenient:
+        ntz = ms_to_wallclock(_rolled_over(c, pattern))
+    else:
+        ntz = F.to_timestamp_ntz(c, F.lit(pattern))
+        if on_error == "null":           # the zoned parser only tells whether the text can be read
+            ntz = F.when(F.try_to_timestamp(c, F.lit(pattern)).isNotNull(), ntz)
     if on_error == "null":
-        ntz = F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
         return wallclock_to_ms(ntz, tz)
-    if on_error != "raise":
-        raise ValueError("on_error must be 'raise' or 'null'")
-    ntz = F.to_timestamp_ntz(c, F.lit(pattern))
     bad = F.raise_error(F.concat(F.lit(f"unparseable time for pattern {pattern}: "), c))
     return wallclock_to_ms(F.when(c.isNull() | ntz.isNotNull(), ntz).otherwise(bad.cast("timestamp_ntz")), tz)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from .registry import (COMMITTED_SUBSET, DEDUP_CONF, SPLIT_CONF, STORED_POSITIONS, TOPIC_LIST)
 from ..sources.records import topic_set
-from ..sources.testtables import PART_BLOCK
+from ..sources.testtables import OFFSET_STEP, PART_BLOCK
 
 # ---------------------------------------------------------------- fragments
 
@@ -46,6 +46,7 @@ OUT_COLS = {
 }
 # A wide line holds the items of one order and one block of part keys.
 UNIT = f"l.l_partkey // {PART_BLOCK}"
+W_OFF = f"o.o_orderkey + coalesce({UNIT}, 0) * {OFFSET_STEP}"
 WIDE_FROM = "FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey"
 
 
@@ -129,7 +130,7 @@ LINE_FLAG = ("CASE WHEN l.l_orderkey IS NULL THEN NULL WHEN l.l_returnflag = 'A'
              "WHEN l.l_returnflag = 'R' THEN '1' ELSE '9' END")
 
 PROJECT_SIGNAL = (
-    'SELECT o.o_orderkey AS "offset", '
+    f'SELECT {W_OFF} AS "offset", '
     f"{IMSI} AS imsi, {O_TS} AS {_q('timestamp')}, "
     f"{_agg('CAST(l.l_partkey AS VARCHAR)')} AS region_code, "
     "o.o_orderstatus AS city_code, o.o_orderpriority AS county_code, "
@@ -151,7 +152,7 @@ RANKED_LINES = (f"SELECT l.*, row_number() OVER (PARTITION BY l.l_orderkey, {UNI
                 f"count(*) OVER (PARTITION BY l.l_orderkey, {UNIT}) AS n FROM lineitem l")
 
 PARALLEL_EXPLODE = (
-    f'SELECT o.o_orderkey AS "offset", CAST(r.rn - 1 AS INTEGER) AS pos, '
+    f'SELECT o.o_orderkey + r.l_partkey // {PART_BLOCK} * {OFFSET_STEP} AS "offset", CAST(r.rn - 1 AS INTEGER) AS pos, '
     "CAST(r.l_partkey AS VARCHAR) AS region, strftime(r.l_shipdate, '%Y%m%d%H%M%S') AS in_time, "
     "strftime(r.l_shipdate, '%Y%m%d') AS in_dt "
     f"FROM orders o JOIN ({RANKED_LINES}) r ON r.l_orderkey = o.o_orderkey WHERE r.rn <= (r.n + 1) // 2 "
@@ -159,14 +160,15 @@ PARALLEL_EXPLODE = (
     f"WHERE {NO_LINES}"
 )
 
+LINE_OFF = f"o.o_orderkey + r.l_partkey // {PART_BLOCK} * {OFFSET_STEP}"
 SPLIT_LIST_CELL = (
-    'SELECT o.o_orderkey AS "offset", '
-    "CAST(r.rn - 1 + CASE WHEN o.o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS INTEGER) AS pos, "
+    f'SELECT {LINE_OFF} AS "offset", '
+    f"CAST(r.rn - 1 + CASE WHEN ({LINE_OFF}) % 5 = 0 THEN 1 ELSE 0 END AS INTEGER) AS pos, "
     "CAST(r.l_partkey AS VARCHAR) AS elem "
     f"FROM orders o JOIN ({RANKED_LINES}) r ON r.l_orderkey = o.o_orderkey "
-    "UNION ALL SELECT u.o_orderkey, CAST(0 AS INTEGER), '' "
-    f"FROM (SELECT DISTINCT o.o_orderkey, {UNIT} FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey) u "
-    "WHERE u.o_orderkey % 5 = 0 "
+    "UNION ALL SELECT u.place, CAST(0 AS INTEGER), '' "
+    f"FROM (SELECT DISTINCT {LINE_OFF} AS place FROM orders o JOIN lineitem r ON r.l_orderkey = o.o_orderkey) u "
+    "WHERE u.place % 5 = 0 "
     "UNION ALL SELECT o.o_orderkey, CAST(0 AS INTEGER), '' FROM orders o "
     f"WHERE o.o_orderkey % 5 <> 0 AND o.o_orderkey % 3 = 0 AND {NO_LINES}"
 )
@@ -238,7 +240,7 @@ ORACLE: dict[str, str] = {
     "stream_region_fanout": REGION_FANOUT,
     "stream_dedup_latest": DEDUP_LATEST,
     "stream_tap": TAP,
-    "batch_metrics": (f"SELECT batch_id, count(*) AS rows_in, count(DISTINCT key) AS rows_out "
+    "batch_metrics": (f"SELECT batch_id, count(*) AS rows_in, count(DISTINCT key) AS rows_out, true AS timed "
                       f"FROM ({EVENTS_KEYED}) k GROUP BY batch_id"),
     "stream_dedup_any": DEDUP_ANY,
     "sink_messages": REGION_FANOUT,
@@ -247,4 +249,37 @@ ORACLE: dict[str, str] = {
     "dedup_latest_tied_topics": TIED_LATEST,
     "dedup_latest_max_by_tied_topics": TIED_LATEST,
     "dedup_any_tied_topics": TIED_ANY,
+    "sink_resent": REGION_FANOUT,
+    "fanout_order": (f'SELECT CAST(o.o_custkey % 8 AS INTEGER) AS "partition", {W_OFF} AS "offset", '
+                     "greatest(count(l.l_orderkey), 1) AS n_current, greatest(count(l.l_orderkey), 1) AS n_left, "
+                     f"true AS in_order {WIDE_FROM} GROUP BY 1, 2"),
+    "replay_from_stored": (
+        f"WITH e AS ({EVENT_RECORDS}), cur AS (SELECT topic, \"partition\", max(\"offset\") + 1 AS cur FROM e "
+        "WHERE batch_id < (SELECT max(batch_id) FROM e) GROUP BY 1, 2) "
+        'SELECT e.topic, e."partition", e."offset", e.value FROM e LEFT JOIN cur ON cur.topic = e.topic '
+        'AND cur."partition" = e."partition" WHERE cur.cur IS NULL OR e."offset" >= cur.cur'),
+    "footer_bounds": BOUNDS,
+    "offset_gaps": (
+        "SELECT 'dense' AS topic, p AS \"partition\", prev + 1 AS first_missing, o - 1 AS last_missing, o - prev - 1 AS missing FROM ("
+        "SELECT CAST(event_id % 4 AS INTEGER) AS p, event_id // 4 AS o, "
+        "lag(event_id // 4) OVER (PARTITION BY event_id % 4 ORDER BY event_id) AS prev FROM events "
+        "WHERE event_id % 97 >= 3 AND event_id // 1000 % 13 <> 5) x WHERE o > prev + 1"),
+    "decode_records": (f'SELECT topic, "partition", "offset", key, value FROM ({EVENT_RECORDS}) e '
+                       'WHERE ("offset" - 100) % 19 <> 0 AND ("offset" - 100) % 23 <> 0'),
+    "undecodable_records": (
+        "SELECT topic, \"partition\", \"offset\", CASE WHEN n % 23 = 0 THEN 'FF' ELSE hex(encode(key)) END AS key_hex, "
+        "hex(encode(value)) || CASE WHEN n % 19 = 0 THEN 'E282' ELSE '' END AS value_hex, "
+        "CASE WHEN n % 19 = 0 AND n % 23 = 0 THEN 'key and value' WHEN n % 23 = 0 THEN 'key' ELSE 'value' END AS reason "
+        f'FROM (SELECT *, "offset" - 100 AS n FROM ({EVENT_RECORDS}) e) x WHERE n % 19 = 0 OR n % 23 = 0'),
+    "text_to_epoch_ms_null": (
+        "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN strftime(o_orderdate, '%Y-13-%d %H:%M:%S') "
+        "ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS text, "
+        "CASE WHEN o_orderkey % 7 <> 0 THEN epoch_ms(o_orderdate) END AS epoch_ms FROM orders"),
+    "text_to_epoch_ms_lenient": (
+        "SELECT k AS o_orderkey, concat(y, '-', m, '-', d, ' ', k % 50, ':', k % 90, ':', k % 100, "
+        "CASE WHEN k % 3 = 0 THEN ' and more' ELSE '' END) AS text, "
+        "epoch_ms(make_timestamp(y, 1, 1, 0, 0, 0) + to_months(CAST(m - 1 AS INTEGER)) + to_days(CAST(d - 1 AS INTEGER)) "
+        "+ to_hours(k % 50) + to_minutes(k % 90) + to_seconds(k % 100)) AS epoch_ms "
+        "FROM (SELECT o_orderkey AS k, year(o_orderdate) AS y, month(o_orderdate) + o_orderkey % 30 - 10 AS m, "
+        "day(o_orderdate) + o_orderkey % 50 - 25 AS d FROM orders) x"),
 }

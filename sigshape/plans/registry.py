@@ -21,14 +21,15 @@ from ..operators import (clean_records, dedup_any, dedup_latest, dedup_messages,
                          region_in_rows, region_out_messages, region_out_rows, require_width,
                          tap_records, with_fields)
 from ..session import scratch_path
-from ..sources.sinks import write_messages
-from ..sources.offsets import (offset_bounds, offset_resolve, positions_frame, replay_from_offsets,
-                               start_position)
-from ..sources.records import read_records, subscribe_topics
-from ..sources.testtables import (event_columns, event_field_records, event_records, table,
-                                  tied_records, wide_signal_records)
-from ..streaming.runners import (records_writer, region_split_writer, run_dedup, run_landed,
-                                 tap_writer)
+from ..sources.sinks import (MESSAGE_ID, PLACE, drop_resent, land_by_partition, message_id,
+                             write_messages)
+from ..sources.offsets import (PositionStore, footer_bounds, offset_bounds, offset_gaps, offset_resolve,
+                               positions_frame, replay_from_offsets, start_position)
+from ..sources.records import decode_records, read_records, subscribe_topics
+from ..sources.testtables import (dense_records, event_columns, event_field_records, event_records,
+                                  raw_event_records, table, tied_records, wide_signal_records)
+from ..streaming.runners import (dedup_writer, records_writer, region_split_writer, run_dedup,
+                                 run_landed, tap_writer)
 
 # Fixed query parameters.
 SPLIT_CONF = RegionSplitConf(topic_in="region_in", topic_out="region_out")
@@ -235,8 +236,96 @@ def q_stream_tap(spark, d):
 
 
 def q_batch_metrics(spark, d):
-    """Records read and lines kept, per batch."""
-    return run_dedup(spark, _events(spark, d), DEDUP_CONF, name="stream-metrics")[1]
+    """Records read and lines kept by every micro-batch, from the stream's own
+    progress rows; ``timed`` says that the batch's seconds were measured."""
+    rows = run_dedup(spark, _events(spark, d), DEDUP_CONF, name="stream-metrics")[1]
+    one_batch = F.col("first_batch_id") == F.col("last_batch_id")
+    return rows.select(F.col("last_batch_id").alias("batch_id"), "rows_in", "rows_out",
+                       (one_batch & (F.col("seconds") > 0)).alias("timed"))
+
+
+def _named_fanout(spark, d):
+    """Fan-out messages with the ids of their places."""
+    placed = region_fanout(_wide(spark, d).withColumnRenamed("topic", PLACE[0]), SPLIT_CONF, keep=PLACE, seq="seq")
+    return placed.select("topic", "key", "value", message_id(*PLACE, "seq").alias(MESSAGE_ID))
+
+
+def q_sink_resent(spark, d):
+    """Fan-out messages of which a third are sent again, as after a batch that
+    was replayed; the reader keeps one of each id."""
+    path = scratch_path(spark, "sink-resent")
+    messages = _named_fanout(spark, d)
+    write_messages(messages, "parquet", path)
+    write_messages(messages.where(F.pmod(F.xxhash64(MESSAGE_ID), F.lit(3)) == 0), "parquet", path)
+    return drop_resent(spark.read.parquet(path)).select("topic", "key", "value")
+
+
+def q_fanout_order(spark, d):
+    """Per line, from what the sink has: messages of either topic, and whether
+    every current-region one stands before every left-region one."""
+    path = scratch_path(spark, "fanout-order")
+    write_messages(_named_fanout(spark, d), "parquet", path)
+    place = F.split(MESSAGE_ID, "/")
+    sent = spark.read.parquet(path).select("topic", place[1].cast("int").alias("partition"), place[2].cast("bigint").alias("offset"),
+                                           place[3].cast("int").alias("seq"))
+    current = F.col("topic") == SPLIT_CONF.topic_in
+    return sent.groupBy("partition", "offset").agg(
+        F.count_if(current).alias("n_current"), F.count_if(~current).alias("n_left"),
+        (F.max(F.when(current, F.col("seq"))) < F.min(F.when(~current, F.col("seq")))).alias("in_order"))
+
+
+def q_replay_from_stored(spark, d):
+    """A stream reads all batches but the newest and stores its positions;
+    the whole table is then replayed from there."""
+    events = _events(spark, d)
+    newest = events.agg(F.max("batch_id")).first()[0]
+    store = PositionStore(scratch_path(spark, "stored-positions"))
+    run_landed(spark, events.where(F.col("batch_id") < newest), "stream-stored", lambda s, path: dedup_writer(
+        s, path, DEDUP_CONF, positions=store)[0])
+    out = replay_from_offsets(events, store.read(spark), reset="earliest")
+    return out.select("topic", "partition", "offset", "value")
+
+
+def q_footer_bounds(spark, d):
+    """Offset bounds of a landed table, from its file footers."""
+    path = scratch_path(spark, "by-partition")
+    land_by_partition(_events(spark, d), path)
+    return footer_bounds(spark, path)
+
+
+def q_offset_gaps(spark, d):
+    return offset_gaps(dense_records(spark, d))
+
+
+def q_decode_records(spark, d):
+    """Binary records whose key and value are both UTF-8."""
+    good, _ = decode_records(raw_event_records(spark, d), "quarantine")
+    return good.select("topic", "partition", "offset", "key", "value")
+
+
+def q_undecodable_records(spark, d):
+    _, bad = decode_records(raw_event_records(spark, d), "quarantine")
+    return bad.select("topic", "partition", "offset", F.hex("key").alias("key_hex"), F.hex("value").alias("value_hex"), "reason")
+
+
+def q_text_to_epoch_ms_null(spark, d):
+    """Order dates as text, every seventh with a month that is none."""
+    day = wallclock_to_text("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    bad = F.concat(F.left(day, F.lit(5)), F.lit("13"), F.substring(day, 8, 12))
+    o = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, bad).otherwise(day).alias("text"))
+    return o.select("o_orderkey", "text", text_to_epoch_ms("text", on_error="null").alias("epoch_ms"))
+
+
+def q_text_to_epoch_ms_lenient(spark, d):
+    """Order dates whose months, days, hours, minutes and seconds run over, or
+    below one, with text after every third."""
+    k, t = F.col("o_orderkey"), F.col("o_orderdate")
+    text = F.concat(
+        F.year(t).cast("string"), F.lit("-"), (F.month(t) + k % 30 - 10).cast("string"), F.lit("-"),
+        (F.dayofmonth(t) + k % 50 - 25).cast("string"), F.lit(" "), (k % 50).cast("string"), F.lit(":"),
+        (k % 90).cast("string"), F.lit(":"), (k % 100).cast("string"), F.when(k % 3 == 0, " and more").otherwise(""))
+    o = table(spark, d, "orders").select("o_orderkey", text.alias("text"))
+    return o.select("o_orderkey", "text", text_to_epoch_ms("text", on_error="null", lenient=True).alias("epoch_ms"))
 
 
 def q_sink_messages(spark, d):
@@ -300,4 +389,13 @@ QUERIES: dict[str, Query] = {
     "dedup_latest_tied_topics": q_dedup_latest_tied_topics,
     "dedup_latest_max_by_tied_topics": q_dedup_latest_max_by_tied_topics,
     "dedup_any_tied_topics": q_dedup_any_tied_topics,
+    "sink_resent": q_sink_resent,
+    "fanout_order": q_fanout_order,
+    "replay_from_stored": q_replay_from_stored,
+    "footer_bounds": q_footer_bounds,
+    "offset_gaps": q_offset_gaps,
+    "decode_records": q_decode_records,
+    "undecodable_records": q_undecodable_records,
+    "text_to_epoch_ms_null": q_text_to_epoch_ms_null,
+    "text_to_epoch_ms_lenient": q_text_to_epoch_ms_lenient,
 }

@@ -8,8 +8,10 @@ there. On a record table the same questions are aggregates and joins:
 * start    = stored position, else the reset policy (earliest / latest / none)
 * resolved = start clamped into [earliest, latest], with a status
 * replay   = records at or after the resolved start
+* stored   = a table that each micro-batch adds its own positions to
+* gaps     = offsets that are missing between those that are there
 
-Inventory: S3 (start position), S5 (bounds), S6 (clamp, replay, restart JSON).
+Inventory: S3 (start position), S5 (bounds), S6 (clamp, replay, stored positions, gaps, restart JSON).
 """
 
 from __future__ import annotations
@@ -20,10 +22,14 @@ from collections.abc import Iterable, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .records import RESET_POLICIES
 
 KEYS = ["topic", "partition"]
+POSITION_SCHEMA = "topic string, partition int, cur bigint"
+#: Bits of an offset that one cell of the gap report covers: no window sorts more rows than that.
+CELL_BITS = 16
 
 
 def positions_frame(spark: SparkSession, positions: Sequence[tuple[str, int, int]]) -> DataFrame:
@@ -43,6 +49,67 @@ def offset_bounds(records: DataFrame) -> DataFrame:
     )
 
 
+def footer_bounds(spark: SparkSession, path: str) -> DataFrame:
+    """``offset_bounds`` of a table landed by ``sinks.land_by_partition``, from
+    the statistics in its file footers: no row is read, whatever the size.
+
+    Spark answers a minimum and maximum from footers when the groups are the
+    table's partition columns and its file reader is the newer one, both of
+    which are settings; they are set in a session of the frame's own, so the
+    caller's stays as it is.
+    """
+    own = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        own.conf.set(key, spark.conf.get(key))
+    v1 = [x for x in (spark.conf.get("spark.sql.sources.useV1SourceList") or "").split(",") if x and x != "parquet"]
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(v1))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return offset_bounds(own.read.schema("offset bigint, topic string, partition int").parquet(path))
+
+
+def offset_gaps(records: DataFrame, cell_bits: int = CELL_BITS) -> DataFrame:
+    """Missing offsets of each topic partition: ``topic, partition, first_missing,
+    last_missing, missing``, one row per gap. What lies before the first or
+    after the last offset is no gap.
+
+    Offsets are dealt into cells of ``2 ** cell_bits``: a window per cell finds
+    the gaps inside it, and leaves the cell's first and last offset as one row
+    of the next level, whose cells are as many times wider. So a topic
+    partition that holds a third of all records is never sorted in one task.
+    """
+    items = records.select(*KEYS, F.col("offset").alias("lo"), F.col("offset").alias("hi")).distinct()
+    gaps = None
+    for bits in [*range(cell_bits, 64, cell_bits), None]:
+        cell = F.lit(0).cast("bigint") if bits is None else F.shiftright("lo", bits)
+        here = items.withColumn("cell", cell)
+        before = F.lag("hi").over(Window.partitionBy(*KEYS, "cell").orderBy("lo"))
+        found = here.withColumn("before", before).where(F.col("lo") > F.col("before") + 1).select(
+            *KEYS, (F.col("before") + 1).alias("first_missing"), (F.col("lo") - 1).alias("last_missing"))
+        gaps = found if gaps is None else gaps.unionByName(found)
+        items = here.groupBy(*KEYS, "cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("cell")
+    return gaps.withColumn("missing", F.col("last_missing") - F.col("first_missing") + 1)
+
+
+class PositionStore:
+    """Positions that a stream keeps by itself, under ``path``: every
+    micro-batch puts one row per topic partition that it read (the offset after
+    its last), under ``batch=<epoch>``, so a replayed batch replaces its own.
+    The stored position is the greatest of a partition's rows."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def put(self, batch: DataFrame, epoch: int) -> None:
+        """Called when the batch's output is written: a crash before it replays
+        the batch, one after it finds the position stored."""
+        last = batch.groupBy(*KEYS).agg((F.max("offset") + 1).alias("cur"))
+        last.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={int(epoch)}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        rows = spark.read.schema(POSITION_SCHEMA).parquet(self.path)
+        return rows.groupBy(*KEYS).agg(F.max("cur").alias("cur"))
+
+
 def _place() -> Column:
     return F.concat(F.col("topic"), F.lit("-"), F.col("partition").cast("string"))
 

@@ -5,7 +5,10 @@ timestamp, key, value`` (key/value decoded as strings). Landed tables carry
 an extra ``batch_id`` naming the micro-batch the record arrived in; on a
 live stream the micro-batch id plays that role.
 
-Inventory: S1 (record source), S2 (topic subscribe), S3/S4 (start policy and secured switch in the Kafka options), T1 on tables (``assign_batches``).
+Bytes that are not UTF-8 are not text: ``decode_records`` checks landed binary
+keys and values and fails, repairs or sets such records aside.
+
+Inventory: S1 (record source, decoding), S2 (topic subscribe), S3/S4 (start policy and secured switch in the Kafka options), T1 on tables (``assign_batches``).
 """
 
 from __future__ import annotations
@@ -29,6 +32,11 @@ RECORD_SCHEMA = T.StructType([
 ])
 RECORD_COLUMNS = tuple(f.name for f in RECORD_SCHEMA.fields)
 
+#: Records as they are landed undecoded.
+RAW_SCHEMA = T.StructType([T.StructField(f.name, T.BinaryType() if f.name in ("key", "value") else f.dataType)
+                           for f in RECORD_SCHEMA.fields])
+ON_INVALID = ("fail", "quarantine", "replace")
+
 RESET_POLICIES = ("earliest", "latest", "none")
 
 
@@ -90,6 +98,35 @@ def _from_kafka(df: DataFrame) -> DataFrame:
     )
 
 
+def decode_records(raw: DataFrame, on_invalid: str = "fail"):
+    """Records from a table with binary ``key`` and ``value`` (``RAW_SCHEMA``).
+
+    A null stays null. Bytes that are not UTF-8: ``"fail"`` raises on the
+    first such record, also when only other columns are used; ``"replace"``
+    puts U+FFFD for them, as a plain string decoder would; ``"quarantine"``
+    returns ``(records, bad)`` with the whole raw record and its ``reason`` in
+    ``bad``. A landed table casts binary to text without a look at the bytes,
+    so the check has to be asked for.
+    """
+    if on_invalid not in ON_INVALID:
+        raise ValueError(f"on_invalid must be one of {ON_INVALID}")
+    text = {c: F.col(c).cast("string") for c in ("key", "value")}
+    bad = {c: F.coalesce(~F.is_valid_utf8(t), F.lit(False)) for c, t in text.items()}
+
+    def decoded(df: DataFrame) -> DataFrame:
+        made = {c: F.make_valid_utf8(t) if on_invalid == "replace" else t for c, t in text.items()}
+        return df.select(*[made.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA.fields])
+
+    if on_invalid == "replace":
+        return decoded(raw)
+    reason = F.when(bad["key"] & bad["value"], "key and value").when(bad["key"], "key").when(bad["value"], "value")
+    if on_invalid == "quarantine":
+        return decoded(raw.where(reason.isNull())), raw.where(reason.isNotNull()).withColumn("reason", reason)
+    where = F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    error = F.raise_error(F.concat(F.lit("bytes that are not UTF-8 in "), reason, F.lit(" of "), where)).cast("boolean")
+    return decoded(raw.where(F.when(reason.isNotNull(), error).otherwise(F.lit(True))))
+
+
 def read_records(spark: SparkSession, source: str = "parquet", path: str | None = None,
                  options: dict | None = None, columns: Mapping[str, Column | str] | None = None) -> DataFrame:
     """Read records as a table: a Kafka topic range or a landed record table

@@ -12,10 +12,12 @@ with the tables:
   middle and trailing fields.
 
 Scale notes: the only shuffles are the list grouping and the join back to
-``orders``; ``lineitem`` is read once, and only its six raw columns cross the
-shuffle. A list's unit is (order, block of part keys), the rows' own
-columns: an order that holds a third of all lines falls into as many units as
-it has part blocks, by the same rule as every other order.
+``orders``; ``lineitem`` is read once. The cells of an item are formatted
+before the grouping, in one generated projection, and a line is built once: it
+is a generator's output, below which no filter on it can be pushed. A list's
+unit is (order, block of part keys), the rows' own columns: an order that
+holds a third of all lines falls into as many units as it has part blocks, by
+the same rule as every other order.
 """
 
 from __future__ import annotations
@@ -26,12 +28,10 @@ from pyspark.sql import functions as F
 from ..functions.timefmt import wallclock_to_seconds, wallclock_to_text
 from .records import RECORD_COLUMNS
 
-PART_BLOCK = 1_000               # part keys that share a line of one order
+PART_BLOCK = 100_000             # part keys that share a line of one order
+OFFSET_STEP = 1 << 40            # between the offsets of one order's lines
 BATCH_SECONDS = 864_000          # 10-day batches for the events-based records
 
-LINE_ELEM = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -43,23 +43,28 @@ def _s(c) -> Column:
 # ------------------------------------------------------------ wide signalling lines
 
 def order_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(l_orderkey, unit, elems)``: sorted lineitem structs per order and
-    part block (``unit`` = part key div ``PART_BLOCK``).
+    """``(l_orderkey, unit, elems)``: sorted item structs per order and part
+    block (``unit`` = part key div ``PART_BLOCK``).
 
-    Rows are shuffled raw, as they are (a map-side partial collect_list shrinks
-    nothing, it only adds a sort); the text is formatted after the grouping.
-    The struct is the sort key, so ``sort_array`` orders by it.
+    An item is its sort key (its first fields: ``sort_array`` orders by them)
+    and the text of its cells. Rows are shuffled as they are: a map-side
+    partial collect_list shrinks nothing, it only adds a sort.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    shipped = wallclock_to_text("l_shipdate", "yyyyMMddHHmmss")
+    items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", F.floor(F.col("l_partkey") / F.lit(PART_BLOCK)).cast("bigint").alias("unit"),
-        F.struct(*LINE_ELEM).alias("e"))
-    return (li.repartition("l_orderkey", "unit").groupBy("l_orderkey", "unit")
-            .agg(F.sort_array(F.collect_list("e")).alias("elems")))
+        "l_linenumber", "l_partkey", "l_suppkey", shipped.alias("shipped"), "l_returnflag", "l_linestatus")
+    item = F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", "shipped", "l_returnflag", "l_linestatus",
+        _s("l_partkey").alias("part"), flag_text(F.col("l_returnflag")).alias("flag"), _s("l_suppkey").alias("supp"),
+        F.left("shipped", F.lit(8)).alias("day"), _s("l_linenumber").alias("number"))
+    return (items.repartition("l_orderkey", "unit").select("l_orderkey", "unit", item.alias("e"))
+            .groupBy("l_orderkey", "unit").agg(F.sort_array(F.collect_list("e")).alias("elems")))
 
 
-def _cell(elems: Column, text) -> Column:
-    """One list cell: ``text`` of each element, ``|``-joined; blank without a list."""
-    return F.coalesce(F.array_join(F.transform(elems, text), "|"), F.lit(""))
+def _cell(elems: Column, name: str) -> Column:
+    """One list cell: a field of each element, ``|``-joined; blank without a list."""
+    return F.coalesce(F.array_join(elems[name], "|"), F.lit(""))
 
 
 def flag_text(returnflag: Column) -> Column:
@@ -71,13 +76,12 @@ def wide_line_fields(o: dict[str, Column], elems: Column, unit: Column) -> list[
     """The 34 fields of one wide line, by position."""
     half = F.slice(elems, 1, ((F.size(elems) + 1) / 2).cast("int"))
     blank = F.lit("")
-    region = lambda e: _s(e["l_partkey"])
     return [
         _s(o["custkey"]),                                          # 0 imsi
         wallclock_to_text(o["orderdate"], "yyyyMMddHHmmss"),       # 1 timestamp
         _s(o["orderkey"]), o["status"], o["priority"],             # 2-4 filler
         blank, _s(unit), blank, blank,                             # 5-8 filler
-        _cell(elems, region),                                      # 9 region_code list
+        _cell(elems, "part"),                                      # 9 region_code list
         o["status"],                                               # 10 city_code
         o["priority"],                                             # 11 county_code
         _s(o["custkey"] % 31),                                     # 12 usr_prov_code
@@ -89,14 +93,14 @@ def wide_line_fields(o: dict[str, Column], elems: Column, unit: Column) -> list[
         blank, F.lit("0"), blank, blank, blank, blank,             # 18-23 filler
         _s(o["orderkey"] % 100),                                   # 24 out_city_code
         _s(o["orderkey"] % 1000),                                  # 25 out_county_code
-        _cell(half, region),                                       # 26 first half of region list
+        _cell(half, "part"),                                       # 26 first half of region list
         blank,                                                     # 27 filler
-        _cell(elems, lambda e: wallclock_to_text(e["l_shipdate"], "yyyyMMddHHmmss")),   # 28 in-time list
-        _cell(elems, lambda e: flag_text(e["l_returnflag"])),      # 29 in/out flag list
-        _cell(elems, lambda e: _s(e["l_suppkey"])),                # 30 out_region list
-        _cell(elems, lambda e: wallclock_to_text(e["l_shipdate"], "yyyyMMdd")),         # 31 out in-date list
-        _cell(elems, lambda e: _s(e["l_linenumber"])),             # 32 out out-date list
-        _cell(elems, lambda e: e["l_linestatus"]),                 # 33 stay list
+        _cell(elems, "shipped"),                                   # 28 in-time list
+        _cell(elems, "flag"),                                      # 29 in/out flag list
+        _cell(elems, "supp"),                                      # 30 out_region list
+        _cell(elems, "day"),                                       # 31 out in-date list
+        _cell(elems, "number"),                                    # 32 out out-date list
+        _cell(elems, "l_linestatus"),                              # 33 stay list
     ]
 
 
@@ -104,7 +108,7 @@ def wide_signal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record table of wide signalling lines, one per order and part block.
 
     topic ``signal``, partition = customer mod 8 (a key-hash style
-    assignment), offset = order key (the lines of one order share it),
+    assignment), offset = order key + part block * ``OFFSET_STEP``,
     batch_id = order year. An order without lines is one line with blank cells.
     """
     orders = table(spark, sf_dir, "orders").select(
@@ -114,16 +118,17 @@ def wide_signal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = {"orderkey": F.col("o_orderkey"), "custkey": F.col("o_custkey"),
          "status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority"),
          "orderdate": F.col("o_orderdate")}
-    value = F.concat_ws(",", *wide_line_fields(o, F.col("elems"), F.coalesce("unit", F.lit(0))))
+    unit = F.coalesce("unit", F.lit(0))
+    value = F.concat_ws(",", *wide_line_fields(o, F.col("elems"), unit))
     return j.select(
         F.lit("signal").alias("topic"),
         F.pmod(F.col("o_custkey"), F.lit(8)).cast("int").alias("partition"),
-        F.col("o_orderkey").alias("offset"),
+        (F.col("o_orderkey") + unit * F.lit(OFFSET_STEP)).alias("offset"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("timestamp"),
         F.lit(None).cast("string").alias("key"),
-        value.alias("value"),
+        F.inline(F.array(F.struct(value.alias("value")))),
         F.year("o_orderdate").cast("bigint").alias("batch_id"),
-    )
+    ).select(*RECORD_COLUMNS)
 
 
 # ------------------------------------------------------------ events-based records
@@ -213,3 +218,25 @@ def event_columns() -> dict[str, Column]:
         "key": F.when(F.col("event_id") % 13 != 0, _s("user_id")), "value": event_line(),
         "batch_id": F.floor(wallclock_to_seconds(F.col("ts").cast("timestamp_ntz")) / F.lit(BATCH_SECONDS)),
     }
+
+
+def dense_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event lines whose offsets are dense but for planted holes: partition =
+    event id mod 4, offset = event id div 4; missing are the ids of 97 that end a
+    hundred or so (id mod 97 < 3), and every thirteenth run of 1,000 ids."""
+    ev = table(spark, sf_dir, "events").where((F.col("event_id") % 97 >= 3) & (F.floor(F.col("event_id") / 1000) % 13 != 5))
+    return ev.select(
+        F.lit("dense").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / 4).cast("bigint").alias("offset"), F.col("ts").cast("timestamp_ntz").alias("timestamp"),
+        F.lit(None).cast("string").alias("key"), event_line().alias("value"), F.lit(0).cast("bigint").alias("batch_id"))
+
+
+def raw_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_records`` with binary key and value; planted bytes that are not
+    UTF-8: a value cut inside a character (event id mod 19 = 0), a key that is
+    one stray byte (mod 23 = 0)."""
+    ev = event_records(spark, sf_dir)
+    n = F.col("offset") - 100
+    value = F.concat(F.col("value").cast("binary"), F.when(n % 19 == 0, F.unhex(F.lit("E282"))).otherwise(F.unhex(F.lit(""))))
+    key = F.when(n % 23 == 0, F.unhex(F.lit("FF"))).otherwise(F.col("key").cast("binary"))
+    return ev.withColumns({"value": value, "key": key})

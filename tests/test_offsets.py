@@ -140,3 +140,47 @@ def test_replay_matches_model(spark, parts, stored, reset):
             out.collect()
         return
     assert {(r.topic, r.partition, r.offset) for r in out.collect()} == expected
+
+
+def test_footer_bounds_read_no_rows(spark, tmp_path):
+    from sigshape.sources.offsets import footer_bounds
+    from sigshape.sources.sinks import land_by_partition
+    from sigshape.sources.testtables import event_records
+    from conftest import SF_SMALL
+    recs = event_records(spark, SF_SMALL)
+    path = str(tmp_path / "landed")
+    land_by_partition(recs, path)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    bounds = footer_bounds(spark, path)
+    p = bounds._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(offset), MAX(offset)]" in p and "PushedGroupBy: [topic, partition]" in p
+    assert "ReadSchema: struct<topic:string,partition:int,min(offset):bigint,max(offset):bigint>" in p      # no data column
+    assert sorted(map(tuple, bounds.collect())) == sorted(map(tuple, offset_bounds(recs).collect()))
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
+@settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(PARTS, st.integers(1, 5))
+def test_gaps_match_model(spark, parts, bits):
+    """Also with cells so small that every level of them is crossed."""
+    from sigshape.sources.offsets import offset_gaps
+    from sigshape.sources.records import RECORD_SCHEMA
+    data = [(t, p, o, None, None, "v", 0) for (t, p), offs in parts.items() for o in offs for _ in range(1 + o % 2)]
+    got = sorted(map(tuple, offset_gaps(spark.createDataFrame(data, RECORD_SCHEMA), cell_bits=8 * bits).collect()))
+    want = []
+    for (t, p), offs in parts.items():
+        o = sorted(offs)
+        want += [(t, p, a + 1, b - 1, b - a - 1) for a, b in zip(o, o[1:]) if b > a + 1]
+    assert got == sorted(want)
+
+
+def test_gaps_across_cells_and_no_window_over_a_partition(spark):
+    from sigshape.sources.offsets import CELL_BITS, offset_gaps
+    offs = [0, 1, (1 << 16) - 1, 1 << 16, (1 << 16) + 5, 3 << 16, (1 << 40) + 7, (1 << 62)]
+    out = offset_gaps(records(spark, [(o, "v") for o in offs]))
+    assert sorted((r.first_missing, r.last_missing) for r in out.collect()) == [
+        (a + 1, b - 1) for a, b in zip(offs, offs[1:]) if b > a + 1]
+    p = offset_gaps(records(spark, [(0, "v")]))._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in p.splitlines() if "Window [" in x]
+    assert len(windows) == 64 // CELL_BITS
+    assert sum("cell#" in w for w in windows) == len(windows) - 1        # the last sees a row per 2 ** 48 offsets

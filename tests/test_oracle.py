@@ -31,7 +31,7 @@ def test_every_query_has_an_oracle_or_is_rows_only():
 
 
 SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER",
-                   "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
+                   "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -104,6 +104,17 @@ def test_wide_lines_read_lineitem_once_and_shuffle_raw_columns(spark):
     assert scan.count("l_shipdate") >= 1 and "l_extendedprice" not in scan
 
 
+def test_a_wide_line_is_built_once_without_interpreted_lambdas(spark):
+    p = region_fanout(wide_signal_records(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("concat_ws(,, cast(o_custkey") == 1 and "lambda" not in p
+    from pyspark.sql import functions as F
+    from sigshape.functions.split import split_csv
+    from sigshape.conf import WIDE_LAYOUT
+    f = split_csv(F.col("value"), ",")
+    sizes = wide_signal_records(spark, SF_SMALL).select(F.size(F.split(f[WIDE_LAYOUT["region_code"]], "\\|")).alias("n"))
+    assert sizes.agg(F.avg("n")).first()[0] >= 4            # lists of several elements
+
+
 def test_quarantine_paths_split_once(landed):
     from sigshape.operators.dedup import keyed_lines
     _, events = landed

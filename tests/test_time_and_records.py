@@ -183,3 +183,68 @@ def test_records_landed_in_other_formats(spark, tmp_path, fmt):
     back = read_records(spark, fmt, path)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, recs.collect()))
     assert sorted(map(tuple, dedup_latest(back).collect())) == sorted(map(tuple, dedup_latest(recs).collect()))
+
+
+# 02:30 on 2024-03-10 does not exist in New York, 01:30 on 2024-11-03 exists twice.
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "America/Sao_Paulo"])
+def test_all_parsers_agree_in_every_zone(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    texts = ["2024-03-10 02:30:00", "2024-11-03 01:30:00", "2024-07-01 12:00:00", "1969-12-31 23:59:59"]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        for r in df.select("t", text_to_epoch_ms("t").alias("a"), text_to_epoch_ms("t", on_error="null").alias("b"),
+                           text_to_epoch_ms("t", lenient=True).alias("c")).collect():
+            import datetime as dt
+            want = int((dt.datetime.strptime(r.t, "%Y-%m-%d %H:%M:%S") - dt.datetime(1970, 1, 1)).total_seconds()) * 1000
+            assert (r.a, r.b, r.c) == (want, want, want)
+        bad = spark.createDataFrame([("2024-13-01 00:00:00",), ("",), (None,), ("x",)], "t string")
+        assert [r.x for r in bad.select(text_to_epoch_ms("t", on_error="null").alias("x")).collect()] == [None] * 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _rolled(y, m, d, H=0, M=0, S=0):
+    import datetime as dt
+    first = dt.datetime(y + (m - 1) // 12, (m - 1) % 12 + 1, 1)
+    return int((first + dt.timedelta(days=d - 1, hours=H, minutes=M, seconds=S) - dt.datetime(1970, 1, 1)).total_seconds()) * 1000
+
+
+@pytest.mark.parametrize("text,pattern,want", [
+    ("2024-13-01 00:00:00", "yyyy-MM-dd HH:mm:ss", _rolled(2024, 13, 1)),
+    ("2024-02-30 25:61:61", "yyyy-MM-dd HH:mm:ss", _rolled(2024, 2, 30, 25, 61, 61)),
+    ("2024-1-0 0:0:0 trailing text", "yyyy-MM-dd HH:mm:ss", _rolled(2024, 1, 0)),
+    ("2024--1--5 -1:0:0", "yyyy-MM-dd HH:mm:ss", _rolled(2024, -1, -5, -1)),
+    ("20241301", "yyyyMMdd", _rolled(2024, 13, 1)), ("202413014", "yyyyMMdd", _rolled(2024, 13, 14)),
+    ("2024-02-30", "yyyy-MM-dd HH:mm:ss", None), ("x2024-02-30", "yyyy-MM-dd", None), ("", "yyyy", None), (None, "yyyy", None),
+    ("90:00:00", "HH:mm:ss", _rolled(1970, 1, 1, 90)), ("99999999999-1-1", "yyyy-MM-dd", None), ("123456789-1-1", "yyyy-MM-dd", None)])
+def test_lenient_parsing_rolls_over(spark, text, pattern, want):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(text_to_epoch_ms("t", pattern, on_error="null", lenient=True).alias("x")).first().x == want
+    if want is None and text is not None:
+        with pytest.raises(Exception, match="unparseable"):
+            df.select(text_to_epoch_ms("t", pattern, lenient=True).alias("x")).collect()
+
+
+def test_lenient_parsing_refuses_named_fields():
+    with pytest.raises(ValueError, match="EEE"):
+        text_to_epoch_ms("t", "EEE yyyy", lenient=True)
+
+
+def test_binary_records_are_checked(spark):
+    from sigshape.sources.records import RAW_SCHEMA, RECORD_COLUMNS, decode_records
+    good, cut, stray = "né|1".encode(), "né".encode()[:-1], b"\xff"
+    rows = [("t", 0, i, None, k, v, 0) for i, (k, v) in enumerate([(None, good), (b"k", cut), (stray, b""), (stray, cut), (b"k", None)])]
+    raw = spark.createDataFrame(rows, RAW_SCHEMA)
+    ok, bad = decode_records(raw, "quarantine")
+    assert tuple(ok.columns) == RECORD_COLUMNS
+    assert sorted((r.offset, r.key, r.value) for r in ok.collect()) == [(0, None, "né|1"), (4, "k", None)]
+    assert sorted((r.offset, r.reason, bytes(r.value)) for r in bad.collect()) == [
+        (1, "value", cut), (2, "key", b""), (3, "key and value", cut)]
+    mended = {r.offset: (r.key, r.value) for r in decode_records(raw, "replace").collect()}
+    assert mended[1] == ("k", "n\ufffd") and mended[2] == ("\ufffd", "") and mended[0] == (None, "né|1")
+    for use in (lambda df: df.count(), lambda df: df.select("offset").collect()):
+        with pytest.raises(Exception, match="not UTF-8 in value of t-0-1"):
+            use(decode_records(raw.where("offset in (0, 1)")))
+    with pytest.raises(ValueError):
+        decode_records(raw, "drop")

@@ -39,12 +39,26 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+#: Removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
     """``df`` written under ``spark.checkpoint.dir`` and read again: cuts the
-    lineage, computes it once, and survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage, computes it once, and survives lost executors. ``clean``: the
+    shuffle files that the table was made from go as soon as it is written, for
+    shuffles as large as the input (Spark would keep them until the driver
+    collects its garbage)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP)
+    if clean:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 #: Texts of an Arrow batch that a Python worker decodes at once.

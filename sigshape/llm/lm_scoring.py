@@ -9,12 +9,24 @@ The vocabulary is every word that stands at least ``LEAST`` times, all others
 being one unknown word; a model keeps every bigram with a count of ``LEAST``
 or more and backs off to single words for the rest by absolute discounting.
 That floor is the same at every corpus size, so the models grow with the
-corpus: they are Spark tables, and the pairs of a document, counted once for
-each document, are joined to them. The models are matched: same vocabulary,
+corpus: they are Spark tables. The models are matched: same vocabulary,
 order, discount and, by scaling the background's counts to the target's
 tokens, same size; a discount takes no more than half of a scaled count, so
-scaling loses no bigram. Counts cover all documents. In the tables, words,
-pairs and texts go by 64-bit hashes.
+scaling loses no bigram. Counts cover all documents.
+
+What keeps the tables small, without leaving anything out:
+
+* A word that stands once makes its bigrams stand once, so a bigram that
+  stands twice has two known words: only those are written.
+* A word that stands once has one place, and its count's row carries it (the
+  text, the words around it): all bigrams with the unknown word, and the
+  texts they are in, come from the table of words.
+* A loss that backs off is a sum over single words. So a text needs its words
+  joined with the vocabulary, and its bigrams with the kept ones, whose values
+  are what they differ by from backing off.
+
+Words, bigrams and texts go by 64-bit hashes. Shuffles of all bigrams are
+removed as soon as their result is written.
 
 Defined cases: a null or empty text has no tokens and score 0; without
 target documents the target equals the background (all scores 0); repeated
@@ -25,95 +37,38 @@ empty table gives no rows; columns other than id and text are never read.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, saved, ship, slices, text_of
 
-#: Occurrences from which a word, or a model's bigram, is kept.
+#: Occurrences from which a word, or a model's bigram, is kept. The tables rest
+#: on its being 2: what stands less often stands once.
 LEAST = 2
-#: Further floors as shares of all tokens; at 0 there are none.
-WORD_SHARE = 0.0
-PAIR_SHARE = 0.0
 DISCOUNT = 0.5
-#: Different words, and pairs, that a task holds before it passes their sums on.
+#: Tokens that a task counts at once, and different words whose hashes it remembers.
+TOKENS_AT_ONCE = 1 << 21
 WORDS_AT_ONCE = 300_000
-PAIRS_AT_ONCE = 1 << 21
-#: Labelled ids up to which the label join may be broadcast (32 MB).
+#: Labelled ids up to which they are broadcast (32 MB); more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 
 UNKNOWN, START, FIRST_WORD = 0, 1, 2
 _WORD = re.compile(r"\w+")
+_TURN = 23                                   # bits that a previous word's code is turned by
+_LAST = 0x5851F42D4C957F2D                   # turns a word's code into that of a last word
 
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-@dataclass(frozen=True)
-class Bigrams:
-    """One model: log chances of single words, and of the kept pairs."""
-    pairs: np.ndarray           # sorted pair codes: previous * size + word
-    log_pair: np.ndarray
-    log_word: np.ndarray
-    log_back: np.ndarray        # log of what a previous word leaves to single words
-
-    def losses(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        code = before * len(self.log_word) + ids
-        at = np.searchsorted(self.pairs, code)
-        at[at == len(self.pairs)] = 0
-        kept = self.pairs[at] == code if len(self.pairs) else np.zeros(len(code), bool)
-        out = self.log_back[before] + self.log_word[ids]
-        if kept.any():
-            out[kept] = self.log_pair[at[kept]]
-        return -out
-
-
-def bigrams(words: np.ndarray, pairs: np.ndarray, counts: np.ndarray, scale: float) -> Bigrams:
-    """A model from word counts (by id) and the kept pairs' counts."""
-    size = len(words)
-    n = words * scale
-    log_word = np.log((n + 1) / (n.sum() + size))
-    order = np.argsort(pairs)
-    pairs, c = pairs[order], counts[order] * scale
-    left = c - np.minimum(DISCOUNT, c / 2)
-    before, word = pairs // size, pairs % size
-    begun = np.maximum(n, 1e-9)              # how often a word is followed: its own count
-    begun[START] = max(begun[START], 1e-9)
-    sums = np.bincount(before, weights=c, minlength=size)
-    begun = np.maximum(begun, sums)
-    taken = np.bincount(before, weights=left, minlength=size) / begun
-    back = np.clip(1 - taken, 1e-6, 1.0)
-    log_pair = np.log(left / begun[before] + back[before] * np.exp(log_word[word]))
-    return Bigrams(pairs, log_pair, log_word, np.log(back))
-
-
-@dataclass(frozen=True)
-class Scorer:
-    """The models in memory, for small corpora; equal to ``score_documents``."""
-    ids: dict[str, int]
-    target: Bigrams
-    background: Bigrams
-
-    def coded(self, text: str) -> np.ndarray:
-        get = self.ids.get
-        return np.array([START, *[get(w, UNKNOWN) for w in words_of(text)]], np.int64)
-
-    def score(self, text: str) -> tuple[int, float, float]:
-        """(tokens, target loss per token, background loss per token)."""
-        x = self.coded(text)
-        if len(x) == 1:
-            return 0, 0.0, 0.0
-        return (len(x) - 1, float(self.target.losses(x[:-1], x[1:]).mean()),
-                float(self.background.losses(x[:-1], x[1:]).mean()))
-
-
 class _Hashes(dict):
     """64-bit hashes of words, signed; the first two codes are not given out."""
 
@@ -123,94 +78,106 @@ class _Hashes(dict):
         return h
 
     def coded(self, text: str) -> np.ndarray:
+        """START and the words of a text; empty without words."""
         if len(self) > WORDS_AT_ONCE:
             self.clear()
         words = words_of(text)
-        out = np.empty(len(words) + 1, np.int64)
-        out[0] = START
-        out[1:] = [self[w] for w in words]
-        return out
+        return np.array([START, *map(self.__getitem__, words)], np.int64) if words else np.zeros(0, np.int64)
 
 
-_ODD = -7046029254386353131                  # odd, so that no two previous words meet
+def _code(p: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A bigram's code: the previous word's, turned, and the word's."""
+    u = p.view(np.uint64)
+    return (u << np.uint64(_TURN) | u >> np.uint64(64 - _TURN)).view(np.int64) ^ w
 
 
-def _pair_codes(x: np.ndarray) -> np.ndarray:
-    return x[:-1] * np.int64(_ODD) ^ x[1:]
+def _code_of(p: str, w: str) -> Column:
+    """``_code`` of columns."""
+    return F.shiftleft(p, _TURN).bitwiseOR(F.shiftrightunsigned(p, 64 - _TURN)).bitwiseXOR(F.col(w))
 
 
-def _count_words(batches):
-    """(word, w, rest, target) sums; the word "" counts texts with a token."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    hashes = _Hashes()
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, starts) of rows with equal keys, next to one another."""
+    order = np.argsort(keys[0], kind="stable")
+    edge = np.zeros(len(order), bool)
+    if len(edge):
+        edge[0] = True
+    for k in keys:
+        k = k[order]
+        edge[1:] |= k[1:] != k[:-1]
+    return order, np.flatnonzero(edge)
 
-    def out():
-        names = list(seen[0].keys() | seen[1].keys())
-        for at in range(0, len(names), 100_000):
-            some = names[at:at + 100_000]
-            hashes.clear()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.string()), pa.array([hashes[w] if w else START for w in some], pa.int64()),
-                 pa.array([seen[0][w] for w in some], pa.int64()), pa.array([seen[1][w] for w in some], pa.int64())],
-                ["word", "w", "rest", "target"])
 
-    for batch in (part for whole in batches for part in slices(whole)):
-        for text, is_target in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            words = words_of(text)
-            if words:
-                seen[is_target].update(words)
-                seen[is_target][""] += 1
-        if len(seen[0]) + len(seen[1]) > WORDS_AT_ONCE:
-            yield from out()
-            seen[0].clear()
-            seen[1].clear()
-    yield from out()
-
-
-def _count_pairs(batches):
-    """(c, p, w, rest, target) sums of the pairs as they stand."""
+_COUNTED = "p bigint, w bigint, n bigint, t bigint, before bigint, after bigint, key bigint"
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of bigrams (p, w) and, with p UNKNOWN, of words, START among
+    them: n in all, t in target texts. A word that stands once in what is
+    counted has the words around it and its text's key."""
     hashes = _Hashes()
-    held: list[list[np.ndarray]] = [[], []]
-    n = 0
 
-    def out():
-        for is_target, texts in enumerate(held):
-            if not texts:
-                continue
-            p, w = np.concatenate([x[:-1] for x in texts]), np.concatenate([x[1:] for x in texts])
-            c, at, k = np.unique(p * np.int64(_ODD) ^ w, return_index=True, return_counts=True)
-            p, w = p[at], w[at]
-            for i in range(0, len(c), 100_000):
-                part = slice(i, i + 100_000)
-                none = np.zeros_like(k[part])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, pa.int64()) for v in (c[part], p[part], w[part], none if is_target else k[part],
-                                                       k[part] if is_target else none)],
-                    ["c", "p", "w", "rest", "target"])
+    def out(texts: list[np.ndarray], keys: list[int], targets: list[bool]) -> Iterator[pa.RecordBatch]:
+        x = np.concatenate(texts)
+        sizes = [len(t) for t in texts]
+        target = np.repeat(np.array(targets, np.int64), sizes)
+        key = np.repeat(np.array(keys, np.int64), sizes)
+        begins = x == START
+        before = np.concatenate(([UNKNOWN], x[:-1]))
+        after = np.concatenate((x[1:], [START]))
+        after = np.where(after == START, UNKNOWN, after)
+        order, starts = _groups(x)
+        n = np.diff(np.append(starts, len(x)))
+        one = order[starts]
+        once = n == 1
+        yield from rows(np.zeros(len(n), np.int64), x[one], n, np.add.reduceat(target[order], starts), once, before[one], after[one], key[one])
+        w, p, t = x[~begins], before[~begins], target[~begins]
+        order, starts = _groups(_code(p, w), p, w)
+        n = np.diff(np.append(starts, len(w)))
+        one, none = order[starts], np.zeros(len(starts), np.int64)
+        yield from rows(p[one], w[one], n, np.add.reduceat(t[order], starts), none.astype(bool), none, none, none)
+
+    def rows(p, w, n, t, once, *place) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(p), 50_000):
+            part = slice(i, i + 50_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[part], pa.int64()) for c in (p, w, n, t)]
+                + [pa.array(c[part], pa.int64(), mask=~once[part]) for c in place], [c.split()[0] for c in _COUNTED.split(", ")])
 
+    held: tuple[list, list, list] = ([], [], [])
+    n = 0
     for batch in (part for whole in batches for part in slices(whole)):
-        for text, is_target in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for key, text, target in zip(*[batch.column(k).to_pylist() for k in range(3)]):
             x = hashes.coded(text)
-            held[is_target].append(x)
-            n += len(x)
-            if n >= PAIRS_AT_ONCE:
-                yield from out()
-                held, n = [[], []], 0
-    yield from out()
-
-
-def _pairs_of_texts(batches):
-    """(key, c, n): the pairs of every text, each once with its count."""
+            if len(x):
+                for column, value in zip(held, (x, key, target)):
+                    column.append(value)
+                n += len(x)
+            if n >= TOKENS_AT_ONCE:
+                yield from out(*held)
+                held, n = ([], [], []), 0
+    if n:
+        yield from out(*held)
+
+
+def _of_texts(pairs: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, c, n): the bigrams of every text; or its words, its last word
+    once more by a code of its own, and its tokens as START's count."""
     hashes = _Hashes()
     for batch in (part for whole in batches for part in slices(whole)):
         keys, codes, counts, held = [], [], [], 0
 
-        def out():
+        def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(a), pa.int64()) for a in (keys, codes, counts)], ["key", "c", "n"])
 
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            c, n = np.unique(_pair_codes(hashes.coded(text)), return_counts=True)
+            x = hashes.coded(text)
+            if not len(x):
+                continue
+            c, n = np.unique(_code(x[:-1], x[1:]) if pairs else x[1:], return_counts=True)
+            if not pairs:
+                c, n = np.append(c, (x[-1] ^ np.int64(_LAST), START)), np.append(n, (1, len(x) - 1))
             keys.append(np.full(len(c), key, np.int64))
             codes.append(c)
             counts.append(n)
@@ -222,24 +189,44 @@ def _pairs_of_texts(batches):
             yield out()
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = text_of(text_col)
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+
+
+@dataclass(frozen=True)
+class Model:
+    """One model's totals: ``m`` names its counts in the tables."""
+    m: str
+    tokens: int
+    starts: int
+    rare: int
+    scale: float
+    size: int                 # words of the vocabulary, UNKNOWN and START included
+
+    def kept(self) -> Column:
+        return F.when(F.col(self.m) >= LEAST, F.col(self.m) * F.lit(self.scale)).otherwise(0.0)
+
+    def left(self) -> Column:
+        c = F.col(self.m) * F.lit(self.scale)
+        return F.when(F.col(self.m) >= LEAST, c - F.least(F.lit(DISCOUNT), c / 2)).otherwise(0.0)
+
+    def chance(self, n: Column) -> Column:
+        """Chance of a word that stands n times."""
+        return (n * F.lit(self.scale) + 1) / F.lit((self.tokens + self.starts) * self.scale + self.size)
+
+
 @dataclass(frozen=True)
 class Tables:
-    """What was counted. ``words``: word, w, and the counts b (background) and
-    t (target). ``pairs``: mc, p, w and the counts b and t over the
-    vocabulary, with the words' own counts (pb, pt, wb, wt). ``unknown``: c of
-    pairs with an unknown word, and their mc."""
+    """The two models as Spark tables. ``words``: w, and by model the loss of
+    the word alone (``l``), that of backing off after it (``k``) and how often
+    it is followed (``f``), UNKNOWN and START included. ``pairs``: p, w, and by
+    model (``b``, ``t``) what a kept bigram's loss is above that of backing
+    off. ``once``: key, p, w of the bigrams with the unknown word, with w null
+    where they are not the unknown word's second."""
     words: DataFrame
     pairs: DataFrame
-    unknown: DataFrame
-    size: int
-    totals: tuple[int, int]
-    starts: tuple[int, int]
-    rare: tuple[int, int]
-
-
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = text_of(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    once: DataFrame
 
 
 def count_tables(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> Tables:
@@ -250,106 +237,105 @@ def count_tables(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     chosen = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
     marked = _texts(docs, id_col, text_col).join(chosen, F.col("doc_id") == F.col("good_id"), "left").select(
         "key", "text", F.col("good_id").isNotNull().alias("target"))
-
-    both = [F.sum(F.col("rest") + F.col("target")).alias("b"), F.sum("target").alias("t")]
-    every = saved(marked.mapInArrow(_count_words, "word string, w bigint, rest bigint, target bigint")
-                  .groupBy("word", "w").agg(*both), "lm-words")
-    of = {r.is_word: r for r in every.groupBy((F.col("word") != "").alias("is_word")).agg(
-        F.sum("b").alias("b"), F.sum("t").alias("t")).collect()}
-    total_b, total_t = (of[True].b, of[True].t) if True in of else (0, 0)
-    starts_b, starts_t = (of[False].b, of[False].t) if False in of else (0, 0)
-    same = total_t == 0                        # no target documents: the target is the background
-    t = lambda c: F.col("b") if same else F.col(c)
-    words = saved(every.where((F.col("word") != "") & (F.col("b") >= max(LEAST, total_b * WORD_SHARE)))
-                  .select("word", "w", "b", t("t").alias("t")), "lm-vocabulary")
-    n, known_b, known_t = words.agg(F.count(F.lit(1)), F.sum("b"), F.sum("t")).first()
-    if same:
-        total_t, starts_t = total_b, starts_b
-    rare = (total_b - (known_b or 0), total_t - (known_t or 0))
-
-    raw = saved(marked.mapInArrow(_count_pairs, "c bigint, p bigint, w bigint, rest bigint, target bigint")
-                .groupBy("c").agg(F.min("p").alias("p"), F.min("w").alias("w"), *both), "lm-pairs")
-    raw = raw.select("c", "p", "w", "b", t("t").alias("t"))
-    after = words.select(F.col("w").alias("w_"), F.col("b").alias("wb"), F.col("t").alias("wt"))
-    before = words.select(F.col("w").alias("p_"), F.col("b").alias("pb"), F.col("t").alias("pt"))
-    first = F.col("p") == START
-    coded = (raw.join(after, F.col("w") == F.col("w_"), "left").join(before, F.col("p") == F.col("p_"), "left")
-             .select("c", "b", "t", (F.col("w_").isNotNull() & (F.col("p_").isNotNull() | first)).alias("known"),
-                     F.when(first | F.col("p_").isNotNull(), F.col("p")).otherwise(UNKNOWN).alias("p"),
-                     F.coalesce("w_", F.lit(UNKNOWN)).cast("bigint").alias("w"),
-                     F.when(first, starts_b).otherwise(F.coalesce("pb", F.lit(rare[0]))).cast("bigint").alias("pb"),
-                     F.when(first, starts_t).otherwise(F.coalesce("pt", F.lit(rare[1]))).cast("bigint").alias("pt"),
-                     F.coalesce("wb", F.lit(rare[0])).cast("bigint").alias("wb"),
-                     F.coalesce("wt", F.lit(rare[1])).cast("bigint").alias("wt")))
-    coded = saved(coded.withColumn("mc", F.when(F.col("known"), F.col("c")).otherwise(F.xxhash64("p", "w"))), "lm-coded")
-    columns = ["mc", "p", "w", "b", "t", "pb", "pt", "wb", "wt"]
-    folded = (coded.where("not known").groupBy("mc", "p", "w", "pb", "pt", "wb", "wt")
-              .agg(F.sum("b").alias("b"), F.sum("t").alias("t")).select(columns))
-    return Tables(words, coded.where("known").select(columns).unionByName(saved(folded, "lm-folded")),
-                  coded.where("not known").select("c", "mc"), n + FIRST_WORD, (total_b, total_t), (starts_b, starts_t), rare)
-
-
-def fit_scorer(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               label_col: str = "quality") -> Scorer:
-    """The models in the driver's memory: only for small corpora."""
-    got = count_tables(docs, labels, id_col, text_col, label_col)
-    words = sorted(got.words.collect())
-    ids = {r.word: i + FIRST_WORD for i, r in enumerate(words)}
-    at = {UNKNOWN: UNKNOWN, START: START} | {r.w: ids[r.word] for r in words}
-    pairs = got.pairs.select("p", "w", "b", "t").collect()
-    models = []
-    for k, total in enumerate(got.totals):
-        counts = np.array([got.rare[k], got.starts[k], *[r[2 + k] for r in words]], float)
-        kept = [r for r in pairs if r[2 + k] >= max(LEAST, total * PAIR_SHARE)]
-        models.append(bigrams(counts, np.array([at[r.p] * got.size + at[r.w] for r in kept], np.int64),
-                              np.array([r[2 + k] for r in kept], float), got.totals[1] / max(total, 1)))
-    return Scorer(ids, models[1], models[0])
-
-
-def pair_losses(got: Tables) -> DataFrame:
-    """(c, b, t): the loss of every pair that stands in a document, by model."""
-    parts = {}
-    for k, m in enumerate("bt"):
-        total = got.totals[k]
-        scale = got.totals[1] / max(total, 1)
-        c = F.col(m) * F.lit(scale)
-        kept = F.col(m) >= max(LEAST, total * PAIR_SHARE)
-        parts[m] = (scale, F.when(kept, c).otherwise(0.0), F.when(kept, c - F.least(F.lit(DISCOUNT), c / 2)).otherwise(0.0),
-                    (total + got.starts[k]) * scale + got.size)
-    sums = saved(got.pairs.groupBy("p").agg(*[F.sum(parts[m][i]).alias(f"{m}{i}") for m in "bt" for i in (1, 2)])
-                 .withColumnRenamed("p", "of"), "lm-before")
-
-    def loss(m: str):
-        scale, _, left, norm = parts[m]
-        begun = F.greatest(F.col(f"p{m}") * F.lit(scale), F.lit(1e-9), F.col(f"{m}1"))
-        back = F.least(F.greatest(1 - F.col(f"{m}2") / begun, F.lit(1e-6)), F.lit(1.0))
-        return -F.log(left / begun + back * (F.col(f"w{m}") * F.lit(scale) + 1) / F.lit(norm))
-
-    losses = saved(got.pairs.join(sums, F.col("p") == F.col("of")).select("mc", loss("b").alias("b"), loss("t").alias("t"),
-                   ((F.col("p") == UNKNOWN) | (F.col("w") == UNKNOWN)).alias("rare")), "lm-losses")
-    rare = losses.where("rare").select(F.col("mc").alias("of"), "b", "t")
-    return saved(losses.where("not rare").select(F.col("mc").alias("c"), "b", "t").unionByName(
-        got.unknown.join(rare, F.col("mc") == F.col("of")).select("c", "b", "t")), "lm-pair-losses")
+    counts = (marked.mapInArrow(_count, _COUNTED).groupBy("p", "w")
+              .agg(F.sum("n").alias("b"), F.sum("t").alias("t"), *[F.min(c).alias(c) for c in ("before", "after", "key")]))
+    counts = saved(counts.where((F.col("p") == UNKNOWN) | (F.col("b") >= LEAST)), "lm-counts", clean=True)
+    every, raw = counts.where(F.col("p") == UNKNOWN), counts.where(F.col("p") != UNKNOWN)
+
+    known = F.col("b") >= LEAST
+    sums = every.agg(*[F.coalesce(F.sum(F.when(on, F.col(c))), F.lit(0)).alias(f"{name}_{c}") for c in "bt" for name, on in (
+        ("all", F.col("w") != START), ("starts", F.col("w") == START), ("rare", (F.col("w") != START) & ~known))],
+        F.count_if((F.col("w") != START) & known).alias("n")).first()
+    alone = sums.all_t == 0                      # no target documents: the target is the background
+    of = lambda name, m: sums[f"{name}_{'b' if alone else m}"]
+    models = [Model(m, of("all", m), of("starts", m), of("rare", m), of("all", "t") / max(of("all", m), 1), sums.n + FIRST_WORD)
+              for m in "bt"]
+    if alone:
+        every, raw = (df.withColumn("t", F.col("b")) for df in (every, raw))
+
+    # Bigrams with the unknown word, from the one place of each word that stands once.
+    names = every.where((F.col("w") != START) & known).select(F.col("w").alias("of"))
+    single = every.where((F.col("w") != START) & ~known).select("before", "after", "key", "t")
+    single = single.join(names, F.col("before") == F.col("of"), "left").select(
+        "after", "key", "t", F.when((F.col("before") == START) | F.col("of").isNotNull(), F.col("before")).otherwise(UNKNOWN).alias("p"))
+    single = saved(single.join(names, F.col("after") == F.col("of"), "left").select("key", "t", "p", F.col("of").alias("w")), "lm-once")
+    last = single.groupBy("p").agg(F.count(F.lit(1)).alias("b"), F.sum("t").alias("t")).select(
+        "p", F.lit(UNKNOWN).cast("bigint").alias("w"), "b", "t")
+    first = single.where("w IS NOT NULL").groupBy("w").agg(F.count(F.lit(1)).alias("b"), F.sum("t").alias("t")).select(
+        F.lit(UNKNOWN).cast("bigint").alias("p"), "w", "b", "t")
+    kept = saved(raw.select("p", "w", "b", "t").unionByName(last.where(known)).unionByName(first.where(known)), "lm-kept")
+
+    vocabulary = every.where((F.col("w") == START) | known).select("w", "b", "t")
+    rare = docs.sparkSession.createDataFrame([(UNKNOWN, models[0].rare, models[1].rare)], "w bigint, b bigint, t bigint")
+    taken = kept.groupBy("p").agg(*[F.sum(x).alias(f"{name}{x_of.m}") for x_of in models for name, x in (
+        ("sum", x_of.kept()), ("left", x_of.left()))])
+    words = vocabulary.unionByName(rare).join(taken, F.col("w") == F.col("p"), "left")
+
+    def of_word(model: Model) -> list[Column]:
+        n, total = F.col(model.m), F.coalesce(f"sum{model.m}", F.lit(0.0))
+        begun = F.greatest(n * F.lit(model.scale), F.lit(1e-9), total)
+        back = F.least(F.greatest(1 - F.coalesce(f"left{model.m}", F.lit(0.0)) / begun, F.lit(1e-6)), F.lit(1.0))
+        return [(-F.log(model.chance(n))).alias(f"l{model.m}"), (-F.log(back)).alias(f"k{model.m}"), begun.alias(f"f{model.m}")]
+
+    words = saved(words.select("w", *[c for model in models for c in of_word(model)]), "lm-words")
+    after = words.select(F.col("w").alias("w_"), "lb", "lt")
+    before = words.select(F.col("w").alias("p_"), "kb", "kt", "fb", "ft")
+    pairs = kept.join(after, F.col("w") == F.col("w_")).join(before, F.col("p") == F.col("p_"))
+
+    def above(model: Model) -> Column:
+        m = model.m
+        backed = F.col(f"k{m}") + F.col(f"l{m}")
+        return (-F.log(model.left() / F.col(f"f{m}") + F.exp(-backed)) - backed).alias(m)
+
+    return Tables(words, saved(pairs.select("p", "w", *map(above, models)), "lm-pairs"), single.select("key", "p", "w"))
+
+
+def _weighted(rows: DataFrame, values: DataFrame, more: Callable[[], list[Column]] = list) -> DataFrame:
+    """Sums by key of the values (c, b, t) of a text's (key, c, n)."""
+    joined = rows.join(values.withColumnRenamed("c", "of"), F.col("c") == F.col("of"))
+    return joined.groupBy("key").agg(F.sum(F.col("n") * F.col("b")).alias("b"), F.sum(F.col("n") * F.col("t")).alias("t"), *more())
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_tokens, target_loss, background_loss, score."""
-    losses = pair_losses(count_tables(docs, labels, id_col, text_col, "quality")).withColumnRenamed("c", "of")
-    rows = _texts(docs, id_col, text_col)
-    pairs = rows.select("key", "text").mapInArrow(_pairs_of_texts, "key bigint, c bigint, n bigint")
-    # Equal texts are summed together: their loss per token is that of each.
-    found = pairs.join(losses, F.col("c") == F.col("of")).groupBy("key").agg(
-        F.sum("n").alias("tokens"), F.sum(F.col("n") * F.col("t")).alias("t"), F.sum(F.col("n") * F.col("b")).alias("b"))
-    found = saved(found.select(F.col("key").alias("of"), (F.col("t") / F.col("tokens")).alias("t"),
-                               (F.col("b") / F.col("tokens")).alias("b")), "lm-scores")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def counted(batches):
-        for batch in (part for whole in batches for part in slices(whole)):
-            n = [len(words_of(t)) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "key", "n_tokens"])
-
-    out = rows.mapInArrow(counted, f"doc_id {kind}, key bigint, n_tokens bigint")
-    out = out.join(found, F.col("key") == F.col("of"), "left").select(
-        "doc_id", "n_tokens", F.coalesce("t", F.lit(0.0)).alias("target_loss"), F.coalesce("b", F.lit(0.0)).alias("background_loss"))
+    tables = count_tables(docs, labels, id_col, text_col, "quality")
+    unknown = {r.w: r for r in tables.words.where(F.col("w").isin(UNKNOWN, START)).collect()}
+    none, start = unknown[UNKNOWN], unknown.get(START)
+    texts = _texts(docs, id_col, text_col)
+    counted = "key bigint, c bigint, n bigint"
+
+    # Every token costs what an unknown one does; words, last words and kept bigrams differ from that.
+    word, own = F.col("w"), tables.words.where(~F.col("w").isin(UNKNOWN, START))
+    each = {m: none[f"l{m}"] + none[f"k{m}"] for m in "bt"}
+    values = own.select(word.alias("c"), *[(F.col(f"l{m}") + F.col(f"k{m}") - F.lit(each[m])).alias(m) for m in "bt"])
+    values = values.unionByName(own.select(word.bitwiseXOR(F.lit(_LAST)).alias("c"),
+                                           *[(F.lit(none[f"k{m}"]) - F.col(f"k{m}")).alias(m) for m in "bt"]))
+    begins = docs.sparkSession.createDataFrame([(START, 0.0, 0.0)], "c bigint, b double, t double")
+    tokens = lambda: [F.max(F.when(F.col("c") == START, F.col("n"))).alias("tokens"),
+                      F.sum(F.when(F.col("c") == START, 1)).alias("copies")]
+    by_word = saved(_weighted(texts.select("key", "text").mapInArrow(partial(_of_texts, False), counted),
+                              values.unionByName(begins), tokens), "lm-by-word", clean=True)
+    raw = tables.pairs.where((F.col("p") != UNKNOWN) & (F.col("w") != UNKNOWN))
+    codes = raw.select(_code_of("p", "w").alias("c"), "b", "t")
+    by_pair = saved(_weighted(texts.select("key", "text").mapInArrow(partial(_of_texts, True), counted), codes), "lm-by-pair", clean=True)
+    odd = tables.pairs.where((F.col("p") == UNKNOWN) | (F.col("w") == UNKNOWN))
+    ends = odd.where(F.col("w") == UNKNOWN).select(F.col("p").alias("of"), "b", "t")
+    heads = odd.where((F.col("p") == UNKNOWN) & (F.col("w") != UNKNOWN)).select(F.col("w").alias("of"), "b", "t")
+    by_once = tables.once.join(ends, F.col("p") == F.col("of")).select("key", "b", "t").unionByName(
+        tables.once.join(heads, F.col("w") == F.col("of")).select("key", "b", "t"))
+    rest = by_pair.unionByName(by_once).groupBy("key").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+    rest = rest.select(F.col("key").alias("of"), F.col("b").alias("more_b"), F.col("t").alias("more_t"))
+
+    def loss(m: str) -> Column:
+        # Sums over copies of a text count each; the first token follows START, the last is followed by nothing.
+        ends_at = F.lit((start[f"k{m}"] if start else 0.0) - none[f"k{m}"])
+        whole = (F.col(m) + F.coalesce(f"more_{m}", F.lit(0.0))) / F.col("copies")
+        return (F.lit(each[m]) + (whole + ends_at) / F.col("tokens")).alias(f"loss_{m}")
+
+    per_text = by_word.join(rest, F.col("key") == F.col("of"), "left").select(
+        F.col("key").alias("of"), F.col("tokens").cast("bigint").alias("tokens"), loss("t"), loss("b"))
+    out = texts.select("doc_id", "key").join(saved(per_text, "lm-scores"), F.col("key") == F.col("of"), "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    out = out.select("doc_id", F.coalesce("tokens", F.lit(0).cast("bigint")).alias("n_tokens"),
+                     zero("loss_t").alias("target_loss"), zero("loss_b").alias("background_loss"))
     return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -1,8 +1,8 @@
 """LM scoring: chances sum to one, scores equal a plain computation."""
 import math
+import random
 from collections import Counter, defaultdict
 
-import numpy as np
 import pytest
 from llm_helpers import EDGE, docs_frame, small_documents, SF_SMALL
 
@@ -13,65 +13,86 @@ LABELS = "doc_id bigint, quality int, toxic int"
 
 def test_chances_sum_to_one(spark):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
-    scorer = m.fit_scorer(small_documents(spark), labels)
-    size = len(scorer.ids) + m.FIRST_WORD
-    every = np.arange(size)
-    for model in (scorer.target, scorer.background):
-        for before in (m.START, m.UNKNOWN, *range(m.FIRST_WORD, size, max(1, size // 20))):
-            assert abs(np.exp(-model.losses(np.full(size, before), every)).sum() - 1) < 1e-4
-
-
-def plain_scores(rows, good, word_share, pair_share):
-    """The documented model, without arrays."""
-    texts = [(i, m.words_of(t or "")) for i, t in rows]
-    total = sum(len(w) for _, w in texts)
+    tables = m.count_tables(small_documents(spark), labels, "doc_id", "text", "quality")
+    words = {r.w: r for r in tables.words.collect()}
+    pairs = defaultdict(list)
+    for r in tables.pairs.collect():
+        pairs[r.p].append(r)
+    assert len(pairs) > 100 and any(r.w == m.UNKNOWN for rows in pairs.values() for r in rows)
+    for x in "bt":
+        assert sum(math.exp(-r[f"l{x}"]) for r in words.values()) == pytest.approx(1, abs=1e-6)
+        for p, rows in pairs.items():
+            back = words[p][f"k{x}"]
+            more = sum(math.exp(-back - words[r.w][f"l{x}"]) * (math.exp(-r[x]) - 1) for r in rows)
+            assert math.exp(-back) + more == pytest.approx(1, abs=1e-4)
+
+
+def plain_scores(rows, good):
+    """The documented models at the registered floors, from strings and dictionaries alone."""
+    import re
+    texts = [(i, re.findall(r"\w+", (t or "").lower())) for i, t in rows]
     n = Counter(x for _, w in texts for x in w)
-    ids = {w for w, k in n.items() if k >= total * word_share}
-    size = len(ids) + m.FIRST_WORD
+    ids = {w for w, k in n.items() if k >= 2}
+    size = len(ids) + 2                                   # the unknown word and the start
     code = lambda w: ["<s>", *[x if x in ids else "?" for x in w]]
     models = []
-    target_size = sum(len(w) for i, w in texts if i in good) or total
+    target_size = sum(len(w) for i, w in texts if i in good) or sum(len(w) for _, w in texts)
     for docs in ([w for _, w in texts], [w for i, w in texts if i in good] or [w for _, w in texts]):
         pairs = Counter(p for w in docs for p in zip(code(w), code(w)[1:]))
-        tokens = sum(pairs.values())
-        scale = target_size / max(tokens, 1)
+        scale = target_size / max(sum(pairs.values()), 1)
         one = Counter(x for w in docs for x in code(w)[1:])
         one["<s>"] = sum(k for (a, _), k in pairs.items() if a == "<s>")
-        kept = {p: k * scale for p, k in pairs.items() if k >= tokens * pair_share and k * scale > m.DISCOUNT}
-        sums = defaultdict(float)
-        taken = defaultdict(float)
+        kept = {p: k * scale for p, k in pairs.items() if k >= 2}
+        sums, taken = defaultdict(float), defaultdict(float)
         for (a, _), k in kept.items():
             sums[a] += k
-            taken[a] += k - m.DISCOUNT
+            taken[a] += k - min(0.5, k / 2)
         norm = sum(one.values()) * scale + size
 
         def loss(a, b, kept=kept, one=one, scale=scale, sums=sums, taken=taken, norm=norm):
             single = (one[b] * scale + 1) / norm
             begun = max(one[a] * scale, 1e-9, sums[a])
             back = min(max(1 - taken[a] / begun, 1e-6), 1.0)
-            p = back * single + ((kept[(a, b)] - m.DISCOUNT) / begun if (a, b) in kept else 0)
-            return -math.log(p)
+            k = kept.get((a, b), 0)
+            return -math.log(back * single + (k - min(0.5, k / 2)) / begun)
         models.append(loss)
     out = {}
     for i, w in texts:
         x = code(w)
-        out[i] = [sum(f(a, b) for a, b in zip(x, x[1:])) / max(1, len(w)) for f in models]
+        out[i, len(w)] = [sum(f(a, b) for a, b in zip(x, x[1:])) / max(1, len(w)) for f in models]
     return out
 
 
-def test_scores_equal_the_plain_computation(spark, monkeypatch):
+def same(out, want):
+    for r in out:
+        background, target = want[r.doc_id, r.n_tokens]
+        assert r.background_loss == pytest.approx(background, rel=1e-9, abs=1e-9)
+        assert r.target_loss == pytest.approx(target, rel=1e-9, abs=1e-9)
+        assert r.score == pytest.approx(r.target_loss - r.background_loss)
+
+
+@pytest.mark.parametrize("at_once", [5000, 1 << 21])
+def test_scores_equal_the_plain_computation(spark, monkeypatch, at_once):
     docs = small_documents(spark)
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
-    monkeypatch.setattr(m, "WORD_SHARE", 1e-3)
-    monkeypatch.setattr(m, "PAIR_SHARE", 5e-4)
-    monkeypatch.setattr(m, "PAIRS_AT_ONCE", 5000)
+    monkeypatch.setattr(m, "TOKENS_AT_ONCE", at_once)
     import zlib
     good = {r.doc_id for r in labels.collect() if r.quality == 1 and zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
-    want = plain_scores([(r.doc_id, r.text) for r in docs.collect()], good, 1e-3, 5e-4)
-    for r in m.score_documents(docs, labels).collect():
-        assert r.background_loss == pytest.approx(want[r.doc_id][0], rel=1e-9)
-        assert r.target_loss == pytest.approx(want[r.doc_id][1], rel=1e-9)
-        assert r.score == pytest.approx(r.target_loss - r.background_loss)
+    out = m.score_documents(docs, labels).collect()
+    assert len(out) == docs.count()
+    same(out, plain_scores([(r.doc_id, r.text) for r in docs.collect()], good))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_texts_of_few_words(spark, seed):
+    """Words that stand once next to one another, at either end, and in copies of a text."""
+    rng = random.Random(seed)
+    texts = [" ".join(rng.choice(["a", "b", "c", f"once{i}{k}"]) for k in range(rng.randint(0, 7))) for i in range(40)]
+    rows = list(enumerate(texts + texts[:5] + ["only", "", None, "x y z"]))
+    good = set(rng.sample(range(45), 20)) if seed else set()
+    good = {i for i in good if __import__("zlib").crc32(str(i).encode()) % 4 != 2}
+    labels = spark.createDataFrame([(i, 1, 0) for i in good], LABELS)
+    same(m.score_documents(docs_frame(spark, rows), labels).collect(), plain_scores(rows, good))
 
 
 def test_target_like_documents_score_lower(spark):
@@ -97,8 +118,7 @@ def test_models_keep_what_stands_twice_in_a_large_corpus(spark):
     labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (100, 1, 0), (101, 1, 0), (102, 0, 0)], LABELS)
     out = {r.doc_id: r for r in m.score_documents(docs, labels).collect()}
     assert out[100].background_loss < out[200].background_loss - 1
-    scorer = m.fit_scorer(docs, labels)
-    assert set(rare.split()) <= set(scorer.ids) and "kappa" not in scorer.ids
-    for i, t in rows[19:]:
-        n, target, background = scorer.score(t)
-        assert (n, pytest.approx(target), pytest.approx(background)) == (out[i].n_tokens, out[i].target_loss, out[i].background_loss)
+    words = {r.w for r in m.count_tables(docs, labels, "doc_id", "text", "quality").words.collect()}
+    code = m._Hashes()
+    assert {code[w] for w in rare.split()} <= words and code["kappa"] not in words
+    same(out.values(), plain_scores(rows, {0, 1, 100, 101} - {i for i in (0, 1, 100, 101) if __import__("zlib").crc32(str(i).encode()) % 4 == 2}))

@@ -7,10 +7,10 @@ stays, then the one with the smallest id, then with the least text hash.
 Plan: one narrow table (hash, id, length) is written; groups are counted with
 map-side combine, so a group holding a third of all rows reaches the shuffle
 as one row per task; the join back to the members is a plain sort-merge join
-whose hot partition AQE splits. Hash equality is never trusted: every group
-of two or more has its bytes compared (smallest and largest text of the
-group, again with map-side combine), and a group whose bytes differ is
-split by its texts.
+whose hot partition AQE splits. Hash equality is never trusted: of every group
+of two or more the texts themselves are compared (a distinct with map-side
+combine, so a task sends one copy of each), and a group whose bytes differ is
+split by its texts. Texts without a partner never leave their task.
 
 Defined cases: a null text is an empty text; empty texts equal each other;
 a null id sorts after all others; of repeated rows (same id, same content)
@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import WHITE, saved, text_of
 from .decisions import keep_rows, text_key
 
-#: Hash buckets that tell which rows may have a partner; at most this many
-#: bigints are broadcast, whatever the size of the corpus (4 MB).
-PARTNER_BUCKETS = 1 << 18
+#: Groups of two or more whose hashes are broadcast (16 MB), to tell which rows
+#: have a partner; more groups are joined by a shuffle.
+PARTNER_GROUPS = 2_000_000
 
 
 def content_md5(norm: Column) -> Column:
@@ -39,16 +39,16 @@ def content_md5(norm: Column) -> Column:
 def _differing(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Hashes whose group holds more than one byte sequence.
 
-    ``rows`` (hash, norm) is narrowed map-side to rows whose hash bucket
-    holds a group of two or more; a bucket shared by chance costs time, not
-    results. Smallest = largest text means all bytes are equal.
+    Of ``rows`` (hash, norm) only those in a group of two or more are looked
+    at, however many groups there are: their hashes, as 64 bits, are
+    broadcast up to a checked number, and joined by a shuffle beyond it. A task
+    sends one copy of each text; a hash with two texts differs.
     """
-    bucket = lambda: F.pmod(F.xxhash64("hash"), F.lit(PARTNER_BUCKETS)).alias("bucket")
-    buckets = groups.where("group_size > 1").select(bucket()).distinct()
-    return (rows.select("hash", "norm", bucket())
-            .join(F.broadcast(buckets), "bucket", "left_semi")
-            .groupBy("hash").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
-            .where("lo <> hi").select("hash"))
+    partners = saved(groups.where("group_size > 1").select(F.xxhash64("hash").alias("of")), "exact-partners")
+    if partners.count() <= PARTNER_GROUPS:
+        partners = F.broadcast(partners)
+    return (rows.select("hash", "norm").join(partners, F.xxhash64("hash") == F.col("of"), "left_semi")
+            .distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"))
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:

@@ -58,3 +58,21 @@ def test_dropping_keeps_columns_and_one_of_each(spark):
     kept = [(i, t) for i, t in EDGE if any(k for i2, _, _, k, _ in brute(EDGE) if i2 == i)]
     assert {r.doc_id for r in out.collect()} == {i for i, _ in kept}
     assert out.count() == len({re.sub(r"\s+", "", t or "") for _, t in EDGE})
+
+
+def test_only_rows_with_a_partner_are_compared(spark, monkeypatch):
+    """Many groups: the texts looked at are those of the groups, one copy of each, by either join."""
+    import sigshape.llm.exact_dedup as m
+    rows = [(i, f"text {i // 2 if i < 4000 else i}") for i in range(6000)]
+    norm = spark.createDataFrame(rows, "doc_id long, norm string").withColumn("hash", m.content_md5(F.col("norm")))
+    groups = norm.groupBy("hash").agg(F.count(F.lit(1)).alias("group_size"))
+    for most in (m.PARTNER_GROUPS, 10):
+        monkeypatch.setattr(m, "PARTNER_GROUPS", most)
+        assert m._differing(norm, groups).count() == 0
+        other = norm.unionByName(norm.where("doc_id = 0").withColumn("norm", F.lit("else")))
+        assert m._differing(other, groups).count() == 1
+        assert sorted(map(tuple, exact_groups(docs_frame(spark, rows[:50])).collect())) == sorted(
+            (i, i - i % 2, 2, i % 2 == 0, __import__("hashlib").sha256(t.replace(" ", "").encode()).hexdigest()) for i, t in rows[:50])
+    shuffled = norm.join(F.broadcast(groups.where("group_size > 1").select(F.xxhash64("hash").alias("of"))),
+                         F.xxhash64("hash") == F.col("of"), "left_semi").count()
+    assert shuffled == 4000

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from .common import held_out, ship, slices, text_of
+from .common import held_out, saved, ship, slices, text_of
 from .labelled import class_weights, fit_logistic, training_rows
 
 PER_CLASS = 4000
@@ -97,6 +97,14 @@ class ToxicModel:
         found = [self.odds[t] for t in tokens(w) if t in self.odds]
         return max(found, key=lambda x: abs(x[1]))[0] if found else 0.0
 
+    def of(self, w: str) -> float:
+        """``word``, remembered."""
+        if len(self.known) > WORD_CACHE:
+            self.known.clear()
+        if w not in self.known:
+            self.known[w] = self.word(w)
+        return self.known[w]
+
     def passages(self, text: str) -> tuple[list[tuple[int, int, float]], int]:
         """(maximal segments, number of words)."""
         words = _WORD.findall(text.lower())
@@ -133,16 +141,16 @@ def log_odds(counts: DataFrame, totals: tuple[int, int]) -> DataFrame:
             .select("token", odds.alias("odds"), (odds / F.sqrt(1 / t + 1 / c)).alias("z")))
 
 
-def extreme_value(scores: list[np.ndarray], words: list[int], best: list[float]) -> tuple[float, float]:
+def extreme_value(hits: np.ndarray, times: np.ndarray, words: list[int], best: list[float]) -> tuple[float, float]:
     """(lambda, ln K) of segments in ordinary texts: lambda solves
-    E[exp(lambda * s)] = 1 over their words (every score the model can give
-    counts as seen once more, so the root exists), K matches the mean of
-    their best segments."""
-    hits = np.concatenate(scores) if scores else np.zeros(0)
-    n = max(sum(words), len(hits) + 1)
+    E[exp(lambda * s)] = 1 over their words, of which ``hits`` are the scores
+    that stand ``times`` times (every score the model can give counts as seen
+    once more, so the root exists), K matches the mean of their best segments."""
+    seen = times.sum()
+    n = max(sum(words), seen + 1)
 
     def excess(lam: float) -> float:
-        return float((np.exp(np.minimum(lam * hits, 700)).sum() + (n - len(hits)) * np.exp(-lam * GAP)) / n - 1)
+        return float(((times * np.exp(np.minimum(lam * hits, 700))).sum() + (n - seen) * np.exp(-lam * GAP)) / n - 1)
 
     lo, hi = 1e-3, 50.0
     if not (hits > 0).any() or excess(hi) < 0:
@@ -160,16 +168,16 @@ def extreme_value(scores: list[np.ndarray], words: list[int], best: list[float])
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  per_class: int = PER_CLASS) -> ToxicModel:
-    """Learns from labelled, not held-out rows. Token counts are summed by
-    Spark; the driver gets the significant tokens and one line of segment
-    scores for each training row."""
+    """Learns from labelled, not held-out rows. Counts are summed by Spark;
+    the driver gets the significant tokens, a histogram of the scores that
+    words can have, and two numbers of each training row."""
     ship(docs.sparkSession)
     rows, counts = training_rows(docs, labels, "toxic", per_class, id_col, text_col)
     if min(counts) == 0:
         share = 0.5 if sum(counts) == 0 else counts[1] / sum(counts)
         share = min(max(share, 1e-6), 1 - 1e-6)
         return ToxicModel({}, bias=float(np.log(share / (1 - share))))
-    rows = rows.select("text", "label")
+    rows = saved(rows.select("text", "label"), "toxic-training")
 
     def count(batches):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -193,24 +201,37 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     summed.unpersist()
     model = ToxicModel({r.token: (r.odds, r.z) for r in kept})
 
-    def measure(batches):
-        for batch in batches:
-            best, words, hits = [], [], []
-            for text in batch.column(0).to_pylist():
-                found, n = model.passages(text)
-                best.append([s for _, _, s in found])
-                words.append(n)
-                hits.append([s for w in _WORD.findall(text.lower()) if (s := model.known.get(w) or model.word(w))])
+    def histogram(batches):
+        """How often ordinary texts have words of each score but 0."""
+        seen: Counter = Counter()
+        for text in (t for batch in batches for part in slices(batch) for t in part.column(0).to_pylist()):
+            seen.update(s for w in _WORD.findall(text.lower()) if (s := model.of(w)))
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.float64()), pa.array(list(seen.values()), pa.int64())], ["s", "n"])
+
+    def best(batches):
+        """The number of words and the best segment of every text."""
+        for part in (p for batch in batches for p in slices(batch)):
+            got = [model.passages(t) for t in part.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(words, pa.int64()), pa.array(best, pa.list_(pa.float64())),
-                 pa.array(hits, pa.list_(pa.float64()))], ["label", "words", "found", "hits"])
-
-    got = rows.mapInArrow(measure, "label int, words bigint, found array<double>, hits array<double>").collect()
-    ordinary = [r for r in got if r.label == 0]
-    scores = [np.array(r.hits) for r in ordinary] + [np.array(sorted({o for o, _ in model.odds.values()}))]
-    model.lam, model.log_k = extreme_value(scores, [r.words for r in ordinary],
-                                           [max(r.found, default=0.0) for r in ordinary])
-    x = np.array([np.log1p(sum(s for _, _, s in model.above_chance([(0, 0, v) for v in r.found], r.words))) for r in got])
+                [part.column(1), pa.array([n for _, n in got], pa.int64()),
+                 pa.array([max((s for _, _, s in found), default=0.0) for found, _ in got], pa.float64())], ["label", "words", "best"])
+
+    ordinary = rows.where("label = 0")
+    seen = {r.s: r.n for r in ordinary.mapInArrow(histogram, "s double, n bigint").groupBy("s").agg(F.sum("n").alias("n")).collect()}
+    possible = sorted({o for o, _ in model.odds.values()})
+    hits = np.array(sorted(seen.keys() | set(possible)), float)
+    times = np.array([seen.get(s, 0) + (s in set(possible)) for s in hits], float)
+    got = ordinary.mapInArrow(best, "label int, words bigint, best double").collect()
+    model.lam, model.log_k = extreme_value(hits, times, [r.words for r in got], [r.best for r in got])
+
+    def above(batches):
+        """What every text's passages have above chance."""
+        for part in (p for batch in batches for p in slices(batch)):
+            x = [float(np.log1p(sum(s for _, _, s in model.above_chance(*model.passages(t))))) for t in part.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(1), pa.array(x, pa.float64())], ["label", "x"])
+
+    got = rows.mapInArrow(above, "label int, x double").collect()
+    x = np.array([r.x for r in got])
     y = np.array([r.label for r in got], float)
     model.bias, model.slope = fit_logistic(x, y, class_weights(y, counts))
     return model

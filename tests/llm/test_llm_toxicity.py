@@ -39,12 +39,80 @@ def test_segments(seed):
 
 
 def test_extreme_value_root():
-    hits = [np.array([1.0, 2.0])]
-    lam, _ = extreme_value(hits, [1000], [2.0])
+    lam, _ = extreme_value(np.array([1.0, 2.0]), np.array([1.0, 1.0]), [1000], [2.0])
     total = np.exp(lam * 1.0) + np.exp(lam * 2.0) + 998 * np.exp(-lam * GAP)
     assert abs(total / 1000 - 1) < 1e-6
 
 
+def plain_scores(docs, truth):
+    """The documented classifier in one process, over lists and dictionaries."""
+    import math
+    import re
+    import zlib
+    from collections import Counter
+
+    from sigshape.llm.labelled import class_weights, fit_logistic
+    words_of = lambda t: re.findall(r"\w+", (t or "").lower())
+    tokens = lambda w: [w, *(w[:k] + "*" for k in range(3, 8) if k < len(w))]
+    known = [(t, truth[i]) for i, t in docs if i in truth and zlib.crc32(str(i).encode()) % 4 != 2]
+    counts, n = (Counter(), Counter()), [0, 0]
+    for t, y in known:
+        words = set(words_of(t))
+        n[y] += len(words)
+        counts[y].update({x for w in words for x in tokens(w)})
+    a0 = 0.02 * sum(n)
+    odds = {}
+    for x in counts[0].keys() | counts[1].keys():
+        c, t = counts[0][x], counts[1][x]
+        if c + t >= 4:
+            a = a0 * (c + t) / sum(n)
+            o = math.log((t + a) / (n[1] + a0 - t - a)) - math.log((c + a) / (n[0] + a0 - c - a))
+            z = o / math.sqrt(1 / (t + a) + 1 / (c + a))
+            if abs(z) >= 3:
+                odds[x] = (o, z)
+
+    def word(w):
+        found = [odds[x] for x in tokens(w) if x in odds]
+        return max(found, key=lambda v: abs(v[1]))[0] if found else 0.0
+
+    def found(t):
+        scores = [word(w) or -GAP for w in words_of(t)]
+        return [s for *_, s in brute_segments(scores)] if any(s > 0 for s in scores) else [], len(scores)
+
+    plain = [t for t, y in known if y == 0]
+    hits = [s for t in plain for w in words_of(t) if (s := word(w))] + sorted({o for o, _ in odds.values()})
+    got = [found(t) for t in plain]
+    lam, log_k = extreme_value(np.array(hits), np.ones(len(hits)), [k for _, k in got], [max(s, default=0.0) for s, _ in got])
+
+    def x_of(t):
+        s, k = found(t)
+        floor = log_k + math.log(max(k, 1))
+        return math.log1p(sum(lam * v - floor for v in s if lam * v > floor))
+
+    y = np.array([y for _, y in known], float)
+    bias, slope = fit_logistic(np.array([x_of(t) for t, _ in known]), y, class_weights(y, (len(plain), len(known) - len(plain))))
+    return {i: 1 / (1 + math.exp(-(bias + slope * x_of(t)))) for i, t in docs}
+
+
+def test_scores_equal_the_plain_computation(spark):
+    rng = random.Random(6)
+    plain = [f"w{i}" for i in range(60)]
+    rows, truth = [], {}
+    for i in range(160):
+        words = [rng.choice(plain) for _ in range(rng.randint(1, 25))]
+        if i % 5 == 0:
+            at = rng.randint(0, len(words))
+            words[at:at] = [rng.choice(["badone", "badtwo", "Badthree,"]) for _ in range(3)]
+        rows.append((i, " ".join(words)))
+        if i % 7:
+            truth[i] = int(i % 5 == 0)
+    rows += [(500, None), (501, "badone")]
+    labels = spark.createDataFrame([(i, 1, y) for i, y in truth.items()], LABELS)
+    want = plain_scores(rows, truth)
+    for r in score_toxicity(docs_frame(spark, rows + rows[:3]), labels).collect():
+        assert abs(r.score - want[r.doc_id]) < 1e-6
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     out = score_toxicity(docs, labels).collect()

@@ -3,6 +3,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from llm_helpers import EDGE, docs_frame, small_documents, SF_SMALL
 
@@ -11,20 +12,22 @@ import sigshape.llm.lm_scoring as m
 LABELS = "doc_id bigint, quality int, toxic int"
 
 
-def test_chances_sum_to_one(spark):
-    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
-    tables = m.count_tables(small_documents(spark), labels, "doc_id", "text", "quality")
-    words = {r.w: r for r in tables.words.collect()}
-    pairs = defaultdict(list)
-    for r in tables.pairs.collect():
-        pairs[r.p].append(r)
-    assert len(pairs) > 100 and any(r.w == m.UNKNOWN for rows in pairs.values() for r in rows)
-    for x in "bt":
-        assert sum(math.exp(-r[f"l{x}"]) for r in words.values()) == pytest.approx(1, abs=1e-6)
-        for p, rows in pairs.items():
-            back = words[p][f"k{x}"]
-            more = sum(math.exp(-back - words[r.w][f"l{x}"]) * (math.exp(-r[x]) - 1) for r in rows)
-            assert math.exp(-back) + more == pytest.approx(1, abs=1e-4)
+def test_arrays_come_back_from_their_bytes():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 1000):
+        x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        assert (m._unpack_rising(m._pack_rising(x)) == x).all()
+        y = rng.integers(-5, 1 << 40, n)
+        assert (m._unpack(m._pack(y), np.int64) == y).all()
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 7])
+def test_pieces_cover_the_hashes(buckets):
+    ids = np.array([0, 1, 2, 1 << 62, (1 << 63) + 5, (1 << 64) - 1], np.uint64)
+    rows = m._asks(9, buckets, ids, [np.arange(6)])
+    assert [r[0] for r in rows] == sorted({int(i) // -(-(1 << 64) // buckets) for i in ids})
+    assert np.concatenate([m._unpack_rising(r[2]) for r in rows]).tolist() == ids.tolist()
+    assert np.concatenate([m._unpack(r[3], np.int64) for r in rows]).tolist() == list(range(6))
 
 
 def plain_scores(rows, good):
@@ -71,11 +74,13 @@ def same(out, want):
         assert r.score == pytest.approx(r.target_loss - r.background_loss)
 
 
-@pytest.mark.parametrize("at_once", [5000, 1 << 21])
-def test_scores_equal_the_plain_computation(spark, monkeypatch, at_once):
+@pytest.mark.parametrize("tokens,bucket", [(5000, 7000), (1 << 20, 3 << 20)])
+def test_scores_equal_the_plain_computation(spark, monkeypatch, tokens, bucket):
+    """Also over many chunks and buckets."""
     docs = small_documents(spark)
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
-    monkeypatch.setattr(m, "TOKENS_AT_ONCE", at_once)
+    monkeypatch.setattr(m, "CHUNK_TOKENS", tokens)
+    monkeypatch.setattr(m, "BUCKET_TOKENS", bucket)
     import zlib
     good = {r.doc_id for r in labels.collect() if r.quality == 1 and zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
     out = m.score_documents(docs, labels).collect()
@@ -118,7 +123,4 @@ def test_models_keep_what_stands_twice_in_a_large_corpus(spark):
     labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (100, 1, 0), (101, 1, 0), (102, 0, 0)], LABELS)
     out = {r.doc_id: r for r in m.score_documents(docs, labels).collect()}
     assert out[100].background_loss < out[200].background_loss - 1
-    words = {r.w for r in m.count_tables(docs, labels, "doc_id", "text", "quality").words.collect()}
-    code = m._Hashes()
-    assert {code[w] for w in rare.split()} <= words and code["kappa"] not in words
     same(out.values(), plain_scores(rows, {0, 1, 100, 101} - {i for i in (0, 1, 100, 101) if __import__("zlib").crc32(str(i).encode()) % 4 == 2}))

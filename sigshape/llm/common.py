@@ -51,13 +51,14 @@ def saved(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
     collects its garbage)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(CLEANUP)
+    before = spark.conf.get(CLEANUP) if clean else None
     if clean:
         spark.conf.set(CLEANUP, "true")
     try:
         df.write.mode("overwrite").parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        if clean:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

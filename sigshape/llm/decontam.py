@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, saved, text_of
-from .decisions import keep_rows, text_key
+from .decisions import drop_rows, text_key
 
 WINDOW = 10
 #: Words on either side of a rarest term that a proximity match may use.
@@ -200,5 +200,4 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without those that hold a window of an item; all columns stay."""
     found = _contamination(docs, items, id_col, text_col, "item_id", "text", WINDOW, REACH)
-    clean = found.where("not contaminated").select("doc_id", "key")
-    return keep_rows(docs, clean, id_col, text_col)
+    return drop_rows(docs, found.where("contaminated").select("doc_id", "key"), id_col, text_col)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WHITE, saved, text_of
-from .decisions import keep_rows, text_key
+from .decisions import drop_rows, text_key
 
 #: Groups of two or more whose hashes are broadcast (16 MB), to tell which rows
 #: have a partner; more groups are joined by a shuffle.
@@ -104,5 +104,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that an equal text outranks; all columns stay."""
-    kept = _members(docs, id_col, text_col, content_md5).where(_kept()).select("doc_id", "key")
-    return keep_rows(docs, kept, id_col, text_col, once=True)
+    dropped = _members(docs, id_col, text_col, content_md5).where(~_kept()).select("doc_id", "key")
+    return drop_rows(docs, dropped, id_col, text_col, once=True)

@@ -287,17 +287,18 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     ship(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     schema = _PIECES.format(id=rows.schema["doc_id"].dataType.simpleString())
-    pieces = saved(rows.mapInArrow(_cut(tokenizer_path, window), schema), "pack-pieces")
+    # ``copy`` tells repeated rows apart, so that they do not all fall into one cell.
+    pieces = saved(rows.mapInArrow(_cut(tokenizer_path, window), schema).withColumn("copy", F.monotonically_increasing_id()), "pack-pieces")
     counted = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))          # at most `window` rows
     histogram = {r.length: r.n for r in counted.collect()}
     places = intervals(plan(histogram, window))
     if not histogram:
-        return pieces.select("*", F.lit(0).cast("bigint").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+        return pieces.drop("copy").select("*", F.lit(0).cast("bigint").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     cells = spark.createDataFrame([(k, -(-n // CELL_ROWS)) for k, n in histogram.items()],
                                   "of_length bigint, cells bigint")
     dealt = pieces.join(F.broadcast(cells), pieces["length"] == cells["of_length"])
-    ranked = gapless_rank(dealt, "length", F.col("cells"), salt=["doc_id", "start", "ids_crc32"],
-                          order=["doc_id", "start", "ids_crc32"])
+    ranked = gapless_rank(dealt, "length", F.col("cells"), salt=["doc_id", "start", "ids_crc32", "copy"],
+                          order=["doc_id", "start", "ids_crc32", "copy"])
     steps = F.broadcast(spark.createDataFrame(places))           # bounded by the histogram's lengths
     here = (F.col("length") == F.col("at_length")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
     nth = F.col("rank") - F.col("lo")

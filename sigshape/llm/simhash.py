@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import saved, ship, slices, text_of
 from .components import components
-from .decisions import keep_rows, text_key
+from .decisions import drop_rows, text_key
 
 SHINGLE = 4
 RADIUS = 4
@@ -185,8 +185,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one document of each component (its smallest id,
     then the least text hash); all columns stay."""
-    _, _, least = _components(docs, id_col, text_col, SHINGLE, RADIUS)
-    return keep_rows(docs, least.select("least.doc_id", "least.key"), id_col, text_col, once=True)
+    prints, _, least = _components(docs, id_col, text_col, shingle, radius)
+    pair = F.struct("doc_id", "key")
+    kept = least.select(F.struct("least.doc_id", "least.key").alias("of"))
+    dropped = prints.select(pair.alias("pair")).distinct().join(kept, F.col("pair") == F.col("of"), "left_anti")
+    return drop_rows(docs, dropped.select("pair.doc_id", "pair.key"), id_col, text_col, once=True)

@@ -34,3 +34,19 @@ def test_unlike_texts_of_one_id_all_stay(spark, i):
     rows = [(i, t) for t in texts] + [(i, texts[0]), (i, texts[1].upper())]
     got = kept(drop_near_copies(docs_frame(spark, rows)))
     assert sorted(t.lower() for _, t in got) == texts
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_rows_go_and_repeats_are_folded_by_either_join(spark, monkeypatch, most):
+    import sigshape.llm.decisions as m
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(m, "MARKS", most)
+    rows = [(1, "a"), (1, "a"), (1, "b"), (None, "a"), (None, None), (None, ""), (2, "c"), (3, "c"), (3, "c"), (3, "c")]
+    docs = docs_frame(spark, rows)
+    dropped = docs.where("doc_id = 2 or (doc_id = 1 and text = 'b')").select("doc_id", m.text_key("text").alias("key"))
+    assert kept(m.drop_rows(docs, dropped)) == sorted([r for r in rows if r not in ((1, "b"), (2, "c"))], key=repr)
+    once = kept(m.drop_rows(docs, dropped, once=True))
+    assert sorted((repr(i), t or "") for i, t in once) == [("1", "a"), ("3", "c"), ("None", ""), ("None", "a")]
+    assert m.drop_rows(docs, dropped, once=True).schema == docs.schema
+    none = dropped.where(F.lit(False))
+    assert kept(m.drop_rows(docs, none)) == sorted(rows, key=repr) and kept(m.drop_rows(docs.where(F.lit(False)), dropped, once=True)) == []

@@ -109,3 +109,20 @@ def test_plan_uses_the_histogram_up_and_wastes_little():
 def test_short_documents_only():
     patterns = plan({100: 1000, 3: 7})
     assert sum(n for _, n in patterns) == 50
+
+
+def test_repeated_rows_fall_into_many_cells(spark, monkeypatch):
+    import sigshape.llm.packing as m
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(m, "CELL_ROWS", 5)
+    rows = [(7, "the same few words")] * 300 + [(i, f"own {i}") for i in range(40)]
+    seen, real = [], m.gapless_rank
+
+    def spy(df, *a, salt, **kw):
+        seen.extend(r["count"] for r in df.groupBy("length", F.pmod(F.xxhash64(*salt), a[1].cast("bigint")).alias("c")).count().collect())
+        return real(df, *a, salt=salt, **kw)
+
+    monkeypatch.setattr(m, "gapless_rank", spy)
+    out = pack(docs_frame(spark, rows), tokenizer_file(TOKENIZER)).collect()
+    check(rows, out, 1.0)
+    assert max(seen) < 100

@@ -52,15 +52,20 @@ def test_stages_take_empty_and_repeated_rows(spark):
         assert len({r.doc_id for r in got if r.start == 0}) == sum(r.start == 0 for r in got)
 
 
+SPARK_TO_DUCKDB = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = QUERIES[name](spark, SF_SMALL)
     cols = sorted(df.columns)
+    rel = con.sql(ORACLE[name])
+    types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: SPARK_TO_DUCKDB[t] for c, t in df.dtypes} == types
     res = con.execute(ORACLE[name])
     names = [d[0] for d in res.description]
-    assert sorted(names) == cols
     want = sorted((tuple(r[names.index(c)] for c in cols) for r in res.fetchall()), key=repr)
     assert rows(df.select(*cols)) == want

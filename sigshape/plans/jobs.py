@@ -94,12 +94,15 @@ def _source(spark: SparkSession, ends: KafkaEnds | None, path: str | None, fmt:
     return stream_records(spark, fmt, path)
 
 
+def _job_name(job: str, given: str | None, topics: str) -> str:
+    return given or f"{job}-{hashlib.md5(','.join(sorted(topic_set(topics))).encode()).hexdigest()[:12]}"
+
+
 def _name(job: str, given: str | None, ends: KafkaEnds | None, path: str | None) -> str:
     """A job's folder name: the given one, else the job and a digest of its input."""
-    if given:
-        return given
-    what = ",".join(sorted(topic_set(ends.topics))) if ends is not None else str(path)
-    return f"{job}-{hashlib.md5(what.encode()).hexdigest()[:12]}"
+    if ends is not None:
+        return _job_name(job, given, ends.topics)
+    return given or f"{job}-{hashlib.md5(str(path).encode()).hexdigest()[:12]}"
 
 
 def _quarantine_path(spark, name, on_malformed, given):
@@ -173,6 +176,8 @@ def _parser() -> argparse.ArgumentParser:
                    help="SASL connection (default: on, except for dedup)")
     p.add_argument("--starting", choices=["earliest", "latest", "none"])
     p.add_argument("--starting-offsets-json")
+    p.add_argument("--from-positions", action="store_true",
+                   help="dedup: start from the positions an earlier run of the job stored (its checkpoint being lost)")
     p.add_argument("--group-id")
     p.add_argument("--interval", type=int)
     p.add_argument("--topic-in")
@@ -239,8 +244,14 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         spark.streams.addListener(_LOGGERS[id(spark)])
     ends = None
     if a.in_path is None:
+        given = a.starting_offsets_json
+        if a.from_positions:
+            if a.job != "dedup":
+                raise SystemExit("--from-positions: only the dedup job stores positions")
+            name = _job_name("dedup", a.name, cfg["topics"] or "")
+            given = PositionStore(job_path(spark, f"{name}-positions")).starting_offsets(spark)
         ends = KafkaEnds(cfg["brokers"], cfg["topics"] or "", cfg["secured"], cfg["starting"],
-                         a.starting_offsets_json, cfg["group_id"], fail_on_data_loss=not a.allow_data_loss,
+                         given, cfg["group_id"], fail_on_data_loss=not a.allow_data_loss,
                          max_offsets_per_trigger=a.max_offsets_per_trigger,
                          min_partitions=a.min_partitions)
     common = dict(ends=ends, in_path=a.in_path, out_path=a.out_path, available_now=a.available_now,

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import scratch_path
 from .records import RESET_POLICIES
 
 KEYS = ["topic", "partition"]
@@ -109,6 +110,31 @@ class PositionStore:
         rows = spark.read.schema(POSITION_SCHEMA).parquet(self.path)
         return rows.groupBy(*KEYS).agg(F.max("cur").alias("cur"))
 
+    def compact(self, spark: SparkSession) -> None:
+        """Folds the rows of all batches into the newest one and removes the
+        others. The folded rows are written before anything goes, so a reader
+        (or a crash) at any time finds the same positions. Not while a stream
+        puts its own."""
+        fs_of = spark._jvm.org.apache.hadoop.fs
+        root = fs_of.Path(self.path)
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        batches = sorted((x.getPath() for x in fs.listStatus(root) if x.getPath().getName().startswith("batch=")),
+                         key=lambda x: int(x.getName().partition("=")[2]))
+        if len(batches) < 2:
+            return
+        folded = scratch_path(spark, "positions-folded")
+        self.read(spark).coalesce(1).write.parquet(folded)
+        rows = spark.read.schema(POSITION_SCHEMA).parquet(folded)
+        rows.coalesce(1).write.mode("overwrite").parquet(batches[-1].toString())
+        for x in batches[:-1]:
+            fs.delete(x, True)
+
+    def starting_offsets(self, spark: SparkSession) -> str:
+        """The stored positions as a Kafka source's ``startingOffsets``, for a
+        job that has lost its checkpoint."""
+        stored = self.read(spark).select(*KEYS, F.col("cur").alias("start"))
+        return starting_offsets_json(resolved_positions(stored))
+
 
 def _place() -> Column:
     return F.concat(F.col("topic"), F.lit("-"), F.col("partition").cast("string"))

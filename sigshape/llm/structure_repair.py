@@ -236,7 +236,7 @@ def repair_conversations(conversations: DataFrame, conv_col: str = "conv_id", tu
         kind_of = F.when(initial == c, k).otherwise(kind_of)
     coded = rows.join(copies, F.col("same") == F.col("of"), "left").select("conv_id", "at", "turn", (kind_of * 4 + fault).alias("code"))
     search, schema = _searched(rows.schema["conv_id"].dataType.simpleString())
-    found = saved(coded.repartition("conv_id").sortWithinPartitions("conv_id", "at").mapInArrow(search, schema), "repair-found")
+    found = saved(coded.repartition("conv_id").sortWithinPartitions("conv_id", "at").mapInArrow(search, schema), "repair-found", clean=True)
     report = found.where("audit IS NOT NULL").select("conv_id", *_COUNTS, "audit")
     own = rows.select(F.col("at").alias("of"), F.col("role").alias("own"), "text")
     kept = (found.where("audit IS NULL AND NOT inserted").join(own, F.col("at") == F.col("of"))

@@ -33,7 +33,7 @@ def in_order(turns: DataFrame, keep: dict[str, Column], name: str) -> DataFrame:
     dealt = turns.repartitionByRange(F.col("conv_id").asc_nulls_first(), turn, F.left("role", F.lit(16)), F.left("text", F.lit(48)))
     ordered = dealt.sortWithinPartitions(F.col("conv_id").asc_nulls_first(), turn, "role", "text")
     return saved(ordered.select("conv_id", F.monotonically_increasing_id().alias("at"),
-                                *[c.alias(k) for k, c in keep.items()]), name)
+                                *[c.alias(k) for k, c in keep.items()]), name, clean=True)
 
 
 def joined_pieces(items: DataFrame, key: str, item: str) -> DataFrame:

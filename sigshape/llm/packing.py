@@ -73,14 +73,11 @@ class WordTokenizer:
         words used since the last time stay."""
         if len(self.known) > WORD_CACHE:
             self.older, self.known = self.known, {}
-        new = []
-        for w in words:
-            if w in self.known:
-                continue
-            if w in self.older:
-                self.known[w] = self.older[w]
-            else:
-                new.append(w)
+        words = words.difference(self.known)
+        new = words.difference(self.older)
+        for w in words.difference(new):
+            self.known[w] = self.older[w]
+        new = list(new)
         stems = [w[:-1] if len(w) > 1 and w[-1] in ",." and w[-2].lower()[-1].isalpha() else w for w in new]
         fresh = {s for s in stems if s not in self.known} | {",", "."}
         # A word of ASCII letters is one pre-token: the model takes it as it is.

@@ -148,6 +148,30 @@ def test_one_hot_order_falls_into_many_lines(spark, tmp_path):
     assert region_in_rows(recs).count() == sum(sizes) + blank
 
 
+@pytest.mark.parametrize("name", ["project_signal"])
+def test_an_order_of_many_part_blocks_has_one_list(spark, tmp_path, name):
+    """Part keys of several blocks: the list, its half and its places are the whole order's."""
+    import duckdb
+    from pyspark.sql import functions as F
+    from sigshape.plans.oracle import ORACLE
+    from sigshape.plans.registry import QUERIES
+    from sigshape.sources.testtables import PART_BLOCK
+    from conftest import SF_SMALL
+    con = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        if t == "lineitem":
+            df = df.withColumn("l_partkey", F.col("l_partkey") + F.col("l_linenumber") * PART_BLOCK)
+        df.write.parquet(str(tmp_path / f"{t}.parquet"))
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    out = QUERIES[name](spark, str(tmp_path))
+    want = con.sql(ORACLE[name]).select(*[f'"{c}"' for c in out.columns]).fetchall()
+    assert "//" not in ORACLE[name].replace("(r.n + 1) // 2", "")             # no blocks
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+    if name == "project_signal":
+        assert len(want) == spark.read.parquet(str(tmp_path / "orders.parquet")).count()
+
+
 def test_tagged_fanout_is_good_plus_quarantined(spark):
     from sigshape.operators.explode import region_fanout_tagged
     df = records(spark, [(1, wide()), (2, wide(width=33)), (3, wide(out_regions="a|b", out_in="x")), (4, "x")])

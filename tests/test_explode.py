@@ -148,7 +148,7 @@ def test_one_hot_order_falls_into_many_lines(spark, tmp_path):
     assert region_in_rows(recs).count() == sum(sizes) + blank
 
 
-@pytest.mark.parametrize("name", ["project_signal"])
+@pytest.mark.parametrize("name", ["parallel_explode", "project_signal", "split_list_cell"])
 def test_an_order_of_many_part_blocks_has_one_list(spark, tmp_path, name):
     """Part keys of several blocks: the list, its half and its places are the whole order's."""
     import duckdb

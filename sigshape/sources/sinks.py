@@ -19,13 +19,15 @@ import time
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, unsorted_writes
 from .records import RECORD_COLUMNS
 
 MESSAGE_COLUMNS = ("topic", "key", "value")
 MESSAGE_ID = "message_id"
 #: Where a message's source record stands; ``source_topic``, since a message has a topic of its own.
 PLACE = ("source_topic", "partition", "offset")
+#: Codecs of files, by format, where the caller names none (readers know them by footer or file name).
+COMPRESSION = {"parquet": "zstd", "orc": "zstd", "json": "gzip", "csv": "gzip"}
 #: Files of a batch in a table that is streamed batch by batch.
 BATCH_FILES = 8
 
@@ -40,6 +42,14 @@ def producer_options(batch_size_bytes: int | None = None, linger_ms: int | None
     return opts
 
 
+def file_options(sink: str, options: dict | None = None) -> dict:
+    """The caller's options of a file sink, or its codec."""
+    given = dict(options or {})
+    if sink in COMPRESSION and not any(k.lower() in ("compression", "codec") for k in given):
+        given["compression"] = COMPRESSION[sink]
+    return given
+
+
 def message_id(*parts: str | Column) -> Column:
     """The parts as text, ``/``-joined; nulls count as blank. Only the last
     part may hold a ``/`` of its own, so different places have different ids."""
@@ -62,7 +72,8 @@ def write_messages(messages: DataFrame, sink: str = "parquet", path: str | None
         df = with_headers(df) if named else df
         df.write.format("kafka").options(**(options or {})).save()
     else:
-        df.write.mode(mode).partitionBy("topic").format(sink).options(**(options or {})).save(path)
+        with unsorted_writes(df.sparkSession):
+            df.write.mode(mode).partitionBy("topic").format(sink).options(**file_options(sink, options)).save(path)
 
 
 def drop_resent(messages: DataFrame) -> DataFrame:
@@ -114,8 +125,9 @@ def land_in_batches(records: DataFrame, path: str, files: int = BATCH_FILES, mod
     """
     spark = records.sparkSession
     salt = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(int(files)))
-    (records.select(*RECORD_COLUMNS).repartition("batch_id", salt)
-     .write.mode(mode).partitionBy("batch_id").parquet(path))
+    with unsorted_writes(spark):
+        (records.select(*RECORD_COLUMNS).repartition("batch_id", salt)
+         .write.mode(mode).partitionBy("batch_id").options(**file_options("parquet")).parquet(path))
     fs_of = spark._jvm.org.apache.hadoop.fs
     root = fs_of.Path(path)
     conf = spark._jsc.hadoopConfiguration()

@@ -258,6 +258,38 @@ def test_a_replayed_epoch_sends_the_same_message_ids(spark, tmp_path):
     assert len(set(ids)) == len(ids)
 
 
+def test_messages_are_written_compressed_and_unsorted(spark, tmp_path):
+    """No sort by topic before a write; the caller's settings and codecs stay."""
+    from sigshape.session import unsorted_writes
+    from sigshape.sources.sinks import file_options, write_messages
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "0")
+    try:
+        with unsorted_writes(spark):
+            assert int(spark.conf.get(key)) > 1
+        assert spark.conf.get(key) == "0"
+        recs = wide_signal_records(spark, SF_SMALL)
+        out = str(tmp_path / "json")
+        write_messages(region_fanout(recs), "json", out)
+        files = [p for p in (tmp_path / "json").rglob("part-*") if not p.name.endswith(".crc")]
+        assert files and all(p.name.endswith(".json.gz") for p in files)
+        back = spark.read.schema("key string, value string, topic string").json(out).select("topic", "key", "value")
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, region_fanout(recs).collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert file_options("json", {"compression": "none"}) == {"compression": "none"}
+
+
+def test_wide_lines_join_finished_cells(spark):
+    """The join with ``orders`` moves the cells' text, not the items."""
+    df = wide_signal_records(spark, SF_SMALL)
+    df.collect()
+    p = df._jdf.queryExecution().optimizedPlan().toString()
+    join = p[p.index("Join LeftOuter"):]
+    assert join.index("array_join") < join.index("Aggregate") and "array_join" not in p[:p.index("Join LeftOuter")]
+
+
 def test_kafka_messages_carry_their_id_as_a_header(spark):
     from sigshape.sources.sinks import MESSAGE_ID, with_headers
     df = spark.createDataFrame([("t", "k", "v", "a/0/5/1")], f"topic string, key string, value string, {MESSAGE_ID} string")

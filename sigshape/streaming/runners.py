@@ -33,10 +33,10 @@ from ..conf import DedupConf, RegionSplitConf
 from ..operators.dedup import DEFAULT_METHOD, dedup, malformed_lines
 from ..operators.explode import region_fanout, region_fanout_tagged
 from ..operators.tap import tap_records
-from ..session import scratch_path
+from ..session import scratch_path, unsorted_writes
 from ..sources.offsets import PositionStore
 from ..sources.records import RECORD_SCHEMA, stream_records
-from ..sources.sinks import MESSAGE_ID, PLACE, land_in_batches, land_records, message_id, with_headers, write_messages
+from ..sources.sinks import MESSAGE_ID, PLACE, file_options, land_in_batches, land_records, message_id, with_headers, write_messages
 from .progress import READ, WRITTEN, ProgressListener, ProgressTable, read_metrics, written_metrics
 
 log = logging.getLogger("sigshape.streaming")
@@ -202,7 +202,8 @@ def region_split_writer(stream: DataFrame, out_path: str | None, conf: RegionSpl
     messages = messages.select("topic", "key", "value", message_id(*PLACE, "seq").alias(MESSAGE_ID))
     if sink == "kafka":
         messages = with_headers(messages)
-    w = messages.writeStream.outputMode("append").format(sink).options(**(sink_options or {}))
+    options = file_options(sink, sink_options) if sink in FILE_SINKS else sink_options or {}
+    w = messages.writeStream.outputMode("append").format(sink).options(**options)
     if sink in FILE_SINKS:
         return w.partitionBy("topic").option("path", out_path)
     return w if sink != "memory" else w.queryName(out_path or "region_messages")
@@ -284,8 +285,10 @@ def run_landed(spark: SparkSession, records: DataFrame, name: str,
     as_records = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA.fields]
     files = land_in_batches(records.select(*as_records), source)
     stream = stream_records(spark, "parquet", source, max_files_per_trigger=files)
-    finish(start(make_writer(stream, out), f"{root}/checkpoint", available_now=True,
-                 listen=(spark, progress) if progress is not None else None))
+    with unsorted_writes(spark):                   # a stream keeps the settings it is started with
+        query = start(make_writer(stream, out), f"{root}/checkpoint", available_now=True,
+                      listen=(spark, progress) if progress is not None else None)
+    finish(query)
     return out
 
 

@@ -276,6 +276,8 @@ def test_messages_are_written_compressed_and_unsorted(spark, tmp_path):
         assert files and all(p.name.endswith(".json.gz") for p in files)
         back = spark.read.schema("key string, value string, topic string").json(out).select("topic", "key", "value")
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, region_fanout(recs).collect()))
+        folder = run_landed(spark, recs, "t-zstd", lambda s, path: region_split_writer(s, path))
+        assert list(__import__("pathlib").Path(folder).rglob("*.zstd.parquet"))
     finally:
         spark.conf.set(key, before)
     assert file_options("json", {"compression": "none"}) == {"compression": "none"}

@@ -258,6 +258,40 @@ def test_a_replayed_epoch_sends_the_same_message_ids(spark, tmp_path):
     assert len(set(ids)) == len(ids)
 
 
+def _shuffled(df) -> int:
+    """Shuffle bytes written by the executed plan."""
+    df.collect()
+    total = 0
+
+    def walk(node):
+        nonlocal total
+        if node.nodeName().startswith("Exchange"):
+            total += node.metrics().get("shuffleBytesWritten").get().value()
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+        if "QueryStage" in node.nodeName():
+            walk(node.plan())
+    walk(df._jdf.queryExecution().executedPlan().finalPhysicalPlan())
+    return total
+
+
+def test_messages_of_a_line_meet_in_the_shuffle(spark, tmp_path):
+    """One of each id, of any shape; the messages of a line are dealt together, which is less to shuffle."""
+    from sigshape.sources.sinks import MESSAGE_ID, drop_resent
+    ids = ["", "a", "ab", "1/k/ey", "1/k/ex", "t/0/5/0", "t/0/5/9", "t/0/5/10", "t/0/51/0", "é/1", None]
+    twice = spark.createDataFrame([("t", "k", f"v{i}", i) for i in ids * 2], f"topic string, key string, value string, {MESSAGE_ID} string")
+    got = sorted((r.message_id, r.value) for r in drop_resent(twice).where("message_id is not null").collect())
+    assert got == sorted((i, f"v{i}") for i in ids if i is not None)
+    assert drop_resent(twice).where("message_id is null").count() == 1
+    # 20 messages a line, which share most of their text
+    rows = spark.range(40_000).selectExpr(
+        "'t' AS topic", "string(id div 20) AS key", "concat_ws('/', 's', id div 20 % 8, id div 20, id % 20) AS message_id",
+        "concat_ws(',', md5(string(id div 20)), md5(concat('x', id div 20)), id % 20) AS value").coalesce(2).cache()
+    assert _shuffled(drop_resent(rows)) < 0.6 * _shuffled(rows.dropDuplicates([MESSAGE_ID]))
+    assert drop_resent(rows.union(rows)).count() == 40_000
+    rows.unpersist()
+
+
 def test_messages_are_written_compressed_and_unsorted(spark, tmp_path):
     """No sort by topic before a write; the caller's settings and codecs stay."""
     from sigshape.session import unsorted_writes

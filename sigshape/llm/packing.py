@@ -50,6 +50,24 @@ def _bytes(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+#: Bytes as the byte-level step writes them: printable ones (in Latin-1) as they are, the others in order from U+0100 on.
+_SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LEVEL = {b: 0x100 + k for k, b in enumerate(b for b in range(0x100) if b not in _SHOWN)}
+
+
+def _folded(word: str) -> str | None:
+    """A word of Latin letters (up to U+024F, all composed) as the tokenizer's
+    model gets it, in lower case and byte by byte; None: not such a word."""
+    if not word.isalpha():
+        return None
+    low = word.lower()
+    if word.isascii():
+        return low
+    if max(word) > "\u024f" or not low.isalpha():
+        return None
+    return low.encode().decode("latin-1").translate(_BYTE_LEVEL)
+
+
 class WordTokenizer:
     """Ids of a text, word by word.
 
@@ -80,11 +98,14 @@ class WordTokenizer:
         new = list(new)
         stems = [w[:-1] if len(w) > 1 and w[-1] in ",." and w[-2].lower()[-1].isalpha() else w for w in new]
         fresh = {s for s in stems if s not in self.known} | {",", "."}
-        # A word of ASCII letters is one pre-token: the model takes it as it is.
-        plain = [s for s in fresh if s.isascii() and s.isalpha()]
-        for s in plain:
-            self.known[s] = _bytes([t.id for t in self.tokenizer.model.tokenize(s.lower())])
-        other = list(fresh.difference(plain))
+        # A word of Latin letters is one pre-token: the model takes it as it is folded.
+        other, tokenize = [], self.tokenizer.model.tokenize
+        for s in fresh:
+            folded = _folded(s)
+            if folded is None:
+                other.append(s)
+            else:
+                self.known[s] = _bytes([t.id for t in tokenize(folded)])
         for s, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             self.known[s] = _bytes(e.ids)
         for w, s in zip(new, stems):

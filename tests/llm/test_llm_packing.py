@@ -56,6 +56,18 @@ def test_small_table(spark):
     check([(r.doc_id, r.text) for r in docs.collect()], pack(docs, tokenizer_file(TOKENIZER)).collect(), 0.02)
 
 
+def test_latin_words_go_to_the_model_folded():
+    """Every composed Latin letter, alone and within a word, has the ids of the whole tokenizer;
+    letters that fold to more than letters, and other scripts, go through all of it."""
+    from sigshape.llm.packing import _folded
+    letters = [chr(c) for c in range(0x41, 0x300) if chr(c).isalpha()]
+    words = [*letters, *(f"ab{c}é" for c in letters), "Érépaê", "ciónÑDOAR", "straße", "İstanbul", "ΣΑΣ", "Ünïcode,", "été.", "слово", "語"]
+    tokenizer = tokenizer_at(tokenizer_file(TOKENIZER))
+    for w, ids in zip(words, tokenizer.ids(words)):
+        assert np.frombuffer(ids, "<u4").tolist() + [1] == plain_ids(w), w
+    assert _folded("Érépaê") is not None and _folded("İstanbul") is None and _folded("слово") is None and _folded("a1") is None
+
+
 def test_word_by_word_equals_whole_text():
     texts = ["It's, isn't. we'll 're x's, '", "A.B.C, d..", "é é, ́ á.", "a b c\x1cd\x85e",
              "  two  spaces\n\nlines\ttabs\r\n", "<|endoftext|> <|startoftext|>, x", "ΑΣ ΑΣ. İ, I", "123,456. 7.", "", "ß, ſ. K",

@@ -27,7 +27,7 @@ MESSAGE_ID = "message_id"
 #: Where a message's source record stands; ``source_topic``, since a message has a topic of its own.
 PLACE = ("source_topic", "partition", "offset")
 #: Codecs of files, by format, where the caller names none (readers know them by footer or file name).
-COMPRESSION = {"parquet": "zstd", "orc": "zstd", "json": "gzip", "csv": "gzip"}
+COMPRESSION = {"parquet": "zstd", "orc": "zstd"}
 #: Files of a batch in a table that is streamed batch by batch.
 BATCH_FILES = 8
 

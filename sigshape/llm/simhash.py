@@ -149,7 +149,9 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     # A bucket's number of blocks; buckets of one fingerprint go.
     sizes = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
              .select(F.col("key").alias("k"), F.ceil(F.col("n") / block).cast("bigint").alias("blocks")))
-    found = (keyed.join(sizes, F.col("key") == F.col("k"))
+    # Neither side may be broadcast: Spark counts an exploded table as large as
+    # the one before, a thirty-first of it, and both sides have up to 31 rows a fingerprint.
+    found = (keyed.join(sizes.hint("merge"), F.col("key") == F.col("k"))
              .withColumn("b", F.pmod(F.xxhash64("fp"), "blocks")))
     # Cell (i, j), i <= j, holds block i against itself and block j: fp is on the
     # left of the cells (b, j) and on the right of the cells (i, b).

@@ -107,6 +107,22 @@ def test_links_connect_what_brute_force_connects(spark, block):
     assert groups(root) == groups(lambda v: want[v])
 
 
+def test_no_side_of_the_bucket_join_is_broadcast(spark, tmp_path):
+    """Spark counts a fingerprint's 31 rows as one: both sides look small."""
+    ship(spark)
+    spark.range(1000).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/fps")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "10m")
+    try:
+        found = links(spark.read.parquet(f"{tmp_path}/fps"))
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 @pytest.mark.parametrize("shape", ["chain", "star", "random", "none"])
 def test_components(spark, shape):
     rng = random.Random(5)

@@ -19,7 +19,7 @@ import time
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, unsorted_writes
+from ..session import scratch_path, shuffles_removed, unsorted_writes
 from .records import RECORD_COLUMNS
 
 MESSAGE_COLUMNS = ("topic", "key", "value")
@@ -30,6 +30,8 @@ PLACE = ("source_topic", "partition", "offset")
 COMPRESSION = {"parquet": "zstd", "orc": "zstd"}
 #: Files of a batch in a table that is streamed batch by batch.
 BATCH_FILES = 8
+#: Slices of ids that ``settle_resent`` takes at most, and bytes of files that are worth one.
+SLICES, SLICE_BYTES = 4, 64_000_000
 
 
 def producer_options(batch_size_bytes: int | None = None, linger_ms: int | None = None) -> dict:
@@ -76,19 +78,48 @@ def write_messages(messages: DataFrame, sink: str = "parquet", path: str | None
             df.write.mode(mode).partitionBy("topic").format(sink).options(**file_options(sink, options)).save(path)
 
 
+def _near() -> Column:
+    """One value for up to a hundred messages of a line: the id without its last two characters."""
+    return F.xxhash64(F.left(F.col(MESSAGE_ID), F.length(MESSAGE_ID) - 2))
+
+
 def drop_resent(messages: DataFrame) -> DataFrame:
     """One message of each id: what a batch that was replayed, or a task that
     was tried again, sent more than once is kept once.
 
     Rows are dealt by their id without its last two characters: up to a hundred
     messages of a line stay together in the shuffle and compress well, for they
-    share most of their text; a line with more of them falls to many tasks.
+    share most of their text; a line with more of them falls to many tasks. The
+    number of parts is named: merged by their compressed size they would spill.
+    The value they are dealt by is not shuffled with them, but taken again.
     """
-    near = F.xxhash64(F.left(F.col(MESSAGE_ID), F.length(MESSAGE_ID) - 2))
-    dealt = messages.withColumn("__near", near).repartition("__near")
+    parts = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = messages.repartition(parts, _near()).withColumn("__near", _near())
     return dealt.dropDuplicates(["__near", MESSAGE_ID]).drop("__near")
 
 
+def settle_resent(messages: DataFrame, columns: tuple[str, ...] = MESSAGE_COLUMNS) -> DataFrame:
+    """``drop_resent`` for tables whose shuffle is large on disk: the ids are
+    taken in up to ``SLICES`` slices, one after another. A slice is written
+    under ``spark.checkpoint.dir`` and its shuffle files go before the next
+    begins, so a quarter of the shuffle is on disk at once; ``messages`` is
+    read once a slice. Below ``SLICE_BYTES`` there is one slice, not written.
+    """
+    spark = messages.sparkSession
+    size = int(str(messages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    slices = min(SLICES, -(-size // SLICE_BYTES))
+    if slices <= 1:
+        return drop_resent(messages).select(*columns)
+    path = scratch_path(spark, "sink-settled")
+    out = messages.select(*columns)
+    messages = messages.select(*dict.fromkeys((*columns, MESSAGE_ID)))
+    for k in range(slices):
+        part = messages.where(F.pmod(_near(), F.lit(slices)) == k)
+        with shuffles_removed(spark):
+            drop_resent(part).select(*columns).write.mode("append").options(**file_options("parquet")).parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
 def land_records(records: DataFrame, path: str, batch_id: int | None = None) -> None:
     """Land records as a table the offset operators and replays can read.
 

@@ -292,6 +292,34 @@ def test_messages_of_a_line_meet_in_the_shuffle(spark, tmp_path):
     rows.unpersist()
 
 
+def _shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_resent_messages_are_settled_in_slices_that_leave_no_shuffle(spark, tmp_path, monkeypatch):
+    """Slices give what one shuffle gives, and each step's shuffle files are gone when it ends."""
+    import sigshape.sources.sinks as sinks
+    from sigshape.plans.registry import QUERIES
+    spark.range(400).selectExpr("id AS o_orderkey", "id % 50 AS o_custkey", "'O' AS o_orderstatus", "'1-URGENT' AS o_orderpriority",
+                                "timestamp_ntz '1995-01-01' + make_interval(0, 0, 0, int(id)) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(1500).selectExpr("id div 4 AS l_orderkey", "id * 37 AS l_partkey", "id % 9 AS l_suppkey", "int(id % 4) AS l_linenumber", "'R' AS l_returnflag",
+                                 "'F' AS l_linestatus", "timestamp_ntz '1996-01-01' AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    want = sorted(map(tuple, QUERIES["region_fanout"](spark, str(tmp_path)).collect()))
+    assert len(want) == 2 * (1500 + 25)
+    for size in (sinks.SLICE_BYTES, 1):                      # one slice, all slices
+        monkeypatch.setattr(sinks, "SLICE_BYTES", size)
+        before = _shuffle_files(spark)
+        out = QUERIES["sink_resent"](spark, str(tmp_path))
+        assert not _shuffle_files(spark) - before
+        assert sorted(map(tuple, out.collect())) == want
+    ids = spark.createDataFrame([("t", "k", f"v{i}", i) for i in ["", "a", "1/k/x", "1/k/10", "é/1", None] * 2], "topic string, key string, value string, message_id string")
+    got = sinks.settle_resent(ids)
+    assert got.columns == ["topic", "key", "value"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, sinks.drop_resent(ids).select("topic", "key", "value").collect()))
+
+
 def test_messages_are_written_compressed_and_unsorted(spark, tmp_path):
     """No sort by topic before a write; the caller's settings and codecs stay."""
     from sigshape.session import unsorted_writes
